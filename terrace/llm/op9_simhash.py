@@ -70,16 +70,16 @@ def majority(h: np.ndarray, per: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+    """doc_id, row (a hash of id and text) and fp, the fingerprint as a signed long."""
 
     def run(batches):
         for batch in batches:
             for part in c.slices(batch):
                 flat, counts = c.words(c.column(part, "text"), lower=True)
                 fp = majority(*shingle_hashes(flat, counts, size))
-                yield pa.RecordBatch.from_arrays([c.column(part, "doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([c.column(part, "doc_id"), c.column(part, "row"), pa.array(fp.view(np.int64))], names=["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text").mapInArrow(run, "doc_id long, row long, fp long")
 
 
 # ---- vantage-point tree ------------------------------------------------------------------------
@@ -244,7 +244,7 @@ def components(scratch: c.Scratch, edges: DataFrame) -> DataFrame:
 
 
 def cluster(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """doc_id, fp (signed long), component_id (least doc_id linked to, the document's own included)."""
+    """doc_id, row, fp (signed long), component (a fingerprint), component_id (least doc_id linked to, the document's own included)."""
     scratch = c.Scratch(spark, "simhash")
     own = scratch.put(fingerprints(docs, size), "fingerprints")
     nodes = scratch.put(own.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
@@ -252,17 +252,20 @@ def cluster(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: in
     labels = components(scratch, edges)
     named = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    ids = scratch.put(named.join(least, "label").select("fp", "component_id"), "components")
-    return own.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = scratch.put(named.join(least, "label").select("fp", F.col("label").alias("component"), "component_id"), "components")
+    return own.join(ids, "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """Of each component only the rows of its least doc_id stay, once; columns as they were.
-
-    A null doc_id stays only if its component has no other."""
-    groups = cluster(spark, docs, size, limit).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.lit(1).alias("_one")).distinct()
-    kept = docs.join(groups, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return kept
+    """One row of each component, that of its least doc_id, nulls last; columns as they were. Texts are shuffled only
+    where rows repeat with id and text."""
+    scratch = c.Scratch(spark, "near-dedup")
+    rows = scratch.put(cluster(spark, docs, size, limit).groupBy("component", "doc_id", "row").agg(F.count("*").alias("n")), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "n")).alias("first")
+    stay = scratch.put(rows.groupBy("component").agg(first).select(F.col("first.row").alias("_row"), F.col("first.n").alias("_n")), "stay")
+    kept = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(stay.select("_row"), "_row", "left_semi")
+    repeated = stay.filter("_n > 1").limit(1).count()
+    return (kept.dropDuplicates(["_row"]) if repeated else kept).select(*docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
