@@ -1,3 +1,4 @@
+import numbers
 import os
 import sys
 from pathlib import Path
@@ -44,7 +45,7 @@ def same(df, con, sql):
     assert cols == sorted(want.columns)
 
     def rows(frame):
-        plain = lambda v: None if pd.isna(v) else round(float(v), 9) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+        plain = lambda v: None if pd.isna(v) else round(float(v), 9) if isinstance(v, numbers.Number) and not isinstance(v, bool) else str(v)
         return sorted((tuple(map(plain, r)) for r in frame[cols].itertuples(index=False)), key=repr)
 
     assert rows(got) == rows(want)
