@@ -257,15 +257,26 @@ def cluster(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: in
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """One row of each component, that of its least doc_id, nulls last; columns as they were. Texts are shuffled only
-    where rows repeat with id and text."""
+    """One row of each component, that of its least doc_id, nulls last; columns as they were.
+
+    The rows that go are listed, as they are far fewer than those that stay: Spark broadcasts the list within its size
+    limit and shuffles texts beyond it. Rows that repeat with id and text are the only ones that are grouped."""
     scratch = c.Scratch(spark, "near-dedup")
-    rows = scratch.put(cluster(spark, docs, size, limit).groupBy("component", "doc_id", "row").agg(F.count("*").alias("n")), "rows")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "n")).alias("first")
-    stay = scratch.put(rows.groupBy("component").agg(first).select(F.col("first.row").alias("_row"), F.col("first.n").alias("_n")), "stay")
-    kept = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(stay.select("_row"), "_row", "left_semi")
-    repeated = stay.filter("_n > 1").limit(1).count()
-    return (kept.dropDuplicates(["_row"]) if repeated else kept).select(*docs.columns)
+    rows = scratch.put(cluster(spark, docs, size, limit).groupBy("component", "component_id", "doc_id", "row").agg(F.count("*").alias("n")), "rows")
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    named = rows.filter(least)
+    # several texts may share their component's least id
+    tied = named.groupBy("component").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high").select("component", "low")
+    gone = rows.filter(~least).select("row").unionByName(named.join(tied, "component").filter("row > low").select("row"))
+    gone = scratch.put(gone, "gone")
+    mark = "_row"
+    while mark.lower() in map(str.lower, docs.columns):
+        mark += "_"
+    kept = docs.withColumn(mark, F.xxhash64("doc_id", "text")).join(gone.withColumnRenamed("row", mark), mark, "left_anti")
+    again = scratch.put(named.filter("n > 1").select(F.col("row").alias(mark)), "again")
+    if again.limit(1).count():
+        kept = kept.join(again, mark, "left_anti").unionByName(kept.join(again, mark, "left_semi").dropDuplicates([mark]))
+    return kept.select(*docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
