@@ -109,9 +109,11 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that aren't contaminated, columns as they were."""
+    """The rows that aren't contaminated, columns as they were. The list of the others is stored first, so that its size
+    is known when Spark chooses between broadcasting it and shuffling texts."""
     bad = contamination(spark, docs, benchmark).filter("contaminated").select(F.col("id").alias("_id"), F.col("hash").alias("_hash")).distinct()
-    return docs.join(bad, (F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))) == F.col("_id")) & (F.xxhash64("doc_id", "text") == F.col("_hash")), "left_anti")
+    bad = c.Scratch(spark, "contaminated").put(bad, "bad")
+    return docs.join(bad, (F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))) == bad["_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == bad["_hash"]), "left_anti")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
