@@ -182,6 +182,8 @@ def test_decontaminate_edges(spark, docs, empty):
     assert op6.contamination(spark, docs, bench.limit(0)).filter("n_hit > 0").count() == 0 and op6.contamination(spark, empty, bench).count() == 0
     kept = op6.drop_contaminated(spark, docs, bench)
     assert kept.columns == docs.columns and kept.count() == sum(not w[-1] for w in want)
+    clash = docs.select("*", op6.F.lit(7).alias("_id"), op6.F.lit("h").alias("_hash"))
+    assert op6.drop_contaminated(spark, clash, bench).filter("_id = 7 and _hash = 'h'").count() == kept.count()
     assert sorted(r[0] for r in op6.proximity(docs, "eight", "ELEVEN", 3).collect()) == [1] and op6.proximity(docs, "eight", "eleven", 2).count() == 0
 
 
@@ -249,7 +251,11 @@ def test_simhash(spark, docs, empty):
     want = [min((i for i in p if i is not None), default=None) for p in parts.values()]
     kept = op9.near_dedup(spark, docs)
     assert kept.columns == docs.columns and sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(want, key=str)
-    assert op9.cluster(spark, empty).count() == 0
+    assert op9.cluster(spark, empty).count() == 0 and op9.near_dedup(spark, empty).count() == 0
+    clash = docs.select("*", op9.F.lit(7).alias("_row"), op9.F.lit(1).alias("component"))
+    assert op9.near_dedup(spark, clash).filter("_row = 7 and component = 1").count() == len(want)
+    ties = spark.createDataFrame([(1, "alpha beta gamma delta"), (1, "alpha beta gamma delta "), (1, "alpha beta gamma delta"), (2, "alpha beta gamma delta"), (3, "other words stand here now")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in op9.near_dedup(spark, ties).collect()) == [1, 3]
 
 
 @pytest.mark.parametrize("spread", (2, 12))
