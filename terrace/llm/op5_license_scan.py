@@ -23,6 +23,8 @@ SPELLINGS = (
 )
 #: A line that names a copyright and nothing else; \n stands before each line.
 COPYRIGHT = r"\n[ \t*#/;-]*(copyright[ \t]*(\(c\)|©|[0-9]|by )|\(c\)[ \t]*[0-9a-z]|©|all rights reserved)[^\n]*"
+#: Up to so many licences (some 100 bytes each) the digests are broadcast; beyond it both sides are shuffled by digest.
+BROADCAST_ROWS = 50_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -40,10 +42,13 @@ def known(spark: SparkSession, licences: dict[str, str] = LICENCES) -> DataFrame
 
 
 def scan(spark: SparkSession, docs: DataFrame, licences: dict[str, str] = LICENCES) -> DataFrame:
-    """doc_id, canonical_chars, digest, license of each row. The list of licences is a parameter of some hundred rows, not data."""
+    """doc_id, canonical_chars, digest, license of each row. The list of licences is a parameter, so its length is known here."""
     form = canonical(F.col("text"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), form.alias("_form")).select("doc_id", F.length("_form").cast("long").alias("canonical_chars"), F.sha2("_form", 256).alias("digest"))
-    return texts.join(known(spark, licences), "digest", "left").select("doc_id", "canonical_chars", "digest", "license")
+    digests = known(spark, licences)
+    if len(licences) <= BROADCAST_ROWS:
+        digests = F.broadcast(digests)
+    return texts.join(digests, "digest", "left").select("doc_id", "canonical_chars", "digest", "license")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

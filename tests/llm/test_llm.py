@@ -154,11 +154,13 @@ def test_substring_dedup_edges(spark, docs, empty):
     assert op4.remove_repeats(spark, empty).count() == 0
 
 
-def test_license_scan(spark, docs, empty):
+def test_license_scan(spark, docs, empty, monkeypatch):
     mit = op5.LICENCES["MIT"]
     texts = [("Copyright (c) 2020 Someone\n\n" + mit.upper(),), (mit.replace(",", " ;").replace("\n", "  \n\t"),), (mit + " extra",), (None,), ("",), (op5.LICENCES["Zlib"].replace("acknowledgment", "acknowledgement"),)]
     got = [r["license"] for r in op5.scan(spark, spark.createDataFrame(texts, "text string").withColumn("doc_id", op5.F.monotonically_increasing_id())).orderBy("doc_id").collect()]
     assert got == ["MIT", "MIT", None, None, None, "Zlib"]
+    monkeypatch.setattr(op5, "BROADCAST_ROWS", 0)
+    assert [r["license"] for r in op5.scan(spark, spark.createDataFrame(texts, "text string").withColumn("doc_id", op5.F.monotonically_increasing_id())).orderBy("doc_id").collect()] == got
     assert op5.scan(spark, docs).count() == len(ROWS) and op5.scan(spark, empty).count() == 0
 
 
