@@ -1,9 +1,8 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 The root holds add-one unigram probabilities. A context of one word, and below a retained one a context of two, is a
-candidate once it was seen often enough in the training texts: `threshold`, which rises with the square root of their
-size, so the tree grows with the corpus and what is exchanged stays in proportion to it. It is retained if its discounted next-word distribution
-diverges from its parent's by EPSILON nats or more. A retained state's distribution is smoothed into its parent's by
+candidate once it was seen LEAST times in the training texts, whatever their size. It is retained if its discounted
+next-word distribution diverges from its parent's by EPSILON nats or more. A retained state's distribution is smoothed into its parent's by
 absolute discounting, which keeps it a proper distribution over the vocabulary and the unknown word:
 
     P(w | s) = max(c(s, w) - D, 0) / c(s) + backoff(s) * P(w | parent(s))
@@ -22,8 +21,6 @@ Repeated rows count and are scored each time. Other columns are ignored; an empt
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -42,8 +39,8 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def threshold(n: int) -> int:
-    """How often a context or next word must be seen among n training tokens."""
-    return max(LEAST, math.isqrt(n) // 27)
+    """How often a context or next word must be seen among n training tokens: the same for every n."""
+    return LEAST
 
 
 def coded(p: np.ndarray) -> np.ndarray:

@@ -123,6 +123,10 @@ def test_suffix_tree(spark, sf_dir, docs, empty):
     assert op2.score(spark, empty, op2.F.lit(False)).count() == 0
 
 
+def test_suffix_tree_threshold_is_independent_of_size():
+    assert {op2.threshold(n) for n in (0, 10**3, 3_400_000, 10**8, 10**10)} == {op2.LEAST} == {20}
+
+
 def test_host_reputation_edges(spark):
     pages = spark.createDataFrame([(1, "http://A.Example.com/de/x", "z"), (2, None, "z"), (3, "no scheme", "z"), (4, "http://bad.org?q", "z"), (4, "http://bad.org?q", "z"), (None, "https://x.co.uk/fr/#f", "z"), (7, "http://s.org/fr/1", "z"), (8, "http://n.net", "z"), (9, "http://n.net/", "z")], "page_id long, url string, host string")
     labels = spark.createDataFrame([(4, 0, 0)] + [(None, 0, 1), (1, None, None)], "doc_id long, quality int, toxic int")
