@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.llm import common, op1_kd_shards, op6_decontaminate, op7_quality_rules, op8_mixing, op9_simhash
 
+#: Near duplicates have a Jaccard similarity of 0.8 or more over five words; the radius that candidates are sought in.
+WORDS, SIMILARITY, RADIUS = 5, 0.8, 14
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Kept documents, without their failing lines."""
@@ -14,7 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return op9_simhash.near_dedup(spark, docs)
+    return op9_simhash.near_dedup(spark, docs, limit=RADIUS, words=WORDS, similarity=SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,9 @@ only where their distances to a local vantage point differ by no more than the l
 row, one link to the least fingerprint that it is tied to: no pairs of a large group are listed. Links are then
 joined to components by repeated least labels with pointer jumping.
 
+With a similarity, the tree's pairs are only candidates: those whose sets of shingles have that Jaccard similarity are
+links. Candidates with the least partner are verified first, and then those that still lie in two components.
+
 Nulls and texts without words have fingerprint zero and are linked like any other. A null doc_id is returned, but
 never names a component unless its members have no other. Repeated rows come out as often as they went in. Other
 columns are ignored, and an empty table gives an empty result.
@@ -191,8 +194,20 @@ def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
-    """Links (a, b) that join all fingerprints within the limit; `distinct` has one column fp."""
+def leaf_pairs(fp: np.ndarray, home: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of a leaf within the limit, the lesser first."""
+    out_a, out_b, s = [fp[:0]], [fp[:0]], fp[home]
+    for x in range(0, len(fp), 64):
+        for z in range(0, len(s), 4096):
+            i, j = np.nonzero(np.bitwise_count(fp[x : x + 64, None] ^ s[None, z : z + 4096]) <= limit)
+            out_a.append(fp[x + i]), out_b.append(s[z + j])
+    a, b = np.concatenate(out_a), np.concatenate(out_b)
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
+    return pairs[:, 0].copy(), pairs[:, 1].copy()
+
+
+def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample: int = SAMPLE, leaf: int = LEAF, found=leaf_links) -> DataFrame:
+    """Links (a, b) that join all fingerprints within the limit, or all such pairs by `leaf_pairs`; `distinct` has one column fp."""
     n = distinct.count()
     leaves = max(1, min(n // leaf, sample // 8))
     picked = [r.fp for r in distinct.orderBy(F.xxhash64("fp")).limit(sample).collect()] if leaves > 1 else []
@@ -207,7 +222,7 @@ def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample:
 
     def compare(key, t):
         fp, home = c.column(t, "fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), c.column(t, "home").to_numpy(zero_copy_only=False).astype(bool)
-        a, b = leaf_links(fp, home, limit)
+        a, b = found(fp, home, limit)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return distinct.mapInArrow(send, "leaf int, fp long, home boolean").groupBy("leaf").applyInArrow(compare, "a long, b long")
@@ -256,13 +271,79 @@ def cluster(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: in
     return own.join(ids, "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """One row of each component, that of its least doc_id, nulls last; columns as they were.
+def shingle_sets(docs: DataFrame, size: int, packed: bool) -> DataFrame:
+    """row, set (a hash of the text's distinct shingles), n (how many they are) and, if packed, the shingles' sorted hashes."""
+
+    def run(batches):
+        for batch in batches:
+            for part in c.slices(batch):
+                flat, counts = c.words(c.column(part, "text"), lower=True)
+                h, per = shingle_hashes(flat, counts, size)
+                sets = [np.unique(x) for x in np.split(h, np.cumsum(per)[:-1])]
+                named = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets), np.uint64, len(sets))
+                cols = [c.column(part, "row"), pa.array(named.view(np.int64)), pa.array([len(x) for x in sets], pa.int32())]
+                more = [pa.array([c.pack_sorted(x) for x in sets], pa.binary())] if packed else []
+                yield pa.RecordBatch.from_arrays(cols + more, names=["row", "set", "n", "shingles"][: 3 + packed])
+
+    return docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").mapInArrow(run, "row long, set long, n int" + ", shingles binary" * packed)
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) of sets whose Jaccard similarity is at least that."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                x, y = c.unpack_sorted(x), c.unpack_sorted(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([c.column(batch, "a"), c.column(batch, "b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    x, y = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def verified_cluster(spark: SparkSession, docs: DataFrame, limit: int, words: int, similarity: float, size: int = SHINGLE, leaf: int = 1 << 14) -> DataFrame:
+    """doc_id, row, component (a set of shingles), component_id: linked are texts whose fingerprints lie within the limit
+    and whose sets of shingles of so many words have that Jaccard similarity."""
+    scratch = c.Scratch(spark, "near-pairs")
+    named = scratch.put(shingle_sets(docs, words, False).distinct(), "named")
+    own = scratch.put(fingerprints(docs, size).join(named, "row"), "own")
+    nodes = scratch.put(own.select("fp", "set", "n").distinct(), "nodes")
+    fps = nodes.select("fp").distinct()
+    near = scratch.put(links(spark, fps, limit, leaf=leaf, found=leaf_pairs).distinct(), "near")
+    near = near.unionByName(nodes.groupBy("fp").count().filter("count > 1").select(F.col("fp").alias("a"), F.col("fp").alias("b")))
+    left = nodes.select(F.col("fp").alias("a"), F.col("set").alias("s"), F.col("n").alias("sn"))
+    right = nodes.select(F.col("fp").alias("b"), F.col("set").alias("t"), F.col("n").alias("tn"))
+    # sets whose sizes differ by more than the similarity allows can't have it
+    sizes = (F.col("s") != F.col("t")) & (F.least("sn", "tn") >= F.lit(similarity) * F.greatest("sn", "tn") - 1e-9)
+    pairs = near.join(left, "a").join(right, "b").filter(sizes).select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"))
+    pairs = scratch.put(pairs.distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+    rows = scratch.put(own.join(asked, "set", "left_semi").groupBy("set").agg(F.min("row").alias("_one")).select("_one"), "rows")
+    texts = docs.select("doc_id", "text").join(rows, F.xxhash64("doc_id", "text") == rows["_one"], "left_semi")
+    sets = scratch.put(shingle_sets(texts, words, True).dropDuplicates(["set"]).select("set", "shingles"), "sets")
+    first = scratch.put(similar(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "first")
+    labels = components(c.Scratch(spark, "near-first"), first)
+    la, lb = labels.select(F.col("node").alias("a"), F.col("label").alias("x")), labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    apart = pairs.join(la, "a", "left").join(lb, "b", "left").filter("coalesce(x, a) <> coalesce(y, b)").select("a", "b")
+    edges = scratch.put(first.unionByName(similar(apart, sets, similarity)), "edges")
+    labels = components(c.Scratch(spark, "near-all"), edges)
+    known = scratch.put(own.join(labels.withColumnRenamed("node", "set"), "set", "left").select("doc_id", "row", F.coalesce("label", "set").alias("component")), "known")
+    least = scratch.put(known.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    return known.join(least, "component").select("doc_id", "row", "component", "component_id")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT, words: int | None = None, similarity: float = 0.8) -> DataFrame:
+    """One row of each component, that of its least doc_id, nulls last; columns as they were. With `words`, links are
+    verified on shingles of so many words.
 
     The rows that go are listed, as they are far fewer than those that stay: Spark broadcasts the list within its size
     limit and shuffles texts beyond it. Rows that repeat with id and text are the only ones that are grouped."""
     scratch = c.Scratch(spark, "near-dedup")
-    rows = scratch.put(cluster(spark, docs, size, limit).groupBy("component", "component_id", "doc_id", "row").agg(F.count("*").alias("n")), "rows")
+    found = verified_cluster(spark, docs, limit, words, similarity, size) if words else cluster(spark, docs, size, limit)
+    rows = scratch.put(found.groupBy("component", "component_id", "doc_id", "row").agg(F.count("*").alias("n")), "rows")
     least = F.col("doc_id").eqNullSafe(F.col("component_id"))
     named = rows.filter(least)
     # several texts may share their component's least id

@@ -332,3 +332,22 @@ def test_pipeline(spark, sf_dir):
     assert s4.columns == names
     last = cp.run(spark, sf_dir).toPandas()
     assert len(last) == s4.count() and collections.Counter(last["doc_id"]) == collections.Counter(r["doc_id"] for r in s4.collect())
+
+
+def test_pipeline_drops_planted_near_copies(spark, docs, empty, sf_dir):
+    import corpus_pipeline as cp
+
+    w = [f"v{i * i % 1009}x{i}" for i in range(200)]
+    edit = lambda *at: " ".join("new" if i in at else x for i, x in enumerate(w))
+    rows = [(1, edit()), (2, edit(100)), (3, edit(30, 150)), (4, edit(*range(0, 200, 20))), (5, edit(199) + " "), (6, edit(199)), (7, "too few"), (8, "too many"), (None, edit())]
+
+    def jaccard(x, y):
+        s, t = ({tuple(v[i : i + 5]) for i in range(max(1, len(v) - 4))} for v in (tokens(x, True), tokens(y, True)))
+        return len(s & t) / len(s | t)
+
+    assert jaccard(edit(), edit(30, 150)) >= 0.8 > jaccard(edit(), rows[3][1])
+    near = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in cp.near_dedup(spark, near, sf_dir).collect()) == [1, 4, 7, 8]
+    fps = [op9.fingerprints(near).filter(f"doc_id = {i}").first()["fp"] % 2**64 for i in (1, 3)]
+    assert 2 < (fps[0] ^ fps[1]).bit_count() <= cp.RADIUS
+    assert cp.near_dedup(spark, empty, sf_dir).count() == 0 and cp.near_dedup(spark, docs, sf_dir).columns == docs.columns
