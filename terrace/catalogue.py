@@ -273,10 +273,9 @@ def chunk_counts(spark, d):
 @query("""SELECT chunk_method, count(*) AS n_chunks, CAST(sum(length(chunk_text)) AS BIGINT) AS n_chars FROM (SELECT chunk_method, chunk_text FROM fixed UNION ALL
 SELECT 'ai_prep_search', unnest(list_filter(string_split(parsed_text, chr(10) || chr(10)), lambda p: length(trim(p)) > 0)) FROM silver WHERE NOT contains(parsed_text, chr(10) || chr(10))) GROUP BY 1""", "fixed")
 def chunk_union(spark, d):
-    """Both chunkers' chunks. The paragraph chunker leaves a text of one paragraph whole."""
+    """Both chunkers' chunks of all documents. The SQL leaves out texts with an empty line, as it can't pack paragraphs."""
     s = t.documents_silver(spark, d)
-    one = s.filter(~F.col("parsed_text").contains("\n\n"))
-    both = documents.search_chunks(documents.chunked(s, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(one, documents.paragraph_chunks("parsed_text"), "ai_prep_search"))
+    both = documents.search_chunks(documents.chunked(s, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(s, documents.paragraph_chunks("parsed_text"), "ai_prep_search"))
     return both.groupBy("chunk_method").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("chunk_length").alias("n_chars"))
 
 

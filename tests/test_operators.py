@@ -1,6 +1,7 @@
 import itertools
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import Observation
@@ -244,3 +245,23 @@ def test_stream_split_is_lossless(spark, tmp_path, orders):
     s = spark.readStream.schema(orders.schema).parquet(f"{tmp_path}/in")
     flows.split_orders(s, R, f"{tmp_path}/good", f"{tmp_path}/bad", f"{tmp_path}/c")
     assert spark.read.parquet(f"{tmp_path}/good").count() == 2 and spark.read.parquet(f"{tmp_path}/bad").count() == 7
+
+
+def test_chunk_union_packs_documents_of_many_paragraphs(spark, monkeypatch):
+    from terrace import catalogue
+
+    texts = ["one paragraph", "\n\n".join(f"{i} " + "x" * (90 * i % 500) for i in range(20)), "a\n \n\nb\n\n" + "y" * 900 + "\n\nc"]
+    rows = [(f"/v/raw_documents/hr/public/{i}.txt", "hr", "public", f"{i}.txt", "2024-01-01", x) for i, x in enumerate(texts)]
+    silver = spark.createDataFrame(rows, "doc_path string, department string, classification string, file_name string, ingestion_time string, parsed_text string")
+    monkeypatch.setattr(catalogue.t, "documents_silver", lambda *_: silver)
+    want = []
+    for x in texts:
+        packed = []
+        for p in (p for p in re.split(r"\n\s*\n", x) if p.strip()):
+            if packed and len(packed[-1]) + len(p) + 2 <= 800:
+                packed[-1] += "\n\n" + p
+            else:
+                packed.append(p)
+        want += packed
+    got = {r["chunk_method"]: (r["n_chunks"], r["n_chars"]) for r in catalogue.chunk_union(spark, "").collect()}
+    assert len(want) > 5 and got["ai_prep_search"] == (len(want), sum(map(len, want)))
