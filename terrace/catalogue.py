@@ -285,6 +285,14 @@ def vector_topk(spark, d):
     return vector.top_k(e, e.orderBy("vec_id").limit(1)).select("vec_id", "score")
 
 
+@query("""SELECT query_id, vec_id, score FROM (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, vec_id) AS n FROM (
+SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0)) WHERE n <= 5""")
+def vector_topk_all(spark, d):
+    """Every row whose id is divisible by 100 against all rows."""
+    e = t.table(spark, d, "embeddings")
+    return vector.top_k(e, e.filter("vec_id % 100 = 0")).select("query_id", "vec_id", "score")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_metric_path(spark, d):
     return t.table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,8 +26,10 @@ def sync(index: DataFrame, chunks: DataFrame, embed) -> DataFrame:
     return kept.unionByName(index_rows(new, embed))
 
 
-def top_k(vectors: DataFrame, query: DataFrame, k: int = 5, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """The k rows most similar to the one query row; ties by key. Sorting keeps k rows a task."""
-    q = query.select(F.col(embedding).alias("_q")).limit(1)
-    scored = vectors.crossJoin(F.broadcast(q)).withColumn("score", F.round(cosine(embedding, "_q"), 6)).drop("_q")  # q is one row
-    return scored.orderBy(F.col("score").desc(), F.col(key)).limit(k)
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+    """For each query row, under its key as query_id, the k rows most similar to it; ties by key. Each task keeps k rows a
+    query before rows are exchanged. Repeated query rows count once."""
+    q = queries.select(F.col(key).alias("query_id"), F.col(embedding).alias("_q")).distinct()
+    scored = vectors.crossJoin(q).withColumn("score", F.round(cosine(embedding, "_q"), 6))
+    best = Window.partitionBy("query_id", "_q").orderBy(F.col("score").desc(), F.col(key))
+    return scored.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= k).orderBy("query_id", F.col("score").desc(), F.col(key)).drop("_q", "_rank")

@@ -1,5 +1,6 @@
 import itertools
 import json
+import math
 import random
 import re
 
@@ -265,3 +266,12 @@ def test_chunk_union_packs_documents_of_many_paragraphs(spark, monkeypatch):
         want += packed
     got = {r["chunk_method"]: (r["n_chunks"], r["n_chars"]) for r in catalogue.chunk_union(spark, "").collect()}
     assert len(want) > 5 and got["ai_prep_search"] == (len(want), sum(map(len, want)))
+
+
+def test_top_k_answers_every_query_row(spark):
+    rows = [(i, [math.cos(i / 7), math.sin(i / 7), 0.5]) for i in range(60)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = vector.top_k(e, e.filter("vec_id % 20 = 0"), 3).select("query_id", "vec_id").collect()
+    score = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / 1.25, 6)
+    want = [(i, j) for i, a in rows if i % 20 == 0 for j, _ in sorted(rows, key=lambda r: (-score(a, r[1]), r[0]))[:3]]
+    assert [tuple(r) for r in got] == want
