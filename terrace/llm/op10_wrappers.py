@@ -41,7 +41,7 @@ SKIP_WORDS = frozenset(
     "contentinfo complementary hidden".split()
 )
 MAIN_WORDS = frozenset("article main content post entry story".split())
-#: Texts of the same path on so many pages, all equal, are template text; depth at which trees are flattened.
+#: Texts of the same path on so many pages, all equal, are template text; depth at which wrappers, not pages, are flattened.
 TEMPLATE_PAGES, DEPTH, SALT = 3, 120, 32
 
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S)
@@ -112,7 +112,7 @@ def parse(source: str) -> Element:
             if not e.skip:
                 e.kids.append(source[at : end.start() if end else len(source)])
             at = end.end() if end else len(source)
-        elif tag not in VOID and not attrs.endswith("/") and len(stack) < DEPTH:
+        elif tag not in VOID and not attrs.endswith("/"):
             stack.append(e)
     return root
 
@@ -126,11 +126,25 @@ def squeeze(s: str) -> str:
     return " ".join(_html.unescape(s).split())
 
 
-def node_of(e: Element, linked: bool = False) -> list:
+def below(e: Element, linked: bool) -> list:
+    """(text, in a link) of all texts below e, in page order."""
+    out, todo = [], [(k, linked) for k in reversed(e.kids)]
+    while todo:
+        k, linked = todo.pop()
+        if isinstance(k, str):
+            out.append((k, linked))
+        elif not k.skip:
+            todo += [(x, linked or k.tag == "a") for x in reversed(k.kids)]
+    return out
+
+
+def node_of(e: Element, linked: bool = False, depth: int = 1) -> list:
     linked = linked or e.tag == "a"
-    text = squeeze(" ".join(k for k in e.kids if isinstance(k, str)))
-    kids = [node_of(k, linked) for k in e.kids if isinstance(k, Element) and not k.skip and k.tag != "br"]
-    return [e.label, False, False, 1, text[:200] or None, len(text), len(text) * linked, repeats(kids)]
+    flat = depth == DEPTH
+    own = below(e, linked) if flat else [(k, linked) for k in e.kids if isinstance(k, str)]
+    text, in_links = squeeze(" ".join(k for k, _ in own)), squeeze(" ".join(k for k, x in own if x))
+    kids = [] if flat else [node_of(k, linked, depth + 1) for k in e.kids if isinstance(k, Element) and not k.skip and k.tag != "br"]
+    return [e.label, False, False, 1, text[:200] or None, len(text), len(in_links), repeats(kids)]
 
 
 def join_slot(a, b):
@@ -259,7 +273,7 @@ def blocks(e: Element, drop: frozenset, path: str) -> list[str]:
             if k.tag in ("br", "img", "wbr"):
                 text.append(" " if k.tag == "br" else "")
                 continue
-            here = f"{path}/{k.label}"
+            here = f"{path}/{k.label}" if drop else ""
             block = k.tag not in INLINE
             if block:
                 flush()

@@ -315,6 +315,16 @@ def test_wrapper_finds_optional_and_repeated_groups():
     assert json.loads(json.dumps(op10.decisions(w)))["main"] == "/#root/div/h1" or op10.decisions(w)["main"].startswith("/#root")
 
 
+def test_deep_pages_keep_their_nesting():
+    deep = lambda n: f"<body><div><article><p>first</p>{'<div>' * n}deep<form>no</form><nav>menu</nav>{'</div>' * n}<p>last</p></article></div><p>outside</p></body>"
+    for n in (5, 130, 5000):
+        root = op10.parse(deep(n))
+        wrapper = op10.decisions(json.loads(json.dumps(op10.node_of(root))))
+        assert op10.extract(deep(n), wrapper) == "first\ndeep\nlast"
+    plain = deep(130).replace("article", "section")
+    assert "no" not in op10.extract(plain, {"drop": [], "main": "/#root"}).split("\n") and op10.node_of(op10.parse(plain))[0] == "#root"
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 
