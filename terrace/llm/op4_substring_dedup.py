@@ -2,9 +2,10 @@
 
 Every run of 13 words is a window. The index holds, for each window, a sampled fingerprint: the least hash of
 the seven 7-word sequences in it, so equal windows always have equal fingerprints and a text of n words has
-about n/4 different ones. A batch's fingerprints become a sorted immutable run; runs are merge-joined, bucket by
-bucket, with a batch's fingerprints; windows whose fingerprint another document has are then verified by a
-128-bit hash of all 13 words and the least doc_id that has the window; runs are compacted into one.
+about n/4 different ones. A batch's fingerprints become a sorted immutable run; the runs are compacted into one, which
+is then merge-joined, bucket by bucket, with all fingerprints; windows whose fingerprint another document has are
+verified by a 128-bit hash of all 13 words and the least doc_id that has the window. It is a one-shot build: no index
+is kept or taken in, so new documents mean a build over all.
 
 Texts stay in blocks. A block sends each bucket its distinct sorted keys and gets back values in the same order,
 so a passage that very many documents share costs one entry a block, and no group of copies meets in one task.
