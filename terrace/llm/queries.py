@@ -16,6 +16,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup.op4_substring_dedup,
     "op5_license_scan": op5_license_scan.op5_license_scan,
     "op6_decontaminate": op6_decontaminate.op6_decontaminate,
+    "op6b_proximity": op6_decontaminate.op6b_proximity,
     "op7_quality_rules": op7_quality_rules.op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

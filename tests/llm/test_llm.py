@@ -168,23 +168,34 @@ def test_license_scan(spark, docs, empty, monkeypatch):
     assert op5.scan(spark, docs).count() == len(ROWS) and op5.scan(spark, empty).count() == 0
 
 
+def benchmark_words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
+
+
 def test_decontaminate_edges(spark, docs, empty):
-    bench = spark.createDataFrame([(1, PASSAGE.upper()), (2, "eight nine TEN"), (3, ""), (4, None), (10, "words"), (1, PASSAGE.upper()), (6, "absent term")], "item_id long, text string")
-    split = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
-    want = []
+    items = [(1, PASSAGE.upper()), (2, "eight nine TEN"), (3, ""), (4, None), (10, "words"), (1, PASSAGE.upper()), (6, "absent term"), (1, "twelve thirteen"), (None, "tail words here"), (None, "short"), (7, "One Two"), (7, "four five")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want, by_item = [], collections.defaultdict(int)
     for r in ROWS:
-        w, gone, items = split(r[1]), set(), set()
-        for i, t in {1: PASSAGE, 2: "eight nine ten", 10: "words", 6: "absent term"}.items():
-            iw = split(t)
+        w, gone, hits = benchmark_words(r[1]), set(), set()
+        for i, t in items:
+            iw = benchmark_words(t)
             n = min(13, len(iw))
-            windows = {tuple(iw[k : k + n]) for k in range(len(iw) - n + 1)}
+            windows = {tuple(iw[k : k + n]) for k in range(len(iw) - n + 1)} - {()}
             for p in range(len(w) - n + 1):
                 if tuple(w[p : p + n]) in windows:
                     gone |= set(range(p, p + n))
-                    items.add(str(i))
-        want.append((r[0], len(w), len(gone), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(gone) and 20 * len(gone) >= len(w)))
-    got = op6.contamination(spark, docs, bench).drop(*op6.KEY).collect()
-    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+                    hits.add(i)
+        for i in hits:
+            by_item[i] += 1
+        ids = sorted(str(i) for i in hits if i is not None)
+        want.append((r[0], len(w), len(gone), len(hits), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(gone) and 20 * len(gone) >= len(w)))
+    assert by_item[1] and by_item[7] and by_item[None]
+    for limit in (op6.BROADCAST_TERMS, 0):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(op6, "BROADCAST_TERMS", limit)
+            got = op6.contamination(spark, docs, bench).drop(*op6.KEY).collect()
+            assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert op6.contamination(spark, docs, bench.limit(0)).filter("n_hit > 0").count() == 0 and op6.contamination(spark, empty, bench).count() == 0
     kept = op6.drop_contaminated(spark, docs, bench)
     assert kept.columns == docs.columns and kept.count() == sum(not w[-1] for w in want)
@@ -193,6 +204,20 @@ def test_decontaminate_edges(spark, docs, empty):
     assert sorted(r[0] for r in op6.proximity(docs, "eight", "ELEVEN", 3).collect()) == [1] and op6.proximity(docs, "eight", "eleven", 2).count() == 0
 
 
+def test_proximity_of_rarest_words(spark, docs, empty):
+    bench = spark.createDataFrame([(1, "thirteen eight"), (2, "tail HERE"), (3, "one"), (None, "p3 p9 p20"), (5, "p1 absent")], "item_id long, text string")
+    words = [(r[0], [x.lower() for x in benchmark_words(r[1])]) for r in ROWS]
+    n = collections.Counter(x for _, w in words for x in w)
+    want = set()
+    for i, t in [(1, "thirteen eight"), (2, "tail here"), (None, "p3 p9 p20")]:
+        a, b = sorted(t.split(), key=lambda x: (n[x], x))[:2]
+        for d, w in words:
+            if any(abs(x - y) <= 13 for x, p in enumerate(w) if p == a for y, q in enumerate(w) if q == b):
+                want.add((d, i))
+    assert want and {tuple(r) for r in op6.near_items(spark, docs, bench).collect()} == want
+    assert op6.near_items(spark, empty, bench).count() == 0 and op6.near_items(spark, docs, bench.limit(0)).count() == 0
+
+
 def test_quality_edges(spark, docs, empty):
     got = op7.judge(docs).collect()
     assert len(got) == len(ROWS) and sorted(r["n_words"] for r in got) == sorted(len(tokens(r[1])) for r in ROWS)
