@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 #: Whitespace of every contract: \x20 and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

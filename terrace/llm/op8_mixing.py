@@ -2,17 +2,20 @@
 
 Each source gets a target in words. A document's certain whole copies are taken first: the whole part of target over
 source size. The rest of the target is a sample without replacement of fixed size, counted in words: a document's
-inclusion odds grow with the square root of its size, its random odds come from a hash of its id and content, and
-documents are ranked by random odds divided by inclusion odds. The sample is the ranking's longest prefix that is
-nearest to the rest.
-
-Native: DataFrame operations only. The cut in the ranking is found by histograms over ranges of the ranking value, so
-no source is ever sorted or summed by one task: each round keeps the one range that holds the cut, until few rows
-are left there. All sums are of whole numbers, so reruns agree.
-
-Nulls: a null text has size 0 and nothing of it is taken; a null source is a source of its own, the last. Repeated rows
-are sampled as one row (all or none of them), so ties can't depend on the order of rows. Other columns are ignored by
-`mix` and kept by `mixed`. An empty table gives an empty result.
+inclusion probability grows with the square root of its size, so that the expected words are the rest. Documents whose
+probability comes to 1 are taken for certain, and the scale of the others is fitted to what is then left. All others
+are ranked by random odds divided by inclusion odds; the random odds come from a hash of id and content. The sample is
+the ranking's prefix that is nearest to the rest.
+
+Native: DataFrame operations only. Certain documents are found from one row for each distinct size of a source. The cut
+in the ranking is found by histograms over ranges of the ranking value, so no source is ever sorted or summed by one
+task: each round keeps the one range that holds the cut, until few rows are left there. All sums are of whole numbers,
+so reruns agree.
+
+Nulls: a null text has size 0 and nothing of it is taken; a null source is a source of its own, the last. Very long
+texts are read whole. Rows that repeat with id and text have one place in the ranking; where the cut falls among them,
+as many of them are taken as the target needs. Other columns are ignored by `mix` and kept by `mixed`. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ BINS, SMALL = 4096, 20_000
 
 def measured(docs: DataFrame) -> DataFrame:
     """docs with five more columns: _source; _size; _imp, a whole inclusion weight; _u, random in (0, 1); _tie, a digest of id and content."""
-    size = F.coalesce(F.regexp_count(docs["text"], F.lit(c.WORD)), F.lit(0)).cast("long")
+    size = F.when(docs["text"].isNull(), F.lit(0)).otherwise(F.size(F.array_remove(F.split(docs["text"], c.SPACE), ""))).cast("long")
     tie = F.md5(F.concat_ws("|", F.coalesce(docs["doc_id"].cast("string"), F.lit("-")), F.md5(F.encode(F.coalesce(docs["text"], F.lit("")), "UTF-8"))).cast("binary"))
     out = docs.select("*", docs["source"].cast("string").alias("_source"), size.alias("_size"), tie.alias("_tie"))
     u = (F.conv(F.substring("_tie", 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
@@ -38,11 +41,27 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def ranked(rows: DataFrame, per: DataFrame) -> DataFrame:
-    """Measured rows with their source's figures and _q, the ranking value in (0, 1): small random odds over inclusion odds come first."""
+    """Measured rows with their source's figures and _q, the ranking value: 0 for certain rows, else in (0, 1], small random odds over inclusion odds first."""
     out = rows.join(per, rows["_source"].eqNullSafe(per["source_"])).drop("source_")
-    pi = F.least(F.greatest(F.col("rest") * F.col("_imp") / F.greatest(F.lit(1.0), "imps"), F.lit(1e-12)), F.lit(1 - 1e-9))
+    pi = F.greatest(F.col("scale") * F.col("_imp"), F.lit(1e-300))
     odds = (F.col("_u") / (1 - F.col("_u"))) / (pi / (1 - pi))
-    return out.withColumn("_q", odds / (1 + odds))
+    return out.withColumn("_q", F.when(pi >= 1, F.lit(0.0)).otherwise(odds / (1 + odds)))
+
+
+def fitted(sizes: DataFrame) -> DataFrame:
+    """(s, scale): per source the factor by which _imp is an inclusion probability. `sizes` has a row for each distinct
+    _imp of a source, with words, their words, wide, the sum of _imp times words, and rest.
+
+    With the rows of the largest _imp certain, the others share what is left; the fewest are certain for which no
+    other's probability reaches 1."""
+    by = Window.partitionBy("source_").orderBy(F.col("_imp").desc())
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    after = by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = F.col("rest") - F.coalesce(F.sum("words").over(before), F.lit(0))
+    fit = sizes.withColumn("scale", left / F.sum("wide").over(after).cast("double"))
+    good = F.min(F.when(F.col("scale") * F.col("_imp") < 1, F.struct(-F.col("_imp"), "scale")))
+    # where all are certain, any factor that gives each 1 will do
+    return fit.groupBy(F.col("source_").alias("s")).agg(F.coalesce(good["scale"], F.lit(1.0)).alias("scale"))
 
 
 def targets(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
@@ -64,12 +83,17 @@ def targets(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
 
 
 def shares(rows: DataFrame, scratch: c.Scratch, weights=WEIGHTS) -> DataFrame:
-    """One row a source: source_, source_size, target, certain copies, the rest, and (lo, last), where its sample ends."""
-    wide = F.col("_imp").cast("decimal(38,0)") * F.col("_size")
-    sums = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"), F.sum(wide).cast("double").alias("imps"))
+    """One row a source: source_, source_size, target, certain copies, the rest, the scale of inclusion, where its sample
+    ends (lo, last), and how many rows tie there (tied) and are taken (ties)."""
+    sums = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     whole = F.least(F.floor(F.col("target") / F.greatest(F.lit(1), "source_size")), F.lit(MOST)).cast("long")
     per = targets(sums, weights).withColumn("certain", whole).withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size")).withColumnRenamed("source", "source_")
-    per = scratch.put(per, "sources")
+    per = scratch.put(per, "shares")
+    wide = F.sum(F.col("_imp").cast("decimal(38,0)") * F.col("_size"))
+    sizes = rows.filter("_size > 0").groupBy("_source", "_imp").agg(F.sum("_size").alias("words"), wide.alias("wide"))
+    sizes = sizes.join(per.select("source_", "rest"), sizes["_source"].eqNullSafe(per["source_"])).filter("rest > 0")
+    scale = fitted(sizes)
+    per = scratch.put(per.join(scale, per["source_"].eqNullSafe(scale["s"]), "left").drop("s"), "sources")
     sampled = scratch.put(ranked(rows.select("_source", "_size", "_imp", "_u", "_tie"), per).filter("_size > 0 and rest > 0").select("_source", "_size", "_tie", "rest", "_q"), "ranked")
 
     # per source the range [lo, lo + width) of _q that holds the cut, the words before it, and the rows in it
@@ -89,25 +113,45 @@ def shares(rows: DataFrame, scratch: c.Scratch, weights=WEIGHTS) -> DataFrame:
         at = run.groupBy("_source").agg(F.coalesce(F.min(F.when(F.col("upto") >= F.col("goal"), all_)), F.max(all_)).alias("c"))
         cut = scratch.put(at.select("_source", "c.goal", F.col("c.n").alias("rows"), (F.col("c.lo") + F.col("c.bin") * F.col("c.width") / BINS).alias("lo"), (F.col("c.width") / BINS).alias("width"), (F.col("c.upto") - F.col("c.words")).alias("before")), f"cut{step}")
     near = within(cut).filter((F.col("_q") >= F.col("lo")) & (F.col("_q") < F.col("lo") + F.col("width")))
-    tied = near.groupBy("_source", "goal", "before", "_q", "_tie").agg(F.sum("_size").alias("words"))
-    run = tied.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("_source").orderBy("_q", "_tie")))
+    alike = near.groupBy("_source", "goal", "before", "_q", "_tie").agg(F.max("_size").alias("size"), F.count("*").alias("n"))
+    order = Window.partitionBy("_source").orderBy("_q", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    run = alike.withColumn("start", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
     # the prefix nearest to the goal: a row is in if the middle of its words lies before the goal
-    last = run.filter(2 * F.col("upto") - F.col("words") <= 2 * F.col("goal")).groupBy(F.col("_source").alias("s")).agg(F.max(F.struct("_q", "_tie")).alias("last"))
-    ends = cut.select(F.col("_source").alias("s"), "lo").unionByName(last, allowMissingColumns=True).groupBy("s").agg(F.max("lo").alias("lo"), F.max("last").alias("last"))
+    fit = F.least(F.col("n"), F.floor((F.col("goal") - F.col("start")) / F.col("size") + 0.5)).cast("long")
+    at = F.max(F.struct("_q", "_tie", fit.alias("ties"), F.col("n").alias("tied")))
+    last = run.filter(fit > 0).groupBy(F.col("_source").alias("s")).agg(at.alias("e")).select("s", F.struct("e._q", "e._tie").alias("last"), "e.ties", "e.tied")
+    ends = cut.select(F.col("_source").alias("s"), "lo").unionByName(last, allowMissingColumns=True)
+    ends = ends.groupBy("s").agg(*[F.max(x).alias(x) for x in ("lo", "last", "ties", "tied")])
     return scratch.put(per.join(ends, per["source_"].eqNullSafe(ends["s"]), "left").drop("s"), "ends")
 
 
-def copies(rows: DataFrame, per: DataFrame) -> DataFrame:
-    """Measured rows with _copies, how often each is taken."""
-    extra = (F.col("rest") > 0) & ((F.col("_q") < F.col("lo")) | (F.struct("_q", "_tie") <= F.col("last")))
-    return ranked(rows, per).withColumn("_copies", F.when(F.col("_size") > 0, F.col("certain") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(F.lit(0).cast("long")))
+def copies(rows: DataFrame, per: DataFrame, scratch: c.Scratch) -> DataFrame:
+    """Measured rows with _copies, how often each is taken. Of rows alike that the cut falls among, those that come first in
+    the stored order are taken; they are numbered by the task that stored them, so they never meet in one."""
+    at, before = F.struct("_q", "_tie") == F.col("last"), F.struct("_q", "_tie") < F.col("last")
+    wanted = (F.col("rest") > 0) & (F.col("_size") > 0)
+    split = wanted & at & (F.col("ties") < F.col("tied"))
+    all_ = ranked(rows, per).withColumn("_split", F.coalesce(split, F.lit(False)))
+    taken = wanted & ((F.col("_q") < F.col("lo")) | before | at)
+    whole = lambda extra: F.when(F.col("_size") > 0, F.col("certain") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(F.lit(0)).cast("long")
+    plain = all_.filter(~F.col("_split")).withColumn("_copies", whole(taken))
+    if not per.filter("ties < tied").limit(1).count():
+        return plain
+    tied = scratch.put(all_.filter("_split").withColumn("_n", F.monotonically_increasing_id()), "tied")
+    tied = tied.withColumn("_part", F.shiftright("_n", 33))
+    parts = tied.groupBy(F.col("_source").alias("s"), F.col("_part").alias("p")).agg(F.count("*").alias("k"))
+    upto = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # a row a task
+    parts = parts.select("s", "p", F.coalesce(F.sum("k").over(upto), F.lit(0)).alias("_upto"))
+    numbered = tied.withColumn("_i", F.row_number().over(Window.partitionBy("_source", "_part").orderBy("_n")))
+    numbered = numbered.join(parts, numbered["_source"].eqNullSafe(parts["s"]) & (numbered["_part"] == parts["p"]))
+    return plain.unionByName(numbered.withColumn("_copies", whole(F.col("_upto") + F.col("_i") <= F.col("ties"))).select(*plain.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of each row."""
     scratch = c.Scratch(spark, "mixing")
     rows = scratch.put(measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")).drop("text"), "measured")
-    return copies(rows, shares(rows, scratch, weights)).select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
+    return copies(rows, shares(rows, scratch, weights), scratch).select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, weights=WEIGHTS) -> DataFrame:
@@ -115,7 +159,7 @@ def mixed(spark: SparkSession, docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     scratch = c.Scratch(spark, "mixing")
     rows = measured(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row")))
     per = shares(scratch.put(rows.drop("doc_id", "source", "text", "_row"), "measured"), scratch, weights)
-    taken = copies(rows, per).filter("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    taken = copies(rows, per, scratch).filter("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
     return taken.select("_row.*")
 
 

@@ -254,6 +254,69 @@ def test_mixing(spark, sf_dir, docs, empty, monkeypatch):
     out = op8.mixed(spark, df)
     assert out.columns == df.columns and collections.Counter(r["doc_id"] for r in out.select("doc_id").collect()) == collections.Counter({r["doc_id"]: r["taken"] // r["size"] for r in whole if r["taken"]})
     assert op8.mix(spark, empty).count() == 0 and op8.mixed(spark, empty).count() == 0 and op8.mixed(spark, docs).columns == docs.columns
+    # the sample itself, by plain Python
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    by_source = collections.defaultdict(list)
+    for r in whole:
+        by_source[r["source"]].append(r)
+    certain_rows = 0
+    for rows in by_source.values():
+        target, total = rows[0]["target"], sum(r["size"] for r in rows)
+        copies = min(2, int(target // max(1, total)))
+        rest, imp = target - copies * total, {r["doc_id"]: math.floor(1024 * math.sqrt(r["size"])) for r in rows}
+        if rest <= 0:
+            assert all(r["taken"] == copies * r["size"] for r in rows)
+            continue
+        sure, left = set(), rest
+        while True:
+            scale = left / sum(imp[r["doc_id"]] * r["size"] for r in rows if r["doc_id"] not in sure)
+            more = {r["doc_id"] for r in rows if r["doc_id"] not in sure and scale * imp[r["doc_id"]] >= 1}
+            if not more:
+                break
+            sure |= more
+            left = rest - sum(r["size"] for r in rows if r["doc_id"] in sure)
+        certain_rows += len(sure)
+
+        def rank(r):
+            tie = hashlib.md5(f"{r['doc_id']}|{hashlib.md5((texts[r['doc_id']] or '').encode()).hexdigest()}".encode()).hexdigest()  # noqa: B023
+            u = (int(tie[:13], 16) + 0.5) / 2**52
+            pi = scale * imp[r["doc_id"]]  # noqa: B023
+            odds = u / (1 - u) / (pi / (1 - pi)) if pi < 1 else 0.0
+            return (0.0 if r["doc_id"] in sure else odds / (1 + odds), tie)  # noqa: B023
+
+        at, want = 0, {}
+        for r in sorted((r for r in rows if r["size"]), key=rank):
+            want[r["doc_id"]] = copies + (at + r["size"] / 2 <= rest)
+            at += r["size"]
+        assert {r["doc_id"]: r["taken"] // r["size"] for r in rows if r["size"]} == want
+    assert certain_rows > 0
+
+
+def test_mixing_takes_as_many_repeated_rows_as_the_target_needs(spark):
+    rows = [(1, "same words " * 100, "a", i) for i in range(200)] + [(i, f"other words {i} " * 30, "a", i) for i in range(2, 52)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(5)
+    got = op8.mix(spark, df).collect()
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 200 and len(got) == 250
+    assert {r["taken"] for r in got if r["doc_id"] == 1} == {200, 400}
+    out = op8.mixed(spark, df)
+    assert out.columns == df.columns and sum(len(r["text"].split()) for r in out.collect()) == sum(r["taken"] for r in got)
+
+
+def test_mixing_inclusion_frequencies(spark):
+    """Many sources with the same sizes are as many draws."""
+    sizes, draws = [5, 10, 10, 20, 40, 80, 160, 400], 400
+    df = spark.createDataFrame([(s * 10 + k, "w " * n, f"{s:04}") for s in range(draws) for k, n in enumerate(sizes)], "doc_id long, text string, source string")
+    seen = collections.Counter(r["doc_id"] % 10 for r in op8.mix(spark, df, (1,)).collect() if r["taken"] > r["size"])
+    imp, sure, rest = [math.floor(1024 * math.sqrt(n)) for n in sizes], set(), sum(sizes) / 2
+    while True:
+        scale = (rest - sum(sizes[k] for k in sure)) / sum(i * n for k, (i, n) in enumerate(zip(imp, sizes, strict=True)) if k not in sure)
+        more = {k for k, i in enumerate(imp) if k not in sure and scale * i >= 1}
+        if not more:
+            break
+        sure |= more
+    want = [1.0 if k in sure else scale * i for k, i in enumerate(imp)]
+    got = [seen[k] / draws for k in range(len(sizes))]
+    assert max(abs(x - y) for x, y in zip(want, got, strict=True)) < 0.15 and sorted(range(8), key=lambda k: want[k])[-1] == max(range(8), key=lambda k: got[k])
 
 
 def fingerprint(text):
