@@ -78,8 +78,9 @@ def targets(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
     s = s.withColumn("full", F.coalesce(F.sum("bound").over(before), F.lit(0))).withColumn("spent", F.coalesce(F.sum("weight").over(before), F.lit(0)))
     s = s.withColumn("open", (F.lit(SHARE) * F.sum("source_size").over(everyone) - F.col("full")) / (F.sum("weight").over(everyone) - F.col("spent")))
     # the first source that the level doesn't fill sets the level for it and all after
-    rest = F.min(F.when(F.col("open") <= F.col("level"), F.struct("level", "open"))).over(everyone)["open"]
-    return s.withColumn("target", F.when(F.col("level") < F.coalesce(rest, F.col("level") + 1), F.col("bound").cast("double")).otherwise(rest * F.col("weight"))).drop("weight", "bound", "level", "full", "spent", "open")
+    s = s.withColumn("place", F.row_number().over(by))
+    rest = F.min(F.when(F.col("open") <= F.col("level"), F.struct("place", "open"))).over(everyone)["open"]
+    return s.withColumn("target", F.when(F.col("level") < F.coalesce(rest, F.col("level") + 1), F.col("bound").cast("double")).otherwise(rest * F.col("weight"))).drop("weight", "bound", "level", "full", "spent", "open", "place")
 
 
 def shares(rows: DataFrame, scratch: c.Scratch, weights=WEIGHTS) -> DataFrame:
