@@ -1,51 +1,53 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The root holds add-one unigram probabilities. A context of one word, and below a retained one a context of two, is a
-candidate once it was seen LEAST times in the training texts, whatever their size. It is retained if its discounted
-next-word distribution diverges from its parent's by EPSILON nats or more. A retained state's distribution is smoothed into its parent's by
-absolute discounting, which keeps it a proper distribution over the vocabulary and the unknown word:
+The root holds add-one unigram probabilities. A context of k words, up to ORDER, is a candidate once it stands LEAST
+times in the training texts, whatever their size, and the context without its first word is retained. It is retained if
+its discounted next-word distribution gains GAIN nats or more over its parent's on the words that follow it. A retained
+state's distribution is smoothed into its parent's by absolute discounting, which keeps it a proper distribution over
+the vocabulary and the unknown word:
 
-    P(w | s) = max(c(s, w) - D, 0) / c(s) + backoff(s) * P(w | parent(s))
+    P(w | s) = (c(s, w) - D if c(s, w) >= LEAST else 0) / c(s) + backoff(s) * P(w | parent(s))
 
-where next words seen more rarely than that overall are left to the parent. A text is scored word by word, each in
-the state of the longest retained suffix of what stands before it; the end of a text is a word too, and it also
-stands before the first word.
+A text is scored word by word, each in the state of the longest retained suffix of what stands before it; the end of a
+text is a word too, and it also stands before the first word.
 
-Counts, contexts and states grow with the corpus and are never broadcast. Texts stay in blocks; a block sends each
-bucket its distinct sorted keys with its own counts, and gets the totals back in the same order, so a frequent word
-costs one entry a block. Words are known by 64-bit hashes.
+Counts, contexts and states grow with the corpus and are never broadcast. Texts are read once: they are stored as
+blocks of word numbers. A block sends each bucket its distinct sorted keys with its own counts, and gets totals and
+identifiers back in the same order, so a frequent word costs one entry a block. A sequence of k + 1 words is known by
+the identifier of its first k and that of its last, so keys of all levels are two small numbers. Words are known by
+64-bit hashes.
 
 Nulls: a null text is empty and has one token, its end; a null doc_id hashes as the empty string and so is trained on.
-Repeated rows count and are scored each time. Other columns are ignored; an empty table gives an empty result.
+Very long texts are a block of their own. Rows are scored one by one, so ties don't matter; repeated rows count and are
+scored each time. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
 
-#: Least times that a context or next word must be seen, discount, nats of divergence from the parent, words of context.
-LEAST, DISCOUNT, EPSILON, ORDER = 20, 0.75, 0.05, 2
-BLOCK_BYTES, BUCKET_BYTES = 5 << 20, 24 << 20
+#: Least times that a context, or a word after it, must be seen; discount; nats gained over the parent; words of context.
+LEAST, DISCOUNT, GAIN, ORDER = 2, 0.75, 3.0, 4
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
 END = np.uint64(0xA0761D6478BD642F)
-ENTRY = "kind string, blk int, bucket int, keys binary, more binary, counts binary, parent binary"
-ANSWER = "kind string, blk int, bucket int, keys binary, answer binary, n long, v long"
+#: An identifier is its bucket and its rank there; in the column of parents' probabilities, a context that isn't asked for.
+RANK, UNASKED = 40, 65535
+BLOCKS = "blk long, ids array<bigint>, held array<boolean>, counts binary, tokens binary, words array<struct<bucket: int, keys: binary, counts: binary>>"
+ENTRY = "kind string, blk long, bucket int, keys binary, more binary, counts binary, parent binary"
+ANSWER = "kind string, blk long, bucket int, keys binary, answer binary, n long, v long"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def threshold(n: int) -> int:
-    """How often a context or next word must be seen among n training tokens: the same for every n."""
-    return LEAST
-
-
 def coded(p: np.ndarray) -> np.ndarray:
     """Probabilities in steps of 1/1024 of a bit; they serve the divergence test alone."""
-    return np.minimum(np.round(-1024 * np.log2(p)), 65535).astype(np.uint16)
+    return np.minimum(np.round(-1024 * np.log2(p)), UNASKED - 1).astype(np.uint16)
 
 
 def decoded(q: np.ndarray) -> np.ndarray:
@@ -59,216 +61,263 @@ def arrow(rows: list, ddl: str) -> pa.Table:
     return pa.table([pa.array(list(x), kinds[k]) for x, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
 
 
-class Block:
-    """A block's tokens in order: word hashes, the word before and the one before that, and the text of each."""
-
-    def __init__(self, t: pa.Table):
-        self.held = c.column(t, "held").to_numpy(zero_copy_only=False).astype(bool)
-        hs, counts = [], []
-        for part in c.slices(t):
-            flat, n = c.words(c.column(part, "text"), lower=True)
-            (h,) = c.word_hashes(flat)
-            ends = np.cumsum(n)
-            hs.append(np.insert(h, ends, END))
-            counts.append(n + 1)
-        self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        self.h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
-        self.train = ~self.held[self.doc]
-        self.first = np.concatenate([[END], self.h[:-1]]).astype(np.uint64)[: len(self.h)] == END
-
-    def distinct_words(self):
-        keys, at = np.unique(self.h, return_inverse=True)
-        return keys, at, np.bincount(at[self.train], minlength=len(keys)).astype(np.uint32)
+def cuts(bucket: np.ndarray, n: int):
+    """(bucket, from, to) of each run of a sorted column of buckets."""
+    at = np.searchsorted(bucket, np.arange(n + 1))
+    return [(i, x, y) for i, (x, y) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)) if y > x]
 
 
-def received(t: pa.Table, kind: str, dtype) -> np.ndarray:
-    got = sorted((b, a) for k, b, a in zip(t.column("kind").to_pylist(), t.column("bucket").to_pylist(), t.column("answer").to_pylist(), strict=True) if k == kind)
-    return np.concatenate([c.unpack(a, dtype) for _, a in got]) if got else np.zeros(0, dtype)
+# ---- blocks ------------------------------------------------------------------------------------
 
 
-def cuts(bucket: np.ndarray, n: int):
-    at = np.searchsorted(bucket, np.arange(n + 1))
-    return [(i, x, y) for i, (x, y) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)) if y > x]
+def gathered(batches):
+    """Tables of about BLOCK_BYTES of text, over the borders of batches."""
+    held, size = [], 0
+    for batch in batches:
+        for part in c.slices(pa.Table.from_batches([batch])):
+            held.append(part)
+            size += pc.sum(pc.binary_length(c.column(part, "text"))).as_py() or 0
+            if size >= BLOCK_BYTES:
+                yield pa.concat_tables(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_tables(held)
 
 
-def emit_words(key, t: pa.Table, buckets: int) -> pa.Table:
-    keys, _, n = Block(t).distinct_words()
-    return arrow([("word", key[0].as_py(), i, c.pack_sorted(keys[x:y]), None, c.pack(n[x:y]), None) for i, x, y in cuts(c.bucket_of(keys, buckets), buckets)], ENTRY)
+def store_blocks(batches, buckets: int):
+    """A row a block: its rows, its tokens as places in its sorted words, and the words with their training counts by bucket."""
+    task = TaskContext.get().partitionId()
+    for number, t in enumerate(gathered(batches)):
+        hs, counts = [], []
+        for part in c.slices(t):
+            flat, n = c.words(c.column(part, "text"), lower=True)
+            (h,) = c.word_hashes(flat)
+            hs.append(np.insert(h, np.cumsum(n), END))
+            counts.append(n + 1)
+        h, counts = np.concatenate(hs), np.concatenate(counts)
+        held = c.column(t, "held").to_numpy(zero_copy_only=False).astype(bool)
+        keys, at = np.unique(h, return_inverse=True)
+        n = np.bincount(at[np.repeat(~held, counts)], minlength=len(keys)).astype(np.uint32)
+        words = [{"bucket": i, "keys": c.pack_sorted(keys[x:y]), "counts": c.pack(n[x:y])} for i, x, y in cuts(c.bucket_of(keys, buckets), buckets)]
+        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+        yield pa.RecordBatch.from_arrays([
+            pa.array([task << 32 | number], pa.int64()), pa.array([c.column(t, "doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([held.tolist()], pa.list_(pa.bool_())),
+            pa.array([c.pack(counts.astype(np.uint32))], pa.binary()), pa.array([c.pack(at.astype(np.uint32))], pa.binary()), pa.array([words], kind),
+        ], names=["blk", "ids", "held", "counts", "tokens", "words"])
 
 
 def total_words(key, t: pa.Table, buckets: int) -> pa.Table:
-    """Each block's words with their counts in all training texts; block -1 has the sums N and V."""
+    """Each block's words with their counts in all training texts and their identifiers; block -1 has the sums N and V."""
     blks, bucket = t.column("blk").to_pylist(), t.column("bucket")[0].as_py()
     keys = [c.unpack_sorted(x) for x in t.column("keys").to_pylist()]
     all_keys, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(all_keys), np.int64)
     np.add.at(total, at, np.concatenate([c.unpack(x, np.uint32) for x in t.column("counts").to_pylist()]).astype(np.int64))
-    cut = np.cumsum([0, *map(len, keys)])
-    rows = [("word", b, bucket, None, c.pack(total[at[x:y]]), buckets, None) for b, x, y in zip(blks, cut[:-1], cut[1:], strict=True)]
-    return arrow([*rows, ("word", -1, bucket, None, None, int(total.sum()), int((total > 0).sum()))], ANSWER)
+    rows, x = [("sum", -1, bucket, None, None, int(total.sum()), int((total > 0).sum()))], 0
+    for b, k in zip(blks, keys, strict=True):
+        own = at[x : x + len(k)]
+        rows.append(("n0", b, bucket, c.pack_sorted(bucket << RANK | own), c.pack(total[own]), None, None))
+        x += len(k)
+    return arrow(rows, ANSWER)
 
 
-class Scorer:
-    """Per token of a block: known counts, and probabilities level by level as answers come in.
+def received(got: pa.Table, kind: str, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Identifiers and answers of one kind, in the order of the keys sent."""
+    rows = sorted((b, k, a) for kd, b, k, a in zip(*(got.column(x).to_pylist() for x in ("kind", "bucket", "keys", "answer")), strict=True) if kd == kind)
+    ids = [c.unpack_sorted(k, np.int64) for _, k, _ in rows if k is not None]
+    values = [c.unpack(a, dtype) for _, _, a in rows]
+    return np.concatenate(ids) if ids else np.zeros(0, np.int64), np.concatenate(values) if values else np.zeros(0, dtype)
 
-    Words and contexts go by their places in the sorted lists of the block's own, so pairs are small numbers."""
 
-    def __init__(self, docs: pa.Table, got: pa.Table, n: int, v: int, levels: int, least: int):
-        self.b, self.least = Block(docs), least
-        self.words, self.word, _ = self.b.distinct_words()
-        total = received(got, "word", np.int64)
-        self.count = total[self.word] if len(self.word) else np.zeros(0, np.int64)
+class Scorer:
+    """The tokens of a block, with what is known of them level by level as answers come in.
+
+    At level k: `context`, the place of the k words before each token among `contexts`, -1 where they are not known to be
+    counted; `seen`, how often they stand in training; `low`, how often they do without their first word but with the
+    token; `open`, whether the state of k - 1 words is retained; `p`, the token's probability in it."""
+
+    def __init__(self, block: pa.Table, got: pa.Table, n: int, v: int, order: int, buckets: int, least: int, levels: int):
+        self.order, self.buckets, self.least, self.level = order, buckets, least, 0
+        self.ids, self.held = block.column("ids").combine_chunks().values, block.column("held").combine_chunks().values.to_numpy(zero_copy_only=False).astype(bool)
+        self.counts = c.unpack(block.column("counts")[0].as_py(), np.uint32).astype(np.int64)
+        self.word = c.unpack(block.column("tokens")[0].as_py(), np.uint32).astype(np.int64)
+        self.train = np.repeat(~self.held, self.counts)
+        self.words, total = received(got, "n0", np.int64)
+        start = np.cumsum(self.counts) - self.counts
+        self.first = np.zeros(len(self.word), bool)
+        self.first[start] = True
+        self.count = total[self.word]
         self.base = (self.count + 1) / (n + v + 1)
-        self.p = self.base.copy()
-        # level 1: the word before; the end stands before each first word
-        end = int(np.searchsorted(self.words, END))
-        self.contexts = self.words
-        self.context = np.concatenate([[end], self.word[:-1]])[: len(self.word)]
-        self.seen = total[self.context] if len(total) else self.count
-        self.open = np.ones(len(self.word), bool)
-        for level in range(1, levels + 1):
-            self.absorb(level, got)
-
-    def pairs(self, buckets: int):
-        """(candidate tokens, the pair of each, its bucket, context, next word and a token that has it); sorted by all three."""
-        at = np.flatnonzero(self.open & (self.seen >= self.least) & (self.count >= self.least))
-        pair, one, group = np.unique(self.context[at] * len(self.words) + self.word[at], return_index=True, return_inverse=True)
-        u, v = self.contexts[pair // max(1, len(self.words))], self.words[pair % max(1, len(self.words))]
-        bucket = c.bucket_of(c.mixed(u * np.uint64(0x9E3779B97F4A7C15) + c.mixed(v)), buckets)
-        order = np.argsort(bucket.astype(np.int64), kind="stable")
+        self.p, self.low, self.open = self.base.copy(), self.count, np.ones(len(self.word), bool)
+        # level 1: the word before; an end stands before each first word
+        end = self.word[-1:]
+        self.contexts, self.context = self.words, np.concatenate([end, self.word[:-1]])
+        self.seen = total[self.context]
+        for _ in range(levels):
+            self.absorb(got)
+
+    def asked(self) -> np.ndarray:
+        return self.open & (self.context >= 0) & (self.seen >= self.least)
+
+    def pairs(self):
+        """(emitted tokens, the pair of each, context and word of each pair as places, a token that has it).
+
+        Pairs are in the order of identifiers. The last two levels leave out what no state can need; whether a pair is
+        sent depends on its words alone, so all its occurrences are counted or none."""
+        send = (self.context >= 0) & (self.seen >= self.least) & (self.low >= self.least)
+        asked, level = self.asked(), self.level + 1
+        if level >= self.order - 1:
+            wanted = asked.copy()
+            if level < self.order:
+                wanted[:-1] |= asked[1:] & ~self.first[1:]
+            send &= wanted
+        at = np.flatnonzero(send)
+        size = max(1, len(self.words))
+        code, one, group = np.unique(self.context[at] * size + self.word[at], return_index=True, return_inverse=True)
+        return at, group, code // size, code % size, at[one]
+
+    def sent(self):
+        """The pairs in the order in which they are sent, by bucket: (emitted tokens, the pair of each, bucket, context, word, a token)."""
+        at, group, u, w, one = self.pairs()
+        a, b = self.contexts[u].astype(np.uint64), self.words[w].astype(np.uint64)
+        bucket = c.bucket_of(c.mixed(a * np.uint64(0x9E3779B97F4A7C15) + c.mixed(b)), self.buckets)
+        order = np.argsort(bucket, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        return at, place[group], bucket[order], u[order], v[order], at[one[order]]
+        return at, place[group], bucket[order], u[order], w[order], one[order]
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens whose state is in question, the distinct contexts, in order, and which each token has."""
-        at = np.flatnonzero(self.open & (self.seen >= self.least))
+    def asks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens whose state is in question, the distinct contexts in order, and which each token has."""
+        at = np.flatnonzero(self.asked())
         used = np.zeros(len(self.contexts), bool)
         used[self.context[at]] = True
         return at, np.flatnonzero(used), (np.cumsum(used) - 1)[self.context[at]]
 
-    def absorb(self, level: int, got: pa.Table) -> None:
-        at, group, *_ = self.pairs(self.buckets(got))
-        n = np.zeros(len(self.word), np.int64)
-        n[at] = received(got, f"pair{level}", np.int64)[group] if len(at) else 0
-        at, _, which = self.asked()
-        back = np.full(len(self.word), np.nan)
-        back[at] = received(got, f"state{level}", np.float64)[which] if len(at) else back[at]
-        kept = np.flatnonzero(~np.isnan(back))
-        self.p[kept] = np.maximum(n[kept] - DISCOUNT, 0) / self.seen[kept] + back[kept] * self.p[kept]
+    def absorb(self, got: pa.Table) -> None:
+        at, group, *_ = self.sent()
+        asked, _, which = self.asks()
+        self.level += 1
+        ids, n = received(got, f"n{self.level}", np.int64)
+        _, back = received(got, f"state{self.level}", np.float32)
+        seen = np.zeros(len(self.word), np.int64)
+        seen[at] = n[group] if len(at) else 0
+        b = back[which].astype(np.float64) if len(asked) else np.zeros(0)
+        kept, b = asked[~np.isnan(b)], b[~np.isnan(b)]
+        m = np.where(seen[kept] >= self.least, seen[kept] - DISCOUNT, 0)
+        self.p[kept] = m / self.seen[kept] + b * self.p[kept]
         # next level: one word more before, under retained states only; nothing stands before a text's first word
         self.open = np.zeros(len(self.word), bool)
-        self.open[kept] = ~self.b.first[kept]
-        at = np.flatnonzero(self.open)
-        self.seen = np.concatenate([[0], n[:-1]])[: len(n)]
-        before = c.mixed(self.contexts[self.context[at - 1]]) * np.uint64(0xE7037ED1A0B428DB) + self.contexts[self.context[at]]
-        self.contexts, found = np.unique(before, return_inverse=True)
-        self.context = np.zeros(len(self.word), np.int64)
-        self.context[at] = found
-
-    @staticmethod
-    def buckets(got: pa.Table) -> int:
-        return int(got.column("n")[0].as_py())
-
-
-def emit_pairs(key, docs: pa.Table, got: pa.Table, n: int, v: int, level: int, buckets: int, least: int) -> pa.Table:
-    s = Scorer(docs, got, n, v, level - 1, least)
-    at, group, bucket, u, w, one = s.pairs(buckets)
-    blk, rows = key[0].as_py(), []
-    train = np.bincount(group[s.b.train[at]], minlength=len(u)).astype(np.uint32)
-    p = coded(s.p[one])
+        self.open[kept] = True
+        pair = np.full(len(self.word), -1, np.int64)
+        pair[at] = group
+        self.low, self.contexts = seen, ids
+        self.context = np.concatenate([[-1], pair[:-1]])[: len(pair)]
+        self.seen = np.concatenate([[0], seen[:-1]])[: len(pair)]
+        self.context[self.first] = -1
+
+
+def emit_pairs(key, s: Scorer) -> pa.Table:
+    blk, level, buckets, rows = key[0].as_py(), s.level + 1, s.buckets, []
+    at, group, bucket, u, w, one = s.sent()
+    train = np.bincount(group[s.train[at]], minlength=len(u)).astype(np.uint32)
+    p = np.where(s.asked()[one], coded(s.p[one]), UNASKED).astype(np.uint16)
+    context, word = s.contexts[u], s.words[w]
     for i, x, y in cuts(bucket, buckets):
-        rows.append((f"pair{level}", blk, i, c.pack_sorted(u[x:y]), c.pack(w[x:y]), c.pack(train[x:y]), c.pack(p[x:y])))
-    at, contexts, which = s.asked()
+        rows.append((f"n{level}", blk, i, c.pack_sorted(context[x:y]), c.pack(word[x:y]), c.pack(train[x:y]), c.pack(p[x:y])))
+    at, contexts, which = s.asks()
     seen = np.zeros(len(contexts), np.int64)
     seen[which] = s.seen[at]
     asked = s.contexts[contexts]
-    for i, x, y in cuts(c.bucket_of(asked, buckets), buckets):
+    for i, x, y in cuts(asked >> RANK, buckets):
         rows.append((f"ask{level}", blk, buckets + i, c.pack_sorted(asked[x:y]), None, c.pack(seen[x:y]), None))
     return arrow(rows, ENTRY)
 
 
-def total_pairs(key, t: pa.Table, level: int, buckets: int) -> pa.Table:
-    """Totals of each block's pairs; and for each context, per bucket, the parts of its sums over next words.
+def total_pairs(key, t: pa.Table, level: int, buckets: int, least: int) -> pa.Table:
+    """Totals and identifiers of each block's pairs; and for each context, by its bucket, the parts of its sums over next words.
 
     Questions about states pass through to the second exchange."""
     if t.column("kind")[0].as_py().startswith("ask"):
         return arrow([(f"ask{level}", b, i - buckets, k, seen, buckets, None) for b, i, k, seen in zip(*(t.column(x).to_pylist() for x in ("blk", "bucket", "keys", "counts")), strict=True)], ANSWER)
     blks, bucket = t.column("blk").to_pylist(), t.column("bucket")[0].as_py()
-    keys = [c.unpack_sorted(x) for x in t.column("keys").to_pylist()]
+    keys = [c.unpack_sorted(x, np.int64) for x in t.column("keys").to_pylist()]
     cat = lambda name, dtype: np.concatenate([c.unpack(x, dtype) for x in t.column(name).to_pylist()])
-    u, w, n, p = np.concatenate(keys), cat("more", np.uint64), cat("counts", np.uint32).astype(np.int64), cat("parent", np.uint16)
+    u, w, n, p = np.concatenate(keys), cat("more", np.int64), cat("counts", np.uint32).astype(np.int64), cat("parent", np.uint16)
     order = np.lexsort((w, u))
     s = c.group_starts(u[order], w[order])
     sums = np.add.reduceat(n[order], s)
-    total = np.empty(len(u), np.int64)
-    total[order] = np.repeat(sums, np.diff(np.append(s, len(u))))
-    cut = np.cumsum([0, *map(len, keys)])
-    rows = [(f"pair{level}", b, bucket, None, c.pack(total[x:y]), buckets, None) for b, x, y in zip(blks, cut[:-1], cut[1:], strict=True)]
+    rank = np.empty(len(u), np.int64)
+    rank[order] = np.repeat(np.arange(len(s)), np.diff(np.append(s, len(u))))
+    rows, x = [], 0
+    for b, k in zip(blks, keys, strict=True):
+        own = rank[x : x + len(k)]
+        rows.append((f"n{level}", b, bucket, c.pack_sorted(bucket << RANK | own), c.pack(sums[own]), buckets, None))
+        x += len(k)
     # parts of the contexts' sums: discounted counts m, and m log (m / parent's probability)
     one = order[s]
-    m = np.maximum(sums - DISCOUNT, 0)
+    use = (sums >= least) & (p[one] != UNASKED)
+    m, one = sums[use] - DISCOUNT, one[use]
     g = c.group_starts(u[one])
     contexts = u[one][g]
-    mass = np.stack([np.add.reduceat(m, g), np.add.reduceat(m * np.log(np.where(m > 0, m, 1) / decoded(p[one])), g)], axis=1)
-    for i, x, y in cuts(c.bucket_of(contexts, buckets), buckets):
-        rows.append((f"part{level}", -2, i, c.pack_sorted(contexts[x:y]), c.pack(np.ascontiguousarray(mass[x:y]).ravel()), buckets, None))
+    if len(g):
+        mass = np.stack([np.add.reduceat(m, g), np.add.reduceat(m * np.log(m / decoded(p[one])), g)], axis=1)
+        for i, x, y in cuts(contexts >> RANK, buckets):
+            rows.append((f"part{level}", -2, i, c.pack_sorted(contexts[x:y]), c.pack(np.ascontiguousarray(mass[x:y]).ravel()), buckets, None))
     return arrow(rows, ANSWER)
 
 
-def decide_states(key, t: pa.Table, level: int, epsilon: float) -> pa.Table:
+def decide_states(key, t: pa.Table, level: int, gain: float) -> pa.Table:
     """Backoff weight of each state that a block asks for; not a number where it isn't retained."""
     bucket, buckets = t.column("bucket")[0].as_py(), t.column("n")[0].as_py()
     rows = sorted(zip(*(t.column(x).to_pylist() for x in ("kind", "blk", "keys", "answer")), strict=True))
-    parts = [(c.unpack_sorted(k), c.unpack(a, np.float64).reshape(-1, 2)) for kind, _, k, a in rows if kind == f"part{level}"]
-    asks = [(blk, c.unpack_sorted(k), c.unpack(a, np.int64)) for kind, blk, k, a in rows if kind == f"ask{level}"]
-    known, at = np.unique(np.concatenate([x for _, x, _ in asks]), return_inverse=True) if asks else (np.zeros(0, np.uint64), np.zeros(0, int))
+    parts = [(c.unpack_sorted(k, np.int64), c.unpack(a, np.float64).reshape(-1, 2)) for kind, _, k, a in rows if kind == f"part{level}"]
+    asks = [(blk, c.unpack_sorted(k, np.int64), c.unpack(a, np.int64)) for kind, blk, k, a in rows if kind == f"ask{level}"]
+    known, at = np.unique(np.concatenate([x for _, x, _ in asks]), return_inverse=True) if asks else (np.zeros(0, np.int64), np.zeros(0, int))
     seen = np.ones(len(known))
     seen[at] = np.concatenate([x for _, _, x in asks]) if asks else 1
     sums = np.zeros((len(known), 2))
     for u, mass in parts:  # in a fixed order, so reruns agree
         np.add.at(sums, np.searchsorted(known, u), mass)
     back = np.clip(1 - sums[:, 0] / seen, 1e-12, 1)
-    back[(sums[:, 1] - sums[:, 0] * np.log(seen)) / seen + back * np.log(back) < epsilon] = np.nan
+    back[sums[:, 1] - sums[:, 0] * np.log(seen) + seen * back * np.log(back) < gain] = np.nan
     cut = np.cumsum([0, *(len(x) for _, x, _ in asks)])
-    return arrow([(f"state{level}", blk, bucket, None, c.pack(back[at[x:y]]), buckets, None) for (blk, _, _), x, y in zip(asks, cut[:-1], cut[1:], strict=True)], ANSWER)
+    return arrow([(f"state{level}", blk, bucket, None, c.pack(back[at[x:y]].astype(np.float32)), buckets, None) for (blk, _, _), x, y in zip(asks, cut[:-1], cut[1:], strict=True)], ANSWER)
 
 
-def finish(key, docs: pa.Table, got: pa.Table, n: int, v: int, levels: int, least: int) -> pa.Table:
-    s = Scorer(docs, got, n, v, levels, least)
-    start = np.cumsum(s.b.counts) - s.b.counts
+def finish(s: Scorer, n: int) -> pa.Table:
+    start = np.cumsum(s.counts) - s.counts
     add = lambda x: np.add.reduceat(x, start) if len(start) else x
     return pa.table({
-        "doc_id": c.column(docs, "doc_id"), "held_out": pa.array(s.b.held), "n_tokens": pa.array(s.b.counts.astype(np.int64)), "n_known": pa.array(add((s.count > 0).astype(np.int64))),
+        "doc_id": s.ids, "held_out": pa.array(s.held), "n_tokens": pa.array(s.counts), "n_known": pa.array(add((s.count > 0).astype(np.int64))),
         "train_tokens": pa.array(np.full(len(start), n, np.int64)), "base_score": pa.array(add(np.log10(s.base))), "score": pa.array(add(np.log10(s.p))),
     })
 
 
-def steps(n: int, v: int, level: int, buckets: int, least: int, epsilon: float):
+def steps(n: int, v: int, order: int, level: int, buckets: int, least: int, gain: float):
     return (
-        lambda k, d, g: emit_pairs(k, d, g, n, v, level, buckets, least),
-        lambda k, t: total_pairs(k, t, level, buckets),
-        lambda k, t: decide_states(k, t, level, epsilon),
+        lambda k, d, g: emit_pairs(k, Scorer(d, g, n, v, order, buckets, least, level - 1)),
+        lambda k, t: total_pairs(k, t, level, buckets, least),
+        lambda k, t: decide_states(k, t, level, gain),
     )
 
 
-def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, least: int | None = None, epsilon: float = EPSILON) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, least: int = LEAST, gain: float = GAIN) -> DataFrame:
     """Scores of all texts by a tree learnt from those where `held_out`, a boolean Column, is false."""
-    scratch, size = c.Scratch(spark, "suffix-tree"), c.text_bytes(docs)
-    blocks, buckets = max(4, size // BLOCK_BYTES), max(4, size // BUCKET_BYTES)
-    docs = c.blocked(docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held")), blocks, "held")
-    got = scratch.put(docs.groupBy("blk").applyInArrow(lambda k, t: emit_words(k, t, buckets), ENTRY).groupBy("bucket").applyInArrow(lambda k, t: total_words(k, t, buckets), ANSWER), "words")
+    scratch, buckets = c.Scratch(spark, "suffix-tree"), max(16, c.text_bytes(docs) // BUCKET_BYTES)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held"))
+    stored = scratch.put(docs.mapInArrow(lambda batches: store_blocks(batches, buckets), BLOCKS), "blocks")
+    blocks, words = stored.drop("words"), stored.select("blk", F.inline("words"))
+    got = scratch.put(words.groupBy("bucket").applyInArrow(lambda k, t: total_words(k, t, buckets), ANSWER), "words")
     sums = got.filter("blk = -1").agg(F.sum("n"), F.sum("v")).first()
     n, v = sums[0] or 0, sums[1] or 0
-    least = least or threshold(n)
+    got = got.filter("blk >= 0")
     for level in range(1, order + 1):
-        ask, total, decide = steps(n, v, level, buckets, least, epsilon)
-        asks = docs.groupBy("blk").cogroup(got.filter("blk >= 0").groupBy("blk")).applyInArrow(ask, ENTRY)
+        ask, total, decide = steps(n, v, order, level, buckets, least, gain)
+        asks = blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(ask, ENTRY)
         pairs = scratch.put(asks.groupBy("bucket").applyInArrow(total, ANSWER), f"pairs{level}")
         states = pairs.filter(F.col("kind").isin(f"part{level}", f"ask{level}")).groupBy("bucket").applyInArrow(decide, ANSWER)
-        got = got.unionByName(pairs.filter(F.col("kind") == f"pair{level}")).unionByName(scratch.put(states, f"states{level}"))
-    return docs.groupBy("blk").cogroup(got.filter("blk >= 0").groupBy("blk")).applyInArrow(lambda k, d, g: finish(k, d, g, n, v, order, least), RESULT)
+        got = got.unionByName(pairs.filter(F.col("kind") == f"n{level}")).unionByName(scratch.put(states, f"states{level}"))
+    return blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(lambda k, d, g: finish(Scorer(d, g, n, v, order, buckets, least, order), n), RESULT)
 
 
 def op2_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
