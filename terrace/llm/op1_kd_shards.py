@@ -85,15 +85,18 @@ def split(ranks: DataFrame, root: Node, nodes: list[Node], dims: list[str]) -> N
         n.low, n.high = Node(half, n.first), Node(n.shards - half, n.first + half)
 
 
-def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions=DIMENSIONS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard and the ranks."""
+def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions=DIMENSIONS, key: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard and the ranks; with a key, a column that tells rows apart, that too as _key."""
     scratch, dims = c.Scratch(spark, "kd"), [f"rank_{d}" for d in dimensions]
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), c.utf8_crc32(text).alias("text_crc32"), *[F.col(d).alias(f"_d{i}") for i, d in enumerate(dimensions)])
+    more = [F.col(key).alias("_key")] if key else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), c.utf8_crc32(text).alias("text_crc32"), *[F.col(d).alias(f"_d{i}") for i, d in enumerate(dimensions)], *more)
+    more = ["_key"] if key else []
+    rows = scratch.put(rows, "narrow")  # the sorts sample their input first; texts are read once
     for i, name in enumerate(dims):
-        rows = with_rank(scratch, rows, [f"_d{i}", "doc_id", "text_crc32", "size"], name)
-    rows = scratch.put(rows.select("doc_id", "size", "text_crc32", *dims), "ranks")
-    scratch.drop(*[f"sorted_{d}" for d in dims])
+        rows = with_rank(scratch, rows, [f"_d{i}", "doc_id", "text_crc32", "size", *more], name)
+    rows = scratch.put(rows.select("doc_id", "size", "text_crc32", *dims, *more), "ranks")
+    scratch.drop("narrow", *[f"sorted_{d}" for d in dims])
     root = Node(shards, 0)
     while wide := [n for n in root.leaves() if n.shards > 1]:
         split(rows, root, wide, dims)
@@ -101,7 +104,31 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions
     placed = rows.withColumn("shard", root.expr(lambda n: n.first).cast("int")).withColumn("_c", F.floor(F.col(dims[0]) / CHUNK))
     before = placed.groupBy("shard", "_c").agg(F.count("*").alias("n")).select("shard", "_c", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     slot = F.col("_b") + F.row_number().over(Window.partitionBy("shard", "_c").orderBy(dims[0])) - 1
-    return placed.join(before, ["shard", "_c"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *dims)
+    return placed.join(before, ["shard", "_c"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *dims, *more)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions=DIMENSIONS) -> DataFrame:
+    """All rows with all their columns, and shard and slot, whose names get underscores where docs has such columns.
+
+    Rows get a number as they are stored; the tree works on numbers and metadata, and texts are moved once, to meet
+    their shard."""
+    scratch, names = c.Scratch(spark, "sharded"), {x.lower() for x in docs.columns}
+
+    def free(name: str) -> str:
+        while name in names:
+            name += "_"
+        return name
+
+    mark, key = free("_number"), free("_key")
+    stored = scratch.put(docs.withColumn(mark, F.monotonically_increasing_id()), "rows")
+    placed = shard(spark, stored, shards, dimensions, mark)
+    placed = scratch.put(placed.select(F.col("_key").alias(key), F.col("shard").alias(free("shard")), F.col("slot").alias(free("slot"))), "placed")
+    return stored.join(placed, stored[mark] == placed[key]).drop(mark, key)
+
+
+def write_shards(rows: DataFrame, path: str) -> None:
+    """Write `sharded` rows as Parquet, a folder for each shard, in the order of slots."""
+    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

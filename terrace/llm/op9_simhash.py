@@ -9,8 +9,11 @@ only where their distances to a local vantage point differ by no more than the l
 row, one link to the least fingerprint that it is tied to: no pairs of a large group are listed. Links are then
 joined to components by repeated least labels with pointer jumping.
 
-With a similarity, the tree's pairs are only candidates: those whose sets of shingles have that Jaccard similarity are
-links. Candidates with the least partner are verified first, and then those that still lie in two components.
+With a similarity, links are texts whose sets of shingles have that Jaccard similarity. Their fingerprints differ by
+some 10 of 64 bits, and a vantage-point tree can't prune at that radius: distances of unlike texts all lie near 32, so
+each query would visit each leaf. The tree then finds the close candidates, and the far ones come from bands of least
+hashes of the same shingles; all are verified on the sets. Members of a group of candidates are first compared with its
+least member, so a large group of copies costs a comparison each, and then all pairs that still lie in two components.
 
 Nulls and texts without words have fingerprint zero and are linked like any other. A null doc_id is returned, but
 never names a component unless its members have no other. Repeated rows come out as often as they went in. Other
@@ -31,6 +34,8 @@ from . import common as c
 SHINGLE, LIMIT, SEED = 3, 2, 42
 #: Bound of the sample that the tree is fitted on, and rows aimed at in a leaf.
 SAMPLE, LEAF = 1 << 15, 1 << 11
+#: Bands and their rows: a pair of similarity 0.8 shares none of 30 bands of 5 with a probability of 7 in a million.
+BANDS, ROWS = 30, 5
 
 
 # ---- fingerprints ------------------------------------------------------------------------------
@@ -194,20 +199,8 @@ def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def leaf_pairs(fp: np.ndarray, home: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of a leaf within the limit, the lesser first."""
-    out_a, out_b, s = [fp[:0]], [fp[:0]], fp[home]
-    for x in range(0, len(fp), 64):
-        for z in range(0, len(s), 4096):
-            i, j = np.nonzero(np.bitwise_count(fp[x : x + 64, None] ^ s[None, z : z + 4096]) <= limit)
-            out_a.append(fp[x + i]), out_b.append(s[z + j])
-    a, b = np.concatenate(out_a), np.concatenate(out_b)
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
-    return pairs[:, 0].copy(), pairs[:, 1].copy()
-
-
-def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample: int = SAMPLE, leaf: int = LEAF, found=leaf_links) -> DataFrame:
-    """Links (a, b) that join all fingerprints within the limit, or all such pairs by `leaf_pairs`; `distinct` has one column fp."""
+def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
+    """Links (a, b) that join all fingerprints within the limit; `distinct` has one column fp."""
     n = distinct.count()
     leaves = max(1, min(n // leaf, sample // 8))
     picked = [r.fp for r in distinct.orderBy(F.xxhash64("fp")).limit(sample).collect()] if leaves > 1 else []
@@ -222,7 +215,7 @@ def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample:
 
     def compare(key, t):
         fp, home = c.column(t, "fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), c.column(t, "home").to_numpy(zero_copy_only=False).astype(bool)
-        a, b = found(fp, home, limit)
+        a, b = leaf_links(fp, home, limit)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return distinct.mapInArrow(send, "leaf int, fp long, home boolean").groupBy("leaf").applyInArrow(compare, "a long, b long")
@@ -271,21 +264,70 @@ def cluster(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: in
     return own.join(ids, "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
-def shingle_sets(docs: DataFrame, size: int, packed: bool) -> DataFrame:
-    """row, set (a hash of the text's distinct shingles), n (how many they are) and, if packed, the shingles' sorted hashes."""
+# ---- near duplicates by similarity ---------------------------------------------------------------
+
+
+def gram_hashes(flat: pa.Array, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's shingles made of its words' hashes, and how many each text has; shorter texts are one shingle."""
+    (h,) = c.word_hashes(flat)
+    first = np.cumsum(counts) - counts
+    per = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
+    own = np.repeat(np.arange(len(counts)), per)
+    at = first[own] + np.arange(len(own)) - (np.cumsum(per) - per)[own]
+    length, out = np.minimum(counts, size)[own], np.zeros(len(own), np.uint64)
+    for k in np.unique(length).tolist():
+        of = length == k
+        out[of] = c.grams(h, k)[at[of]]
+    return out, per
+
+
+def band_keys(h: np.ndarray, per: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Per text with shingles, a key for each band of least values under `rows` orders of the shingles."""
+    has = per[per > 0]
+    start = np.cumsum(has) - has
+    constants = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, (bands, rows), dtype=np.uint64) | np.uint64(1)
+    keys = np.zeros((len(has), bands), np.uint64)
+    for b in range(bands):
+        key = np.full(len(has), b, np.uint64)
+        for a in constants[b]:
+            key = key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(h * a, start) if len(has) else key
+        keys[:, b] = c.mixed(key)
+    return keys
+
+
+def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, row, and for the text's set of shingles: set, a hash that names it; n, its size; fp, the text's fingerprint; keys, its bands."""
 
     def run(batches):
         for batch in batches:
             for part in c.slices(batch):
                 flat, counts = c.words(c.column(part, "text"), lower=True)
-                h, per = shingle_hashes(flat, counts, size)
-                sets = [np.unique(x) for x in np.split(h, np.cumsum(per)[:-1])]
+                h, per = gram_hashes(flat, counts, words)
+                cut = np.cumsum(per)
+                sets = [np.unique(h[x:y]) for x, y in zip((cut - per).tolist(), cut.tolist(), strict=True)]
                 named = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets), np.uint64, len(sets))
-                cols = [c.column(part, "row"), pa.array(named.view(np.int64)), pa.array([len(x) for x in sets], pa.int32())]
-                more = [pa.array([c.pack_sorted(x) for x in sets], pa.binary())] if packed else []
-                yield pa.RecordBatch.from_arrays(cols + more, names=["row", "set", "n", "shingles"][: 3 + packed])
+                keys = band_keys(h, per, bands, rows)
+                offsets = np.concatenate([[0], np.cumsum((per > 0) * bands)]).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))
+                cols = [c.column(part, "doc_id"), c.column(part, "row"), pa.array(named.view(np.int64)), pa.array([len(x) for x in sets], pa.int32()), pa.array(majority(h, per).view(np.int64)), listed]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "set", "n", "fp", "keys"])
+
+    rows_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    return rows_of.mapInArrow(run, "doc_id long, row long, set long, n int, fp long, keys array<bigint>")
 
-    return docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").mapInArrow(run, "row long, set long, n int" + ", shingles binary" * packed)
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """row and the sorted hashes of the text's distinct shingles, packed."""
+
+    def run(batches):
+        for batch in batches:
+            for part in c.slices(batch):
+                h, per = gram_hashes(*c.words(c.column(part, "text"), lower=True), words)
+                cut = np.cumsum(per)
+                sets = [c.pack_sorted(np.unique(h[x:y])) for x, y in zip((cut - per).tolist(), cut.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([c.column(part, "row"), pa.array(sets, pa.binary())], names=["row", "shingles"])
+
+    return docs.mapInArrow(run, "row long, shingles binary")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -304,59 +346,72 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def verified_cluster(spark: SparkSession, docs: DataFrame, limit: int, words: int, similarity: float, size: int = SHINGLE, leaf: int = 1 << 14) -> DataFrame:
-    """doc_id, row, component (a set of shingles), component_id: linked are texts whose fingerprints lie within the limit
-    and whose sets of shingles of so many words have that Jaccard similarity."""
+def verified_cluster(spark: SparkSession, docs: DataFrame, words: int, similarity: float, limit: int = LIMIT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, row, component (a set of shingles), component_id: linked are texts whose sets of shingles of so many words
+    have that Jaccard similarity. See the head of the module for how candidates are found."""
     scratch = c.Scratch(spark, "near-pairs")
-    named = scratch.put(shingle_sets(docs, words, False).distinct(), "named")
-    own = scratch.put(fingerprints(docs, size).join(named, "row"), "own")
-    nodes = scratch.put(own.select("fp", "set", "n").distinct(), "nodes")
-    fps = nodes.select("fp").distinct()
-    near = scratch.put(links(spark, fps, limit, leaf=leaf, found=leaf_pairs).distinct(), "near")
-    near = near.unionByName(nodes.groupBy("fp").count().filter("count > 1").select(F.col("fp").alias("a"), F.col("fp").alias("b")))
-    left = nodes.select(F.col("fp").alias("a"), F.col("set").alias("s"), F.col("n").alias("sn"))
-    right = nodes.select(F.col("fp").alias("b"), F.col("set").alias("t"), F.col("n").alias("tn"))
-    # sets whose sizes differ by more than the similarity allows can't have it
-    sizes = (F.col("s") != F.col("t")) & (F.least("sn", "tn") >= F.lit(similarity) * F.greatest("sn", "tn") - 1e-9)
-    pairs = near.join(left, "a").join(right, "b").filter(sizes).select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"))
-    pairs = scratch.put(pairs.distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    rows = scratch.put(own.join(asked, "set", "left_semi").groupBy("set").agg(F.min("row").alias("_one")).select("_one"), "rows")
-    texts = docs.select("doc_id", "text").join(rows, F.xxhash64("doc_id", "text") == rows["_one"], "left_semi")
-    sets = scratch.put(shingle_sets(texts, words, True).dropDuplicates(["set"]).select("set", "shingles"), "sets")
-    first = scratch.put(similar(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "first")
-    labels = components(c.Scratch(spark, "near-first"), first)
-    la, lb = labels.select(F.col("node").alias("a"), F.col("label").alias("x")), labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
-    apart = pairs.join(la, "a", "left").join(lb, "b", "left").filter("coalesce(x, a) <> coalesce(y, b)").select("a", "b")
-    edges = scratch.put(first.unionByName(similar(apart, sets, similarity)), "edges")
+    own = scratch.put(sketches(docs, words, bands, rows), "own")
+    nodes = scratch.put(own.groupBy("set").agg(F.min(F.struct("n", "fp", "row", "keys")).alias("s")).select("set", "s.*"), "nodes")
+    # groups of candidates: equal fingerprints, those that the tree links, and equal bands
+    fps = nodes.groupBy("fp").agg(F.min("set").alias("a"))
+    tree = links(spark, fps.select("fp"), limit).distinct().join(fps.select(F.col("fp").alias("a"), F.col("a").alias("x")), "a").join(fps.select(F.col("fp").alias("b"), F.col("a").alias("y")), "b")
+    tree = tree.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    groups = nodes.select("set", F.explode(F.array_append("keys", F.col("fp"))).alias("key"))
+    shared = scratch.put(groups.groupBy("key").agg(F.min("set").alias("a"), F.max("set").alias("z")).filter("a < z").select("key", "a"), "shared")
+    members = scratch.put(groups.join(shared, "key").select("key", "set", "a"), "members")
+    size = nodes.select("set", "n")
+
+    def of_size(pairs: DataFrame) -> DataFrame:
+        """Sets whose sizes differ by more than the similarity allows can't have it."""
+        known = pairs.join(size.withColumnsRenamed({"set": "a", "n": "an"}), "a").join(size.withColumnsRenamed({"set": "b", "n": "bn"}), "b")
+        return known.filter(F.least("an", "bn") >= F.lit(similarity) * F.greatest("an", "bn") - 1e-9).select("a", "b")
+
+    # each with its group's least member first, a pair once however many groups it shares
+    first = scratch.put(of_size(members.filter("set <> a").select("a", F.col("set").alias("b")).unionByName(tree.filter("a <> b")).distinct()), "first")
+    asked = members.select("set").unionByName(first.select(F.col("a").alias("set"))).unionByName(first.select(F.col("b").alias("set"))).distinct()
+    one = scratch.put(nodes.join(asked, "set", "left_semi").select("row", "set"), "one")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").join(one.select("row"), "row", "left_semi")
+    sets = scratch.put(shingle_sets(texts, words).dropDuplicates(["row"]).join(one, "row").select("set", "shingles"), "sets")
+    edges = scratch.put(similar(first, sets, similarity), "edges")
+    labels = components(c.Scratch(spark, "near-first"), edges).withColumnRenamed("node", "set")
+    # then all pairs of a group that still lie in two components
+    named = scratch.put(members.join(labels, "set", "left").select("key", "set", F.coalesce("label", "set").alias("label")), "named")
+    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    open_ = scratch.put(named.join(mixed, "key", "left_semi"), "open")
+    left, right = open_.select("key", F.col("set").alias("a"), F.col("label").alias("x")), open_.select("key", F.col("set").alias("b"), F.col("label").alias("y"))
+    rest = of_size(left.join(right, "key").filter("x <> y and a < b").select("a", "b").distinct()).join(first, ["a", "b"], "left_anti")
+    edges = scratch.put(edges.unionByName(similar(scratch.put(rest, "rest"), sets, similarity)), "all")
     labels = components(c.Scratch(spark, "near-all"), edges)
-    known = scratch.put(own.join(labels.withColumnRenamed("node", "set"), "set", "left").select("doc_id", "row", F.coalesce("label", "set").alias("component")), "known")
+    known = scratch.put(own.select("doc_id", "row", "set").join(labels.withColumnRenamed("node", "set"), "set", "left").select("doc_id", "row", F.coalesce("label", "set").alias("component")), "known")
     least = scratch.put(known.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     return known.join(least, "component").select("doc_id", "row", "component", "component_id")
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT, words: int | None = None, similarity: float = 0.8) -> DataFrame:
-    """One row of each component, that of its least doc_id, nulls last; columns as they were. With `words`, links are
-    verified on shingles of so many words.
+def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit: int = LIMIT, similarity: float | None = None) -> DataFrame:
+    """One row of each component, that of its least doc_id, nulls last; columns as they were. With a similarity, links are
+    texts whose shingles of `size` words have that Jaccard similarity; without, fingerprints within the limit.
 
-    The rows that go are listed, as they are far fewer than those that stay: Spark broadcasts the list within its size
-    limit and shuffles texts beyond it. Rows that repeat with id and text are the only ones that are grouped."""
-    scratch = c.Scratch(spark, "near-dedup")
-    found = verified_cluster(spark, docs, limit, words, similarity, size) if words else cluster(spark, docs, size, limit)
+    Rows are known by doc_id and a hash of id and text. The rows that go are listed, as they are far fewer than those
+    that stay: Spark broadcasts the list within its size limit and shuffles texts beyond it. Rows that repeat with id
+    and text are the only ones that are grouped."""
+    scratch, lost = c.Scratch(spark, "near-dedup"), -(2**63)
+    found = verified_cluster(spark, docs, size, similarity, limit) if similarity else cluster(spark, docs, size, limit)
     rows = scratch.put(found.groupBy("component", "component_id", "doc_id", "row").agg(F.count("*").alias("n")), "rows")
     least = F.col("doc_id").eqNullSafe(F.col("component_id"))
     named = rows.filter(least)
     # several texts may share their component's least id
     tied = named.groupBy("component").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high").select("component", "low")
-    gone = rows.filter(~least).select("row").unionByName(named.join(tied, "component").filter("row > low").select("row"))
-    gone = scratch.put(gone, "gone")
     mark = "_row"
-    while mark.lower() in map(str.lower, docs.columns):
+    while any(x.lower().startswith(mark) for x in docs.columns):
         mark += "_"
-    kept = docs.withColumn(mark, F.xxhash64("doc_id", "text")).join(gone.withColumnRenamed("row", mark), mark, "left_anti")
-    again = scratch.put(named.filter("n > 1").select(F.col("row").alias(mark)), "again")
+    key = [mark, f"{mark}id"]
+    keyed = lambda df: df.select(F.col("row").alias(key[0]), F.coalesce("doc_id", F.lit(lost)).alias(key[1]))
+    gone = keyed(rows.filter(~least)).unionByName(keyed(named.join(tied, "component").filter("row > low")))
+    gone = scratch.put(gone, "gone")
+    kept = docs.withColumns({key[0]: F.xxhash64("doc_id", "text"), key[1]: F.coalesce(docs["doc_id"].cast("long"), F.lit(lost))}).join(gone, key, "left_anti")
+    again = scratch.put(keyed(named.filter("n > 1")), "again")
     if again.limit(1).count():
-        kept = kept.join(again, mark, "left_anti").unionByName(kept.join(again, mark, "left_semi").dropDuplicates([mark]))
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))
     return kept.select(*docs.columns)
 
 
