@@ -1,4 +1,9 @@
-"""From raw documents to balanced shards: each stage is one operator, and its output is written and read again."""
+"""From raw documents to balanced shards: each stage is one operator, and its output is written and read again.
+
+Nulls: documents without a text or with an empty one fail the quality rules; a null doc_id is kept and is an id of its
+own, a null source a source of its own. Very long texts pass whole. Repeated rows are near duplicates of each other, so
+one stays. Columns beyond those of documents are carried along whatever their names. An empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.llm import common, op1_kd_shards, op6_decontaminate, op7_quality_rules, op8_mixing, op9_simhash
 
-#: Near duplicates have a Jaccard similarity of 0.8 or more over five words; the radius that candidates are sought in.
-WORDS, SIMILARITY, RADIUS = 5, 0.8, 14
+#: Near duplicates have a Jaccard similarity of 0.8 or more over five words.
+WORDS, SIMILARITY = 5, 0.8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return op9_simhash.near_dedup(spark, docs, limit=RADIUS, words=WORDS, similarity=SIMILARITY)
+    return op9_simhash.near_dedup(spark, docs, size=WORDS, similarity=SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row's shard and slot."""
-    return op1_kd_shards.shard(spark, docs)
+    """All rows with all their columns, and the shard and slot of each."""
+    return op1_kd_shards.sharded(spark, docs)
 
 
 STAGES = [("quality rules", quality), ("simhash near-dedup", near_dedup), ("decontamination", decontaminate), ("mixing", mix), ("sharding", shard)]
