@@ -89,7 +89,7 @@ FROM (SELECT violated_rule, count(*) AS violation_count FROM (SELECT unnest(viol
 
 @query(SUMMARY, "good", "bad")
 def quality_summary(spark, d):
-    return gold.quality_summary(good(spark, d), bad(spark, d))
+    return gold.quality_summary(rules.classify(orders(spark, d), ORDER_RULES), ORDER_RULES.names())
 
 
 @query("SELECT count(*) AS n_rows, count(*) FILTER (order_id IS NULL) AS order_id_present, count(*) FILTER (amount IS NULL) AS amount_present FROM bronze_orders", "bronze_orders")
@@ -227,12 +227,13 @@ def doc_path_attributes(spark, d):
     return t.documents_silver(spark, d).select("doc_path", *[v.alias(k) for k, v in document_attributes("doc_path").items()])
 
 
-@query("SELECT CASE WHEN lower(string_split(doc_path, '.')[-1]) IN ('txt', 'md') THEN 'decode' ELSE 'ai_parse_document' END AS parse_method, count(*) AS n FROM silver WHERE lower(string_split(doc_path, '.')[-1]) IN ('txt', 'md') AND length(parsed_text) > 0 GROUP BY 1", "silver")
+@query("SELECT CASE WHEN lower(string_split(doc_path, '.')[-1]) IN ('txt', 'md') THEN 'utf8_decode' ELSE 'ai_parse_document' END AS parse_method, count(*) AS n, CAST(sum(length(parsed_text)) AS BIGINT) AS n_chars FROM silver WHERE length(parsed_text) > 0 GROUP BY 1", "silver")
 def parse_method_dispatch(spark, d):
-    """Without an extractor for other formats, only plain files give text."""
+    """Plain files are decoded; here the extractor of all others gives the decoded content's paragraphs as pages."""
     s = t.documents_silver(spark, d)
     files = s.select(F.col("doc_path").alias("path"), F.encode("parsed_text", "UTF-8").alias("content"), F.octet_length("parsed_text").cast("long").alias("length"), F.col("ingestion_time").alias("modificationTime"))
-    return documents.parsed_documents(documents.bronze_documents(files, t.now())).groupBy("parse_method").agg(F.count(F.lit(1)).alias("n"))
+    parsed = documents.parsed_documents(documents.bronze_documents(files, t.now()), lambda c: F.split(F.decode(c, "UTF-8"), "\n\n"))
+    return parsed.groupBy("parse_method").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("parsed_text")).alias("n_chars"))
 
 
 @query("SELECT doc_path, CAST(chunk_index AS INTEGER) AS chunk_index, chunk_text, chunk_method FROM fixed", "fixed")
@@ -270,15 +271,47 @@ def chunk_counts(spark, d):
     return documents.chunk_counts(fixed(spark, d))
 
 
-@query("""SELECT chunk_method, count(*) AS n_chunks, CAST(sum(length(chunk_text)) AS BIGINT) AS n_chars FROM (SELECT chunk_method, chunk_text FROM fixed UNION ALL
-SELECT 'ai_prep_search', unnest(list_filter(string_split(parsed_text, chr(10) || chr(10)), lambda p: length(trim(p)) > 0)) FROM silver WHERE NOT contains(parsed_text, chr(10) || chr(10))) GROUP BY 1""", "fixed")
+#: The packing of paragraphs in SQL: a fold over a text in which a control character ends each chunk.
+PACKED = """string_split(list_reduce(list_filter(regexp_split_to_array(parsed_text, '\\n\\s*\\n'), lambda p: length(trim(p, ' ')) > 0), lambda a, p:
+CASE WHEN length(string_split(a, chr(1))[-1]) + length(p) + 2 <= 800 THEN a || chr(10) || chr(10) || p ELSE a || chr(1) || p END), chr(1))"""
+UNION = f"""SELECT chunk_method, count(*) AS n_chunks, CAST(sum(length(chunk_text)) AS BIGINT) AS n_chars FROM (SELECT chunk_method, chunk_text FROM fixed UNION ALL
+SELECT 'ai_prep_search', unnest({PACKED}) FROM silver WHERE length(trim(parsed_text)) > 0) WHERE length(chunk_text) > 0 GROUP BY 1"""
+
+
+@query(UNION, "fixed")
 def chunk_union(spark, d):
-    """Both chunkers' chunks of all documents. The SQL leaves out texts with an empty line, as it can't pack paragraphs."""
+    """Both chunkers' chunks of all documents."""
     s = t.documents_silver(spark, d)
-    both = documents.search_chunks(documents.chunked(s, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(s, documents.paragraph_chunks("parsed_text"), "ai_prep_search"))
+    both = documents.search_chunks(
+        documents.chunked(s, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(s, documents.paragraph_chunks("parsed_text"), "ai_prep_search")
+    )
     return both.groupBy("chunk_method").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("chunk_length").alias("n_chars"))
 
 
+#: Each line a paragraph, so that texts have many.
+MANY = "SELECT doc_path, unnest({}) AS chunk_text FROM (SELECT doc_path, replace(parsed_text, chr(10), chr(10) || chr(10)) AS parsed_text FROM silver WHERE length(trim(parsed_text)) > 0)"
+
+
+@query(f"SELECT doc_path, count(*) AS n_chunks, md5(string_agg(chunk_text, '|' ORDER BY chunk_text)) AS digest FROM ({MANY.format(PACKED)}) GROUP BY 1", "silver")
+def paragraph_packing(spark, d):
+    """Chunks of texts whose lines are paragraphs."""
+    s = t.documents_silver(spark, d).withColumn("parsed_text", F.replace("parsed_text", F.lit("\n"), F.lit("\n\n")))
+    chunks = documents.chunked(s, documents.paragraph_chunks("parsed_text"), "ai_prep_search")
+    return chunks.groupBy("doc_path").agg(F.count(F.lit(1)).alias("n_chunks"), F.md5(F.array_join(F.array_sort(F.collect_list("chunk_text")), "|")).alias("digest"))
+
+
+@query("""SELECT chunk_id, CAST(length(chunk_text) + (CASE WHEN chunk_index % 3 = 0 THEN 4 ELSE 0 END) AS DOUBLE) AS n_chars, chunk_index % 3 = 0 OR chunk_index % 3 = 1 AS made_now
+FROM chunks WHERE doc_path NOT LIKE '%7.txt'""", "chunks")
+def vector_sync(spark, d):
+    """A sync after a third of the chunks changed, a third came new, and some documents went; unchanged vectors are kept."""
+    now = fixed(spark, d).select("chunk_id", "chunk_index", "doc_path", "chunk_text")
+    embed = lambda made: lambda text: F.array(F.length(text).cast("double"), F.lit(made))
+    index = vector.index_rows(now.filter("chunk_index % 3 <> 1"), embed(0.0))
+    edited = F.when(F.col("chunk_index") % 3 == 0, F.concat("chunk_text", F.lit(" new"))).otherwise(F.col("chunk_text"))
+    out = vector.sync(index, now.filter("doc_path NOT LIKE '%7.txt'").withColumn("chunk_text", edited), embed(1.0))
+    return out.select("chunk_id", F.get("embedding", F.lit(0)).alias("n_chars"), (F.get("embedding", F.lit(1)) == 1).alias("made_now"))
+
+
 @query("SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings ORDER BY vec_id LIMIT 1)), 6) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 5")
 def vector_topk(spark, d):
     e = t.table(spark, d, "embeddings")
@@ -298,12 +331,13 @@ def json_metric_path(spark, d):
     return t.table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
-@query("SELECT doc_path, length(parsed_text) + 3 AS n FROM silver", "silver")
+@query("SELECT doc_path, md5(parsed_text || chr(10) || chr(10) || 'x') AS digest FROM silver", "silver")
 def variant_page_text(spark, d):
     """Pages of a parsed document, joined by an empty line."""
-    doc = F.to_variant_object(F.struct(F.struct(F.array(F.struct(F.col("parsed_text").alias("content")), F.struct(F.lit("x").alias("content"))).alias("pages")).alias("document")))
+    page = lambda c: F.struct(c.alias("content"))
+    doc = F.to_variant_object(F.struct(F.struct(F.array(page(F.col("parsed_text")), page(F.lit("x"))).alias("pages")).alias("document")))
     pages = F.transform(F.variant_get(doc, "$.document.pages", "array<variant>"), lambda v: F.variant_get(v, "$.content", "string"))
-    return t.documents_silver(spark, d).select("doc_path", F.length(F.array_join(pages, "\n\n")).cast("long").alias("n"))
+    return t.documents_silver(spark, d).select("doc_path", F.md5(F.array_join(pages, "\n\n")).alias("digest"))
 
 
 # ---- governance --------------------------------------------------------------------------------
@@ -355,6 +389,11 @@ def secured_customer_summary_pricing(spark, d):
     return _customers(spark, d, governance.PRICING)
 
 
+@query(SECURED.format("CAST(NULL AS DOUBLE)").replace(" WHERE c.status <> 'CHURNED'", ""), "scd2", "good")
+def secured_customer_summary_retention(spark, d):
+    return _customers(spark, d, governance.RETENTION)
+
+
 @query(SECURED.format("CAST(NULL AS DOUBLE)"), "scd2", "good")
 def secured_customer_summary_none(spark, d):
     return _customers(spark, d)
@@ -495,7 +534,10 @@ def dash_cost_by_hour(spark, d):
     return m.cost_by_hour(t.billing(spark, d), t.today())
 
 
-@query(f"SELECT {stamp(chr(100) + 'ate_trunc(' + chr(39) + 'day' + chr(39) + ', period_start_time)', 'run_date')}, count(*) AS total_runs, CAST(count(*) FILTER ({MIN} <= 15) AS BIGINT) AS sla_met, round(count(*) FILTER ({MIN} <= 15) * 100.0::DOUBLE / count(*), 2) AS sla_met_pct FROM runs GROUP BY 1", "runs")
+DAY = "date_trunc('day', period_start_time)"
+
+
+@query(f"SELECT {stamp(DAY, 'run_date')}, count(*) AS total_runs, CAST(count(*) FILTER ({MIN} <= 15) AS BIGINT) AS sla_met, round(count(*) FILTER ({MIN} <= 15) * 100.0::DOUBLE / count(*), 2) AS sla_met_pct FROM runs GROUP BY 1", "runs")
 def dash_sla(spark, d):
     return text(m.sla(t.job_runs(spark, d)))
 

@@ -32,7 +32,7 @@ def parsed_documents(bronze: DataFrame, extractor: Callable[[Column], Column] |
     an array of pages. Documents without text are dropped."""
     pages = extractor(F.col("raw_content")) if extractor else F.lit(None).cast("array<string>")
     text = F.when(is_plain(), utf8_text("raw_content")).otherwise(F.array_join(pages, "\n\n"))
-    method = F.when(is_plain(), F.lit("decode")).otherwise(F.lit("ai_parse_document"))
+    method = F.when(is_plain(), F.lit("utf8_decode")).otherwise(F.lit("ai_parse_document"))
     out = bronze.select("doc_path", "department", "classification", "file_name", "file_extension", "ingestion_time", text.alias("parsed_text"), method.alias("parse_method"))
     return out.filter("parsed_text IS NOT NULL AND length(parsed_text) > 0")
 
@@ -49,10 +49,15 @@ def fixed_chunks(text: Column | str, size: int = SIZE, overlap: int = OVERLAP) -
 def paragraph_chunks(text: Column | str, size: int = SIZE) -> Column:
     """Paragraphs packed up to `size` characters; one that is longer stays whole. At least one chunk of a text with a word."""
     parts = F.filter(F.split(text, r"\n\s*\n"), lambda p: F.length(F.trim(p)) > 0)
-    fits = lambda acc, p: (F.size(acc) > 0) & (F.length(F.element_at(acc, -1)) + F.length(p) + 2 <= size)
-    last = lambda acc: F.when(F.size(acc) > 0, F.element_at(acc, F.lit(-1))).otherwise(F.lit(""))
-    grow = lambda acc, p: F.when((F.size(acc) > 0) & (F.length(last(acc)) + F.length(p) + 2 <= size), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat(last(acc), F.lit("\n\n"), p)))).otherwise(F.concat(acc, F.array(p)))
-    return F.aggregate(parts, F.array().cast("array<string>"), grow)
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
+
+    def add(acc: Column, p: Column) -> Column:
+        """The open chunk grows while it may; finished ones are copied only when another one is."""
+        fits = F.length(acc["open"]) + F.length(p) + 2 <= size
+        done = F.when(fits | acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
+        return F.struct(done.alias("done"), F.when(fits, F.concat(acc["open"], F.lit("\n\n"), p)).otherwise(p).alias("open"))
+
+    return F.aggregate(parts, start, add, lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
 
 
 def variant_chunks(document: Column) -> Column:

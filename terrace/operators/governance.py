@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ADMINS, APPROVERS, RETENTION, PRICING = "security-admins", "sales-approvers", "retention-team", "pricing-team"
+ADMINS, APPROVERS, RETENTION, PRICING = "security-admins", "sales-approvers", "customer-retention-team", "pricing-team"
 
 
 @dataclass(frozen=True)

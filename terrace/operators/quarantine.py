@@ -45,23 +45,41 @@ def corrected(decisions: DataFrame, today: Column) -> DataFrame:
     return out.select(*have, F.lit(True).alias("reprocessed_from_quarantine"))
 
 
+def attempts(log: DataFrame) -> DataFrame:
+    """_id, _tries, _last: how often each id was decided on, and when last."""
+    last = F.max("resolved_at") if "resolved_at" in log.columns else F.lit(None).cast("timestamp")
+    tries = F.max("reprocess_count") if "reprocess_count" in log.columns else F.lit(1)
+    return log.groupBy(F.col("order_id").alias("_id")).agg(tries.alias("_tries"), last.alias("_last"))
+
+
 def pending(quarantine: DataFrame, log: DataFrame) -> DataFrame:
-    """Quarantined rows that the log doesn't have; null ids are matched as a value."""
-    seen = log.select(F.col("order_id").alias("_id")).distinct()
-    return quarantine.join(seen, F.col("order_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Quarantined rows that the log doesn't have; null ids are matched as a value. A row that came to quarantine after
+    the last decision on its id, as a requeued one that failed again does, is pending once more."""
+    return _tried(quarantine, log).drop("_tries")
+
+
+def _tried(quarantine: DataFrame, log: DataFrame) -> DataFrame:
+    known = attempts(log)
+    new = F.col("_tries").isNull()
+    if "quarantined_at" in quarantine.columns:
+        new = new | (F.col("quarantined_at") > F.col("_last"))
+    return quarantine.join(known, F.col("order_id").eqNullSafe(F.col("_id")), "left").filter(new).drop("_id", "_last")
 
 
 def reprocess(quarantine: DataFrame, log: DataFrame, today: Column, at: Column) -> tuple[DataFrame, DataFrame]:
-    """(requeue, log rows). Write the requeue first: a log without it would hide rows that never went back."""
-    rows = decided(pending(quarantine, log))
-    entries = rows.select("order_id", "violated_rules", "resolution_status", "correction_note", at.alias("resolved_at"), F.lit(1).alias("reprocess_count"))
+    """(requeue, log rows). Write the requeue first: a log without it would hide rows that never went back. A log row is
+    known by order_id and reprocess_count, the number of the attempt."""
+    rows = decided(_tried(quarantine, log))
+    attempt = (F.coalesce("_tries", F.lit(0)) + 1).cast("int").alias("reprocess_count")
+    entries = rows.select("order_id", "violated_rules", "resolution_status", "correction_note", at.alias("resolved_at"), attempt)
     return corrected(rows, today), entries
 
 
 def resolution_report(quarantine: DataFrame, log: DataFrame) -> DataFrame:
-    """Each quarantined row with what was decided on it, the newest decision first."""
+    """Each quarantined row with what was decided on it, the last quarantined first."""
     cols = log.select(F.col("order_id").alias("_id"), "resolution_status", "correction_note", "resolved_at")
-    return quarantine.join(cols, F.col("order_id").eqNullSafe(F.col("_id")), "left").drop("_id").orderBy(F.col("resolved_at").desc())
+    out = quarantine.join(cols, F.col("order_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    return out.orderBy(F.col("quarantined_at" if "quarantined_at" in out.columns else "resolved_at").desc())
 
 
 def open_rows(quarantine: DataFrame, log: DataFrame) -> DataFrame:

@@ -15,15 +15,17 @@ def cosine(a: Column | str, b: Column | str) -> Column:
 
 
 def index_rows(chunks: DataFrame, embed) -> DataFrame:
-    """(chunk_id, embedding), a vector for each chunk; `embed` is an expression over chunk_text."""
-    return chunks.select("chunk_id", embed(F.col("chunk_text")).alias("embedding"))
+    """(chunk_id, embedding, text_hash), a vector for each chunk and what it was made from; `embed` is an expression over chunk_text."""
+    return chunks.select("chunk_id", embed(F.col("chunk_text")).alias("embedding"), F.sha2("chunk_text", 256).alias("text_hash"))
 
 
 def sync(index: DataFrame, chunks: DataFrame, embed) -> DataFrame:
-    """The index after a triggered sync: vectors of known chunks are kept, new chunks are embedded, deleted ones go."""
-    kept = index.join(chunks.select("chunk_id"), "chunk_id", "left_semi")
-    new = chunks.join(index.select("chunk_id"), "chunk_id", "left_anti")
-    return kept.unionByName(index_rows(new, embed))
+    """The index after a triggered sync: vectors of unchanged chunks are kept, new and changed chunks are embedded, deleted ones go."""
+    now = chunks.select("chunk_id", F.sha2("chunk_text", 256).alias("text_hash"), "chunk_text")
+    old = index.select("chunk_id", "text_hash")
+    kept = index.join(now.select("chunk_id", "text_hash"), ["chunk_id", "text_hash"], "left_semi")
+    new = now.join(old, ["chunk_id", "text_hash"], "left_anti")
+    return kept.select("chunk_id", "embedding", "text_hash").unionByName(index_rows(new, embed))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:

@@ -166,8 +166,10 @@ def new_readers(history: DataFrame, today: Column) -> DataFrame:
     """Reads of customer tables by users without a query in the 90 days before yesterday; a null user there hides all."""
     known = history.filter(F.col("start_time").between(F.date_sub(today, 90), F.date_sub(today, 1))).select(F.col("executed_by").alias("_u")).distinct()
     reads = history.filter((F.col("statement_type") == "SELECT") & F.lower("statement_text").like("%customer%"))
-    # null-aware anti join, as NOT IN is
-    return reads.join(known, (F.col("executed_by") == F.col("_u")) | (F.col("executed_by") == F.col("_u")).isNull(), "left_anti").orderBy(F.col("start_time").desc())
+    # as NOT IN: a null user among the known hides all, and a null reader is new only if nobody is known; both are one row
+    about = known.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_u").isNull()).alias("_nulls"))
+    open_ = reads.crossJoin(F.broadcast(about)).filter((F.col("_nulls") == 0) & (F.col("executed_by").isNotNull() | (F.col("_n") == 0))).drop("_n", "_nulls")
+    return open_.join(known, F.col("executed_by") == F.col("_u"), "left_anti").orderBy(F.col("start_time").desc())
 
 
 def mutations(history: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ CTES = {
     "cdc": """SELECT CAST(user_id AS VARCHAR) AS customer_id, event_type AS status, round(value, 2) AS score, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS operation, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM events""",
     "scd2": "SELECT * FROM (SELECT *, updated_at AS __START_AT, lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS __END_AT FROM cdc) WHERE operation <> 'DELETE'",
     "people": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN 'user' || c_custkey ELSE 'user' || c_custkey || '@mail.example' END AS email,
-      CASE WHEN c_custkey % 7 = 0 THEN '090' || c_custkey ELSE '090-' || c_custkey || '-' || lpad(CAST(c_custkey AS VARCHAR), greatest(4, 4), '0') END AS phone, CAST(1950 + c_custkey % 50 AS VARCHAR) || '-04-12' AS birth_date, c_mktsegment AS region FROM customer""",
+      CASE WHEN c_custkey % 7 = 0 THEN '090' || c_custkey ELSE '090-' || c_custkey || '-' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') END AS phone, CAST(1950 + c_custkey % 50 AS VARCHAR) || '-04-12' AS birth_date, c_mktsegment AS region FROM customer""",
     "runs": """SELECT 'job-' || (user_id % 10) AS job_id, 'task-' || (user_id % 3) AS task_key, lpad(CAST(event_id AS VARCHAR), 9, '0') AS run_id, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS result_state,
       ts AS period_start_time, ts + to_seconds(CAST(floor(abs(value) * 10) AS BIGINT)) AS period_end_time FROM events""",
     "updates": "SELECT 'pipe-' || substr(job_id, 5, 1) AS pipeline_id, run_id AS update_id, CASE WHEN result_state = 'SUCCESS' THEN 'COMPLETED' ELSE 'FAILED' END AS result_state, period_start_time, period_end_time FROM runs",

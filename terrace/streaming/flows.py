@@ -48,7 +48,9 @@ def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: list[
 
 
 def latest(spark: SparkSession, root: str) -> DataFrame:
-    """The last published version of a history table."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
+    """The last version of a history table that was written to its end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    p = path(f"{root}/versions")
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(f"{root}/versions/{max(int(s.getPath().getName()) for s in fs.listStatus(p))}")
+    done = [int(s.getPath().getName()) for s in fs.listStatus(p) if fs.exists(path(s.getPath(), "_SUCCESS"))]
+    return spark.read.parquet(f"{root}/versions/{max(done)}")

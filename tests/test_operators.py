@@ -67,14 +67,20 @@ def test_corrections(orders):
     assert fixed["ORD2"]["amount"] == 500.0 and str(fixed["ORD4"]["order_date"]) == "2025-06-01" and fixed["ORD2"]["reprocessed_from_quarantine"]
     log = quarantine.decided(q).withColumn("resolved_at", F.current_timestamp())
     assert quarantine.pending(q, log).count() == 0 and quarantine.resolution_report(q, log).count() == q.count()
+    assert {r["reprocess_count"] for r in quarantine.reprocess(q, log.limit(0), F.current_date(), F.current_timestamp())[1].collect()} == {1}
+    again = q.withColumn("quarantined_at", F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    retried = quarantine.reprocess(again, log.withColumn("reprocess_count", F.lit(1)), F.current_date(), F.current_timestamp())[1]
+    assert retried.count() == q.count() and {r["reprocess_count"] for r in retried.collect()} == {2}
     assert ids(quarantine.open_rows(q, log)) == sorted([None, "ORD3", "ORD6", "ORD7", "ORD8"], key=str)
 
 
 def test_quality_summary_and_gate(orders):
-    good, bad = rules.valid(orders, R), rules.classify(orders, R).filter(F.size("violated_rules") > 0)
-    s = {r["violated_rule"]: r for r in gold.quality_summary(good, bad).collect()}
+    good, marked = rules.valid(orders, R), rules.classify(orders, R)
+    s = {r["violated_rule"]: r for r in gold.quality_summary(marked, R.names()).collect()}
     assert s["positive_amount"]["violation_count"] == 2 and s["positive_amount"]["pass_rate_pct"] == pytest.approx(22.22)
-    assert gold.quality_summary(good, bad.limit(0)).count() == 0 and gold.quality_summary(good, bad.limit(0), always=True).count() == 1
+    clean = marked.filter(F.size("violated_rules") == 0)
+    assert gold.quality_summary(clean, R.names()).count() == 0 and gold.quality_summary(clean, R.names(), always=True).count() == 1
+    assert gold.quality_summary(marked.limit(0), R.names(), always=True).first()["pass_rate_pct"] is None
     assert gold.order_gate(good.union(good)).filter("dup_count = 2").count() == 4
 
 
@@ -177,6 +183,9 @@ def test_new_readers_is_null_aware(spark):
     h = spark.createDataFrame(rows, "executed_by string, statement_type string, statement_text string, start_time string").withColumn("start_time", F.to_timestamp("start_time"))
     day = F.lit("2024-02-01").cast("date")
     assert [r["executed_by"] for r in monitoring.new_readers(h, day).collect()] == ["b"]
+    lost = spark.createDataFrame([(None, "SELECT", "customer", "2024-02-01")], "a string, b string, c string, d string").withColumn("d", F.to_timestamp("d"))
+    assert [r["executed_by"] for r in monitoring.new_readers(h.union(lost), day).collect()] == ["b"]
+    assert monitoring.new_readers(h.filter("executed_by = 'b'").union(lost), day).count() == 2
     hidden = h.union(spark.createDataFrame([(None, "SELECT", "x", "2024-01-03")], "a string, b string, c string, d string").withColumn("d", F.to_timestamp("d")))
     assert monitoring.new_readers(hidden, day).count() == 0
 
