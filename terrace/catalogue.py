@@ -12,6 +12,8 @@ from terrace.functions import pii
 from terrace.functions.columns import document_attributes
 from terrace.operators import cdc, documents, gold, governance, quarantine, rules, vector
 from terrace.plans import monitoring as m
+from terrace.plans.graph import Pipeline
+from terrace.sources import files
 from terrace.sources import testdata as t
 from terrace.streaming import flows
 
@@ -404,6 +406,120 @@ def secured_chunks_dept(spark, d):
     return governed().secure_read(fixed(spark, d), "chunks", governance.Principal("x", frozenset({"dept-src1"}))).select("doc_path", "chunk_index")
 
 
+# ---- ingestion and catalogued tables -----------------------------------------------------------
+
+
+def ingested(spark, d, kind: str, batches, read, bronze):
+    """Files that come in two batches, each taken by a triggered run into one table."""
+    root = workspace(spark, kind)
+    store = files.SchemaStore(spark, f"{root}/schema.json")
+    for i, batch in enumerate(batches):
+        getattr(batch.write.mode("append").option("header", True), kind)(f"{root}/in/b{i}" if kind == "json" else f"{root}/in")
+        files.append_available(bronze(read(spark, f"{root}/in", store)), f"{root}/bronze", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/bronze")
+
+
+@query("SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, amount, region, substring(payment_card_number, -4, 4) AS payment_card_last4, false AS reprocessed_from_quarantine FROM bronze_orders", "bronze_orders")
+def ingest_json_orders(spark, d):
+    """Orders as JSON lines; the second batch brings a column that the first lacks, so only that one has regions."""
+    o = t.bronze_orders(spark, d)
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    got = ingested(spark, d, "json", [o.filter(half), o.filter(~half)], files.json_stream, lambda raw: files.bronze_orders(raw, t.SALT))
+    return text(got.select("order_id", "customer_id", "order_date", "amount", "region", "payment_card_last4", "reprocessed_from_quarantine"))
+
+
+@query("SELECT customer_id, name, email, phone, birth_date, region, CAST(NULL AS VARCHAR) AS operation FROM people", "people")
+def ingest_csv_customers(spark, d):
+    c = t.customers(spark, d)
+    half = F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0
+    got = ingested(spark, d, "csv", [c.filter(half), c.filter(~half)], files.csv_stream, files.bronze_customers)
+    return got.select("customer_id", "name", "email", "phone", "birth_date", "region", "operation")
+
+
+@query("SELECT source AS department, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY 1")
+def ingest_binary_documents(spark, d):
+    """Whole files with their content, read as a stream and as a batch; both see the same bytes."""
+    root = workspace(spark, "binary")
+    docs = t.table(spark, d, "documents").select(F.concat(F.lit("raw_documents/"), "source").alias("folder"), "text")
+    names = [r["folder"] for r in docs.select("folder").distinct().collect()]  # a row a source
+    for n in names:
+        docs.filter(F.col("folder") == n).select("text").write.text(f"{root}/{n}/public")
+    files.append_available(documents.bronze_documents(files.binary_stream(spark, f"{root}/raw_documents", "part-*.txt")), f"{root}/bronze", f"{root}/checkpoint")
+    size = lambda df: df.groupBy("department").agg(F.sum("file_size_bytes").alias("n_bytes"))
+    batch = size(documents.bronze_documents(files.binary_files(spark, f"{root}/raw_documents", "part-*.txt")))
+    return size(spark.read.parquet(f"{root}/bronze")).intersect(batch)
+
+
+@query(f"""SELECT order_id, CAST(CASE WHEN list_contains(violated_rules, 'order_date_not_future') THEN DATE '{t.ORDERS_AS_OF}' ELSE order_date END AS VARCHAR) AS order_date,
+CASE WHEN list_contains(violated_rules, 'positive_amount') THEN abs(amount) ELSE amount END AS amount, true AS reprocessed_from_quarantine FROM ({DECIDED}) WHERE resolution_status = 'CORRECTED'""", "bad")
+def requeue_roundtrip(spark, d):
+    """Corrected rows written as JSON lines into the ingestion folder, and taken in again."""
+    root = workspace(spark, "requeue")
+    fixed_rows = quarantine.corrected(quarantine.decided(bad(spark, d)), F.lit(t.ORDERS_AS_OF).cast("date"))
+    files.requeue_json(fixed_rows, f"{root}/in/reprocessed")
+    raw = files.json_stream(spark, f"{root}/in", files.SchemaStore(spark, f"{root}/schema.json"))
+    files.append_available(files.bronze_orders(raw, t.SALT), f"{root}/bronze", f"{root}/checkpoint")
+    return text(spark.read.parquet(f"{root}/bronze").select("order_id", "order_date", "amount", "reprocessed_from_quarantine"))
+
+
+@query(f"SELECT order_id, {RULES_TEXT}, resolution_status, correction_note, CAST(n AS INTEGER) AS reprocess_count FROM ({DECIDED}), range(1, 3) r(n)", "bad")
+def resolution_log_attempts(spark, d):
+    """The catalogued log after two runs: the rows come to quarantine again after the first, so each has a second attempt."""
+    name = f"log_{uuid.uuid4().hex}"
+    files.create_log_table(spark, name, workspace(spark, "log"))
+    q = bad(spark, d)
+    for day in ("2024-01-01", "2024-01-03"):
+        came = F.lit(day).cast("timestamp")
+        log = files.table_scan(spark, name)
+        entries = quarantine.reprocess(q.withColumn("quarantined_at", came), log, F.lit(t.ORDERS_AS_OF).cast("date"), F.lit(day).cast("timestamp") + F.expr("INTERVAL 1 DAY"))[1]
+        files.append_table(entries, name)
+    return files.table_scan(spark, name).select("order_id", F.array_join("violated_rules", ",").alias("violated_rules"), "resolution_status", "correction_note", "reprocess_count")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' OR c_name = 'it''s'")
+def dynamic_sql(spark, d):
+    """A statement put together as text, with quoted values, over a table whose name is a parameter."""
+    name = f"customers_{uuid.uuid4().hex}"
+    t.table(spark, d, "customer").createOrReplaceTempView(name)
+    where = f"c_mktsegment = {files.literal('BUILDING')} OR c_name = {files.literal(chr(105) + 't' + chr(39) + 's')}"
+    return spark.sql(f"SELECT c_custkey, c_name FROM IDENTIFIER(:name) WHERE {where}", args={"name": name})
+
+
+EXPECTED = """SELECT 'bronze' AS flow_name, 'bronze' AS dataset, 'amount_present' AS name, count(amount) AS passed_records, count(*) - count(amount) AS failed_records FROM bronze_orders
+UNION ALL SELECT 'bronze', 'bronze', 'order_id_present', count(order_id), count(*) - count(order_id) FROM bronze_orders
+UNION ALL SELECT f, 'checked', 'positive', count(*) FILTER (coalesce(amount > 0, false)), count(*) FILTER (NOT coalesce(amount > 0, false)) FROM bronze_orders, (VALUES ('daily'), ('kept')) v(f) GROUP BY f
+UNION ALL SELECT 'kept', 'kept', 'customer_known', count(customer_id), count(*) - count(customer_id) FROM bronze_orders WHERE coalesce(amount > 0, false)"""
+
+
+@query(EXPECTED, "bronze_orders")
+def graph_expectations(spark, d):
+    """Counts by expectation in the event log: warnings on a table, drops in a view that a table and a stream read, warnings on a stream."""
+    p = Pipeline(spark, "orders", workspace(spark, "graph"))
+
+    @p.materialized_view(warn=rules.BRONZE_ORDER_WARN_RULES)
+    def bronze(p):
+        return orders(spark, d)
+
+    @p.view("bronze", drop={"positive": "amount > 0"})
+    def checked(p):
+        return p.read("bronze")
+
+    @p.materialized_view("checked", fail={"counted": "order_count > 0"})
+    def daily(p):
+        return gold.daily_sales(p.read("checked"))
+
+    @p.view("bronze", name="checked_stream")
+    def stream(p):
+        return p.read_stream("bronze").select("order_id", "customer_id", "amount")
+
+    @p.streaming_table("checked_stream", warn={"customer_known": "customer_id IS NOT NULL"})
+    def kept(p):
+        return p._expected(p.datasets["checked"], p.read_stream("checked_stream"))
+
+    p.run()
+    return p.expectations().drop("update_id")
+
+
 # ---- streams -----------------------------------------------------------------------------------
 
 

@@ -1,8 +1,9 @@
 """A graph of datasets and a runner: views, materialized views, streaming tables and change-data targets with expectations.
 
 Functions say what a dataset is; they take the pipeline and read others by name. A run goes through the graph in
-dependency order, publishes each table by writing beside it and swapping, and records events. A failed expectation
-ends the run and leaves the table's last version as it was.
+dependency order and records events, with counts by expectation and of the rows of that update, taken as the plan runs.
+A table is published as a new version, a folder that counts once it is whole; a failed expectation ends the run and
+leaves the last version as it was.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from terrace.operators import cdc
-from terrace.operators.rules import RuleSet, drop, fail, warn
+from terrace.operators.rules import RuleSet, drop, fail
 
 EVENTS = "timestamp timestamp, event_type string, level string, message string, duration_ms bigint, origin struct<update_id:string,pipeline_name:string,flow_name:string>, details string"
 
@@ -36,9 +38,11 @@ class Dataset:
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, name: str, root: str):
-        self.spark, self.name, self.root = spark, name, root.rstrip("/")
+    def __init__(self, spark: SparkSession, name: str, root: str, parameters: dict[str, str] | None = None):
+        """`parameters` are the pipeline's configuration, which functions ask for by name."""
+        self.spark, self.name, self.root, self.parameters = spark, name, root.rstrip("/"), dict(parameters or {})
         self.datasets: dict[str, Dataset] = {}
+        self.seen: list[tuple[str, str, Observation | str]] = []
         self.events: list[tuple] = []
         self.update_id = ""
 
@@ -69,20 +73,38 @@ class Pipeline:
 
     # -- reading
 
+    def parameter(self, name: str, default: str | None = None) -> str:
+        value = self.parameters.get(name, self.spark.conf.get(name, default))
+        if value is None:
+            raise ValueError(f"no parameter {name}")
+        return value
+
+    def _versions(self, name: str) -> list[int]:
+        """Versions of a table that are whole, in order."""
+        p, fs = self._fs(f"{self.root}/{name}")
+        if not fs.exists(p):
+            return []
+        parts = [x.getPath().getName() for x in fs.listStatus(p)]
+        return sorted(int(x[2:]) for x in parts if x.startswith("v-") and fs.exists(self._fs(f"{self.root}/{name}/{x}/_SUCCESS")[0]))
+
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """Where the table is: its last whole version; a streaming table grows in one folder."""
+        done = self._versions(name)
+        return f"{self.root}/{name}/v-{done[-1]}" if done else f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
         d = self.datasets.get(name)
         if d and d.kind == "view":
-            return self._expected(d, d.make(self), [])
+            return self._expected(d, d.make(self))
         return self.spark.read.parquet(self.path(name))
 
     def read_stream(self, name: str) -> DataFrame:
         d = self.datasets.get(name)
         if d and d.kind == "view":
-            return self._expected(d, d.make(self), [])
-        return self.spark.readStream.schema(self.spark.read.parquet(self.path(name)).schema).parquet(self.path(name))
+            return self._expected(d, d.make(self))
+        schema, one = self.spark.read.parquet(self.path(name)).schema, f"{self.root}/{name}"
+        # a stream keeps to one path; over a table of versions it reads each version's files
+        return self.spark.readStream.schema(schema).parquet(f"{one}/v-*" if self._versions(name) else one)
 
     # -- running
 
@@ -105,15 +127,41 @@ class Pipeline:
             visit(name)
         return [self.datasets[n] for n in done]
 
-    def _expected(self, d: Dataset, df: DataFrame, seen: list) -> DataFrame:
-        """Fail rules look at rows before drop rules do."""
-        if d.warn and not df.isStreaming:
-            seen.append(Observation(f"{d.name}-{uuid.uuid4().hex[:8]}"))
-            df = warn(df, RuleSet(d.warn), seen[-1])
+    def _observe(self, df: DataFrame, kind: str, name: str, *counts) -> DataFrame:
+        """Counts that the plan takes as it runs, in batches and streams alike."""
+        label = f"{kind}-{name}-{uuid.uuid4().hex[:8]}"
+        self.seen.append((kind, name, label if df.isStreaming else Observation(label)))
+        return df.observe(self.seen[-1][2], *counts)
+
+    def _expected(self, d: Dataset, df: DataFrame) -> DataFrame:
+        """Violations of all rules are counted; fail rules look at rows before drop rules do."""
+        if d.warn or d.drop:
+            rules = RuleSet(d.warn | d.drop)
+            df = self._observe(df, "expectations", d.name, F.count(F.lit(1)).alias("rows"), *(F.count_if(~rules.ok(n)).alias(n) for n in rules.rules))
         if d.fail:
             df = fail(df, RuleSet(d.fail))
         return drop(df, RuleSet(d.drop)) if d.drop else df
 
+    def _counts(self, query=None) -> dict[str, dict[str, dict[str, int]]]:
+        """What was observed in the plans that have run, by kind and dataset; a stream's batches add up."""
+        out: dict[str, dict[str, dict[str, int]]] = {}
+        progress = [p.observedMetrics for p in query.recentProgress] if query else []
+        for kind, name, at in self.seen:
+            rows = [m[at].asDict() for m in progress if at in m] if isinstance(at, str) else [at.get]
+            total = out.setdefault(kind, {}).setdefault(name, {})
+            for row in rows:
+                for k, v in row.items():
+                    total[k] = total.get(k, 0) + v
+        return out
+
+    def _broken(self, d: Dataset) -> dict[str, int]:
+        """How many rows violate each fail rule, counted after a run that they ended."""
+        df = d.make(self)
+        if df.isStreaming or not d.fail:
+            return {}
+        rules = RuleSet(d.fail)
+        return df.agg(*(F.count_if(~rules.ok(n)).alias(n) for n in rules.rules)).first().asDict()
+
     def _event(self, flow: str | None, kind: str, level: str, message: str, ms: int | None = None, details: dict | None = None) -> None:
         self.events.append((datetime.now(timezone.utc).replace(tzinfo=None), kind, level, message, ms, (self.update_id, self.name, flow), json.dumps(details or {})))
 
@@ -122,36 +170,62 @@ class Pipeline:
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def publish(self, name: str, df: DataFrame) -> None:
-        """Write beside the table, then swap; the last version stays until the new one is whole."""
-        new = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(new)
-        (p, fs), (q, _) = self._fs(self.path(name)), self._fs(new)
-        fs.delete(p, True)
-        fs.rename(q, p)
+        """Write the next version beside the last one. Readers go on with theirs until the new one is whole; the one before is kept."""
+        done = self._versions(name)
+        number = done[-1] + 1 if done else 0
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/v-{number}")
+        for old in done[:-1]:
+            p, fs = self._fs(f"{self.root}/{name}/v-{old}")
+            fs.delete(p, True)
+
+    def _update(self, d: Dataset):
+        """Bring one table up to date; the query, if it is a stream."""
+        df = self._expected(d, d.make(self))
+        if d.kind == "scd2":
+            df = cdc.scd2(df, **d.change)
+        df = self._observe(df, "written", d.name, F.count(F.lit(1)).alias("rows"))
+        if not (d.kind == "streaming" and df.isStreaming):
+            self.publish(d.name, df)
+            return None
+        out = df.writeStream.format("parquet").option("path", f"{self.root}/{d.name}").option("checkpointLocation", f"{self.root}/_checkpoints/{d.name}")
+        query = out.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
 
     def run(self) -> str:
         """One update. Returns its id; events() has what happened."""
         self.update_id = uuid.uuid4().hex
-        for d in self.order():
-            if d.kind == "view":
-                continue
-            began, seen = time.time(), []
-            try:
-                df = self._expected(d, d.make(self), seen)
-                if d.kind == "streaming" and df.isStreaming:
-                    df.writeStream.format("parquet").option("path", self.path(d.name)).option("checkpointLocation", f"{self.root}/_checkpoints/{d.name}").trigger(availableNow=True).start().awaitTermination()
-                elif d.kind == "scd2":
-                    self.publish(d.name, cdc.scd2(df, **d.change))
-                else:
-                    self.publish(d.name, df)
-            except Exception as e:
-                self._event(d.name, "flow_progress", "ERROR", str(e).splitlines()[0], int(1000 * (time.time() - began)))
-                raise
-            rows = self.spark.read.parquet(self.path(d.name)).count()
-            warned = {k: v for o in seen for k, v in o.get.items()}
-            self._event(d.name, "flow_progress", "INFO", "completed", int(1000 * (time.time() - began)), {"flow_progress": {"metrics": {"num_output_rows": rows}, "expectations": warned}})
+        keep = "spark.sql.streaming.numRecentProgressUpdates"
+        before = self.spark.conf.get(keep, "100")
+        self.spark.conf.set(keep, "100000")  # a triggered stream may have many batches
+        try:
+            for d in self.order():
+                if d.kind != "view":
+                    self._run_one(d)
+        finally:
+            self.spark.conf.set(keep, before)
         return self.update_id
 
+    def _run_one(self, d: Dataset) -> None:
+        began = time.time()
+        self.seen = []
+        spent = lambda: int(1000 * (time.time() - began))
+        try:
+            counts = self._counts(self._update(d))
+        except Exception as e:
+            self.seen = []
+            self._event(d.name, "flow_progress", "ERROR", str(e).splitlines()[0], spent(), {"flow_progress": {"failed": self._broken(d)}})
+            raise
+        rows = counts.get("written", {}).get(d.name, {}).get("rows", 0)
+        expectations = [{"dataset": n, "name": k, "failed_records": v, "passed_records": c["rows"] - v} for n, c in counts.get("expectations", {}).items() for k, v in c.items() if k != "rows"]
+        self._event(d.name, "flow_progress", "INFO", "completed", spent(), {"flow_progress": {"metrics": {"num_output_rows": rows}, "data_quality": {"expectations": expectations}}})
+
+    def expectations(self) -> DataFrame:
+        """Each expectation's counts in each update: update_id, flow_name, dataset, name, passed_records, failed_records."""
+        schema = "array<struct<dataset:string,name:string,failed_records:bigint,passed_records:bigint>>"
+        found = F.from_json(F.get_json_object("details", "$.flow_progress.data_quality.expectations"), schema)
+        return self.event_log().select("origin.update_id", "origin.flow_name", F.inline(found)).select("update_id", "flow_name", "dataset", "name", "passed_records", "failed_records")
+
     def event_log(self) -> DataFrame:
         return self.spark.createDataFrame(self.events, EVENTS)
 

@@ -113,8 +113,28 @@ def requeue_json(df: DataFrame, directory: str) -> None:
     df.withColumn("order_date", F.col("order_date").cast("string")).write.mode("append").json(directory)
 
 
-def create_log_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (order_id STRING, violated_rules ARRAY<STRING>, resolution_status STRING, correction_note STRING, resolved_at TIMESTAMP, reprocess_count INT) USING parquet COMMENT 'What became of quarantined orders'")
+LOG_SCHEMA = "order_id STRING, violated_rules ARRAY<STRING>, resolution_status STRING, correction_note STRING, resolved_at TIMESTAMP, reprocess_count INT"
+
+
+def create_log_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """The log of decisions, as a catalogued table; one that is there stays as it is."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({LOG_SCHEMA}) USING parquet{at} COMMENT 'What became of quarantined orders'")
+
+
+def append_table(df: DataFrame, name: str) -> None:
+    """Append to a catalogued table, columns by name."""
+    df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+
+
+def table_scan(spark: SparkSession, name: str) -> DataFrame:
+    """A catalogued table by name. The name is a parameter of the statement, never part of its text."""
+    return spark.sql("SELECT * FROM IDENTIFIER(:name)", args={"name": name})
+
+
+def literal(text: str) -> str:
+    """A SQL string literal of any text, for statements that are put together as text."""
+    return "concat_ws(chr(39), " + ", ".join("'" + part.replace("\\", "\\\\") + "'" for part in text.split("'")) + ")"
 
 
 def seed(source: Path, target: Path, pattern: str = "**/*") -> list[Path]:

@@ -243,10 +243,20 @@ def test_pipeline_graph(spark, tmp_path, orders):
     assert p.read("daily").count() == 2
     log = p.event_log()
     assert log.filter("level = 'ERROR'").count() == 0 and monitoring.slow_flows(log).count() == 3
+    counts = {(r["flow_name"], r["dataset"], r["name"]): r["failed_records"] for r in p.expectations().collect()}
+    assert counts["bronze", "bronze", "amount"] == 1 and counts["daily", "checked", "positive_amount"] == 2
+    assert [d["flow_progress"]["metrics"]["num_output_rows"] for d in (json.loads(e[6]) for e in p.events if e[5][2] == "daily")] == [2, 2]
+    assert len(list((tmp_path / "daily").glob("v-*"))) == 2 and p.path("daily").endswith("v-1")
+    (tmp_path / "daily" / "v-1" / "_SUCCESS").unlink()  # a version that isn't whole doesn't count
+    assert p.path("daily").endswith("v-0")
+    assert p.parameter("raw_path", "/x") == "/x"
+    with pytest.raises(ValueError):
+        p.parameter("absent")
     p.datasets["daily"].fail["impossible"] = "amount < 0"
     with pytest.raises(Exception, match="expectation failed"):
         p.run()
     assert p.read("daily").count() == 2 and p.event_log().filter("level = 'ERROR'").count() == 1
+    assert json.loads(p.events[-1][6])["flow_progress"]["failed"]["impossible"] == 2
     assert p.properties().count() == 1
 
 
