@@ -35,7 +35,7 @@ from . import common as c
 
 #: Least times that a context, or a word after it, must be seen; discount; nats gained over the parent; words of context.
 LEAST, DISCOUNT, GAIN, ORDER = 2, 0.75, 3.0, 4
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
+BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 16 << 20
 END = np.uint64(0xA0761D6478BD642F)
 #: An identifier is its bucket and its rank there; in the column of parents' probabilities, a context that isn't asked for.
 RANK, UNASKED = 40, 65535
@@ -121,6 +121,23 @@ def total_words(key, t: pa.Table, buckets: int) -> pa.Table:
     return arrow(rows, ANSWER)
 
 
+def distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in order, a place that has each, and which of them is at each place."""
+    order = np.argsort(code)
+    ordered = code[order]
+    new = np.ones(len(code), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(code), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    start = np.flatnonzero(new)
+    return ordered[start], order[start], which
+
+
+def by_bucket(bucket: np.ndarray, n: int) -> np.ndarray:
+    """A stable order by bucket; numbers of 16 bits are sorted by radix."""
+    return np.argsort(bucket.astype(np.uint16) if n <= 1 << 16 else bucket, kind="stable")
+
+
 def received(got: pa.Table, kind: str, dtype) -> tuple[np.ndarray, np.ndarray]:
     """Identifiers and answers of one kind, in the order of the keys sent."""
     rows = sorted((b, k, a) for kd, b, k, a in zip(*(got.column(x).to_pylist() for x in ("kind", "bucket", "keys", "answer")), strict=True) if kd == kind)
@@ -140,7 +157,7 @@ class Scorer:
         self.order, self.buckets, self.least, self.level = order, buckets, least, 0
         self.ids, self.held = block.column("ids").combine_chunks().values, block.column("held").combine_chunks().values.to_numpy(zero_copy_only=False).astype(bool)
         self.counts = c.unpack(block.column("counts")[0].as_py(), np.uint32).astype(np.int64)
-        self.word = c.unpack(block.column("tokens")[0].as_py(), np.uint32).astype(np.int64)
+        self.word = c.unpack(block.column("tokens")[0].as_py(), np.uint32).astype(np.int32)
         self.train = np.repeat(~self.held, self.counts)
         self.words, total = received(got, "n0", np.int64)
         start = np.cumsum(self.counts) - self.counts
@@ -173,17 +190,18 @@ class Scorer:
             send &= wanted
         at = np.flatnonzero(send)
         size = max(1, len(self.words))
-        code, one, group = np.unique(self.context[at] * size + self.word[at], return_index=True, return_inverse=True)
-        return at, group, code // size, code % size, at[one]
+        code, one, group = distinct(self.context[at].astype(np.int64) * size + self.word[at])
+        u = code // size
+        return at, group, u, code - u * size, at[one]
 
     def sent(self):
         """The pairs in the order in which they are sent, by bucket: (emitted tokens, the pair of each, bucket, context, word, a token)."""
         at, group, u, w, one = self.pairs()
         a, b = self.contexts[u].astype(np.uint64), self.words[w].astype(np.uint64)
         bucket = c.bucket_of(c.mixed(a * np.uint64(0x9E3779B97F4A7C15) + c.mixed(b)), self.buckets)
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        order = by_bucket(bucket, self.buckets)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         return at, place[group], bucket[order], u[order], w[order], one[order]
 
     def asks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,7 +215,7 @@ class Scorer:
         at, group, *_ = self.sent()
         asked, _, which = self.asks()
         self.level += 1
-        ids, n = received(got, f"n{self.level}", np.int64)
+        ids, n = received(got, f"n{self.level}", np.int64)  # identifiers of those seen often enough to be contexts
         _, back = received(got, f"state{self.level}", np.float32)
         seen = np.zeros(len(self.word), np.int64)
         seen[at] = n[group] if len(at) else 0
@@ -208,12 +226,13 @@ class Scorer:
         # next level: one word more before, under retained states only; nothing stands before a text's first word
         self.open = np.zeros(len(self.word), bool)
         self.open[kept] = True
-        pair = np.full(len(self.word), -1, np.int64)
+        pair = np.full(len(self.word), -1, np.int32)
         pair[at] = group
-        self.low, self.contexts = seen, ids
-        self.context = np.concatenate([[-1], pair[:-1]])[: len(pair)]
+        self.low, self.contexts = seen, np.full(len(n), -1, np.int64)
+        self.contexts[n >= self.least] = ids
+        self.context = np.concatenate([pair[:0] if not len(pair) else [np.int32(-1)], pair[:-1]])
         self.seen = np.concatenate([[0], seen[:-1]])[: len(pair)]
-        self.context[self.first] = -1
+        self.context[self.first | (self.seen < self.least)] = -1
 
 
 def emit_pairs(key, s: Scorer) -> pa.Table:
@@ -229,33 +248,30 @@ def emit_pairs(key, s: Scorer) -> pa.Table:
     seen[which] = s.seen[at]
     asked = s.contexts[contexts]
     for i, x, y in cuts(asked >> RANK, buckets):
-        rows.append((f"ask{level}", blk, buckets + i, c.pack_sorted(asked[x:y]), None, c.pack(seen[x:y]), None))
+        rows.append((f"ask{level}", blk, i, c.pack_sorted(asked[x:y]), None, c.pack(seen[x:y]), None))
     return arrow(rows, ENTRY)
 
 
 def total_pairs(key, t: pa.Table, level: int, buckets: int, least: int) -> pa.Table:
-    """Totals and identifiers of each block's pairs; and for each context, by its bucket, the parts of its sums over next words.
-
-    Questions about states pass through to the second exchange."""
-    if t.column("kind")[0].as_py().startswith("ask"):
-        return arrow([(f"ask{level}", b, i - buckets, k, seen, buckets, None) for b, i, k, seen in zip(*(t.column(x).to_pylist() for x in ("blk", "bucket", "keys", "counts")), strict=True)], ANSWER)
+    """Totals of each block's pairs and identifiers of those seen often enough; and for each context, by its bucket, the
+    parts of its sums over next words."""
     blks, bucket = t.column("blk").to_pylist(), t.column("bucket")[0].as_py()
     keys = [c.unpack_sorted(x, np.int64) for x in t.column("keys").to_pylist()]
     cat = lambda name, dtype: np.concatenate([c.unpack(x, dtype) for x in t.column(name).to_pylist()])
     u, w, n, p = np.concatenate(keys), cat("more", np.int64), cat("counts", np.uint32).astype(np.int64), cat("parent", np.uint16)
-    order = np.lexsort((w, u))
-    s = c.group_starts(u[order], w[order])
-    sums = np.add.reduceat(n[order], s)
-    rank = np.empty(len(u), np.int64)
-    rank[order] = np.repeat(np.arange(len(s)), np.diff(np.append(s, len(u))))
+    contexts, _, cu = distinct(u)
+    words, _, cw = distinct(w)
+    _, one, rank = distinct(cu.astype(np.int64) * len(words) + cw)
+    sums = np.bincount(rank, weights=n, minlength=len(one)).astype(np.int64)
+    often = sums >= least
+    ids = bucket << RANK | np.cumsum(often) - 1
     rows, x = [], 0
     for b, k in zip(blks, keys, strict=True):
         own = rank[x : x + len(k)]
-        rows.append((f"n{level}", b, bucket, c.pack_sorted(bucket << RANK | own), c.pack(sums[own]), buckets, None))
+        rows.append((f"n{level}", b, bucket, c.pack_sorted(ids[own[often[own]]]), c.pack(sums[own]), buckets, None))
         x += len(k)
     # parts of the contexts' sums: discounted counts m, and m log (m / parent's probability)
-    one = order[s]
-    use = (sums >= least) & (p[one] != UNASKED)
+    use = often & (p[one] != UNASKED)
     m, one = sums[use] - DISCOUNT, one[use]
     g = c.group_starts(u[one])
     contexts = u[one][g]
@@ -313,10 +329,13 @@ def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, le
     got = got.filter("blk >= 0")
     for level in range(1, order + 1):
         ask, total, decide = steps(n, v, order, level, buckets, least, gain)
-        asks = blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(ask, ENTRY)
-        pairs = scratch.put(asks.groupBy("bucket").applyInArrow(total, ANSWER), f"pairs{level}")
-        states = pairs.filter(F.col("kind").isin(f"part{level}", f"ask{level}")).groupBy("bucket").applyInArrow(decide, ANSWER)
-        got = got.unionByName(pairs.filter(F.col("kind") == f"n{level}")).unionByName(scratch.put(states, f"states{level}"))
+        sent = scratch.put(blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(ask, ENTRY), f"sent{level}")
+        pairs = sent.filter(F.col("kind") == f"n{level}").groupBy("bucket").applyInArrow(total, ANSWER)
+        pairs = scratch.put(pairs, f"pairs{level}")
+        asks = sent.filter(F.col("kind") == f"ask{level}").select("kind", "blk", "bucket", "keys", F.col("counts").alias("answer"), F.lit(buckets).cast("long").alias("n"), F.lit(None).cast("long").alias("v"))
+        states = asks.unionByName(pairs.filter("blk < 0")).groupBy("bucket").applyInArrow(decide, ANSWER)
+        got = got.unionByName(pairs.filter("blk >= 0")).unionByName(scratch.put(states, f"states{level}"))
+        scratch.drop(f"sent{level}")
     return blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(lambda k, d, g: finish(Scorer(d, g, n, v, order, buckets, least, order), n), RESULT)
 
 
