@@ -123,7 +123,7 @@ def sharded(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensio
     stored = scratch.put(docs.withColumn(mark, F.monotonically_increasing_id()), "rows")
     placed = shard(spark, stored, shards, dimensions, mark)
     placed = scratch.put(placed.select(F.col("_key").alias(key), F.col("shard").alias(free("shard")), F.col("slot").alias(free("slot"))), "placed")
-    return stored.join(placed, stored[mark] == placed[key]).drop(mark, key)
+    return stored.join(placed.hint("merge"), stored[mark] == placed[key]).drop(mark, key)
 
 
 def write_shards(rows: DataFrame, path: str) -> None:

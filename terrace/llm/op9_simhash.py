@@ -13,7 +13,8 @@ With a similarity, links are texts whose sets of shingles have that Jaccard simi
 some 10 of 64 bits, and a vantage-point tree can't prune at that radius: distances of unlike texts all lie near 32, so
 each query would visit each leaf. The tree then finds the close candidates, and the far ones come from bands of least
 hashes of the same shingles; all are verified on the sets. Members of a group of candidates are first compared with its
-least member, so a large group of copies costs a comparison each, and then all pairs that still lie in two components.
+least member, so a large group of copies costs a comparison each. Sets whose group still lies in several components get
+finer bands, which tell 0.8 from 0.6, and are compared in the same way, and last in pairs of different components.
 
 Nulls and texts without words have fingerprint zero and are linked like any other. A null doc_id is returned, but
 never names a component unless its members have no other. Repeated rows come out as often as they went in. Other
@@ -34,8 +35,9 @@ from . import common as c
 SHINGLE, LIMIT, SEED = 3, 2, 42
 #: Bound of the sample that the tree is fitted on, and rows aimed at in a leaf.
 SAMPLE, LEAF = 1 << 15, 1 << 11
-#: Bands and their rows: a pair of similarity 0.8 shares none of 30 bands of 5 with a probability of 7 in a million.
-BANDS, ROWS = 30, 5
+#: Bands and their rows, for all texts and for those that are left: of pairs of similarity 0.8, 7 in a million share none
+#: of 30 bands of 5, and 2 in ten thousand none of 300 bands of 16, of which pairs of 0.6 share a twelfth of one.
+BANDS, ROWS, FINE_BANDS, FINE_ROWS = 30, 5, 300, 16
 
 
 # ---- fingerprints ------------------------------------------------------------------------------
@@ -281,11 +283,11 @@ def gram_hashes(flat: pa.Array, counts: np.ndarray, size: int) -> tuple[np.ndarr
     return out, per
 
 
-def band_keys(h: np.ndarray, per: np.ndarray, bands: int, rows: int) -> np.ndarray:
+def band_keys(h: np.ndarray, per: np.ndarray, bands: int, rows: int, seed: int = SEED) -> np.ndarray:
     """Per text with shingles, a key for each band of least values under `rows` orders of the shingles."""
     has = per[per > 0]
     start = np.cumsum(has) - has
-    constants = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, (bands, rows), dtype=np.uint64) | np.uint64(1)
+    constants = np.random.default_rng(seed).integers(1 << 62, 1 << 63, (bands, rows), dtype=np.uint64) | np.uint64(1)
     keys = np.zeros((len(has), bands), np.uint64)
     for b in range(bands):
         key = np.full(len(has), b, np.uint64)
@@ -346,43 +348,73 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def verified_cluster(spark: SparkSession, docs: DataFrame, words: int, similarity: float, limit: int = LIMIT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def fine_keys(sets: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(set, key) of each band of a packed set."""
+
+    def run(batches):
+        for batch in batches:
+            for x in range(0, batch.num_rows, 64):
+                part = batch.slice(x, 64)
+                hashes = [c.unpack_sorted(v) for v in part.column("shingles").to_pylist()]
+                per = np.array([len(h) for h in hashes])
+                keys = band_keys(np.concatenate(hashes), per, bands, rows, SEED + 1)
+                named = np.repeat(c.column(part, "set").to_numpy()[per > 0], bands)
+                yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(keys.ravel().view(np.int64))], names=["set", "key"])
+
+    return sets.mapInArrow(run, "set long, key long")
+
+
+def verified_cluster(spark: SparkSession, docs: DataFrame, words: int, similarity: float, limit: int = LIMIT) -> DataFrame:
     """doc_id, row, component (a set of shingles), component_id: linked are texts whose sets of shingles of so many words
     have that Jaccard similarity. See the head of the module for how candidates are found."""
     scratch = c.Scratch(spark, "near-pairs")
-    own = scratch.put(sketches(docs, words, bands, rows), "own")
+    own = scratch.put(sketches(docs, words, BANDS, ROWS), "own")
     nodes = scratch.put(own.groupBy("set").agg(F.min(F.struct("n", "fp", "row", "keys")).alias("s")).select("set", "s.*"), "nodes")
-    # groups of candidates: equal fingerprints, those that the tree links, and equal bands
-    fps = nodes.groupBy("fp").agg(F.min("set").alias("a"))
-    tree = links(spark, fps.select("fp"), limit).distinct().join(fps.select(F.col("fp").alias("a"), F.col("a").alias("x")), "a").join(fps.select(F.col("fp").alias("b"), F.col("a").alias("y")), "b")
-    tree = tree.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    groups = nodes.select("set", F.explode(F.array_append("keys", F.col("fp"))).alias("key"))
-    shared = scratch.put(groups.groupBy("key").agg(F.min("set").alias("a"), F.max("set").alias("z")).filter("a < z").select("key", "a"), "shared")
-    members = scratch.put(groups.join(shared, "key").select("key", "set", "a"), "members")
+    own = own.select("doc_id", "row", "set")
     size = nodes.select("set", "n")
 
-    def of_size(pairs: DataFrame) -> DataFrame:
-        """Sets whose sizes differ by more than the similarity allows can't have it."""
-        known = pairs.join(size.withColumnsRenamed({"set": "a", "n": "an"}), "a").join(size.withColumnsRenamed({"set": "b", "n": "bn"}), "b")
-        return known.filter(F.least("an", "bn") >= F.lit(similarity) * F.greatest("an", "bn") - 1e-9).select("a", "b")
-
-    # each with its group's least member first, a pair once however many groups it shares
-    first = scratch.put(of_size(members.filter("set <> a").select("a", F.col("set").alias("b")).unionByName(tree.filter("a <> b")).distinct()), "first")
-    asked = members.select("set").unionByName(first.select(F.col("a").alias("set"))).unionByName(first.select(F.col("b").alias("set"))).distinct()
+    def grouped(keys: DataFrame, name: str) -> DataFrame:
+        """(key, set, least) of keys that several sets have."""
+        shared = keys.groupBy("key").agg(F.min("set").alias("least"), F.max("set").alias("_most")).filter("least < _most").select("key", "least")
+        return scratch.put(keys.join(shared, "key"), name)
+
+    def of_size(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs of sets, each once. Sets whose sizes differ by more than the similarity allows can't have it."""
+        known = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        known = known.join(size.withColumnsRenamed({"set": "a", "n": "an"}), "a").join(size.withColumnsRenamed({"set": "b", "n": "bn"}), "b")
+        return scratch.put(known.filter(F.least("an", "bn") >= F.lit(similarity) * F.greatest("an", "bn") - 1e-9).select("a", "b"), name)
+
+    def labelled(members: DataFrame, edges: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Members with the components that edges make, of those groups that lie in several; and all labels."""
+        labels = components(c.Scratch(spark, f"near-{name}"), edges).withColumnRenamed("node", "set")
+        named = scratch.put(members.join(labels, "set", "left").withColumn("label", F.coalesce("label", "set")), f"named-{name}")
+        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+        return scratch.put(named.join(mixed, "key", "left_semi"), f"open-{name}"), labels
+
+    # candidates: equal fingerprints, those that the tree links, and equal bands
+    members = grouped(nodes.select("set", F.explode(F.array_append("keys", F.col("fp"))).alias("key")), "members")
+    one_of = nodes.groupBy("fp").agg(F.min("set").alias("s"))
+    tree = links(spark, one_of.select("fp"), limit).distinct()
+    for x in ("a", "b"):
+        tree = tree.join(one_of.withColumnsRenamed({"fp": x, "s": f"s{x}"}), x)
+    first = of_size(members.select(F.col("least").alias("a"), F.col("set").alias("b")).unionByName(tree.select(F.col("sa").alias("a"), F.col("sb").alias("b"))), "first")
+    asked = members.select("set").unionByName(first.select(F.explode(F.array("a", "b")).alias("set"))).distinct()
     one = scratch.put(nodes.join(asked, "set", "left_semi").select("row", "set"), "one")
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").join(one.select("row"), "row", "left_semi")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").join(one.select("row").hint("merge"), "row", "left_semi")
     sets = scratch.put(shingle_sets(texts, words).dropDuplicates(["row"]).join(one, "row").select("set", "shingles"), "sets")
-    edges = scratch.put(similar(first, sets, similarity), "edges")
-    labels = components(c.Scratch(spark, "near-first"), edges).withColumnRenamed("node", "set")
-    # then all pairs of a group that still lie in two components
-    named = scratch.put(members.join(labels, "set", "left").select("key", "set", F.coalesce("label", "set").alias("label")), "named")
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    open_ = scratch.put(named.join(mixed, "key", "left_semi"), "open")
-    left, right = open_.select("key", F.col("set").alias("a"), F.col("label").alias("x")), open_.select("key", F.col("set").alias("b"), F.col("label").alias("y"))
-    rest = of_size(left.join(right, "key").filter("x <> y and a < b").select("a", "b").distinct()).join(first, ["a", "b"], "left_anti")
-    edges = scratch.put(edges.unionByName(similar(scratch.put(rest, "rest"), sets, similarity)), "all")
-    labels = components(c.Scratch(spark, "near-all"), edges)
-    known = scratch.put(own.select("doc_id", "row", "set").join(labels.withColumnRenamed("node", "set"), "set", "left").select("doc_id", "row", F.coalesce("label", "set").alias("component")), "known")
+    edges = scratch.put(similar(first, sets, similarity), "edges1")
+
+    # what is left of groups, by finer bands: with the least member, then in pairs of different components
+    left, _ = labelled(members, edges, "first")
+    fine = grouped(fine_keys(sets.join(left.select("set").distinct(), "set", "left_semi"), FINE_BANDS, FINE_ROWS), "fine")
+    second = of_size(fine.select(F.col("least").alias("a"), F.col("set").alias("b")), "second").join(first, ["a", "b"], "left_anti")
+    edges = scratch.put(edges.unionByName(similar(scratch.put(second, "new"), sets, similarity)), "edges2")
+    left, _ = labelled(fine, edges, "second")
+    x, y = left.select("key", F.col("set").alias("a"), F.col("label").alias("x")), left.select("key", F.col("set").alias("b"), F.col("label").alias("y"))
+    third = of_size(x.join(y, "key").filter("x <> y and a < b").select("a", "b"), "third").join(first.unionByName(second), ["a", "b"], "left_anti")
+    edges = scratch.put(edges.unionByName(similar(scratch.put(third, "last"), sets, similarity)), "edges3")
+    labels = components(c.Scratch(spark, "near-all"), edges).withColumnRenamed("node", "set")
+    known = scratch.put(own.join(labels, "set", "left").select("doc_id", "row", F.coalesce("label", "set").alias("component")), "known")
     least = scratch.put(known.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     return known.join(least, "component").select("doc_id", "row", "component", "component_id")
 
@@ -392,7 +424,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit:
     texts whose shingles of `size` words have that Jaccard similarity; without, fingerprints within the limit.
 
     Rows are known by doc_id and a hash of id and text. The rows that go are listed, as they are far fewer than those
-    that stay: Spark broadcasts the list within its size limit and shuffles texts beyond it. Rows that repeat with id
+    that stay; the list grows with the corpus, so texts are moved once to meet it, at any size. Rows that repeat with id
     and text are the only ones that are grouped."""
     scratch, lost = c.Scratch(spark, "near-dedup"), -(2**63)
     found = verified_cluster(spark, docs, size, similarity, limit) if similarity else cluster(spark, docs, size, limit)
@@ -408,7 +440,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit:
     keyed = lambda df: df.select(F.col("row").alias(key[0]), F.coalesce("doc_id", F.lit(lost)).alias(key[1]))
     gone = keyed(rows.filter(~least)).unionByName(keyed(named.join(tied, "component").filter("row > low")))
     gone = scratch.put(gone, "gone")
-    kept = docs.withColumns({key[0]: F.xxhash64("doc_id", "text"), key[1]: F.coalesce(docs["doc_id"].cast("long"), F.lit(lost))}).join(gone, key, "left_anti")
+    kept = docs.withColumns({key[0]: F.xxhash64("doc_id", "text"), key[1]: F.coalesce(docs["doc_id"].cast("long"), F.lit(lost))}).join(gone.hint("merge"), key, "left_anti")
     again = scratch.put(keyed(named.filter("n > 1")), "again")
     if again.limit(1).count():
         kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))
