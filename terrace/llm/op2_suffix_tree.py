@@ -24,6 +24,8 @@ scored each time. Other columns are ignored; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -107,20 +109,30 @@ def store_blocks(batches, buckets: int):
 
 
 def total_words(key, t: pa.Table, buckets: int) -> pa.Table:
-    """Each block's words with their counts in all training texts and their identifiers; block -1 has the sums N and V."""
+    """Each block's words with their counts in all training texts and their ranks by count in the bucket; block -1 has the sums N and V."""
     blks, bucket = t.column("blk").to_pylist(), t.column("bucket")[0].as_py()
     keys = [c.unpack_sorted(x) for x in t.column("keys").to_pylist()]
     all_keys, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(all_keys), np.int64)
     np.add.at(total, at, np.concatenate([c.unpack(x, np.uint32) for x in t.column("counts").to_pylist()]).astype(np.int64))
+    rank = np.empty(len(total), np.uint32)
+    rank[np.argsort(-total, kind="stable")] = np.arange(len(total), dtype=np.uint32)
     rows, x = [("sum", -1, bucket, None, None, int(total.sum()), int((total > 0).sum()))], 0
     for b, k in zip(blks, keys, strict=True):
         own = at[x : x + len(k)]
-        rows.append(("n0", b, bucket, c.pack_sorted(bucket << RANK | own), c.pack(total[own]), None, None))
+        rows.append(("n0", b, bucket, None, packed(rank[own], total[own]), None, None))
         x += len(k)
     return arrow(rows, ANSWER)
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    return pickle.dumps([c.pack(x) for x in columns])
+
+
+def unpacked(data: bytes, *kinds) -> list[np.ndarray]:
+    return [c.unpack(x, k) for x, k in zip(pickle.loads(data), kinds, strict=True)]
+
+
 def distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct values in order, a place that has each, and which of them is at each place."""
     order = np.argsort(code)
@@ -138,12 +150,13 @@ def by_bucket(bucket: np.ndarray, n: int) -> np.ndarray:
     return np.argsort(bucket.astype(np.uint16) if n <= 1 << 16 else bucket, kind="stable")
 
 
-def received(got: pa.Table, kind: str, dtype) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers and answers of one kind, in the order of the keys sent."""
+def received(got: pa.Table, kind: str, *kinds) -> tuple[np.ndarray, ...]:
+    """Answers of one kind, in the order of the keys sent: identifiers, or buckets where there are none, and the columns."""
     rows = sorted((b, k, a) for kd, b, k, a in zip(*(got.column(x).to_pylist() for x in ("kind", "bucket", "keys", "answer")), strict=True) if kd == kind)
-    ids = [c.unpack_sorted(k, np.int64) for _, k, _ in rows if k is not None]
-    values = [c.unpack(a, dtype) for _, _, a in rows]
-    return np.concatenate(ids) if ids else np.zeros(0, np.int64), np.concatenate(values) if values else np.zeros(0, dtype)
+    columns = [unpacked(a, *kinds) for _, _, a in rows]
+    ids = [np.full(len(x[0]), b, np.int64) if k is None else c.unpack_sorted(k, np.int64) for (b, k, _), x in zip(rows, columns, strict=True)]
+    cat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return cat(ids, np.int64), *[cat([x[i] for x in columns], k) for i, k in enumerate(kinds)]
 
 
 class Scorer:
@@ -159,7 +172,12 @@ class Scorer:
         self.counts = c.unpack(block.column("counts")[0].as_py(), np.uint32).astype(np.int64)
         self.word = c.unpack(block.column("tokens")[0].as_py(), np.uint32).astype(np.int32)
         self.train = np.repeat(~self.held, self.counts)
-        self.words, total = received(got, "n0", np.int64)
+        bucket, rank, total = received(got, "n0", np.uint32, np.int64)
+        ids = bucket << RANK | rank.astype(np.int64)
+        order = np.argsort(ids)  # places of words follow their identifiers from here on
+        place = np.empty(len(ids), np.int32)
+        place[order] = np.arange(len(ids), dtype=np.int32)
+        self.words, total, self.word = ids[order], total[order], place[self.word]
         start = np.cumsum(self.counts) - self.counts
         self.first = np.zeros(len(self.word), bool)
         self.first[start] = True
@@ -216,11 +234,12 @@ class Scorer:
         asked, _, which = self.asks()
         self.level += 1
         ids, n = received(got, f"n{self.level}", np.int64)  # identifiers of those seen often enough to be contexts
-        _, back = received(got, f"state{self.level}", np.float32)
+        _, states, rest = received(got, f"state{self.level}", np.int64, np.int64)
         seen = np.zeros(len(self.word), np.int64)
         seen[at] = n[group] if len(at) else 0
-        b = back[which].astype(np.float64) if len(asked) else np.zeros(0)
-        kept, b = asked[~np.isnan(b)], b[~np.isnan(b)]
+        number, rest = (states[which], rest[which]) if len(asked) else (asked, asked)
+        kept, number, rest = asked[number > 0], number[number > 0], rest[number > 0]
+        b = (rest + DISCOUNT * number) / self.seen[kept]
         m = np.where(seen[kept] >= self.least, seen[kept] - DISCOUNT, 0)
         self.p[kept] = m / self.seen[kept] + b * self.p[kept]
         # next level: one word more before, under retained states only; nothing stands before a text's first word
@@ -268,36 +287,42 @@ def total_pairs(key, t: pa.Table, level: int, buckets: int, least: int) -> pa.Ta
     rows, x = [], 0
     for b, k in zip(blks, keys, strict=True):
         own = rank[x : x + len(k)]
-        rows.append((f"n{level}", b, bucket, c.pack_sorted(ids[own[often[own]]]), c.pack(sums[own]), buckets, None))
+        rows.append((f"n{level}", b, bucket, c.pack_sorted(ids[own[often[own]]]), packed(sums[own]), buckets, None))
         x += len(k)
-    # parts of the contexts' sums: discounted counts m, and m log (m / parent's probability)
+    # parts of the contexts' sums: how many words follow, how often, and m log (m / parent's probability), m the discounted count
     use = often & (p[one] != UNASKED)
-    m, one = sums[use] - DISCOUNT, one[use]
+    n, m, one = sums[use], sums[use] - DISCOUNT, one[use]
     g = c.group_starts(u[one])
     contexts = u[one][g]
     if len(g):
-        mass = np.stack([np.add.reduceat(m, g), np.add.reduceat(m * np.log(m / decoded(p[one])), g)], axis=1)
+        number, times = np.diff(np.append(g, len(one))), np.add.reduceat(n, g)
+        gain = np.add.reduceat(m * np.log(m / decoded(p[one])), g).astype(np.float32)
         for i, x, y in cuts(contexts >> RANK, buckets):
-            rows.append((f"part{level}", -2, i, c.pack_sorted(contexts[x:y]), c.pack(np.ascontiguousarray(mass[x:y]).ravel()), buckets, None))
+            rows.append((f"part{level}", -2, i, c.pack_sorted(contexts[x:y]), packed(number[x:y], times[x:y], gain[x:y]), buckets, None))
     return arrow(rows, ANSWER)
 
 
 def decide_states(key, t: pa.Table, level: int, gain: float) -> pa.Table:
-    """Backoff weight of each state that a block asks for; not a number where it isn't retained."""
+    """For each state that a block asks for: how many words it has, 0 where it isn't retained, and how often others follow."""
     bucket, buckets = t.column("bucket")[0].as_py(), t.column("n")[0].as_py()
     rows = sorted(zip(*(t.column(x).to_pylist() for x in ("kind", "blk", "keys", "answer")), strict=True))
-    parts = [(c.unpack_sorted(k, np.int64), c.unpack(a, np.float64).reshape(-1, 2)) for kind, _, k, a in rows if kind == f"part{level}"]
+    parts = [(c.unpack_sorted(k, np.int64), *unpacked(a, np.int64, np.int64, np.float32)) for kind, _, k, a in rows if kind == f"part{level}"]
     asks = [(blk, c.unpack_sorted(k, np.int64), c.unpack(a, np.int64)) for kind, blk, k, a in rows if kind == f"ask{level}"]
     known, at = np.unique(np.concatenate([x for _, x, _ in asks]), return_inverse=True) if asks else (np.zeros(0, np.int64), np.zeros(0, int))
-    seen = np.ones(len(known))
+    seen = np.ones(len(known), np.int64)
     seen[at] = np.concatenate([x for _, _, x in asks]) if asks else 1
-    sums = np.zeros((len(known), 2))
-    for u, mass in parts:  # in a fixed order, so reruns agree
-        np.add.at(sums, np.searchsorted(known, u), mass)
-    back = np.clip(1 - sums[:, 0] / seen, 1e-12, 1)
-    back[sums[:, 1] - sums[:, 0] * np.log(seen) + seen * back * np.log(back) < gain] = np.nan
+    number, times, won = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64), np.zeros(len(known))
+    for u, k, n, w in parts:  # in a fixed order, so reruns agree
+        at_u = np.searchsorted(known, u)
+        np.add.at(number, at_u, k)
+        np.add.at(times, at_u, n)
+        np.add.at(won, at_u, w)
+    mass = times - DISCOUNT * number
+    back = np.where(number > 0, seen - mass, 1)
+    number[won - mass * np.log(seen) + back * np.log(back / seen) < gain] = 0
     cut = np.cumsum([0, *(len(x) for _, x, _ in asks)])
-    return arrow([(f"state{level}", blk, bucket, None, c.pack(back[at[x:y]].astype(np.float32)), buckets, None) for (blk, _, _), x, y in zip(asks, cut[:-1], cut[1:], strict=True)], ANSWER)
+    rest = seen - times
+    return arrow([(f"state{level}", blk, bucket, None, packed(number[at[x:y]], rest[at[x:y]]), buckets, None) for (blk, _, _), x, y in zip(asks, cut[:-1], cut[1:], strict=True)], ANSWER)
 
 
 def finish(s: Scorer, n: int) -> pa.Table:
@@ -321,12 +346,14 @@ def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, le
     """Scores of all texts by a tree learnt from those where `held_out`, a boolean Column, is false."""
     scratch, buckets = c.Scratch(spark, "suffix-tree"), max(16, c.text_bytes(docs) // BUCKET_BYTES)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held"))
-    stored = scratch.put(docs.mapInArrow(lambda batches: store_blocks(batches, buckets), BLOCKS), "blocks")
-    blocks, words = stored.drop("words"), stored.select("blk", F.inline("words"))
+    stored = scratch.put(docs.mapInArrow(lambda batches: store_blocks(batches, buckets), BLOCKS), "stored")
+    words = stored.select("blk", F.inline("words"))
     got = scratch.put(words.groupBy("bucket").applyInArrow(lambda k, t: total_words(k, t, buckets), ANSWER), "words")
     sums = got.filter("blk = -1").agg(F.sum("n"), F.sum("v")).first()
     n, v = sums[0] or 0, sums[1] or 0
     got = got.filter("blk >= 0")
+    blocks = scratch.put(stored.drop("words"), "blocks")
+    scratch.drop("stored")
     for level in range(1, order + 1):
         ask, total, decide = steps(n, v, order, level, buckets, least, gain)
         sent = scratch.put(blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(ask, ENTRY), f"sent{level}")
