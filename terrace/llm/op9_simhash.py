@@ -14,7 +14,8 @@ some 10 of 64 bits, and a vantage-point tree can't prune at that radius: distanc
 each query would visit each leaf. The tree then finds the close candidates, and the far ones come from bands of least
 hashes of the same shingles; all are verified on the sets. Members of a group of candidates are first compared with its
 least member, so a large group of copies costs a comparison each. Sets whose group still lies in several components get
-finer bands, which tell 0.8 from 0.6, and are compared in the same way, and last in pairs of different components.
+finer bands, which tell 0.8 from 0.6, and are compared in the same way; groups that then still lie in several components
+are compared all with all, as a product of matrices, and return a link a member. Large groups are dealt out in blocks.
 
 Nulls and texts without words have fingerprint zero and are linked like any other. A null doc_id is returned, but
 never names a component unless its members have no other. Repeated rows come out as often as they went in. Other
@@ -38,6 +39,8 @@ SAMPLE, LEAF = 1 << 15, 1 << 11
 #: Bands and their rows, for all texts and for those that are left: of pairs of similarity 0.8, 7 in a million share none
 #: of 30 bands of 5, and 2 in ten thousand none of 300 bands of 16, of which pairs of 0.6 share a twelfth of one.
 BANDS, ROWS, FINE_BANDS, FINE_ROWS = 30, 5, 300, 16
+#: Members of a group that are compared all with all in one task are at most two blocks of about so many.
+BLOCK = 1024
 
 
 # ---- fingerprints ------------------------------------------------------------------------------
@@ -364,6 +367,49 @@ def fine_keys(sets: DataFrame, bands: int, rows: int) -> DataFrame:
     return sets.mapInArrow(run, "set long, key long")
 
 
+def group_links(sets: pa.Array, shingles: list[bytes], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (set, least set tied to it) of a group's sets: those with the similarity, all with all."""
+    ids = sets.to_numpy(zero_copy_only=False)
+    hashes = [c.unpack_sorted(x) for x in shingles]
+    n = np.array([len(x) for x in hashes])
+    own = np.repeat(np.arange(len(n)), n)
+    _, at, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    shared = often > 1  # a shingle of one set is in no intersection
+    column = np.cumsum(shared) - 1
+    use = shared[at]
+    row, at = own[use], column[at[use]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    both = np.zeros((len(n), len(n)), np.float32)
+    for x in range(0, int(shared.sum()), 2048):
+        lo, hi = np.searchsorted(at, (x, x + 2048))
+        part = np.zeros((len(n), 2048), np.float32)
+        part[row[lo:hi], at[lo:hi] - x] = 1
+        both += part @ part.T
+    a, b = np.nonzero(np.triu(both >= similarity * (n[:, None] + n[None, :] - both) - 1e-6, 1))
+    root = joined(np.arange(len(n)), a, b)
+    least = np.full(len(n), np.iinfo(np.int64).max)
+    np.minimum.at(least, root, ids)
+    tied = least[root] != ids
+    return ids[tied], least[root][tied]
+
+
+def compared(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join what is similar in each group of (key, set)."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    here = members.join(sizes, "key").withColumn("_b", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("_b", j).alias("i"), F.greatest("_b", j).alias("j")))
+    dealt = here.select("key", "set", F.inline(pair)).join(sets, "set")
+
+    def run(key, t):
+        if t.num_rows < 2:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        a, b = group_links(c.column(t, "set"), t.column("shingles").to_pylist(), similarity)
+        return pa.table({"a": a, "b": b})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def verified_cluster(spark: SparkSession, docs: DataFrame, words: int, similarity: float, limit: int = LIMIT) -> DataFrame:
     """doc_id, row, component (a set of shingles), component_id: linked are texts whose sets of shingles of so many words
     have that Jaccard similarity. See the head of the module for how candidates are found."""
@@ -410,9 +456,7 @@ def verified_cluster(spark: SparkSession, docs: DataFrame, words: int, similarit
     second = of_size(fine.select(F.col("least").alias("a"), F.col("set").alias("b")), "second").join(first, ["a", "b"], "left_anti")
     edges = scratch.put(edges.unionByName(similar(scratch.put(second, "new"), sets, similarity)), "edges2")
     left, _ = labelled(fine, edges, "second")
-    x, y = left.select("key", F.col("set").alias("a"), F.col("label").alias("x")), left.select("key", F.col("set").alias("b"), F.col("label").alias("y"))
-    third = of_size(x.join(y, "key").filter("x <> y and a < b").select("a", "b"), "third").join(first.unionByName(second), ["a", "b"], "left_anti")
-    edges = scratch.put(edges.unionByName(similar(scratch.put(third, "last"), sets, similarity)), "edges3")
+    edges = scratch.put(edges.unionByName(compared(left.select("key", "set"), sets, similarity)), "edges3")
     labels = components(c.Scratch(spark, "near-all"), edges).withColumnRenamed("node", "set")
     known = scratch.put(own.join(labels, "set", "left").select("doc_id", "row", F.coalesce("label", "set").alias("component")), "known")
     least = scratch.put(known.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
