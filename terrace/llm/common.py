@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -28,9 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; a temporary one only where the session names none and is all on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='terrace-')}"
         spark.sparkContext.setCheckpointDir(base)
     return base
@@ -50,6 +53,17 @@ def cleaned_shuffles(spark: SparkSession):
             spark.conf.set(CLEANUP, before)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The path and its file system, whichever it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = file_system(spark, path)
+    fs.delete(p, True)
+
+
 class Scratch:
     """Staged tables of one operator call, under the shared folder; what is left goes when the session ends."""
 
@@ -66,15 +80,11 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            self._delete(f"{self.root}/{name}")
-
-    def _delete(self, path: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            delete(self.spark, f"{self.root}/{name}")
 
     def _end(self) -> None:
         with contextlib.suppress(Exception):  # the session may be gone already
-            self._delete(self.root)
+            delete(self.spark, self.root)
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
@@ -112,6 +122,20 @@ def slices(t: pa.Table | pa.RecordBatch, text: str = "text", limit: int = 4 << 2
         at = end
 
 
+def gathered(batches, limit: int):
+    """Tables of about `limit` bytes of text, over the borders of batches."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(pa.Table.from_batches([batch])):
+            held.append(part)
+            size += pc.sum(pc.binary_length(column(part, "text"))).as_py() or 0
+            if size >= limit:
+                yield pa.concat_tables(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_tables(held)
+
+
 def words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words in order, and how many each text has; null has none."""
     texts = pc.fill_null(texts, "")
@@ -185,6 +209,12 @@ def bucket_of(key: np.ndarray, n: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
 
 
+def cuts(bucket: np.ndarray, n: int):
+    """(bucket, from, to) of each run of a sorted column of buckets."""
+    at = np.searchsorted(bucket, np.arange(n + 1))
+    return [(i, x, y) for i, (x, y) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)) if y > x]
+
+
 def group_starts(*keys: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin in sorted columns."""
     if not len(keys[0]):
@@ -194,8 +224,3 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     return np.flatnonzero(new)
-
-
-def blocked(docs: DataFrame, n: int, *more: str) -> DataFrame:
-    """doc_id, text and a block number that depends on both, so equal ids or equal texts alone don't make a large block."""
-    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("blk"), F.col("doc_id").cast("long").alias("doc_id"), "text", *more)

@@ -28,7 +28,6 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,33 +62,13 @@ def arrow(rows: list, ddl: str) -> pa.Table:
     return pa.table([pa.array(list(x), kinds[k]) for x, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def cuts(bucket: np.ndarray, n: int):
-    """(bucket, from, to) of each run of a sorted column of buckets."""
-    at = np.searchsorted(bucket, np.arange(n + 1))
-    return [(i, x, y) for i, (x, y) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)) if y > x]
-
-
 # ---- blocks ------------------------------------------------------------------------------------
 
 
-def gathered(batches):
-    """Tables of about BLOCK_BYTES of text, over the borders of batches."""
-    held, size = [], 0
-    for batch in batches:
-        for part in c.slices(pa.Table.from_batches([batch])):
-            held.append(part)
-            size += pc.sum(pc.binary_length(c.column(part, "text"))).as_py() or 0
-            if size >= BLOCK_BYTES:
-                yield pa.concat_tables(held)
-                held, size = [], 0
-    if held:
-        yield pa.concat_tables(held)
-
-
 def store_blocks(batches, buckets: int):
     """A row a block: its rows, its tokens as places in its sorted words, and the words with their training counts by bucket."""
     task = TaskContext.get().partitionId()
-    for number, t in enumerate(gathered(batches)):
+    for number, t in enumerate(c.gathered(batches, BLOCK_BYTES)):
         hs, counts = [], []
         for part in c.slices(t):
             flat, n = c.words(c.column(part, "text"), lower=True)
@@ -100,7 +79,7 @@ def store_blocks(batches, buckets: int):
         held = c.column(t, "held").to_numpy(zero_copy_only=False).astype(bool)
         keys, at = np.unique(h, return_inverse=True)
         n = np.bincount(at[np.repeat(~held, counts)], minlength=len(keys)).astype(np.uint32)
-        words = [{"bucket": i, "keys": c.pack_sorted(keys[x:y]), "counts": c.pack(n[x:y])} for i, x, y in cuts(c.bucket_of(keys, buckets), buckets)]
+        words = [{"bucket": i, "keys": c.pack_sorted(keys[x:y]), "counts": c.pack(n[x:y])} for i, x, y in c.cuts(c.bucket_of(keys, buckets), buckets)]
         kind = pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
         yield pa.RecordBatch.from_arrays([
             pa.array([task << 32 | number], pa.int64()), pa.array([c.column(t, "doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([held.tolist()], pa.list_(pa.bool_())),
@@ -160,114 +139,170 @@ def received(got: pa.Table, kind: str, *kinds) -> tuple[np.ndarray, ...]:
 
 
 class Scorer:
-    """The tokens of a block, with what is known of them level by level as answers come in.
+    """The tokens of a block that are still in question, with what is known of them level by level as answers come in.
 
-    At level k: `context`, the place of the k words before each token among `contexts`, -1 where they are not known to be
+    At level k: `context`, the place of the k words before each token among `contexts`, -1 where they aren't known to be
     counted; `seen`, how often they stand in training; `low`, how often they do without their first word but with the
-    token; `open`, whether the state of k - 1 words is retained; `p`, the token's probability in it."""
+    token; `open`, whether the state of k words is in question; `send`, whether the token's pair is counted; `p`, the
+    token's probability so far. What is settled goes into `sums`, by row of the block."""
+
+    EACH = ("at", "doc", "word", "context", "seen", "low", "p", "first", "train", "open", "send")
 
-    def __init__(self, block: pa.Table, got: pa.Table, n: int, v: int, order: int, buckets: int, least: int, levels: int):
-        self.order, self.buckets, self.least, self.level = order, buckets, least, 0
-        self.ids, self.held = block.column("ids").combine_chunks().values, block.column("held").combine_chunks().values.to_numpy(zero_copy_only=False).astype(bool)
+    def __init__(self, block: pa.Table, got: pa.Table, n: int, v: int, order: int, buckets: int, least: int):
+        self.order, self.buckets, self.least, self.level = order, buckets, least, 1
+        self.ids, self.held = block.column("ids")[0].as_py(), block.column("held").combine_chunks().values.to_numpy(zero_copy_only=False).astype(bool)
         self.counts = c.unpack(block.column("counts")[0].as_py(), np.uint32).astype(np.int64)
-        self.word = c.unpack(block.column("tokens")[0].as_py(), np.uint32).astype(np.int32)
-        self.train = np.repeat(~self.held, self.counts)
+        word = c.unpack(block.column("tokens")[0].as_py(), np.uint32).astype(np.int32)
         bucket, rank, total = received(got, "n0", np.uint32, np.int64)
         ids = bucket << RANK | rank.astype(np.int64)
-        order = np.argsort(ids)  # places of words follow their identifiers from here on
+        order_ = np.argsort(ids)  # places of words follow their identifiers from here on
         place = np.empty(len(ids), np.int32)
-        place[order] = np.arange(len(ids), dtype=np.int32)
-        self.words, total, self.word = ids[order], total[order], place[self.word]
+        place[order_] = np.arange(len(ids), dtype=np.int32)
+        self.words, total, self.word = ids[order_], total[order_], place[word]
+        self.at, rows = np.arange(len(word), dtype=np.int32), np.arange(len(self.counts), dtype=np.int32)
         start = np.cumsum(self.counts) - self.counts
-        self.first = np.zeros(len(self.word), bool)
+        self.doc, self.train, self.first = np.repeat(rows, self.counts), np.repeat(~self.held, self.counts), np.zeros(len(word), bool)
         self.first[start] = True
-        self.count = total[self.word]
-        self.base = (self.count + 1) / (n + v + 1)
-        self.p, self.low, self.open = self.base.copy(), self.count, np.ones(len(self.word), bool)
-        # level 1: the word before; an end stands before each first word
-        end = self.word[-1:]
-        self.contexts, self.context = self.words, np.concatenate([end, self.word[:-1]])
+        self.low, root = total[self.word], (total + 1.0) / (n + v + 1)
+        self.p, self.sums = root[self.word], np.zeros(len(self.counts))
+        self.base = np.add.reduceat(np.log10(root)[self.word], start) if len(start) else self.sums
+        self.known = np.add.reduceat((total > 0).astype(np.int64)[self.word], start) if len(start) else self.counts
+        # the word before; an end stands before each first word
+        self.open = np.ones(len(word), bool)
+        self.contexts, self.context = self.words, np.concatenate([self.word[-1:], self.word[:-1]])
         self.seen = total[self.context]
-        for _ in range(levels):
-            self.absorb(got)
-
-    def asked(self) -> np.ndarray:
-        return self.open & (self.context >= 0) & (self.seen >= self.least)
-
-    def pairs(self):
-        """(emitted tokens, the pair of each, context and word of each pair as places, a token that has it).
-
-        Pairs are in the order of identifiers. The last two levels leave out what no state can need; whether a pair is
-        sent depends on its words alone, so all its occurrences are counted or none."""
-        send = (self.context >= 0) & (self.seen >= self.least) & (self.low >= self.least)
-        asked, level = self.asked(), self.level + 1
-        if level >= self.order - 1:
+        self.settle()
+
+    def placed(self) -> None:
+        """What follows from the tokens' places: their rows, whether they are first there, and in training."""
+        end = np.cumsum(self.counts)
+        self.doc = np.searchsorted(end, self.at, "right").astype(np.int32)
+        self.first = self.at == (end - self.counts)[self.doc]
+        self.train = ~self.held[self.doc]
+
+    def settle(self) -> None:
+        """Close the tokens whose state has no candidate, and keep those that are asked for or counted.
+
+        The last two levels leave out what no state can need; whether a pair is counted depends on its words alone, so
+        all its occurrences are counted or none."""
+        counted = (self.context >= 0) & (self.seen >= self.least)
+        asked = self.open & counted
+        self.close(np.flatnonzero(self.open & ~asked))
+        self.open, send = asked, counted & (self.low >= self.least)
+        if self.level >= self.order - 1:
             wanted = asked.copy()
-            if level < self.order:
-                wanted[:-1] |= asked[1:] & ~self.first[1:]
+            if self.level < self.order:
+                wanted[:-1] |= asked[1:] & ~self.first[1:] & (np.diff(self.at) == 1)
             send &= wanted
-        at = np.flatnonzero(send)
+        self.send = send
+        keep = np.flatnonzero(asked | send)
+        if len(keep) < 0.7 * len(send):
+            for name in self.EACH:
+                setattr(self, name, getattr(self, name)[keep])
+
+    def close(self, tokens: np.ndarray) -> None:
+        self.sums += np.bincount(self.doc[tokens], weights=np.log10(self.p[tokens]), minlength=len(self.counts))
+
+    def sent(self):
+        """The pairs in the order in which they are sent, by bucket and identifiers: (counted tokens, the pair of each, and of
+        each pair its bucket, context and word as places, and a token that has it)."""
+        at = np.flatnonzero(self.send)
         size = max(1, len(self.words))
         code, one, group = distinct(self.context[at].astype(np.int64) * size + self.word[at])
         u = code // size
-        return at, group, u, code - u * size, at[one]
-
-    def sent(self):
-        """The pairs in the order in which they are sent, by bucket: (emitted tokens, the pair of each, bucket, context, word, a token)."""
-        at, group, u, w, one = self.pairs()
+        w = code - u * size
         a, b = self.contexts[u].astype(np.uint64), self.words[w].astype(np.uint64)
         bucket = c.bucket_of(c.mixed(a * np.uint64(0x9E3779B97F4A7C15) + c.mixed(b)), self.buckets)
         order = by_bucket(bucket, self.buckets)
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
-        return at, place[group], bucket[order], u[order], w[order], one[order]
+        return at, place[group], bucket[order], u[order], w[order], at[one[order]]
 
     def asks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens whose state is in question, the distinct contexts in order, and which each token has."""
-        at = np.flatnonzero(self.asked())
+        at = np.flatnonzero(self.open)
         used = np.zeros(len(self.contexts), bool)
         used[self.context[at]] = True
-        return at, np.flatnonzero(used), (np.cumsum(used) - 1)[self.context[at]]
+        return at, np.flatnonzero(used), (np.cumsum(used, dtype=np.int32) - 1)[self.context[at]]
 
-    def absorb(self, got: pa.Table) -> None:
+    def absorb(self, got: pa.Table) -> "Scorer":
+        """Take in the answers of this level, and go on to the next."""
         at, group, *_ = self.sent()
         asked, _, which = self.asks()
-        self.level += 1
         ids, n = received(got, f"n{self.level}", np.int64)  # identifiers of those seen often enough to be contexts
         _, states, rest = received(got, f"state{self.level}", np.int64, np.int64)
-        seen = np.zeros(len(self.word), np.int64)
-        seen[at] = n[group] if len(at) else 0
+        low = np.zeros(len(self.at), np.int64)
+        low[at] = n[group] if len(at) else 0
         number, rest = (states[which], rest[which]) if len(asked) else (asked, asked)
-        kept, number, rest = asked[number > 0], number[number > 0], rest[number > 0]
-        b = (rest + DISCOUNT * number) / self.seen[kept]
-        m = np.where(seen[kept] >= self.least, seen[kept] - DISCOUNT, 0)
-        self.p[kept] = m / self.seen[kept] + b * self.p[kept]
-        # next level: one word more before, under retained states only; nothing stands before a text's first word
-        self.open = np.zeros(len(self.word), bool)
-        self.open[kept] = True
-        pair = np.full(len(self.word), -1, np.int32)
+        stay = number > 0
+        kept, number, rest = asked[stay], number[stay], rest[stay]
+        m = np.where(low[kept] >= self.least, low[kept] - DISCOUNT, 0)
+        self.p[kept] = (m + (rest + DISCOUNT * number) * self.p[kept]) / self.seen[kept]
+        ended = asked[~stay]
+        self.close(ended)
+        self.open[ended] = False
+        # one word more before, under retained states only; nothing stands before a text's first word
+        pair = np.full(len(self.at), -1, np.int32)
         pair[at] = group
-        self.low, self.contexts = seen, np.full(len(n), -1, np.int64)
+        self.contexts = np.full(len(n), -1, np.int64)
         self.contexts[n >= self.least] = ids
-        self.context = np.concatenate([pair[:0] if not len(pair) else [np.int32(-1)], pair[:-1]])
-        self.seen = np.concatenate([[0], seen[:-1]])[: len(pair)]
-        self.context[self.first | (self.seen < self.least)] = -1
+        context, seen = np.full(len(self.at), -1, np.int32), np.zeros(len(self.at), np.int64)
+        next_to = np.flatnonzero((np.diff(self.at) == 1) & ~self.first[1:])
+        context[next_to + 1], seen[next_to + 1] = pair[next_to], low[next_to]
+        context[seen < self.least] = -1
+        self.context, self.seen, self.low = context, seen, low
+        self.level += 1
+        self.settle()
+        return self
+
+    def scores(self) -> np.ndarray:
+        """Log10 probabilities by row, with open tokens as they are."""
+        return self.sums + np.bincount(self.doc[self.open], weights=np.log10(self.p[self.open]), minlength=len(self.counts))
+
+    def frozen(self) -> bytes:
+        """The scorer as bytes, for the levels that are left."""
+        words, word = np.unique(self.words[self.word], return_inverse=True)
+        seen = np.zeros(len(self.contexts), np.int64)
+        known = self.context >= 0
+        seen[self.context[known]] = self.seen[known]
+        rows = {"ids": self.ids, "held": self.held, "counts": c.pack(self.counts), "sums": self.sums, "base": self.base, "known": c.pack(self.known)}
+        return pickle.dumps(rows | {
+            "at": c.pack_sorted(self.at), "word": c.pack(word.astype(np.uint32)), "words": c.pack_sorted(words), "context": c.pack(self.context), "contexts": c.pack(self.contexts), "seen": c.pack(seen),
+            "p": c.pack(self.p.astype(np.float32)), "open": np.packbits(self.open), "send": np.packbits(self.send), "level": self.level,
+        })
+
+    @classmethod
+    def thawed(cls, block: pa.Table, order: int, buckets: int, least: int) -> "Scorer":
+        self, x = cls.__new__(cls), pickle.loads(block.column("state")[0].as_py())
+        self.order, self.buckets, self.least, self.level = order, buckets, least, x["level"]
+        self.ids, self.held, self.sums, self.base = x["ids"], x["held"], x["sums"], x["base"]
+        self.counts, self.known = c.unpack(x["counts"], np.int64), c.unpack(x["known"], np.int64)
+        self.at, self.word, self.context = c.unpack_sorted(x["at"], np.int32), c.unpack(x["word"], np.uint32).astype(np.int32), c.unpack(x["context"], np.int32)
+        self.words, self.contexts = c.unpack_sorted(x["words"], np.int64), c.unpack(x["contexts"], np.int64)
+        self.seen = np.where(self.context >= 0, np.append(c.unpack(x["seen"], np.int64), 0)[self.context], 0)
+        self.p = c.unpack(x["p"], np.float32).astype(np.float64)
+        self.open, self.send = (np.unpackbits(x[k], count=len(self.at)).astype(bool) for k in ("open", "send"))
+        self.low = np.zeros(len(self.at), np.int64)
+        self.placed()
+        return self
 
 
 def emit_pairs(key, s: Scorer) -> pa.Table:
-    blk, level, buckets, rows = key[0].as_py(), s.level + 1, s.buckets, []
+    blk, level, buckets, rows = key[0].as_py(), s.level, s.buckets, []
     at, group, bucket, u, w, one = s.sent()
     train = np.bincount(group[s.train[at]], minlength=len(u)).astype(np.uint32)
-    p = np.where(s.asked()[one], coded(s.p[one]), UNASKED).astype(np.uint16)
+    p = np.where(s.open[one], coded(s.p[one]), UNASKED).astype(np.uint16)
     context, word = s.contexts[u], s.words[w]
-    for i, x, y in cuts(bucket, buckets):
+    for i, x, y in c.cuts(bucket, buckets):
         rows.append((f"n{level}", blk, i, c.pack_sorted(context[x:y]), c.pack(word[x:y]), c.pack(train[x:y]), c.pack(p[x:y])))
     at, contexts, which = s.asks()
     seen = np.zeros(len(contexts), np.int64)
     seen[which] = s.seen[at]
     asked = s.contexts[contexts]
-    for i, x, y in cuts(asked >> RANK, buckets):
+    for i, x, y in c.cuts(asked >> RANK, buckets):
         rows.append((f"ask{level}", blk, i, c.pack_sorted(asked[x:y]), None, c.pack(seen[x:y]), None))
+    if level == s.order - 1:
+        rows.append(("frozen", blk, -1, s.frozen(), None, None, None))
     return arrow(rows, ENTRY)
 
 
@@ -297,7 +332,7 @@ def total_pairs(key, t: pa.Table, level: int, buckets: int, least: int) -> pa.Ta
     if len(g):
         number, times = np.diff(np.append(g, len(one))), np.add.reduceat(n, g)
         gain = np.add.reduceat(m * np.log(m / decoded(p[one])), g).astype(np.float32)
-        for i, x, y in cuts(contexts >> RANK, buckets):
+        for i, x, y in c.cuts(contexts >> RANK, buckets):
             rows.append((f"part{level}", -2, i, c.pack_sorted(contexts[x:y]), packed(number[x:y], times[x:y], gain[x:y]), buckets, None))
     return arrow(rows, ANSWER)
 
@@ -326,20 +361,24 @@ def decide_states(key, t: pa.Table, level: int, gain: float) -> pa.Table:
 
 
 def finish(s: Scorer, n: int) -> pa.Table:
-    start = np.cumsum(s.counts) - s.counts
-    add = lambda x: np.add.reduceat(x, start) if len(start) else x
     return pa.table({
-        "doc_id": s.ids, "held_out": pa.array(s.held), "n_tokens": pa.array(s.counts), "n_known": pa.array(add((s.count > 0).astype(np.int64))),
-        "train_tokens": pa.array(np.full(len(start), n, np.int64)), "base_score": pa.array(add(np.log10(s.base))), "score": pa.array(add(np.log10(s.p))),
+        "doc_id": pa.array(s.ids, pa.int64()), "held_out": pa.array(s.held), "n_tokens": pa.array(s.counts), "n_known": pa.array(s.known),
+        "train_tokens": pa.array(np.full(len(s.counts), n, np.int64)), "base_score": pa.array(s.base), "score": pa.array(s.scores()),
     })
 
 
 def steps(n: int, v: int, order: int, level: int, buckets: int, least: int, gain: float):
-    return (
-        lambda k, d, g: emit_pairs(k, Scorer(d, g, n, v, order, buckets, least, level - 1)),
-        lambda k, t: total_pairs(k, t, level, buckets, least),
-        lambda k, t: decide_states(k, t, level, gain),
-    )
+    """The functions of one level: what a block sends, and what buckets of pairs and of states answer. The last levels start
+    from frozen blocks, which have the answers up to theirs."""
+
+    def scorer(block: pa.Table, got: pa.Table) -> Scorer:
+        cold = "state" in block.column_names
+        s = Scorer.thawed(block, order, buckets, least) if cold else Scorer(block, got, n, v, order, buckets, least)
+        while s.level < level:
+            s.absorb(got)
+        return s
+
+    return scorer, lambda k, d, g: emit_pairs(k, scorer(d, g)), lambda k, t: total_pairs(k, t, level, buckets, least), lambda k, t: decide_states(k, t, level, gain)
 
 
 def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, least: int = LEAST, gain: float = GAIN) -> DataFrame:
@@ -355,15 +394,20 @@ def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, le
     blocks = scratch.put(stored.drop("words"), "blocks")
     scratch.drop("stored")
     for level in range(1, order + 1):
-        ask, total, decide = steps(n, v, order, level, buckets, least, gain)
+        _, ask, total, decide = steps(n, v, order, level, buckets, least, gain)
         sent = scratch.put(blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(ask, ENTRY), f"sent{level}")
+        if level == order - 1:
+            blocks = scratch.put(sent.filter("kind = 'frozen'").select("blk", F.col("keys").alias("state")), "frozen")
+            scratch.drop("blocks", "words", *[f"{x}{i}" for i in range(1, level) for x in ("pairs", "states")])
         pairs = sent.filter(F.col("kind") == f"n{level}").groupBy("bucket").applyInArrow(total, ANSWER)
         pairs = scratch.put(pairs, f"pairs{level}")
         asks = sent.filter(F.col("kind") == f"ask{level}").select("kind", "blk", "bucket", "keys", F.col("counts").alias("answer"), F.lit(buckets).cast("long").alias("n"), F.lit(None).cast("long").alias("v"))
         states = asks.unionByName(pairs.filter("blk < 0")).groupBy("bucket").applyInArrow(decide, ANSWER)
-        got = got.unionByName(pairs.filter("blk >= 0")).unionByName(scratch.put(states, f"states{level}"))
+        new = pairs.filter("blk >= 0").unionByName(scratch.put(states, f"states{level}"))
+        got = new if level == order - 1 else got.unionByName(new)
         scratch.drop(f"sent{level}")
-    return blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(lambda k, d, g: finish(Scorer(d, g, n, v, order, buckets, least, order), n), RESULT)
+    scorer, *_ = steps(n, v, order, order + 1, buckets, least, gain)
+    return blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(lambda k, d, g: finish(scorer(d, g), n), RESULT)
 
 
 def op2_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
