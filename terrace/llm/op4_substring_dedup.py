@@ -1,29 +1,36 @@
 """Substring dedup by a log-structured fingerprint index.
 
-Every run of 13 words is a window. The index holds, for each window, a sampled fingerprint: the least hash of
-the seven 7-word sequences in it, so equal windows always have equal fingerprints and a text of n words has
-about n/4 different ones. A batch's fingerprints become a sorted immutable run; the runs are compacted into one, which
-is then merge-joined, bucket by bucket, with all fingerprints; windows whose fingerprint another document has are
-verified by a 128-bit hash of all 13 words and the least doc_id that has the window. It is a one-shot build: no index
-is kept or taken in, so new documents mean a build over all.
+Every run of 13 words is a window. The index holds, for each window, a sampled fingerprint: the least hash of the seven
+7-word sequences in it, so equal windows always have equal fingerprints and a text of n words has about n/4 different
+ones. Documents come in batches, in the order of their ids. A batch's texts are stored as blocks of word numbers and its
+fingerprints as a sorted immutable run; the batch is merge-joined, bucket by bucket, with the runs of all batches so
+far. Windows whose fingerprint another document has are verified by a 128-bit hash of all 13 words, to which the blocks
+of earlier batches add theirs, and by the least doc_id that has the window. Runs are compacted when there are many; a
+run is never changed, only replaced by the one that holds it.
 
-Texts stay in blocks. A block sends each bucket its distinct sorted keys and gets back values in the same order,
-so a passage that very many documents share costs one entry a block, and no group of copies meets in one task.
+An `Index` lives in a folder and outlives the call: adding a batch reads the fingerprints and word numbers of earlier
+ones, never their texts, and gives the result of that batch, the same as if all had come at once. Earlier results
+stand, which is why batches come in the order of ids.
+
+A block sends each bucket its distinct sorted keys and gets back values in the same order, so a passage that very many
+documents share costs one entry a block, and no group of copies meets in one task.
 
 Nulls: a null text has no words; a null doc_id counts as larger than any other. Empty texts have no words and
-the SHA-256 of the empty string. Rows with equal doc_ids never remove words of each other. Other columns are ignored.
-An empty table gives an empty result.
+the SHA-256 of the empty string. Very long texts are a block of their own. Rows with equal doc_ids never remove words of
+each other. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import partial
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,182 +38,293 @@ from . import common as c
 
 WINDOW, GRAM = 13, 7
 NO_ID = np.iinfo(np.int64).max
-BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
-ENTRY = "batch int, blk int, bucket int, keys binary, more binary, least binary, several binary"
-ENTRY_ARROW = pa.schema([("batch", pa.int32()), ("blk", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("more", pa.binary()), ("least", pa.binary()), ("several", pa.binary())])
-ANSWER = "blk int, bucket int, kind string, answer binary"
-ANSWER_ARROW = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("kind", pa.string()), ("answer", pa.binary())])
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
+#: Runs that an index has at most before they are made one, and batches of a single call.
+MAX_RUNS, BATCHES = 8, 2
+BLOCKS = "blk string, ids array<bigint>, counts binary, tokens binary, words binary, entries array<struct<bucket: int, keys: binary, least: binary, several: binary>>"
+RUN = "bucket int, keys binary, least binary, several binary"
+WINDOWS = "blk string, own boolean, bucket int, keys binary, more binary, least binary"
+ANSWER = "blk string, bucket int, kind string, answer binary"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+KINDS = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def arrow(rows: list, ddl: str) -> pa.Table:
+    fields = [x.split() for x in ddl.split(", ")]
+    cols = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    return pa.table([pa.array(list(x), KINDS[k]) for x, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
+
+
+# ---- blocks ------------------------------------------------------------------------------------
+
+
+def store_blocks(batches, buckets: int, name: str):
+    """A row a block: its rows, its words, tokens as places among them, and its fingerprints by bucket."""
+    task = TaskContext.get().partitionId()
+    for number, t in enumerate(c.gathered(batches, BLOCK_BYTES)):
+        flats, counts = zip(*(c.words(c.column(part, "text")) for part in c.slices(t)), strict=True)
+        coded = pa.chunked_array(flats).combine_chunks().dictionary_encode()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        words = zstandard.ZstdCompressor(level=1).compress(b" ".join(coded.dictionary.cast(pa.binary()).to_pylist()))
+        tokens, counts = coded.indices.to_numpy(zero_copy_only=False).astype(np.uint32), np.concatenate(counts).astype(np.uint32)
+        row = pa.table({"ids": pa.array([c.column(t, "doc_id").to_pylist()], pa.list_(pa.int64())), "counts": [c.pack(counts)], "tokens": [c.pack(tokens)], "words": [words]})
+        block = Block(row)
+        keys, least, several = distinct(block.ids[block.doc], block.fp)
+        at = c.cuts(c.bucket_of(keys, buckets), buckets)
+        entries = [{"bucket": i, "keys": c.pack_sorted(keys[x:y]), "least": c.pack(least[x:y]), "several": c.pack(several[x:y])} for i, x, y in at]
+        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("keys", pa.binary()), ("least", pa.binary()), ("several", pa.binary())]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f"{name}-{task}-{number}"]), *(c.column(row, x) for x in ("ids", "counts", "tokens", "words")), pa.array([entries], kind)],
+            names=["blk", "ids", "counts", "tokens", "words", "entries"],
+        )
 
 
 class Block:
-    """A block's words, and for each of its windows the text it is in and its fingerprint."""
+    """A block's words, and for each of its windows the row it is in, where it begins and its fingerprint."""
 
     def __init__(self, t: pa.Table):
-        self.ids = pc.fill_null(c.column(t, "doc_id"), NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-        flats, hs, gs, fps, docs, inside, counts = [], [], [], [], [], [], []
-        at = 0
-        for part in c.slices(t):
-            flat, n = c.words(c.column(part, "text"))
-            h, g = c.word_hashes(flat, xxhash.xxh64_intdigest, xxhash.xxh3_64_intdigest)
-            ok = c.starts_inside(n, WINDOW)
-            s = c.grams(h, GRAM)
-            m = s[: len(ok)].copy()
-            for j in range(1, WINDOW - GRAM + 1):
-                np.minimum(m, s[j : j + len(ok)], out=m)
-            fps.append(m[ok])
-            docs.append(np.repeat(np.arange(at, at + len(n)), n)[: len(ok)][ok])
-            inside.append(np.flatnonzero(ok) + sum(map(int, map(np.sum, counts))))
-            flats.append(flat), hs.append(h), gs.append(g), counts.append(n)
-            at += len(n)
-        cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        self.flats, self.counts = flats, cat(counts, np.int64)
-        self.h, self.g = cat(hs, np.uint64), cat(gs, np.uint64)
-        self.fp, self.doc, self.at = cat(fps, np.uint64), cat(docs, np.int64), cat(inside, np.int64)
-
-    def fingerprints(self):
-        """Distinct sorted fingerprints, the least doc_id with each, and whether several doc_ids have it."""
-        return distinct(self.ids[self.doc], self.fp)
+        ids = t.column("ids").combine_chunks().values
+        self.doc_id, self.ids = ids, pc.fill_null(ids, NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.counts = c.unpack(t.column("counts")[0].as_py(), np.uint32).astype(np.int64)
+        self.tokens = c.unpack(t.column("tokens")[0].as_py(), np.uint32)
+        words = zstandard.ZstdDecompressor().decompress(t.column("words")[0].as_py())
+        self.words = words.split(b" ") if words else []
+        self.h = self.hashed(xxhash.xxh64_intdigest)
+        ok = c.starts_inside(self.counts, WINDOW)
+        s = c.grams(self.h, GRAM)
+        m = s[: len(ok)].copy()
+        for j in range(1, WINDOW - GRAM + 1):
+            np.minimum(m, s[j : j + len(ok)], out=m)
+        self.at = np.flatnonzero(ok)
+        self.fp, self.doc = m[ok], np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)[: len(ok)][ok]
+
+    def hashed(self, digest) -> np.ndarray:
+        """Each token's hash; every distinct word is hashed once."""
+        return np.fromiter((digest(w) for w in self.words), np.uint64, len(self.words))[self.tokens] if len(self.tokens) else np.zeros(0, np.uint64)
 
     def candidates(self, shared: np.ndarray):
-        """Windows with a shared fingerprint, with both halves of their 128-bit hash."""
-        keys, _, _ = self.fingerprints()
-        hit = np.flatnonzero(shared[np.searchsorted(keys, self.fp)]) if len(keys) else np.zeros(0, np.int64)
+        """Windows with a shared fingerprint, with both halves of their 128-bit hash. `shared` goes by sorted fingerprints."""
+        hit = np.flatnonzero(shared[np.searchsorted(np.unique(self.fp), self.fp)]) if len(self.fp) else np.zeros(0, np.int64)
+        if not len(hit):
+            return hit, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         at = self.at[hit]
-        return hit, c.grams(self.h, WINDOW)[at] if len(at) else np.zeros(0, np.uint64), c.grams(self.g, WINDOW, 0xC2B2AE3D27D4EB4F)[at] if len(at) else np.zeros(0, np.uint64)
+        return hit, c.grams(self.h, WINDOW)[at], c.grams(self.hashed(xxhash.xxh3_64_intdigest), WINDOW, 0xC2B2AE3D27D4EB4F)[at]
 
 
 def distinct(ids: np.ndarray, *keys: np.ndarray):
-    order = np.lexsort((ids, *reversed(keys)))
+    """The distinct keys in order, the least id of each, and whether several ids have it."""
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(tuple(reversed(keys)))
     keys, ids = [k[order] for k in keys], ids[order]
     s = c.group_starts(*keys)
-    last = np.append(s[1:], len(ids)) - 1 if len(s) else s
-    return *[k[s] for k in keys], ids[s], ids[s] != ids[last]
-
-
-def send(blk: int, batch: int, buckets: int, keys, more, least, several) -> pa.Table:
-    b = c.bucket_of(keys, buckets)
-    cut = np.searchsorted(b, np.arange(buckets + 1))
-    rows = [(batch, blk, i, c.pack_sorted(keys[x:y]), c.pack(more[x:y]) if more is not None else None, c.pack(least[x:y]), c.pack(several[x:y])) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
-    return pa.table([pa.array(list(x), f.type) for x, f in zip(zip(*rows, strict=True) if rows else [[]] * 7, ENTRY_ARROW, strict=True)], schema=ENTRY_ARROW)
+    if not len(s):
+        return *keys, ids, np.zeros(0, bool)
+    low, high = np.minimum.reduceat(ids, s), np.maximum.reduceat(ids, s)
+    return *[k[s] for k in keys], low, low != high
 
 
-def received(t: pa.Table, kind: str, buckets: int, dtype) -> np.ndarray:
+def received(t: pa.Table, kind: str, dtype) -> np.ndarray:
     """The answers of one kind, in the order of the keys sent."""
     got = sorted((b, a) for b, k, a in zip(t.column("bucket").to_pylist(), t.column("kind").to_pylist(), t.column("answer").to_pylist(), strict=True) if k == kind)
     return np.concatenate([c.unpack(a, dtype) for _, a in got]) if got else np.zeros(0, dtype)
 
 
-def emit_fingerprints(key, t: pa.Table, buckets: int, batches: int) -> pa.Table:
-    keys, least, several = Block(t).fingerprints()
-    return send(key[0].as_py(), key[0].as_py() % batches, buckets, keys, None, least, several)
+# ---- runs --------------------------------------------------------------------------------------
 
 
 def merge_runs(key, t: pa.Table) -> pa.Table:
     """One sorted run of the entries of a bucket."""
     keys = [c.unpack_sorted(x) for x in t.column("keys").to_pylist()]
-    least = [c.unpack(x, np.int64) for x in t.column("least").to_pylist()]
-    several = [c.unpack(x, bool) for x in t.column("several").to_pylist()]
-    k, ids, more = np.concatenate(keys), np.concatenate(least), np.concatenate(several)
-    order = np.lexsort((ids, k))
-    k, ids, more = k[order], ids[order], more[order]
+    low = [c.unpack(x, np.int64) for x in t.column("least").to_pylist()]
+    several = np.concatenate([c.unpack(x, bool) for x in t.column("several").to_pylist()])
+    k, ids = np.concatenate(keys), np.concatenate(low)
+    order = np.argsort(k)
+    k, ids, several = k[order], ids[order], several[order]
     s = c.group_starts(k)
-    last = np.append(s[1:], len(k)) - 1
-    more = np.logical_or.reduceat(more, s) | (ids[s] != ids[last])
-    return pa.table([pa.array([t.column("batch")[0].as_py()], pa.int32()), pa.array([-1], pa.int32()), pa.array([t.column("bucket")[0].as_py()], pa.int32()), pa.array([c.pack_sorted(k[s])]), pa.array([None], pa.binary()), pa.array([c.pack(ids[s])]), pa.array([c.pack(more)])], schema=ENTRY_ARROW)
+    least, most = np.minimum.reduceat(ids, s), np.maximum.reduceat(ids, s)
+    more = np.logical_or.reduceat(several, s) | (least != most)
+    return arrow([(key[0].as_py(), c.pack_sorted(k[s]), c.pack(least), c.pack(more))], RUN)
+
+
+def probe_runs(key, batch: pa.Table, own: pa.Table, old: pa.Table) -> pa.Table:
+    """Merge join of a bucket's fingerprints with the batch's run and the older ones: which belong to several documents?
+    The batch gets an answer an entry; what it shares with older runs is one row, for the blocks that made those."""
+    blk, bucket = batch.column("blk").to_pylist(), key[0].as_py()
+    k, shared = c.unpack_sorted(own.column("keys")[0].as_py()), c.unpack(own.column("several")[0].as_py(), bool).copy()
+    hit = np.zeros(len(k), bool)
+    for x in old.column("keys").to_pylist():
+        hit |= np.isin(k, c.unpack_sorted(x), assume_unique=True)
+    shared |= hit
+    rows = [(b, bucket, "shared", c.pack(shared[np.searchsorted(k, c.unpack_sorted(x))])) for b, x in zip(blk, batch.column("keys").to_pylist(), strict=True)]
+    return arrow([*rows, (None, bucket, "hit", c.pack_sorted(k[hit]))], ANSWER)
 
 
-def answers(rows: list) -> pa.Table:
-    return pa.table([pa.array(list(x), f.type) for x, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, ANSWER_ARROW, strict=True)], schema=ANSWER_ARROW)
+def probe_old(key, entries: pa.Table, hit: pa.Table) -> pa.Table:
+    """Which fingerprints of older blocks did the batch bring again?"""
+    again = c.unpack_sorted(hit.column("answer")[0].as_py()) if hit.num_rows else np.zeros(0, np.uint64)
+    rows = zip(entries.column("blk").to_pylist(), entries.column("keys").to_pylist(), strict=True)
+    return arrow([(b, key[0].as_py(), "shared", c.pack(np.isin(c.unpack_sorted(x), again, assume_unique=True))) for b, x in rows], ANSWER)
 
 
-def probe_run(key, batch: pa.Table, run: pa.Table) -> pa.Table:
-    """Merge join of the batch's sorted fingerprints with the run: which belong to several documents?"""
-    if not batch.num_rows:
-        return answers([])
-    k, shared = c.unpack_sorted(run.column("keys")[0].as_py()), c.unpack(run.column("several")[0].as_py(), bool)
-    return answers([(blk, b, "shared", c.pack(shared[np.searchsorted(k, c.unpack_sorted(keys))])) for blk, b, keys in zip(batch.column("blk").to_pylist(), batch.column("bucket").to_pylist(), batch.column("keys").to_pylist(), strict=True)])
+# ---- windows -----------------------------------------------------------------------------------
 
 
-def emit_windows(key, docs: pa.Table, got: pa.Table, buckets: int, fp_buckets: int) -> pa.Table:
-    block = Block(docs)
-    hit, a, b = block.candidates(received(got, "shared", fp_buckets, bool))
-    a, b, least, several = distinct(block.ids[block.doc[hit]], a, b)
-    return send(key[0].as_py(), 0, buckets, a, b, least, several)
+def emit_windows(key, t: pa.Table, got: pa.Table, own: bool, buckets: int) -> pa.Table:
+    block = Block(t)
+    hit, a, b = block.candidates(received(got, "shared", bool))
+    a, b, least, _ = distinct(block.ids[block.doc[hit]], a, b)
+    return arrow([(key[0].as_py(), own, i, c.pack_sorted(a[x:y]), c.pack(b[x:y]), c.pack(least[x:y])) for i, x, y in c.cuts(c.bucket_of(a, buckets), buckets)], WINDOWS)
 
 
 def verify(key, t: pa.Table) -> pa.Table:
     """For each block's windows of a bucket: how far below the block's own least doc_id is the least of all?"""
-    sent = [(blk, b, c.unpack_sorted(k), c.unpack(m, np.uint64), c.unpack(x, np.int64)) for blk, b, k, m, x in zip(*(t.column(n).to_pylist() for n in ("blk", "bucket", "keys", "more", "least")), strict=True)]
-    a, m, ids = (np.concatenate([x[i] for x in sent]) for i in (2, 3, 4))
-    order = np.lexsort((ids, m, a))
+    names = ("blk", "own", "bucket", "keys", "more", "least")
+    sent = [(blk, own, b, c.unpack_sorted(k), c.unpack(m, np.uint64), c.unpack(x, np.int64)) for blk, own, b, k, m, x in zip(*(t.column(n).to_pylist() for n in names), strict=True)]
+    a, m, ids = (np.concatenate([x[i] for x in sent]) for i in (3, 4, 5))
+    order = np.lexsort((m, a))
     s = c.group_starts(a[order], m[order])
     low = np.empty(len(ids), np.int64)
-    low[order] = np.repeat(ids[order][s], np.diff(np.append(s, len(ids))))
-    cut = np.cumsum([0, *(len(x[2]) for x in sent)])
-    return answers([(x[0], x[1], "below", c.pack((x[4] - low[i:j]).astype(np.uint64))) for x, i, j in zip(sent, cut[:-1], cut[1:], strict=True)])
+    low[order] = np.repeat(np.minimum.reduceat(ids[order], s), np.diff(np.append(s, len(ids))))
+    cut = np.cumsum([0, *(len(x[3]) for x in sent)])
+    return arrow([(x[0], x[2], "below", c.pack((x[5] - low[i:j]).astype(np.uint64))) for x, i, j in zip(sent, cut[:-1], cut[1:], strict=True) if x[1]], ANSWER)
 
 
-def clean(key, docs: pa.Table, got: pa.Table, fp_buckets: int, buckets: int, texts: bool) -> pa.Table:
-    block = Block(docs)
-    hit, a, b = block.candidates(received(got, "shared", fp_buckets, bool))
-    below = received(got, "below", buckets, np.uint64)
+def clean(t: pa.Table, got: pa.Table, texts: bool) -> pa.Table:
+    block = Block(t)
+    hit, a, b = block.candidates(received(got, "shared", bool))
+    below = received(got, "below", np.uint64)
     ids = block.ids[block.doc[hit]]
     gone = np.zeros(len(block.h) + 1, np.int32)
     if len(hit):
-        order = np.lexsort((ids, b, a))
+        order = np.lexsort((b, a))
         s = c.group_starts(a[order], b[order])
-        least = (ids[order][s].astype(np.uint64) - below).astype(np.int64)
+        least = (np.minimum.reduceat(ids[order], s).astype(np.uint64) - below).astype(np.int64)
         low = np.empty(len(ids), np.int64)
         low[order] = np.repeat(least, np.diff(np.append(s, len(ids))))
         at = block.at[hit[low < ids]]
         np.add.at(gone, at, 1)
         np.add.at(gone, at + WINDOW, -1)
-    gone = np.cumsum(gone[:-1]) > 0
-    ends = np.cumsum(block.counts)
-    removed = np.add.reduceat(np.append(gone, False).astype(np.int64), np.minimum(ends - block.counts, len(gone))) * (block.counts > 0) if len(ends) else ends
-    digests, kept_texts, base, doc = [], [], 0, 0
-    for flat in block.flats:
-        while doc < len(ends) and ends[doc] <= base + len(flat):
-            x, y = int(ends[doc] - block.counts[doc]) - base, int(ends[doc]) - base
-            kept = " ".join(flat.slice(x, y - x).filter(pa.array(~gone[x + base : y + base])).to_pylist()) if removed[doc] else " ".join(flat.slice(x, y - x).to_pylist())
-            digests.append(hashlib.sha256(kept.encode()).hexdigest())
-            kept_texts.append(kept if texts else None)
-            doc += 1
-        base += len(flat)
-    out = [docs.column("doc_id").combine_chunks() if isinstance(docs.column("doc_id"), pa.ChunkedArray) else docs.column("doc_id"), pa.array(block.counts), pa.array(removed.astype(np.int64)), pa.array(digests, pa.string())]
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    return pa.table([*out, pa.array(kept_texts, pa.string())], names=[*names, "kept_text"]) if texts else pa.table(out, names=names)
-
-
-def build_runs(entries: DataFrame) -> DataFrame:
-    """A sorted run for each batch: one row a bucket."""
-    return entries.groupBy("batch", "bucket").applyInArrow(lambda k, t: merge_runs(k, t), ENTRY)
-
-
-def compact(runs: DataFrame) -> DataFrame:
-    """All runs as one."""
-    return runs.groupBy("bucket").applyInArrow(lambda k, t: merge_runs(k, t), ENTRY)
-
-
-def remove_repeats(spark: SparkSession, docs: DataFrame, batches: int = 2, texts: bool = False) -> DataFrame:
-    """Each document without the words that windows of smaller doc_ids cover; `texts` adds the kept text.
-
-    `batches` runs are written, then compacted; the result doesn't depend on their number.
-    """
-    scratch, size = c.Scratch(spark, "substring"), c.text_bytes(docs)
-    blocks, buckets = max(4, size // BLOCK_BYTES), max(4, size // BUCKET_BYTES)
-    schema = RESULT + ", kept_text string" * texts
-    docs = c.blocked(docs, blocks)
-    entries = scratch.put(docs.groupBy("blk").applyInArrow(lambda k, t: emit_fingerprints(k, t, buckets, batches), ENTRY), "entries")
-    runs = scratch.put(build_runs(entries), "runs")
-    run = scratch.put(compact(runs), "compacted")
-    scratch.drop("runs")
-    shared = scratch.put(entries.groupBy("bucket").cogroup(run.groupBy("bucket")).applyInArrow(lambda k, x, y: probe_run(k, x, y), ANSWER), "shared")
-    scratch.drop("entries")
-    windows = docs.groupBy("blk").cogroup(shared.groupBy("blk")).applyInArrow(lambda k, d, g: emit_windows(k, d, g, buckets, buckets), ENTRY)
-    below = scratch.put(windows.groupBy("bucket").applyInArrow(lambda k, t: verify(k, t), ANSWER), "below")
-    return docs.groupBy("blk").cogroup(shared.unionByName(below).groupBy("blk")).applyInArrow(lambda k, d, g: clean(k, d, g, buckets, buckets, texts), schema)
+    kept = np.cumsum(gone[:-1]) == 0
+    words, out, removed, texts_out, x = np.array(block.words, object), [], [], [], 0
+    for n in block.counts.tolist():
+        stay = kept[x : x + n]
+        text = b" ".join(words[block.tokens[x : x + n][stay]].tolist()) if n else b""
+        out.append(hashlib.sha256(text).hexdigest())
+        removed.append(n - int(stay.sum()))
+        texts_out.append(text.decode() if texts else None)
+        x += n
+    cols = {"doc_id": block.doc_id, "n_words": pa.array(block.counts), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(out, pa.string())}
+    return pa.table(cols | ({"kept_text": pa.array(texts_out, pa.string())} if texts else {}))
+
+
+# ---- the index ---------------------------------------------------------------------------------
+
+
+class Index:
+    """Blocks and runs of the batches so far, in a folder that driver and executors share.
+
+    `blocks/<batch>` and `runs/<batch>` are written once. A compacted run stands for the batches up to its number; the
+    runs that it holds are removed after it is whole. `buckets` is chosen when the index is made, for the size that it is
+    to reach (BUCKET_BYTES of text each), and is a folder's name, so it can't change unseen."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path = spark, path.rstrip("/")
+        made = self._listed(f"{self.path}/buckets")
+        self.buckets = int(made[0]) if made else buckets
+        if not made:
+            p, fs = c.file_system(spark, f"{self.path}/buckets/{buckets}")
+            fs.mkdirs(p)
+
+    def _listed(self, path: str) -> list[str]:
+        p, fs = c.file_system(self.spark, path)
+        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _whole(self, kind: str) -> list[int]:
+        """Numbers of the tables of a kind that were written to their end."""
+        names = [x for x in self._listed(f"{self.path}/{kind}") if x.isdigit()]
+        return sorted(int(x) for x in names if "_SUCCESS" in self._listed(f"{self.path}/{kind}/{x}"))
+
+    def runs(self) -> list[int]:
+        """Numbers of the runs that count: the last compacted one and those after it."""
+        packed = self._whole("compacted")
+        return [n for n in self._whole("runs") if not packed or n > packed[-1]]
+
+    def _read(self, kind: str, numbers: list[int], schema: str) -> DataFrame:
+        paths = [f"{self.path}/{kind}/{n}" for n in numbers]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _write(self, df: DataFrame, kind: str, number: int) -> None:
+        with c.cleaned_shuffles(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{kind}/{number}")
+
+    def _all_runs(self) -> DataFrame:
+        return self._read("compacted", self._whole("compacted")[-1:], RUN).unionByName(self._read("runs", self.runs(), RUN))
+
+    def add(self, docs: DataFrame, texts: bool = False) -> DataFrame:
+        """The batch's documents without the words that windows of smaller doc_ids cover, in this batch or in those before;
+        `texts` adds the kept text. Run again after a failure, it overwrites what it had begun."""
+        spark, buckets, before = self.spark, self.buckets, sorted({*self._whole("runs"), *self._whole("compacted")})
+        number = before[-1] + 1 if before else 0
+        name = f"{number}-{uuid.uuid4().hex[:8]}"
+        scratch = c.Scratch(spark, "substring")
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        self._write(docs.mapInArrow(lambda batches: store_blocks(batches, buckets, name), BLOCKS), "blocks", number)
+        old_runs, history = self._all_runs(), self._read("blocks", [n for n in self._whole("blocks") if n < number], BLOCKS)
+        stored = self._read("blocks", [number], BLOCKS)
+        entries = stored.select("blk", F.inline("entries"))
+        run = scratch.put(entries.groupBy("bucket").applyInArrow(lambda k, t: merge_runs(k, t), RUN), "run")
+
+        # one bucket's entries, its run and the older runs meet in one task
+        both = run.select(F.lit(None).cast("string").alias("blk"), "*").withColumn("old", F.lit(False)).unionByName(old_runs.select(F.lit(None).cast("string").alias("blk"), "*").withColumn("old", F.lit(True)))
+
+        def probe(key, x, y):
+            if not x.num_rows:
+                return arrow([], ANSWER)
+            return probe_runs(key, x, y.filter(pc.invert(y.column("old"))), y.filter(y.column("old")))
+
+        shared = scratch.put(entries.select("blk", "bucket", "keys").groupBy("bucket").cogroup(both.select("bucket", "keys", "several", "old").groupBy("bucket")).applyInArrow(lambda k, x, y: probe(k, x, y), ANSWER), "shared")
+        own = shared.filter("kind = 'shared'")
+        blocks = lambda df: df.drop("entries").groupBy("blk")
+        windows = blocks(stored).cogroup(own.groupBy("blk")).applyInArrow(lambda k, t, g: emit_windows(k, t, g, True, buckets), WINDOWS)
+        if before:
+            hits = shared.filter("kind = 'hit'")
+            again = history.select("blk", F.inline("entries")).select("blk", "bucket", "keys").groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(lambda k, x, y: probe_old(k, x, y), ANSWER)
+            again = scratch.put(again, "again")
+            windows = windows.unionByName(blocks(history).cogroup(again.groupBy("blk")).applyInArrow(lambda k, t, g: emit_windows(k, t, g, False, buckets), WINDOWS))
+        below = scratch.put(windows.groupBy("bucket").applyInArrow(lambda k, t: verify(k, t), ANSWER), "below")
+        self._write(run, "runs", number)  # last, so a batch that failed before is as if it hadn't come
+        scratch.drop("run", "again")
+        if len(self.runs()) > MAX_RUNS:
+            self.compact()
+        schema = RESULT + ", kept_text string" * texts
+        return blocks(stored).cogroup(own.unionByName(below).groupBy("blk")).applyInArrow(lambda k, t, g: clean(t, g, texts), schema)
+
+    def compact(self) -> None:
+        """All runs as one, which replaces them once it is whole."""
+        mine, packed = self.runs(), self._whole("compacted")
+        if not mine:
+            return
+        self._write(self._all_runs().groupBy("bucket").applyInArrow(lambda k, t: merge_runs(k, t), RUN), "compacted", mine[-1])
+        for kind, numbers in (("compacted", packed), ("runs", mine)):
+            for n in numbers:
+                c.delete(self.spark, f"{self.path}/{kind}/{n}")
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, batches: int = BATCHES, texts: bool = False) -> DataFrame:
+    """Each document without the words that windows of smaller doc_ids cover, by an index of its own; `texts` adds the kept
+    text. Documents are added in `batches` ranges of ids; the result doesn't depend on their number."""
+    buckets = max(16, c.text_bytes(docs) // BUCKET_BYTES)
+    index = Index(spark, c.Scratch(spark, "substring-index").root, buckets)
+    cuts = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), [i / batches for i in range(1, batches)], F.lit(1000))).first()[0] if batches > 1 else []
+    parts, above = [], F.lit(True)
+    for cut in sorted(set(cuts or [])):
+        here = F.col("doc_id").cast("long") <= cut
+        parts.append(index.add(docs.filter(above & here), texts))
+        above = F.coalesce(~here, F.lit(True))  # null ids come last
+    out = index.add(docs.filter(above), texts)
+    for p in parts:
+        out = out.unionByName(p)
+    return out
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
