@@ -3,16 +3,23 @@
 The pages of a host are aligned one after another to a wrapper. A page is a stream of tags and texts, kept as a tree;
 siblings that follow each other alike become a repeated group, of one tag or of a short sequence of tags, and when a
 page is aligned with the wrapper, what matches is merged, what one side lacks becomes optional, and texts that differ
-become a slot while equal ones stay template text. Merging is associative enough to be done in parts: each task aligns
-its pages, parts are merged by host and salt, then by host, so a host with a third of the pages is no large group.
+become a slot while equal ones stay template text.
 
-A wrapper says of each path of tags whether it holds template text, a menu of links, or content. Extraction takes the
-page's articles, or else its main element, or else the part of the wrapper that holds most content; it leaves out
-elements that by their tag or name are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-comments, and outside articles also template text and menus of the wrapper.
+Pages of one structure are merged first, in any order, as that only adds counts and compares texts. Structures are then
+merged in the order of their digests, in groups that their digests name, so the wrapper of a host doesn't depend on how
+pages are dealt to tasks, and a host with a third of the pages is no large group. Nodes that few pages have are folded
+into their parents, so a wrapper stays small however many pages there are.
+
+The wrapper says which parts of a page are content: article elements, or main ones, or those named as content, in so
+far as they hold a share of the text that differs between pages; else the smallest part that holds most of it. All
+such parts of a page are taken, in page order. Left out of them are elements that by tag or name are menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles or comments; and outside article and main elements also
+the template text and the menus of links that the wrapper found. A page without the wrapper's parts is its own wrapper.
 
 Nulls: a null html is empty, its text is empty; a null url has the host ''. A host with one page has a wrapper of that
-page. Repeated pages each get their text. Other columns are ignored; an empty table gives an empty result.
+page. Repeated pages each get their text, and count as one when template text is told from content. Very long pages and
+any nesting are read whole; wrappers, not pages, are flattened below DEPTH levels. Other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,8 +27,10 @@ from __future__ import annotations
 import html as _html
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +45,20 @@ SELF_CLOSING = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr":
 #: Elements that are never main text, and words of class, id or role that say the same.
 SKIP = frozenset("head nav header footer aside form script style noscript template iframe object embed svg canvas audio video button select option textarea input dialog menu title noembed noframes".split())
 SKIP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs "
-    "sidebar aside header masthead footer comment comments commentlist disqus respond reply replies share sharing social related recommended subscribe newsletter signup login search widget pagination pager toc "
-    "contentinfo complementary hidden".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs "
+    "sidebar aside header masthead footer comment comments commentlist disqus respond reply replies subscribe newsletter signup pagination pager contentinfo complementary hidden".split()
 )
+#: Of these, the words that hold for an element within a sentence too; and words of parts that are left out only if they are mostly links.
+INLINE_WORDS = frozenset("ad ads advert advertisement sponsored hidden".split())
+WEAK_WORDS = frozenset("alert share sharing social related recommended login search widget toc".split())
 MAIN_WORDS = frozenset("article main content post entry story".split())
-#: Texts of the same path on so many pages, all equal, are template text; depth at which wrappers, not pages, are flattened.
-TEMPLATE_PAGES, DEPTH, SALT = 3, 120, 32
+#: Template text stands, equal, on so many different pages and on such a share of the host's; wrappers are flattened at
+#: this depth, and folded where fewer pages than this share have a node; groups in which structures are merged.
+TEMPLATE_PAGES, TEMPLATE_SHARE, DEPTH, RARE, SALTS = 3, 0.2, 120, 0.005, (1024, 32)
+#: Elements that are lines of a part, never the part.
+LINES = INLINE | frozenset("p pre li dt dd h1 h2 h3 h4 h5 h6 blockquote figcaption caption td th tr".split())
+#: The least share of the differing text that makes parts of a kind the content.
+KINDS = (("article", 0.1), ("main", 0.2), ("named", 0.5))
 
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -51,16 +67,26 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "names", "kids", "skip")
+    __slots__ = ("tag", "names", "kids", "skip", "weak")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.kids, self.names = tag, [], ()
-        self.skip = tag in SKIP
+        self.skip, self.weak = tag in SKIP, False
         if attrs and "=" in attrs or "hidden" in attrs:
             found = NAMES.findall(attrs)
             self.names = tuple(sorted({w.lower() for f in found for w in PARTS.findall(f[1] or f[2] or f[3])}))
             if tag not in ("html", "body", "article", "main"):
-                self.skip |= not SKIP_WORDS.isdisjoint(self.names) or bool(HIDDEN.search(attrs))
+                self.skip |= not (INLINE_WORDS if tag in INLINE else SKIP_WORDS).isdisjoint(self.names) or bool(HIDDEN.search(attrs))
+                self.weak = tag not in INLINE and not WEAK_WORDS.isdisjoint(self.names)
+
+    @property
+    def kind(self) -> str | None:
+        """What the tag or the names say of content."""
+        if self.tag in ("article", "main"):
+            return self.tag
+        if self.tag not in ("html", "body") and "main" in self.names and len(self.names) == 1:
+            return "main"
+        return "named" if self.tag in ("div", "section", "td") and not MAIN_WORDS.isdisjoint(self.names) else None
 
     @property
     def label(self) -> str:
@@ -118,14 +144,19 @@ def parse(source: str) -> Element:
 
 
 # ---- wrappers ----------------------------------------------------------------------------------
-# A node is [label, optional, repeated, pages, slot, characters, characters in links, children]; slot is the one text
-# seen so far, None without text, or False once texts differ.
+# A node is [label, optional, repeated, pages, slot, characters, characters in links, children, kind, digests]; slot is a
+# digest of the one text seen so far, None without text, or False once texts differ; digests are the least TEMPLATE_PAGES
+# of different pages that have the node.
 
 
 def squeeze(s: str) -> str:
     return " ".join(_html.unescape(s).split())
 
 
+def digest(s: str) -> str:
+    return xxhash.xxh3_64_hexdigest(s.encode("utf-8", "surrogatepass"))
+
+
 def below(e: Element, linked: bool) -> list:
     """(text, in a link) of all texts below e, in page order."""
     out, todo = [], [(k, linked) for k in reversed(e.kids)]
@@ -138,13 +169,17 @@ def below(e: Element, linked: bool) -> list:
     return out
 
 
-def node_of(e: Element, linked: bool = False, depth: int = 1) -> list:
+def own_text(e: Element) -> str:
+    return squeeze(" ".join(k for k in e.kids if isinstance(k, str)))
+
+
+def node_of(e: Element, page: int = 0, linked: bool = False, depth: int = 1) -> list:
     linked = linked or e.tag == "a"
     flat = depth == DEPTH
     own = below(e, linked) if flat else [(k, linked) for k in e.kids if isinstance(k, str)]
     text, in_links = squeeze(" ".join(k for k, _ in own)), squeeze(" ".join(k for k, x in own if x))
-    kids = [] if flat else [node_of(k, linked, depth + 1) for k in e.kids if isinstance(k, Element) and not k.skip and k.tag != "br"]
-    return [e.label, False, False, 1, text[:200] or None, len(text), len(in_links), repeats(kids)]
+    kids = [] if flat else [node_of(k, page, linked, depth + 1) for k in e.kids if isinstance(k, Element) and not k.skip and k.tag != "br"]
+    return [e.label, False, False, 1, digest(text) if text else None, len(text), len(in_links), repeats(kids), e.kind, [page]]
 
 
 def join_slot(a, b):
@@ -153,7 +188,14 @@ def join_slot(a, b):
 
 def merged(a: list, b: list, same_page: bool = False) -> list:
     """The node that both match. Within a page two siblings are one node seen once."""
-    return [a[0], a[1] or b[1], a[2] or b[2] or same_page, max(a[3], b[3]) if same_page else a[3] + b[3], join_slot(a[4], b[4]), a[5] + b[5], a[6] + b[6], aligned(a[7], b[7], same_page)]
+    pages = max(a[3], b[3]) if same_page else a[3] + b[3]
+    digests = sorted({*a[9], *b[9]})[:TEMPLATE_PAGES]
+    return [a[0], a[1] or b[1], a[2] or b[2] or same_page, pages, join_slot(a[4], b[4]), a[5] + b[5], a[6] + b[6], aligned(a[7], b[7], same_page), a[8], digests]
+
+
+def shape(n: list) -> list:
+    """The structure alone."""
+    return [n[0], n[1], n[2], [shape(k) for k in n[7]]]
 
 
 def repeats(kids: list) -> list:
@@ -178,80 +220,167 @@ def repeats(kids: list) -> list:
     return kids
 
 
+def common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a common subsequence of two lists of labels: what both begin and end with, and between those the longest
+    chain of labels that stand once on either side, and so on between its links. Space and, but for sorting, time are linear."""
+    out, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, n, j, m = todo.pop()
+        while i < n and j < m and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        while i < n and j < m and a[n - 1] == b[m - 1]:
+            n, m = n - 1, m - 1
+            out.append((n, m))
+        if i == n or j == m:
+            continue
+        there: dict = {}
+        for y in range(j, m):
+            there[b[y]] = -1 if b[y] in there else y
+        here: dict = {}
+        for x in range(i, n):
+            here[a[x]] = -1 if a[x] in here else x
+        pairs = sorted((x, there[w]) for w, x in here.items() if x >= 0 and there.get(w, -1) >= 0)
+        if not pairs:  # no label stands once on both sides: the first that both have, from the left
+            first = {}
+            for y in range(m - 1, j - 1, -1):
+                first[b[y]] = y
+            at = next((x for x in range(i, n) if a[x] in first), None)
+            if at is not None:
+                out.append((at, first[a[at]]))
+                todo.append((at + 1, n, first[a[at]] + 1, m))
+            continue
+        tails, ends, back = [], [], []  # the longest increasing chain, by patience
+        for k, (_, y) in enumerate(pairs):
+            at = bisect_left(tails, y)
+            tails[at:at + 1], ends[at:at + 1] = [y], [k]
+            back.append(ends[at - 1] if at else -1)
+        chain, k = [], ends[-1]
+        while k >= 0:
+            chain.append(pairs[k])
+            k = back[k]
+        chain.reverse()
+        out += chain
+        for (x, y), (u, v) in zip([(i - 1, j - 1), *chain], [*chain, (n, m)], strict=True):
+            if x + 1 < u and y + 1 < v:
+                todo.append((x + 1, u, y + 1, v))
+    return sorted(out)
+
+
 def aligned(a: list, b: list, same_page: bool = False) -> list:
-    """Longest common sequence of labels; what either side lacks becomes optional. Then repeats are folded anew."""
-    if [x[0] for x in a] == [x[0] for x in b]:
+    """Matching children are merged; what either side lacks becomes optional. Then repeats are folded anew."""
+    la, lb = [x[0] for x in a], [x[0] for x in b]
+    if la == lb:
         return [merged(x, y, same_page) for x, y in zip(a, b, strict=True)]
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    while i < n and j < m:
-        if a[i][0] == b[j][0]:
-            out.append(merged(a[i], b[j], same_page))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], True, *a[i][2:]])
-            i += 1
-        else:
-            out.append([b[j][0], True, *b[j][2:]])
-            j += 1
-    out += [[x[0], True, *x[2:]] for x in [*a[i:], *b[j:]]]
+    alone = lambda x: [x[0], True, *x[2:]]
+    for x, y in [*common(la, lb), (len(a), len(b))]:
+        out += [alone(k) for k in a[i:x]] + [alone(k) for k in b[j:y]]
+        if x < len(a):
+            out.append(merged(a[x], b[y], same_page))
+        i, j = x + 1, y + 1
     return repeats(out)
 
 
-def decisions(wrapper: list) -> dict:
-    """Paths of template text and of menus, and the path of the smallest part that holds most content."""
-    drop: list[str] = []
-    content: dict[str, float] = {}
-
-    def walk(n: list, path: str) -> float:
-        path = f"{path}/{n[0]}"
-        own = sum(k[5] for k in n[7])
-        mass = float(n[5] - n[6]) if n[4] is False or n[3] < TEMPLATE_PAGES else 0.0
-        block = n[0].split(".")[0] not in INLINE  # words within a sentence are never template or menu by themselves
-        menu = (n[2] or any(k[2] for k in n[7])) and n[5] + own > 0 and links(n) > 0.8
-        if block and (menu or (n[3] >= TEMPLATE_PAGES and isinstance(n[4], str))):
-            drop.append(path)
-        mass += sum(walk(k, path) for k in n[7])
-        if not n[2]:  # a repeated group's members aren't a container
-            content[path] = content.get(path, 0) + mass
-        return mass
+def pruned(n: list, least: float) -> list:
+    """Nodes on fewer pages than that are folded into their parents."""
+    kids = []
+    own, in_links = n[5], n[6]
+    for k in n[7]:
+        k = pruned(k, least)
+        if k[3] < least:
+            own, in_links = own + total(k, 5), in_links + total(k, 6)
+        else:
+            kids.append(k)
+    return [*n[:5], own, in_links, kids, *n[8:]]
 
-    def total(n: list, at: int) -> int:
-        return n[at] + sum(total(k, at) for k in n[7])
 
-    def links(n: list) -> float:
-        return total(n, 6) / max(1, total(n, 5))
+def total(n: list, at: int) -> int:
+    return n[at] + sum(total(k, at) for k in n[7])
 
-    mass = walk(wrapper, "")
-    main = min((p for p, x in content.items() if x >= 0.7 * mass), key=lambda p: (-p.count("/"), p), default="/#root") if mass else "/#root"
-    return {"drop": sorted(set(drop)), "main": main}
+
+def decisions(wrapper: list) -> dict:
+    """What extraction needs: main, the paths of the parts that are content, and whether they are known by their tags;
+    drop, the path and digest of each template text; menus, the paths of menus of links."""
+    least = TEMPLATE_SHARE * wrapper[3]
+
+    def constant(n: list) -> bool:
+        block = n[0].split(".")[0] not in INLINE  # words within a sentence are never template or menu by themselves
+        return block and isinstance(n[4], str) and len(n[9]) >= TEMPLATE_PAGES and n[3] >= least
+
+    def menu(n: list) -> bool:
+        chars = total(n, 5)
+        return n[0].split(".")[0] not in INLINE and (n[2] or any(k[2] for k in n[7])) and chars > 0 and total(n, 6) > 0.8 * chars
+
+    def fixed(n: list) -> int:
+        return (n[5] if constant(n) else 0) + sum(fixed(k) for k in n[7])
+
+    copies = fixed(wrapper) > 0.8 * total(wrapper, 5)  # pages of nearly the same text don't tell template from content
+    drop: list[tuple[str, str]] = []
+    menus: list[str] = []
+    mass: dict[str, float] = {}
+    kinds: dict[str, list] = {k: [] for k, _ in KINDS}
+    order: list[tuple[str, list, str]] = []
+
+    def walk(n: list, above: str, inside: frozenset) -> float:
+        path = f"{above}/{n[0]}"
+        own = float(n[5] - n[6])
+        if constant(n) and not copies:
+            drop.append((path, n[4]))
+            own = 0.0
+        if menu(n):
+            menus.append(path)
+        if n[8] and n[8] not in inside:
+            kinds[n[8]].append(path)
+            inside = inside | {n[8]}
+        order.append((path, n, above))
+        got = own + sum(walk(k, path, inside) for k in n[7])
+        mass[path] = mass.get(path, 0) + got
+        return got
+
+    whole = walk(wrapper, "", frozenset())
+    out = {"drop": sorted(set(drop)), "menus": sorted(set(menus)), "tagged": False}
+    for kind, share in KINDS:
+        if kinds[kind] and sum(mass[p] for p in set(kinds[kind])) >= share * whole:
+            return out | {"main": sorted(set(kinds[kind])), "tagged": kind != "named"}
+    # the smallest part that holds most; a repeated group's members, or what is within a paragraph, aren't a part. A heading
+    # beside it belongs to it.
+    part = lambda n: not n[2] and n[0].split(".")[0] not in LINES
+    parts = [(p, n, up) for p, n, up in order if part(n) and mass[p] >= 0.7 * whole] if whole else []
+    if not parts:
+        return out | {"main": ["/#root"]}
+    path, _, up = min(parts, key=lambda x: (-x[0].count("/"), x[0]))
+    by_path = {p: (n, a) for p, n, a in order}
+    while up in by_path and any(re.match(r"h[1-6](\.|$)", k[0]) for k in by_path[up][0][7]):
+        path, up = up, by_path[up][1]
+    return out | {"main": [path]}
 
 
 # ---- extraction --------------------------------------------------------------------------------
 
 
-def containers(root: Element) -> list[Element]:
-    """Articles outside skipped elements, else main elements, else the first element named as content."""
-    found: dict[str, list] = {"article": [], "main": [], "named": []}
-    todo = [(root, False)]
+def regions(root: Element, main: frozenset) -> list[tuple[Element, str]]:
+    """The outermost elements whose path is one of the wrapper's content parts, in page order."""
+    out, todo = [], [(root, "")]
     while todo:
-        e, in_article = todo.pop()
+        e, above = todo.pop()
+        path = f"{above}/{e.label}"
         if e.skip:
             continue
-        if not in_article:
-            kind = e.tag if e.tag in ("article", "main") else "main" if "main" in e.names and e.tag not in ("html", "body") else "named" if e.tag in ("div", "section", "td") and not MAIN_WORDS.isdisjoint(e.names) else None
-            if kind:
-                found[kind].append(e)
-                in_article = kind == "article"
-        todo += [(k, in_article) for k in reversed(e.kids) if isinstance(k, Element)]
-    return found["article"] or found["main"][:1] or found["named"][:1]
+        if path in main:
+            out.append((e, above))
+        elif any(p.startswith(path) for p in main):
+            todo += [(k, path) for k in reversed(e.kids) if isinstance(k, Element)]
+    return out
+
 
+def mostly_links(e: Element) -> bool:
+    texts = below(e, e.tag == "a")
+    chars = sum(len(squeeze(t)) for t, _ in texts)
+    return chars > 0 and 2 * sum(len(squeeze(t)) for t, x in texts if x) > chars
 
-def blocks(e: Element, drop: frozenset, path: str) -> list[str]:
+
+def blocks(e: Element, above: str, drop: frozenset, menus: frozenset) -> list[str]:
     """Texts of the blocks below e, in page order."""
     out: list[str] = []
     text: list[str] = []
@@ -261,71 +390,94 @@ def blocks(e: Element, drop: frozenset, path: str) -> list[str]:
             out.append(line)
         text.clear()
 
-    todo: list = [(e, path)]
+    todo: list = [(e, above)]
     while todo:
         k, path = todo.pop()
         if k is None:
             flush()
         elif isinstance(k, str):
-            if path not in drop:
-                text.append(k)
+            text.append(k)
         elif not k.skip:
             if k.tag in ("br", "img", "wbr"):
                 text.append(" " if k.tag == "br" else "")
                 continue
-            here = f"{path}/{k.label}" if drop else ""
-            block = k.tag not in INLINE
-            if block:
+            if k is not e and k.weak and mostly_links(k):
+                continue
+            here = f"{path}/{k.label}" if drop or menus else ""
+            if here in menus and mostly_links(k):
+                continue
+            kids = k.kids
+            if drop and (here, digest(own_text(k))) in drop:
+                kids = [x for x in kids if isinstance(x, Element)]
+            if k.tag not in INLINE:
                 flush()
                 todo.append((None, ""))
-            todo += [(x, here) for x in reversed(k.kids)]
+            todo += [(x, here) for x in reversed(kids)]
     flush()
     return out
 
 
 def extract(source: str | None, wrapper: dict) -> str:
     root = parse(source or "")
-    if found := containers(root):
-        return "\n".join(t for e in found for t in blocks(e, frozenset(), ""))
-    drop, main = frozenset(wrapper["drop"]), wrapper["main"].split("/")[2:]
-    part = [(root, "")]
-    for label in main:  # the wrapper's content part, as far as this page has it
-        down = [(k, f"{p}/{e.label}") for e, p in part for k in e.kids if isinstance(k, Element) and not k.skip and k.label == label]
-        if not down:
-            break
-        part = down
-    return "\n".join(t for e, p in part for t in blocks(e, drop, p))
+    found = regions(root, frozenset(wrapper["main"]))
+    if not found:  # the page has none of the wrapper's parts
+        wrapper = decisions(node_of(root))
+        found = regions(root, frozenset(wrapper["main"])) or [(root, "")]
+    some = not wrapper["tagged"]
+    drop = frozenset(map(tuple, wrapper["drop"])) if some else frozenset()
+    menus = frozenset(wrapper["menus"]) if some else frozenset()
+    return "\n".join(t for e, above in found for t in blocks(e, above, drop, menus))
 
 
 # ---- distributed form --------------------------------------------------------------------------
 
 
-def _merge(key, t: pa.Table) -> pa.Table:
-    parts = sorted(t.column("wrapper").to_pylist())
+def _added(parts: list[str]) -> list:
+    """One wrapper of pages that have the same structure."""
     out = json.loads(parts[0])
     for p in parts[1:]:
         out = merged(out, json.loads(p))
-    return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(out)]})
+    return out
+
+
+def _merge(t: pa.Table) -> list:
+    """One wrapper of all rows: those of one structure first, then structures in the order of their digests."""
+    by: dict[int, list[str]] = {}
+    for key, w in zip(t.column("key").to_pylist(), t.column("wrapper").to_pylist(), strict=True):
+        by.setdefault(key, []).append(w)
+    out = None
+    for key in sorted(by):
+        one = _added(by[key])
+        out = merged(out, one) if out else one
+    return pruned(out, RARE * out[3])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, wrapper: the host's decisions as JSON. `pages` has host, html."""
 
-    def align(batches):
+    def structures(batches):
         for batch in batches:
-            hosts: dict[str, list] = {}
+            found: dict[tuple, list] = {}
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                page = node_of(parse(source or ""))
-                hosts[host] = merged(hosts[host], page) if host in hosts else page
-            yield pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array([json.dumps(w) for w in hosts.values()], pa.string())], names=["host", "wrapper"])
+                page = node_of(parse(source or ""), xxhash.xxh32_intdigest((source or "").encode("utf-8", "surrogatepass")))
+                at = host, xxhash.xxh3_64_intdigest(json.dumps(shape(page)).encode()) >> 1
+                found[at] = merged(found[at], page) if at in found else page
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.int64()), pa.array([json.dumps(w) for w in found.values()], pa.string())],
+                names=["host", "key", "wrapper"],
+            )
+
+    def merge(salt: int):
+        return lambda key, t: pa.table({"host": [key[0].as_py()], "key": pa.array([key[1].as_py() % salt], pa.int64()), "wrapper": [json.dumps(_merge(t))]})
 
     def last(key, t):
-        out = _merge(key, t)
-        return pa.table({"host": out.column("host"), "wrapper": [json.dumps(decisions(json.loads(out.column("wrapper")[0].as_py())))]})
+        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(decisions(_merge(t)))]})
 
-    schema = "host string, wrapper string"
-    parts = pages.mapInArrow(align, schema).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALT)))
-    return parts.groupBy("host", "salt").applyInArrow(lambda k, t: _merge(k, t), schema).groupBy("host").applyInArrow(lambda k, t: last(k, t), schema)
+    schema = "host string, key long, wrapper string"
+    rows = pages.mapInArrow(structures, schema)
+    for salt in SALTS:
+        rows = rows.withColumn("salt", F.pmod("key", F.lit(salt))).groupBy("host", "salt").applyInArrow(merge(salt), schema)
+    return rows.groupBy("host").applyInArrow(last, "host string, wrapper string")
 
 
 def main_texts(spark: SparkSession, pages: DataFrame) -> DataFrame:
