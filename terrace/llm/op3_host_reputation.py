@@ -11,7 +11,7 @@ pages is one row; verdicts are made for distinct hosts and joined back.
 
 Nulls: a null url, or one without ://, has an empty host and path; such pages share the host ''. Null labels count as
 good, labels without an id are dropped, and of several labels of one id any bad one makes it bad. Repeated pages count
-each time. Other columns are ignored; empty tables give an empty result, or verdicts from the prior alone.
+each time. Very long urls are taken whole. Other columns are ignored; empty tables give an empty result, or verdicts from the prior alone.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from . import common as c
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 #: Suffixes of several parts under which domains are registered; all others have one part.
 SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.za")
-#: Standard deviations below the mean, and the rate of bad pages that blocks.
+#: Standard deviations below the mean, and the rate of bad pages that blocks: a host goes when most of its pages are bad
+#: beyond doubt. Where labels say nothing of hosts, all rates shrink to the whole's and no host goes.
 Z, BLOCK_AT = 1.645, 0.5
 
 
@@ -43,10 +44,10 @@ def listed(rules: dict[str, str]):
     return out
 
 
-def domains(hosts: DataFrame) -> DataFrame:
+def domains(hosts: DataFrame, suffixes=SUFFIXES) -> DataFrame:
     """Adds suffix and registered domain; a host that is itself a suffix is its own domain."""
     parts = F.split("host", r"\.")
-    size = F.when(F.substring_index("host", ".", -2).isin(*SUFFIXES), 2).otherwise(1)
+    size = F.when(F.substring_index("host", ".", -2).isin(*suffixes), 2).otherwise(1)
     named = hosts.withColumn("suffix", F.when(size == 2, F.substring_index("host", ".", -2)).otherwise(F.substring_index("host", ".", -1)))
     return named.withColumn("domain", F.when(F.size(parts) <= size, F.col("host")).when(size == 2, F.substring_index("host", ".", -3)).otherwise(F.substring_index("host", ".", -2)))
 
@@ -59,9 +60,9 @@ def fitted(groups: DataFrame) -> DataFrame:
     return groups.crossJoin(F.broadcast(k))  # k is one row
 
 
-def reputation(spark: SparkSession, hosts: DataFrame, scratch: c.Scratch) -> DataFrame:
+def reputation(spark: SparkSession, hosts: DataFrame, scratch: c.Scratch, suffixes=SUFFIXES) -> DataFrame:
     """(host, n, x) with rate and bound: posterior mean and lower bound of the share of bad pages."""
-    base = scratch.put(domains(hosts), "hosts")
+    base = scratch.put(domains(hosts, suffixes), "hosts")
     total = base.agg(((F.coalesce(F.sum("x"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("m"))  # one row
     sums = lambda df, *by: df.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
     mean = F.round((F.col("x") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")), 12)
@@ -74,14 +75,14 @@ def reputation(spark: SparkSession, hosts: DataFrame, scratch: c.Scratch) -> Dat
     return host.select("host", F.col("n").alias("n_labelled"), F.col("x").alias("n_bad"), F.round(rate, 9).alias("rate"), F.round(rate - Z * deviation, 9).alias("bound"))
 
 
-def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: dict[str, str] = RULES, block_at: float = BLOCK_AT) -> DataFrame:
+def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: dict[str, str] = RULES, block_at: float = BLOCK_AT, suffixes=SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict and the host's n_labelled, n_bad, rate, bound. `labels` has page_id and bad, 0 or 1."""
     scratch = c.Scratch(spark, "hosts")
     urls = scratch.put(parsed(pages), "urls")
     # an id's label is one row, so a page is counted once however often it is labelled
     known = labels.filter("page_id is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
     hosts = urls.join(known, "page_id", "left").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("x"))
-    scores = scratch.put(reputation(spark, hosts, scratch).withColumn("method", F.when(F.col("bound") >= block_at, "block").otherwise("allow")), "reputation")
+    scores = scratch.put(reputation(spark, hosts, scratch, suffixes).withColumn("method", F.when(F.col("bound") >= block_at, "block").otherwise("allow")), "reputation")
     verdict = F.element_at(F.create_map(*[F.lit(x) for r in rules.items() for x in r]), F.col("rule")) if rules else F.lit(None)
     return urls.join(scores, "host").withColumn("rule", listed(rules)).withColumn("verdict", F.coalesce(F.when(F.col("rule").isNotNull(), verdict), "method")).select("page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad", "rate", "bound")
 

@@ -5,7 +5,8 @@ but letters and digits turned into single spaces. The SHA-256 of the whole canon
 digests of known licences, which go through the same form. A document matches only as a whole.
 
 Nulls: a null text has no digest and no licence; an empty canonical form has a digest but no licence. Ids may be null
-or repeat: each row is judged alone. Other columns are ignored. An empty table gives an empty result.
+or repeat, and there are no ties: each row is judged alone. Very long texts are put in canonical form whole. Other
+columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,6 +52,22 @@ def scan(spark: SparkSession, docs: DataFrame, licences: dict[str, str] = LICENC
     return texts.join(digests, "digest", "left").select("doc_id", "canonical_chars", "digest", "license")
 
 
+def planted(spark: SparkSession, licences: dict[str, str] = LICENCES) -> DataFrame:
+    """doc_id, text: copies of each licence as they are found in the wild, with ids below zero: in capitals, in comment lines,
+    below copyright lines, with other punctuation; and one with a word more, which is no copy."""
+    known_ = spark.createDataFrame([(-10 * i, t) for i, t in enumerate(licences.values(), 1)], "n long, t string")
+    t = F.col("t")
+    lines = F.array_join(F.transform(F.split(t, "\n"), lambda x: F.concat(F.lit(" * "), x)), "\n")
+    forms = [F.upper(t), lines, F.concat(F.lit("Copyright (c) 2020 Some Body\nAll rights reserved\n\n"), t), F.regexp_replace(t, "[,;]", " - "), F.concat(t, F.lit(" and more"))]
+    return known_.select(F.posexplode(F.array(*forms)).alias("i", "text"), "n").select((F.col("n") + F.col("i")).alias("doc_id"), "text")
+
+
+def op5b_planted_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the documents and planted copies match, by licence."""
+    docs = c.table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(planted(spark))
+    return scan(spark, docs).groupBy("license").agg(F.count("*").alias("n"), F.sum((F.col("doc_id") < 0).cast("int")).alias("n_planted"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, c.table(spark, sf_dir, "documents"))
 
@@ -71,3 +88,6 @@ SELECT doc_id, CAST(length(f) AS BIGINT) AS canonical_chars, sha256(f) AS digest
 
 
 SQL = _sql()
+#: Each licence has four planted copies, and one text that isn't a copy.
+PLANTED_SQL = f"""SELECT license, CAST(count(*) AS BIGINT) + any_value(p) AS n, any_value(p) AS n_planted FROM (SELECT license, CASE WHEN license IS NULL THEN {len(LICENCES)} ELSE 4 END::BIGINT AS p FROM ({SQL})) GROUP BY license
+UNION ALL SELECT l, 4, 4 FROM (VALUES {", ".join(f"('{k}')" for k in LICENCES)}) v(l) WHERE l NOT IN (SELECT license FROM ({SQL}) WHERE license IS NOT NULL)"""

@@ -4,11 +4,12 @@ and a document that loses too much of its text, or fails the base rules, is reje
 A line with words fails if
 - punctuation: its symbols #*$%&|<> and ! number over a tenth of the characters in its words;
 - navigation: at least 4 words of which a fifth or more are separators, or a third or more repeat the word before;
-- boilerplate: it equals an earlier line of the text, or has at most 30 words and a phrase of BOILERPLATE.
+- boilerplate: it equals an earlier line of the text, or has at most 30 words and a phrase of PHRASES, in any language.
 Lines without words are kept and count for nothing. A document is rejected if over LOST of its words are in
 failing lines, or by the base rules of `judge`.
 
-A null text has no words, is not kept and stays null; ids may be null or repeat: each row is judged alone. Other
+A null text has no words, is not kept and stays null; ids may be null or repeat, and there are no ties: each row is
+judged alone. Very long texts are judged whole. Other
 columns are ignored by `judge` and kept by `keep_good`. An empty table gives an empty result.
 """
 
@@ -24,8 +25,14 @@ from . import common as c
 
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = ("|", "»", "›", "·", "•", ">", "/", "::")
-#: RE2 pattern over the line with A-Z in lower case.
-BOILERPLATE = r"all rights reserved|cookie policy|use of cookies|uses cookies|privacy policy|terms of use|terms of service|enable javascript|click here|sign up for|subscribe to our|powered by|lorem ipsum"
+#: Phrases by language; together a RE2 pattern over the line with A-Z in lower case.
+PHRASES = {
+    "en": "all rights reserved|cookie policy|use of cookies|uses cookies|privacy policy|terms of use|terms of service|enable javascript|click here|sign up for|subscribe to our|powered by|lorem ipsum",
+    "de": "alle rechte vorbehalten|verwendet cookies|verwenden cookies|datenschutzerklärung|nutzungsbedingungen|javascript aktivieren|klicken sie hier|newsletter abonnieren",
+    "fr": "tous droits réservés|utilise des cookies|politique de confidentialité|conditions d.utilisation|activer javascript|cliquez ici|abonnez-vous",
+    "es": "todos los derechos reservados|utiliza cookies|política de privacidad|términos de uso|activar javascript|haga clic aquí|suscríbase",
+}
+BOILERPLATE = "|".join(PHRASES.values())
 #: Numerator and denominator of the share of words that may go.
 LOST = (2, 5)
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_lines long, n_lines_removed long, n_words_lost long"

@@ -15,6 +15,7 @@ QUERIES = {
     "op3_host_reputation": op3_host_reputation.op3_host_reputation,
     "op4_substring_dedup": op4_substring_dedup.op4_substring_dedup,
     "op5_license_scan": op5_license_scan.op5_license_scan,
+    "op5b_planted_licences": op5_license_scan.op5b_planted_licences,
     "op6_decontaminate": op6_decontaminate.op6_decontaminate,
     "op6b_proximity": op6_decontaminate.op6b_proximity,
     "op7_quality_rules": op7_quality_rules.op7_quality_rules,
@@ -28,6 +29,7 @@ ORACLES = {
     "op3_host_reputation": op3_host_reputation.SQL,
     "op4_substring_dedup": op4_substring_dedup.SQL,
     "op5_license_scan": op5_license_scan.SQL,
+    "op5b_planted_licences": op5_license_scan.PLANTED_SQL,
     "op6_decontaminate": op6_decontaminate.SQL,
     "op7_quality_rules": op7_quality_rules.SQL,
 }

@@ -155,6 +155,38 @@ def test_host_reputation_edges(spark):
     assert {r["host"] for r in op3.judge(spark, many, op3.outcomes(bad)).filter("verdict = 'block'").collect()} == {"h0.com"}
 
 
+def test_host_reputation_shrinks_to_domain_and_suffix(spark):
+    """A host without labels has its domain's reputation, a domain without any its suffix's; suffixes are a parameter."""
+    hosts = [(f"h{k}.bad.co.zz", 40, 38) for k in range(8)] + [("new.bad.co.zz", 0, 0), ("www.other.co.zz", 30, 2), ("fresh.unseen.co.zz", 0, 0)]
+    hosts += [(f"g{k}.fine{k}.aa", 50, 2) for k in range(12)] + [("new.fine0.aa", 0, 0), ("few.bad.co.zz", 1, 0)]
+    pages, labels, n = [], [], 0
+    for h, labelled, bad in hosts:
+        for i in range(max(1, labelled)):
+            pages.append((n, f"http://{h}/{'x' * (5000 if i == 0 else 1)}"))
+            if labelled:
+                labels += [(n, int(i >= bad), 0)] * (1 + (i == 0))  # a label may come twice
+            n += 1
+    pages, labels = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    by = lambda **more: {r["host"]: r for r in op3.judge(spark, pages, op3.outcomes(labels), rules={}, **more).collect()}
+    got = by(suffixes=("co.zz",))
+    assert all(got[f"h{k}.bad.co.zz"]["verdict"] == "block" for k in range(8)) and got["www.other.co.zz"]["verdict"] == "allow"
+    assert all(got[f"g{k}.fine{k}.aa"]["verdict"] == "allow" for k in range(12))
+    assert got["new.bad.co.zz"]["rate"] > got["fresh.unseen.co.zz"]["rate"] > 0.3 > got["new.fine0.aa"]["rate"]  # domain, suffix, other suffix
+    assert 0.04 < got["new.fine0.aa"]["rate"] < 0.2 and got["few.bad.co.zz"]["rate"] > 0.5
+    assert by()["www.other.co.zz"]["rate"] != got["www.other.co.zz"]["rate"]  # co.zz as a domain of zz
+    assert by(suffixes=("co.zz",), block_at=0.0)["new.fine0.aa"]["verdict"] in ("allow", "block")
+
+
+def test_spellings_and_copyright_lines(spark):
+    for a, b in op5.SPELLINGS:
+        x, y = (spark.createDataFrame([(f"some {w} here",)], "t string").select(op5.canonical(op5.F.col("t"))).first()[0] for w in (a, b))
+        assert x == y
+    lines = ["Copyright (c) 2020 A", "(c) 2021 B", "© C", " * Copyright 1999 D", "All rights reserved.", "Copyright by E", "# copyright © F"]
+    rows = spark.createDataFrame([(f"first\n{x}\nlast",) for x in lines], "t string").select(op5.canonical(op5.F.col("t"))).collect()
+    assert {r[0] for r in rows} == {"first last"}
+    assert spark.sql("SELECT 'the copyright notice stays' AS t").select(op5.canonical(op5.F.col("t"))).first()[0] == "the copyright notice stays"
+
+
 def test_substring_dedup_edges(spark, docs, empty):
     ids = [r[0] if r[0] is not None else 2**63 for r in ROWS]
     words = [tokens(r[1]) for r in ROWS]
@@ -173,6 +205,32 @@ def test_substring_dedup_edges(spark, docs, empty):
     assert op4.remove_repeats(spark, empty).count() == 0
 
 
+def test_substring_index_is_incremental(spark, tmp_path, monkeypatch):
+    """Batches added one by one, by indexes opened anew, give what one batch gives; runs are never changed."""
+    rng = np.random.default_rng(5)
+    passages = [" ".join(f"s{p}x{i}" for i in range(30)) for p in range(6)]
+    texts = [" ".join([f"own{k}y{i}" for i in range(20)] + [passages[p] for p in rng.choice(6, 2)] + [f"end{k}"]) for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {tuple(r) for r in op4.remove_repeats(spark, df, 1, texts=True).collect()}
+    assert sum(r[2] > 0 for r in want) > 25
+    monkeypatch.setattr(op4, "MAX_RUNS", 2)
+    path, got, seen = f"file://{tmp_path}/index", set(), {}
+    digests = lambda: {str(f): hashlib.md5(f.read_bytes()).hexdigest() for f in (tmp_path / "index").rglob("*.parquet")}
+    for k in range(4):
+        index = op4.Index(spark, path, buckets=8 if k == 0 else 99)
+        assert index.buckets == 8
+        got |= {tuple(r) for r in index.add(df.filter(f"doc_id div 10 = {k}"), texts=True).collect()}
+        now = digests()
+        assert all(now[f] == d for f, d in seen.items() if f in now) and all(f in now for f in seen if "/blocks/" in f)
+        seen = now
+    assert got == want
+    assert op4.Index(spark, path).runs() == [3] and op4.Index(spark, path)._whole("compacted") == [2]
+    op4.Index(spark, path).compact()
+    assert op4.Index(spark, path).runs() == []
+    again = op4.Index(spark, path).add(spark.createDataFrame([(99, passages[0] + " new")], "doc_id long, text string"), texts=True).first()
+    assert again["kept_text"] == "new"
+
+
 def test_license_scan(spark, docs, empty, monkeypatch):
     mit = op5.LICENCES["MIT"]
     texts = [("Copyright (c) 2020 Someone\n\n" + mit.upper(),), (mit.replace(",", " ;").replace("\n", "  \n\t"),), (mit + " extra",), (None,), ("",), (op5.LICENCES["Zlib"].replace("acknowledgment", "acknowledgement"),)]
@@ -410,12 +468,64 @@ def test_wrappers(spark, sf_dir):
     assert op10.main_texts(spark, pages.limit(0)).count() == 0
 
 
+def texts_of(spark, pages, parts=1):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string").repartition(parts)
+    return [r["text"] for r in op10.main_texts(spark, df).orderBy("page_id").collect()]
+
+
+def article(r):
+    inner = r["html"].split("<article>")[1].split("</article>")[0]
+    parts = [" ".join(html.unescape(re.sub("<[^>]+>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", inner)]
+    return "\n".join(p for p in parts if p)
+
+
+def test_wrappers_decide_without_tags_and_however_pages_are_dealt(spark, sf_dir):
+    """The same pages without article, nav and footer elements or class names: the wrapper alone tells content from the rest."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    plain = lambda t: re.sub(r"<(/?)article>", r"<\1div>", t)
+    got = [texts_of(spark, [(r["url"], plain(r["html"])) for r in pages], n) for n in (1, 3, 17)]
+    assert got[0] == got[1] == got[2]
+    assert sum(x == article(r) for x, r in zip(got[0], pages, strict=True)) >= 0.95 * len(pages)
+    frame = "<html><body><ul><li><a href=/a>Home</a></li><li><a href=/b>More</a></li></ul><p>Welcome to this site</p><div><h2>{}</h2><p>{}</p><p>{}</p></div><p>All pages end so</p></body></html>"
+    words = lambda i, n: " ".join(f"w{i * 31 + k}" for k in range(n))
+    bare = [("http://bare.org/%d" % i, frame.format(words(i, 4), words(i + 50, 30), words(i + 90, 40))) for i in range(7)]
+    assert texts_of(spark, bare, 3) == ["\n".join((words(i, 4), words(i + 50, 30), words(i + 90, 40))) for i in range(7)]
+
+
+def test_wrappers_take_all_content_and_drop_nothing_else(spark):
+    long = "the same first words " * 20
+    one = lambda h, b: (f"http://{h}.org/{hash(b) % 10**6}", f"<body><nav>menu</nav>{b}<footer>end</footer></body>")
+    pages = [one("title", f"<div class=post-title>Title {i}</div><div class=post-body><p>Body {i} of the post</p><p>{long}{i}</p></div>") for i in range(4)]
+    pages += [one("entries", f"<div class=entry><p>First entry {i}</p></div><div class=entry><p>Second entry {i}</p></div>") for i in range(4)]
+    pages += [one("image", f"<div class=main-image>Picture {i}</div><div class=text><p>Body text number {i} that is much longer than the caption</p></div>") for i in range(4)]
+    code = "<article><p>Code</p><pre>x = 1 <span class='comment'># note</span></pre><div class=related><p>Text on related things</p></div><div class=related><a href=/x>Links only</a></div><div class=comments>nice</div><aside>side</aside></article>"
+    pages += [one("code", code), one("code", code.replace("note", "other")), one("code", code.replace("note", "third"))]
+    same = "<div><p>One page in many copies</p><p>Second paragraph</p></div>"
+    pages += [("http://copies.org/", f"<body>{same}</body>")] * 4
+    got = texts_of(spark, pages, 2)
+    assert got[:4] == [f"Title {i}\nBody {i} of the post\n{long}{i}" for i in range(4)]
+    assert got[4:8] == [f"First entry {i}\nSecond entry {i}" for i in range(4)]
+    assert got[8:12] == [f"Body text number {i} that is much longer than the caption" for i in range(4)]
+    assert got[12:15] == [f"Code\nx = 1 # {x}\nText on related things" for x in ("note", "other", "third")]
+    assert got[15:] == ["One page in many copies\nSecond paragraph"] * 4
+
+
 def test_wrapper_finds_optional_and_repeated_groups():
-    page = lambda n, extra="": op10.node_of(op10.parse(f"<div><h1>T{n}</h1>{extra}{'<p>x</p><hr>' * n}</div>"))
+    page = lambda n, extra="": op10.node_of(op10.parse(f"<div><h1>T{n}</h1>{extra}{'<p>x</p><hr>' * n}</div>"), n)
     w = op10.merged(op10.merged(page(2), page(3, "<em>new</em>")), page(1))
     kids = {k[0]: k for k in w[7][0][7]}
-    assert kids["h1"][4] is False and kids["em"][1] and kids["p"][2] and kids["p"][4] == "x"
-    assert json.loads(json.dumps(op10.decisions(w)))["main"] == "/#root/div/h1" or op10.decisions(w)["main"].startswith("/#root")
+    assert kids["h1"][4] is False and kids["em"][1] and kids["p"][2] and kids["p"][4] == op10.digest("x") and kids["h1"][9] == [1, 2, 3]
+    assert all(m.startswith("/#root") for m in op10.decisions(json.loads(json.dumps(w)))["main"])
+
+
+def test_long_alignments_take_linear_time():
+    rng = np.random.default_rng(2)
+    a = [f"t{x}" for x in rng.integers(0, 50_000, 30_000)]
+    b = [x for x in a if rng.random() > 0.1]
+    pairs = op10.common(a, b)
+    assert all(a[i] == b[j] for i, j in pairs) and len(pairs) > 0.95 * len(b)
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
+    assert op10.common([], ["a"]) == [] and op10.common(["a", "b", "a"], ["b", "a"]) == [(1, 0), (2, 1)]
 
 
 def test_deep_pages_keep_their_nesting():
@@ -425,7 +535,7 @@ def test_deep_pages_keep_their_nesting():
         wrapper = op10.decisions(json.loads(json.dumps(op10.node_of(root))))
         assert op10.extract(deep(n), wrapper) == "first\ndeep\nlast"
     plain = deep(130).replace("article", "section")
-    assert "no" not in op10.extract(plain, {"drop": [], "main": "/#root"}).split("\n") and op10.node_of(op10.parse(plain))[0] == "#root"
+    assert "no" not in op10.extract(plain, op10.decisions(op10.node_of(op10.parse(plain)))).split("\n") and op10.node_of(op10.parse(plain))[0] == "#root"
 
 
 def near_groups(rows, size=5, similarity=0.8):
