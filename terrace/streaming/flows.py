@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from terrace.operators import cdc
 from terrace.operators.rules import RuleSet, classify
 
+#: Folder and column that name a key's bucket.
+BUCKET = "_bucket"
+
 
 def run_available(df: DataFrame, each, checkpoint: str) -> None:
     df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
@@ -29,28 +33,49 @@ def append(stream: DataFrame, path: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: list[str], sequence: str, deletes: str) -> None:
-    """History from change events that arrive in any order. Events are kept, deletes included; each batch makes anew
-    only the keys that it touches and publishes the next version of the table. A batch that is run again overwrites its
-    own folders, so the result is the same."""
+def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: list[str], sequence: str, deletes: str, buckets: int = 32) -> None:
+    """History from change events that arrive in any order. Events are kept, deletes included, by bucket of their key; a
+    batch makes anew only the buckets that it touches, from the events of those alone, and publishes them as its version.
+    A batch that is run again overwrites its own folders, so the result is the same; a bucket's older versions go once the
+    new one is whole. With more data, more buckets keep a batch's work in proportion to the keys that it brings."""
 
     def each(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/events/batch={number}")
-        events = spark.read.schema(batch.schema).parquet(*[f"{root}/events/batch={i}" for i in range(number + 1)])
-        changed = spark.read.schema(batch.schema).parquet(f"{root}/events/batch={number}")
-        anew = cdc.scd2(events, keys, sequence, deletes)
-        if number:
-            before = spark.read.parquet(f"{root}/versions/{number - 1}")
-            anew = cdc.rebuild(before, events, changed, keys, sequence, deletes)
-        anew.write.mode("overwrite").parquet(f"{root}/versions/{number}")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        batch.withColumn(BUCKET, bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/events/batch={number}")
+        schema = StructType([*batch.schema.fields, StructField("batch", IntegerType()), StructField(BUCKET, IntegerType())])
+        events = spark.read.schema(schema).parquet(f"{root}/events").filter(F.col("batch") <= number)
+        touched = [r[BUCKET] for r in events.filter(F.col("batch") == number).select(BUCKET).distinct().collect()]  # at most `buckets` rows
+        mine = events.filter(F.col(BUCKET).isin(touched)).drop("batch")
+        cdc.scd2(mine, keys, sequence, deletes).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/versions/{number}")
+        for b in touched:  # also those that have no row left
+            _fs(spark, f"{root}/versions/{number}/{BUCKET}={b}", lambda fs, p: fs.mkdirs(p))
+        _fs(spark, f"{root}/versions/{number}/_WHOLE", lambda fs, p: fs.create(p, True).close())
+        for old, names in _versions(spark, root).items():
+            for b in touched:
+                if old < number and f"{BUCKET}={b}" in names:
+                    _fs(spark, f"{root}/versions/{old}/{BUCKET}={b}", lambda fs, p: fs.delete(p, True))
 
     run_available(stream, each, f"{root}/checkpoint")
 
 
+def _fs(spark: SparkSession, path: str, do):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return do(p.getFileSystem(spark._jsc.hadoopConfiguration()), p)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    return _fs(spark, path, lambda fs, p: sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else [])
+
+
+def _versions(spark: SparkSession, root: str) -> dict[int, list[str]]:
+    """What each version that is whole has, by its number."""
+    found = {int(v): _names(spark, f"{root}/versions/{v}") for v in _names(spark, f"{root}/versions") if v.isdigit()}
+    return {v: names for v, names in sorted(found.items()) if "_WHOLE" in names}
+
+
 def latest(spark: SparkSession, root: str) -> DataFrame:
-    """The last version of a history table that was written to its end."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    p = path(f"{root}/versions")
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = [int(s.getPath().getName()) for s in fs.listStatus(p) if fs.exists(path(s.getPath(), "_SUCCESS"))]
-    return spark.read.parquet(f"{root}/versions/{max(done)}")
+    """The history: each bucket's last version that was written to its end."""
+    last = {name: v for v, names in _versions(spark, root).items() for name in names if name.startswith(f"{BUCKET}=")}
+    paths = [f"{root}/versions/{v}/{name}" for name, v in sorted(last.items())]
+    full = [p for p in paths if any(x.endswith(".parquet") for x in _names(spark, p))]
+    return spark.read.parquet(*(full or paths))
