@@ -41,16 +41,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 @contextlib.contextmanager
 def cleaned_shuffles(spark: SparkSession):
-    """Inside, a job's shuffle files are removed as soon as its output is committed."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    """Inside, a job's shuffle files are removed as soon as its output is committed, and Python gets a thousand rows at a time,
+    as long texts make large batches."""
+    wanted = {CLEANUP: "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def file_system(spark: SparkSession, path: str):

@@ -38,7 +38,7 @@ from . import common as c
 
 WINDOW, GRAM = 13, 7
 NO_ID = np.iinfo(np.int64).max
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
+BLOCK_BYTES, BUCKET_BYTES = 5 << 20, 16 << 20
 #: Runs that an index has at most before they are made one, and batches of a single call.
 MAX_RUNS, BATCHES = 8, 2
 BLOCKS = "blk string, ids array<bigint>, counts binary, tokens binary, words binary, entries array<struct<bucket: int, keys: binary, least: binary, several: binary>>"

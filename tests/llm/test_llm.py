@@ -69,6 +69,43 @@ def test_kd_shards(spark, sf_dir, docs, empty):
     assert op1.shard(spark, empty).count() == 0
 
 
+def kd_shards(rows, shards):
+    """The shard of each row by a k-d tree in plain Python; rows are (size, one sort key a dimension)."""
+    dims = range(len(rows[0]) - 1)
+    ranks = [{i: r for r, i in enumerate(sorted(range(len(rows)), key=lambda i: rows[i][1 + d]))} for d in dims]  # noqa: B023
+    out = [0] * len(rows)
+
+    def grow(members, k, first):
+        if k == 1:
+            for i in members:
+                out[i] = first
+            return
+        spans = [max(ranks[d][i] for i in members) - min(ranks[d][i] for i in members) if members else 0 for d in dims]
+        d = max(dims, key=lambda d: (spans[d], -d))
+        goal, upto, low, ordered = sum(rows[i][0] for i in members) * (k // 2) / k, 0, 0, sorted(members, key=lambda i: ranks[d][i])
+        for low, i in enumerate(ordered):
+            before, upto = upto, upto + rows[i][0]
+            if upto >= goal:  # the cut goes to the nearer side of this row
+                low += 2 * goal >= upto + before
+                break
+        grow(ordered[:low], k // 2, first)
+        grow(ordered[low:], k - k // 2, first + k // 2)
+
+    grow(list(range(len(rows))), shards, 0)
+    return out
+
+
+def test_kd_cuts_are_those_of_a_plain_tree(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("lang", op1.F.when(op1.F.col("doc_id") % 9 > 0, op1.F.col("lang")))
+    src = df.collect()
+    size = [len((r["text"] or "").encode()) + 16 for r in src]
+    key = lambda r, x, n: (x is not None, x if x is not None else 0, r["doc_id"], zlib.crc32((r["text"] or "").encode()), n)
+    rows = [(n, *(key(r, r[d], n) for d in op1.DIMENSIONS)) for r, n in zip(src, size, strict=True)]
+    for shards in (5, 40):
+        want = dict(zip((r["doc_id"] for r in src), kd_shards(rows, shards), strict=True))
+        assert {r["doc_id"]: r["shard"] for r in op1.shard(spark, df, shards).collect()} == want
+
+
 def tree_scores(rows, least=2, discount=0.75, gain=3.0, order=4):
     """({place: score}, number of states by words) by a suffix tree in plain Python, of [(held, words)]."""
     n = collections.Counter()
