@@ -8,8 +8,13 @@ over all nodes of a level at once; a round sends one row a node to the driver.
 
 Native: DataFrame operations only. Rows carry no text: size and CRC-32 are taken in the scan.
 
-Nulls sort first along any dimension; a null text has no bytes. Repeated rows are told apart by their place and are all
-kept. Columns that aren't dimensions are ignored. An empty table gives an empty result.
+Widths are measured in ranks, as source and language have no distance; at the root all dimensions are equally wide, and
+the first is cut.
+
+Nulls sort first along any dimension; a null text has no bytes. Very long texts count with all their bytes; a shard that
+holds one may be larger than its share by that text. Ties along a dimension are told apart by id and content, and
+repeated rows by their place; all are kept. Columns that aren't dimensions are ignored by `shard` and kept by `sharded`.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -18,8 +18,9 @@ finer bands, which tell 0.8 from 0.6, and are compared in the same way; groups t
 are compared all with all, as a product of matrices, and return a link a member. Large groups are dealt out in blocks.
 
 Nulls and texts without words have fingerprint zero and are linked like any other. A null doc_id is returned, but
-never names a component unless its members have no other. Repeated rows come out as often as they went in. Other
-columns are ignored, and an empty table gives an empty result.
+never names a component unless its members have no other. Very long texts are read whole. Repeated rows come out as
+often as they went in, but for `near_dedup`, which keeps one. Other columns are ignored, or kept by `near_dedup` whatever
+their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
