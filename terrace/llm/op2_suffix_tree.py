@@ -262,12 +262,13 @@ class Scorer:
     def frozen(self) -> bytes:
         """The scorer as bytes, for the levels that are left."""
         words, word = np.unique(self.words[self.word], return_inverse=True)
-        seen = np.zeros(len(self.contexts), np.int64)
-        known = self.context >= 0
-        seen[self.context[known]] = self.seen[known]
+        known = np.flatnonzero(self.context >= 0)
+        used, one, which = distinct(self.context[known])  # few of the contexts are still in question
+        context = np.full(len(self.at), -1, np.int32)
+        context[known] = which
         rows = {"ids": self.ids, "held": self.held, "counts": c.pack(self.counts), "sums": self.sums, "base": self.base, "known": c.pack(self.known)}
         return pickle.dumps(rows | {
-            "at": c.pack_sorted(self.at), "word": c.pack(word.astype(np.uint32)), "words": c.pack_sorted(words), "context": c.pack(self.context), "contexts": c.pack(self.contexts), "seen": c.pack(seen),
+            "at": c.pack_sorted(self.at), "word": c.pack(word.astype(np.uint32)), "words": c.pack_sorted(words), "context": c.pack(context), "contexts": c.pack_sorted(self.contexts[used]), "seen": c.pack(self.seen[known][one]),
             "p": c.pack(self.p.astype(np.float32)), "open": np.packbits(self.open), "send": np.packbits(self.send), "level": self.level,
         })
 
@@ -278,7 +279,7 @@ class Scorer:
         self.ids, self.held, self.sums, self.base = x["ids"], x["held"], x["sums"], x["base"]
         self.counts, self.known = c.unpack(x["counts"], np.int64), c.unpack(x["known"], np.int64)
         self.at, self.word, self.context = c.unpack_sorted(x["at"], np.int32), c.unpack(x["word"], np.uint32).astype(np.int32), c.unpack(x["context"], np.int32)
-        self.words, self.contexts = c.unpack_sorted(x["words"], np.int64), c.unpack(x["contexts"], np.int64)
+        self.words, self.contexts = c.unpack_sorted(x["words"], np.int64), c.unpack_sorted(x["contexts"], np.int64)
         self.seen = np.where(self.context >= 0, np.append(c.unpack(x["seen"], np.int64), 0)[self.context], 0)
         self.p = c.unpack(x["p"], np.float32).astype(np.float64)
         self.open, self.send = (np.unpackbits(x[k], count=len(self.at)).astype(bool) for k in ("open", "send"))
@@ -397,8 +398,8 @@ def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, le
         _, ask, total, decide = steps(n, v, order, level, buckets, least, gain)
         sent = scratch.put(blocks.groupBy("blk").cogroup(got.groupBy("blk")).applyInArrow(ask, ENTRY), f"sent{level}")
         if level == order - 1:
-            blocks = scratch.put(sent.filter("kind = 'frozen'").select("blk", F.col("keys").alias("state")), "frozen")
             scratch.drop("blocks", "words", *[f"{x}{i}" for i in range(1, level) for x in ("pairs", "states")])
+            blocks = scratch.put(sent.filter("kind = 'frozen'").select("blk", F.col("keys").alias("state")), "frozen")
         pairs = sent.filter(F.col("kind") == f"n{level}").groupBy("bucket").applyInArrow(total, ANSWER)
         pairs = scratch.put(pairs, f"pairs{level}")
         asks = sent.filter(F.col("kind") == f"ask{level}").select("kind", "blk", "bucket", "keys", F.col("counts").alias("answer"), F.lit(buckets).cast("long").alias("n"), F.lit(None).cast("long").alias("v"))
