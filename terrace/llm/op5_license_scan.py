@@ -36,18 +36,23 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, NOT_WORD, " "))
 
 
-def known(spark: SparkSession, licences: dict[str, str] = LICENCES) -> DataFrame:
-    """digest, license: the least name of those with one canonical form."""
-    rows = spark.createDataFrame(list(licences.items()), "license string, text string")
-    return rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
-
-
-def scan(spark: SparkSession, docs: DataFrame, licences: dict[str, str] = LICENCES) -> DataFrame:
-    """doc_id, canonical_chars, digest, license of each row. The list of licences is a parameter, so its length is known here."""
+def known(spark: SparkSession, licences: dict[str, str] | DataFrame = LICENCES) -> tuple[DataFrame, int]:
+    """(digest, license), the least name of those with one canonical form, and how many licences there are. `licences` is a
+    table of license and text, or a mapping."""
+    if isinstance(licences, dict):
+        rows, n = spark.createDataFrame(list(licences.items()), "license string, text string"), len(licences)
+    else:
+        rows, n = licences.select("license", "text"), licences.count()
+    rows = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
+    return rows.filter("digest is not null").groupBy("digest").agg(F.min("license").alias("license")), n
+
+
+def scan(spark: SparkSession, docs: DataFrame, licences: dict[str, str] | DataFrame = LICENCES) -> DataFrame:
+    """doc_id, canonical_chars, digest, license of each row."""
     form = canonical(F.col("text"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), form.alias("_form")).select("doc_id", F.length("_form").cast("long").alias("canonical_chars"), F.sha2("_form", 256).alias("digest"))
-    digests = known(spark, licences)
-    if len(licences) <= BROADCAST_ROWS:
+    digests, n = known(spark, licences)
+    if n <= BROADCAST_ROWS:
         digests = F.broadcast(digests)
     return texts.join(digests, "digest", "left").select("doc_id", "canonical_chars", "digest", "license")
 

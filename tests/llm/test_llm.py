@@ -214,6 +214,18 @@ def test_host_reputation_shrinks_to_domain_and_suffix(spark):
     assert by(suffixes=("co.zz",), block_at=0.0)["new.fine0.aa"]["verdict"] in ("allow", "block")
 
 
+def test_licences_from_a_table(spark):
+    """Many licences, full-length ones among them, a null and two names of one text."""
+    long = " ".join(f"clause{i} applies" for i in range(20_000))
+    rows = [(f"L{i}", f"licence number {i} grants all rights") for i in range(3000)] + [("long", long), ("B", "same text"), ("A", "SAME  text!"), ("none", None)]
+    table = spark.createDataFrame(rows, "license string, text string")
+    docs = spark.createDataFrame([(1, "Licence number 77 grants all rights."), (2, long.upper()), (3, "same text"), (4, "licence number 77"), (5, None)], "doc_id long, text string")
+    for limit in (op5.BROADCAST_ROWS, 0):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(op5, "BROADCAST_ROWS", limit)
+            assert {r["doc_id"]: r["license"] for r in op5.scan(spark, docs, table).collect()} == {1: "L77", 2: "long", 3: "A", 4: None, 5: None}
+
+
 def test_spellings_and_copyright_lines(spark):
     for a, b in op5.SPELLINGS:
         x, y = (spark.createDataFrame([(f"some {w} here",)], "t string").select(op5.canonical(op5.F.col("t"))).first()[0] for w in (a, b))
