@@ -386,6 +386,30 @@ def _customers(spark, d, *groups):
     return governed().secure_read(summary, "customer_summary", p).select("customer_id", "status", "discount_rate")
 
 
+@query("SELECT * FROM (VALUES ('chunks', 'classification', 'role', 'classification'), ('chunks', 'department', 'role', 'department'), ('daily_sales', CAST(NULL AS VARCHAR), 'classification', 'internal')) v(table_name, column_name, tag, value)")
+def governance_tags(spark, d):
+    g = governed()
+    g.tag_table("daily_sales", classification="internal")
+    return g.tags(spark)
+
+
+@query("SELECT doc_path, CAST(chunk_index AS INTEGER) AS chunk_index FROM chunks WHERE department = 'src1' AND classification <> 'restricted'", "chunks")
+def policy_covers_later_tables(spark, d):
+    """A policy by tags filters a table that is tagged after it was made."""
+    g = governed()
+    for column in ("classification", "department"):
+        g.tag_column("chunks_copy", column, role=column)
+    return g.secure_read(fixed(spark, d), "chunks_copy", governance.Principal("x", frozenset({"dept-src1"}))).select("doc_path", "chunk_index")
+
+
+@query("SELECT * FROM (VALUES ('bronze', 'quality', 'bronze'), ('bronze', 'source', '/in/orders')) v(table_name, property, value)")
+def pipeline_properties(spark, d):
+    """Properties of tables, one from a parameter of the pipeline."""
+    p = Pipeline(spark, "orders", workspace(spark, "properties"), {"raw_path": "/in/orders"})
+    p.materialized_view(name="bronze", properties={"quality": "bronze", "source": p.parameter("raw_path")})(lambda p: orders(spark, d))
+    return p.properties()
+
+
 @query(SECURED.format("discount_rate"), "scd2", "good")
 def secured_customer_summary_pricing(spark, d):
     return _customers(spark, d, governance.PRICING)
@@ -541,6 +565,18 @@ def stream_chunks(spark, d):
     return spark.read.parquet(f"{root}/chunks").groupBy("doc_path").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(UNION, "fixed")
+def stream_chunk_union(spark, d):
+    """Both chunkers over a stream of documents, their union with its guards, appended batch by batch."""
+    root = workspace(spark, "both")
+    s = t.documents_silver(spark, d)
+    s.write.parquet(f"{root}/silver")
+    src = spark.readStream.schema(s.schema).parquet(f"{root}/silver")
+    parts = [documents.chunked(src, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(src, documents.paragraph_chunks("parsed_text"), "ai_prep_search")]
+    flows.append(documents.search_chunks(*parts), f"{root}/chunks", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/chunks").groupBy("chunk_method").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("chunk_length").alias("n_chars"))
+
+
 @query(SCD, "scd2")
 def stream_scd2_incremental(spark, d):
     """Change events in two files, the later ones first; history is kept up batch by batch."""
