@@ -136,8 +136,8 @@ def fit(sample: np.ndarray, leaves: int) -> list[tuple]:
     return nodes
 
 
-def route(fp: np.ndarray, nodes: list[tuple], limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, leaf, home): the leaf that stores each fingerprint and those that it queries.
+def route(fp: np.ndarray, nodes: list[tuple], limit: int, stored: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, leaf, home): the leaf that stores each fingerprint and those that it queries; those that aren't `stored` only query.
 
     Of a pair on both sides of a boundary the inner one goes across, so it is met once."""
     out: list[tuple] = []
@@ -157,10 +157,26 @@ def route(fp: np.ndarray, nodes: list[tuple], limit: int) -> tuple[np.ndarray, n
         go(inside, rows[to_in], home[to_in])
         go(outside, rows[to_out], home[to_out] & ~inner[to_out])
 
-    go(0, np.arange(len(fp)), np.ones(len(fp), bool))
+    go(0, np.arange(len(fp)), np.ones(len(fp), bool) if stored is None else stored)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int),) * 3
 
 
+def tree_links(fp: np.ndarray, home: np.ndarray, limit: int, leaf: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a leaf of any size: a large one is split by a tree of its own, so comparisons don't grow with its square."""
+    if len(fp) <= 4 * leaf or not home.any():
+        return leaf_links(fp, home, limit)
+    own = fp[home]
+    nodes = fit(own[:: max(1, len(own) // SAMPLE)], len(own) // leaf)
+    if not nodes:
+        return leaf_links(fp, home, limit)
+    rows, to, stored = route(fp, nodes, limit, home)
+    order = np.argsort(to, kind="stable")
+    rows, to, stored = rows[order], to[order], stored[order]
+    cut = np.append(c.group_starts(to), len(to))
+    found = [leaf_links(fp[rows[x:y]], stored[x:y].astype(bool), limit) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def leaf_links(fp: np.ndarray, home: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (fp, least fp tied to it in this leaf). Queries are compared with stored rows, stored ones also with each other."""
     if len(fp) < 2:
@@ -221,7 +237,7 @@ def links(spark: SparkSession, distinct: DataFrame, limit: int = LIMIT, sample:
 
     def compare(key, t):
         fp, home = c.column(t, "fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), c.column(t, "home").to_numpy(zero_copy_only=False).astype(bool)
-        a, b = leaf_links(fp, home, limit)
+        a, b = tree_links(fp, home, limit, leaf)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return distinct.mapInArrow(send, "leaf int, fp long, home boolean").groupBy("leaf").applyInArrow(compare, "a long, b long")

@@ -474,13 +474,14 @@ def test_simhash(spark, docs, empty):
     assert sorted(r["doc_id"] for r in op9.near_dedup(spark, ties).collect()) == [1, 3]
 
 
-@pytest.mark.parametrize("spread", (2, 12))
-def test_vantage_point_links_are_complete(spark, spread):
+@pytest.mark.parametrize(("spread", "sample"), ((2, op9.SAMPLE), (12, op9.SAMPLE), (2, 32)))
+def test_vantage_point_links_are_complete(spark, spread, sample):
+    """Also where the sample allows few leaves only, which are then split by trees of their own."""
     rng = np.random.default_rng(spread)
     base = rng.integers(0, 2**63, 60, dtype=np.uint64)
     fps = {int(b) ^ int(sum(1 << int(k) for k in rng.choice(63, rng.integers(0, spread), replace=False))) for b in base for _ in range(12)}
     df = spark.createDataFrame([(x,) for x in fps], "fp long")
-    edges = op9.links(spark, df, leaf=16)
+    edges = op9.links(spark, df, sample=sample, leaf=16)
     labels = {r["node"]: r["label"] for r in op9.components(op9.c.Scratch(spark, "t"), edges).collect()}
     order = sorted(fps)
     root = {x: x for x in order}
