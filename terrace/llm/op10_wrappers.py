@@ -90,7 +90,8 @@ class Element:
 
     @property
     def label(self) -> str:
-        return self.tag + "".join(f".{n}" for n in self.names if not n.isdigit())
+        """What elements match by: tag and names, but for the elements whose names often tell of the page and not of the part."""
+        return self.tag if self.tag in ("html", "body", "article", "main") else self.tag + "".join(f".{n}" for n in self.names if not n.isdigit())
 
 
 def parse(source: str) -> Element:

@@ -552,6 +552,8 @@ def test_wrappers_take_all_content_and_drop_nothing_else(spark):
     pages += [one("code", code), one("code", code.replace("note", "other")), one("code", code.replace("note", "third"))]
     same = "<div><p>One page in many copies</p><p>Second paragraph</p></div>"
     pages += [("http://copies.org/", f"<body>{same}</body>")] * 4
+    many = [(f"http://tags.org/{i}", f"<body class='single tag-t{i}'><p>Welcome</p><article class='post topic-{chr(97 + i % 26)}{chr(97 + i // 26)}'><h1>T{i}</h1><p>Body {i}</p></article><p>Read more</p></body>") for i in range(300)]
+    assert texts_of(spark, many, 3) == [f"T{i}\nBody {i}" for i in range(300)]
     got = texts_of(spark, pages, 2)
     assert got[:4] == [f"Title {i}\nBody {i} of the post\n{long}{i}" for i in range(4)]
     assert got[4:8] == [f"First entry {i}\nSecond entry {i}" for i in range(4)]
