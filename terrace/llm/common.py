@@ -186,18 +186,29 @@ def starts_inside(counts: np.ndarray, k: int) -> np.ndarray:
 # ---- packed arrays -----------------------------------------------------------------------------
 
 
+SHRINK, GROW = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(a: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, then zstd."""
-    a = np.ascontiguousarray(a)
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes()) if len(a) else b""
+    """Bytes of equal weight side by side, each weight a zstd frame of its own; weights that are zero throughout take no space."""
+    if not len(a):
+        return b""
+    weights = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T
+    frames = [SHRINK.compress(w.tobytes()) if w.any() else b"" for w in weights]
+    return np.array([len(a), *map(len, frames)], np.uint32).tobytes() + b"".join(frames)
 
 
 def unpack(b: bytes, dtype) -> np.ndarray:
     dtype = np.dtype(dtype)
     if not b:
         return np.zeros(0, dtype)
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    return np.ascontiguousarray(raw.reshape(dtype.itemsize, -1).T).view(dtype).ravel()
+    n, *sizes = np.frombuffer(b, np.uint32, 1 + dtype.itemsize).tolist()
+    out, at = np.zeros((n, dtype.itemsize), np.uint8), 4 * (1 + dtype.itemsize)
+    for i, size in enumerate(sizes):
+        if size:
+            out[:, i] = np.frombuffer(GROW.decompress(b[at : at + size]), np.uint8)
+            at += size
+    return out.view(dtype).ravel()
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
