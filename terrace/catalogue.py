@@ -94,7 +94,11 @@ def quality_summary(spark, d):
     return gold.quality_summary(rules.classify(orders(spark, d), ORDER_RULES), ORDER_RULES.names())
 
 
-@query("SELECT count(*) AS n_rows, count(*) FILTER (order_id IS NULL) AS order_id_present, count(*) FILTER (amount IS NULL) AS amount_present FROM bronze_orders", "bronze_orders")
+@query(
+    "SELECT count(*) AS n_rows, count(*) FILTER (order_id IS NULL) AS order_id_present, "
+    "count(*) FILTER (amount IS NULL) AS amount_present FROM bronze_orders",
+    "bronze_orders",
+)
 def bronze_warn_metrics(spark, d):
     seen = Observation(f"warn-{uuid.uuid4().hex[:8]}")
     rules.warn(orders(spark, d), rules.RuleSet(rules.BRONZE_ORDER_WARN_RULES), seen).write.format("noop").mode("overwrite").save()
@@ -102,7 +106,12 @@ def bronze_warn_metrics(spark, d):
     return spark.createDataFrame([(got["rows"], got["order_id_present"], got["amount_present"])], "n_rows long, order_id_present long, amount_present long")
 
 
-@query(f"SELECT CAST(order_date AS VARCHAR) AS order_date, region, status, count(order_id) AS order_count, round(sum(amount), 2) AS total_amount, {half_up('sum(CAST(amount AS DECIMAL(18, 4))) / count(amount)', 2)} AS avg_amount, round(avg(discount_rate), 4) AS avg_discount_rate FROM good GROUP BY order_date, region, status", "good")
+@query(
+    "SELECT CAST(order_date AS VARCHAR) AS order_date, region, status, count(order_id) AS order_count, round(sum(amount), "
+    f"2) AS total_amount, {half_up('sum(CAST(amount AS DECIMAL(18, 4))) / count(amount)', 2)} AS avg_amount, round(avg(discount_rate), "
+    "4) AS avg_discount_rate FROM good GROUP BY order_date, region, status",
+    "good",
+)
 def daily_sales_by_region(spark, d):
     return text(gold.daily_sales(good(spark, d)).withColumn("total_amount", F.round("total_amount", 2)))
 
@@ -122,7 +131,10 @@ LINES = "SELECT l_orderkey || '-' || l_linenumber AS order_id, CAST(l_suppkey AS
 
 def lines(spark, d):
     li = t.table(spark, d, "lineitem")
-    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"), F.col("l_suppkey").cast("string").alias("customer_id"), F.col("l_extendedprice").alias("amount"))
+    return li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"), F.col("l_suppkey").cast("string").alias("customer_id"),
+        F.col("l_extendedprice").alias("amount"),
+    )
 
 
 @query(LINES)
@@ -130,7 +142,10 @@ def order_quality_gate(spark, d):
     return gold.order_gate(lines(spark, d))
 
 
-@query(f"SELECT count(*) AS n_rows, count(*) FILTER (dup_count <> 1) AS no_duplicate_order_id, count(*) FILTER (NOT coalesce(amount > 0, false)) AS amount_still_positive, count(*) FILTER (customer_id IS NULL) AS customer_id_still_present FROM ({LINES})")
+@query(
+    "SELECT count(*) AS n_rows, count(*) FILTER (dup_count <> 1) AS no_duplicate_order_id, count(*) FILTER (NOT coalesce(amount > 0, "
+    f"false)) AS amount_still_positive, count(*) FILTER (customer_id IS NULL) AS customer_id_still_present FROM ({LINES})",
+)
 def gate_violations(spark, d):
     gate = rules.RuleSet(rules.ORDER_GATE_RULES)
     return gold.order_gate(lines(spark, d)).agg(F.count(F.lit(1)).alias("n_rows"), *(F.count_if(~gate.ok(n)).alias(n) for n in gate.rules))
@@ -139,7 +154,11 @@ def gate_violations(spark, d):
 # ---- personal data -----------------------------------------------------------------------------
 
 
-@query(f"SELECT order_id, substring(payment_card_number, -4, 4) AS payment_card_last4, sha256(payment_card_number || '{t.SALT}') AS payment_card_hash FROM bronze_orders", "bronze_orders")
+@query(
+    "SELECT order_id, substring(payment_card_number, -4, 4) AS payment_card_last4, "
+    f"sha256(payment_card_number || '{t.SALT}') AS payment_card_hash FROM bronze_orders",
+    "bronze_orders",
+)
 def card_tokenize(spark, d):
     return pii.tokenized_card(t.bronze_orders(spark, d), t.SALT).select("order_id", "payment_card_last4", "payment_card_hash")
 
@@ -148,7 +167,14 @@ def card_tokenize(spark, d):
 coalesce(email IS NOT NULL AND regexp_matches(email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'), false) AS email_ok FROM people""", "people")
 def pii_mask_customers(spark, d):
     valid_mail = F.coalesce(F.expr(rules.CUSTOMER_RULES["valid_email_format"]), F.lit(False))
-    return t.customers(spark, d).select("customer_id", pii.hashed("email", t.SALT).alias("email_hash"), pii.masked_phone("phone").alias("phone_masked"), pii.birth_year("birth_date").alias("birth_year"), F.col("region").alias("address_region"), valid_mail.alias("email_ok"))
+    return (
+        t.customers(spark, d)
+        .select(
+            "customer_id", pii.hashed("email", t.SALT).alias("email_hash"), pii.masked_phone("phone").alias("phone_masked"),
+            pii.birth_year("birth_date").alias("birth_year"), F.col("region").alias("address_region"),
+            valid_mail.alias("email_ok"),
+        )
+    )
 
 
 # ---- change data -------------------------------------------------------------------------------
@@ -166,7 +192,11 @@ def scd2_current(spark, d):
     return history(spark, d).filter("__END_AT IS NULL")
 
 
-@query("SELECT customer_id, status, score, operation, updated_at FROM cdc QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) = 1 AND operation <> 'DELETE'", "cdc")
+@query(
+    "SELECT customer_id, status, score, operation, updated_at FROM cdc QUALIFY row_number() OVER (PARTITION BY customer_id "
+    "ORDER BY updated_at DESC) = 1 AND operation <> 'DELETE'",
+    "cdc",
+)
 def scd1_current(spark, d):
     return cdc.scd1(t.customers_cdc(spark, d), ["customer_id"], "updated_at", "operation = 'DELETE'")
 
@@ -193,7 +223,10 @@ ELSE 'no correction known for: ' || array_to_string(violated_rules, ', ') END AS
 
 @query(f"SELECT order_id, {RULES_TEXT}, resolution_status, correction_note FROM ({DECIDED})", "bad")
 def reprocess_decisions(spark, d):
-    return quarantine.decided(bad(spark, d)).select("order_id", F.array_join("violated_rules", ",").alias("violated_rules"), "resolution_status", "correction_note")
+    return (
+        quarantine.decided(bad(spark, d))
+        .select("order_id", F.array_join("violated_rules", ",").alias("violated_rules"), "resolution_status", "correction_note")
+    )
 
 
 @query(f"""SELECT order_id, customer_id, CAST(CASE WHEN list_contains(violated_rules, 'order_date_not_future') THEN DATE '{t.ORDERS_AS_OF}' ELSE order_date END AS VARCHAR) AS order_date, CASE WHEN list_contains(violated_rules, 'positive_amount') THEN abs(amount) ELSE amount END AS amount,
@@ -224,23 +257,39 @@ def fixed(spark, d):
     return documents.search_chunks(documents.chunked(t.documents_silver(spark, d), documents.fixed_chunks("parsed_text"), "fixed_overlap"))
 
 
-@query("SELECT doc_path, regexp_extract(doc_path, '.*/raw_documents/([^/]+)/([^/]+)/[^/]+$', 1) AS department, regexp_extract(doc_path, '.*/raw_documents/([^/]+)/([^/]+)/[^/]+$', 2) AS classification, string_split(doc_path, '/')[-1] AS file_name, string_split(doc_path, '.')[-1] AS file_extension FROM silver", "silver")
+@query(
+    "SELECT doc_path, regexp_extract(doc_path, '.*/raw_documents/([^/]+)/([^/]+)/[^/]+$', 1) AS department, regexp_extract(doc_path, "
+    "'.*/raw_documents/([^/]+)/([^/]+)/[^/]+$', 2) AS classification, string_split(doc_path, '/')[-1] AS file_name, "
+    "string_split(doc_path, '.')[-1] AS file_extension FROM silver",
+    "silver",
+)
 def doc_path_attributes(spark, d):
     return t.documents_silver(spark, d).select("doc_path", *[v.alias(k) for k, v in document_attributes("doc_path").items()])
 
 
-@query("SELECT CASE WHEN lower(string_split(doc_path, '.')[-1]) IN ('txt', 'md') THEN 'utf8_decode' ELSE 'ai_parse_document' END AS parse_method, count(*) AS n, CAST(sum(length(parsed_text)) AS BIGINT) AS n_chars FROM silver WHERE length(parsed_text) > 0 GROUP BY 1", "silver")
+@query(
+    "SELECT CASE WHEN lower(string_split(doc_path, '.')[-1]) IN ('txt', "
+    "'md') THEN 'utf8_decode' ELSE 'ai_parse_document' END AS parse_method, count(*) AS n, "
+    "CAST(sum(length(parsed_text)) AS BIGINT) AS n_chars FROM silver WHERE length(parsed_text) > 0 GROUP BY 1",
+    "silver",
+)
 def parse_method_dispatch(spark, d):
     """Plain files are decoded; here the extractor of all others gives the decoded content's paragraphs as pages."""
     s = t.documents_silver(spark, d)
-    files = s.select(F.col("doc_path").alias("path"), F.encode("parsed_text", "UTF-8").alias("content"), F.octet_length("parsed_text").cast("long").alias("length"), F.col("ingestion_time").alias("modificationTime"))
+    files = s.select(
+        F.col("doc_path").alias("path"), F.encode("parsed_text", "UTF-8").alias("content"),
+        F.octet_length("parsed_text").cast("long").alias("length"), F.col("ingestion_time").alias("modificationTime"),
+    )
     parsed = documents.parsed_documents(documents.bronze_documents(files, t.now()), lambda c: F.split(F.decode(c, "UTF-8"), "\n\n"))
     return parsed.groupBy("parse_method").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("parsed_text")).alias("n_chars"))
 
 
 @query("SELECT doc_path, CAST(chunk_index AS INTEGER) AS chunk_index, chunk_text, chunk_method FROM fixed", "fixed")
 def fixed_overlap_chunks(spark, d):
-    return documents.chunked(t.documents_silver(spark, d), documents.fixed_chunks("parsed_text"), "fixed_overlap").select("doc_path", "chunk_index", "chunk_text", "chunk_method")
+    return (
+        documents.chunked(t.documents_silver(spark, d), documents.fixed_chunks("parsed_text"), "fixed_overlap")
+        .select("doc_path", "chunk_index", "chunk_text", "chunk_method")
+    )
 
 
 @query("SELECT chunk_id, doc_path, CAST(chunk_index AS INTEGER) AS chunk_index FROM chunks", "chunks")
@@ -248,12 +297,22 @@ def chunk_ids(spark, d):
     return fixed(spark, d).select("chunk_id", "doc_path", "chunk_index")
 
 
-@query("SELECT department, classification, count(DISTINCT doc_path) AS document_count, count(chunk_id) AS chunk_count, CAST(round(CAST(avg(chunk_length) AS DECIMAL(30, 8)), 1) AS DOUBLE) AS avg_chunk_length, strftime(max(ingestion_time), '%Y-%m-%d %H:%M:%S') AS last_ingested_at FROM chunks GROUP BY 1, 2", "chunks")
+@query(
+    "SELECT department, classification, count(DISTINCT doc_path) AS document_count, count(chunk_id) AS chunk_count, "
+    "CAST(round(CAST(avg(chunk_length) AS DECIMAL(30, 8)), 1) AS DOUBLE) AS avg_chunk_length, strftime(max(ingestion_time), "
+    "'%Y-%m-%d %H:%M:%S') AS last_ingested_at FROM chunks GROUP BY 1, 2",
+    "chunks",
+)
 def chunk_metrics_by_department(spark, d):
     return text(documents.metrics_by_department(fixed(spark, d)))
 
 
-@query("SELECT chunk_method, count(DISTINCT doc_path) AS document_count, count(chunk_id) AS chunk_count, CAST(round(CAST(avg(chunk_length) AS DECIMAL(30, 8)), 1) AS DOUBLE) AS avg_chunk_length, round(stddev_samp(chunk_length), 1) AS stddev_chunk_length FROM chunks GROUP BY 1", "chunks")
+@query(
+    "SELECT chunk_method, count(DISTINCT doc_path) AS document_count, count(chunk_id) AS chunk_count, "
+    "CAST(round(CAST(avg(chunk_length) AS DECIMAL(30, 8)), 1) AS DOUBLE) AS avg_chunk_length, round(stddev_samp(chunk_length), "
+    "1) AS stddev_chunk_length FROM chunks GROUP BY 1",
+    "chunks",
+)
 def chunk_metrics_by_method(spark, d):
     return documents.metrics_by_method(fixed(spark, d))
 
@@ -263,7 +322,11 @@ def chunk_id_uniqueness(spark, d):
     return fixed(spark, d).agg(F.count(F.lit(1)).alias("chunks"), F.count_distinct("chunk_id").alias("ids"))
 
 
-@query("SELECT chunk_id, strftime(ingestion_time, '%Y-%m-%d %H:%M:%S') AS ingestion_time FROM chunks ORDER BY chunks.ingestion_time DESC, chunk_id LIMIT 20", "chunks")
+@query(
+    "SELECT chunk_id, strftime(ingestion_time, '%Y-%m-%d %H:%M:%S') AS ingestion_time FROM chunks "
+    "ORDER BY chunks.ingestion_time DESC, chunk_id LIMIT 20",
+    "chunks",
+)
 def newest_chunks(spark, d):
     return text(documents.newest_chunks(fixed(spark, d)).select("chunk_id", "ingestion_time"))
 
@@ -294,12 +357,19 @@ def chunk_union(spark, d):
 MANY = "SELECT doc_path, unnest({}) AS chunk_text FROM (SELECT doc_path, replace(parsed_text, chr(10), chr(10) || chr(10)) AS parsed_text FROM silver WHERE length(trim(parsed_text)) > 0)"
 
 
-@query(f"SELECT doc_path, count(*) AS n_chunks, md5(string_agg(chunk_text, '|' ORDER BY chunk_text)) AS digest FROM ({MANY.format(PACKED)}) GROUP BY 1", "silver")
+@query(
+    "SELECT doc_path, count(*) AS n_chunks, md5(string_agg(chunk_text, '|' ORDER BY chunk_text)) AS digest "
+    f"FROM ({MANY.format(PACKED)}) GROUP BY 1",
+    "silver",
+)
 def paragraph_packing(spark, d):
     """Chunks of texts whose lines are paragraphs."""
     s = t.documents_silver(spark, d).withColumn("parsed_text", F.replace("parsed_text", F.lit("\n"), F.lit("\n\n")))
     chunks = documents.chunked(s, documents.paragraph_chunks("parsed_text"), "ai_prep_search")
-    return chunks.groupBy("doc_path").agg(F.count(F.lit(1)).alias("n_chunks"), F.md5(F.array_join(F.array_sort(F.collect_list("chunk_text")), "|")).alias("digest"))
+    return (
+        chunks.groupBy("doc_path")
+        .agg(F.count(F.lit(1)).alias("n_chunks"), F.md5(F.array_join(F.array_sort(F.collect_list("chunk_text")), "|")).alias("digest"))
+    )
 
 
 @query("""SELECT chunk_id, CAST(length(chunk_text) + (CASE WHEN chunk_index % 3 = 0 THEN 4 ELSE 0 END) AS DOUBLE) AS n_chars, chunk_index % 3 = 0 OR chunk_index % 3 = 1 AS made_now
@@ -314,7 +384,10 @@ def vector_sync(spark, d):
     return out.select("chunk_id", F.get("embedding", F.lit(0)).alias("n_chars"), (F.get("embedding", F.lit(1)) == 1).alias("made_now"))
 
 
-@query("SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings ORDER BY vec_id LIMIT 1)), 6) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 5")
+@query(
+    "SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings "
+    "ORDER BY vec_id LIMIT 1)), 6) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 5",
+)
 def vector_topk(spark, d):
     e = t.table(spark, d, "embeddings")
     return vector.top_k(e, e.orderBy("vec_id").limit(1)).select("vec_id", "score")
@@ -382,11 +455,18 @@ LEFT JOIN (SELECT customer_id, round(avg(discount_rate), 4) AS discount_rate FRO
 
 def _customers(spark, d, *groups):
     p = governance.Principal("x", frozenset(groups))
-    summary = gold.customer_summary(history(spark, d).withColumn("status", F.when(F.col("status") == "view", "CHURNED").otherwise(F.col("status"))), good(spark, d), ["status"])
+    summary = gold.customer_summary(
+        history(spark, d).withColumn("status", F.when(F.col("status") == "view", "CHURNED").otherwise(F.col("status"))),
+        good(spark, d), ["status"],
+    )
     return governed().secure_read(summary, "customer_summary", p).select("customer_id", "status", "discount_rate")
 
 
-@query("SELECT * FROM (VALUES ('chunks', 'classification', 'role', 'classification'), ('chunks', 'department', 'role', 'department'), ('daily_sales', CAST(NULL AS VARCHAR), 'classification', 'internal')) v(table_name, column_name, tag, value)")
+@query(
+    "SELECT * "
+    "FROM (VALUES ('chunks', 'classification', 'role', 'classification'), ('chunks', 'department', 'role', 'department'), "
+    "('daily_sales', CAST(NULL AS VARCHAR), 'classification', 'internal')) v(table_name, column_name, tag, value)",
+)
 def governance_tags(spark, d):
     g = governed()
     g.tag_table("daily_sales", classification="internal")
@@ -443,7 +523,11 @@ def ingested(spark, d, kind: str, batches, read, bronze):
     return spark.read.parquet(f"{root}/bronze")
 
 
-@query("SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, amount, region, substring(payment_card_number, -4, 4) AS payment_card_last4, false AS reprocessed_from_quarantine FROM bronze_orders", "bronze_orders")
+@query(
+    "SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, amount, region, substring(payment_card_number, -4, "
+    "4) AS payment_card_last4, false AS reprocessed_from_quarantine FROM bronze_orders",
+    "bronze_orders",
+)
 def ingest_json_orders(spark, d):
     """Orders as JSON lines; the second batch brings a column that the first lacks, so only that one has regions."""
     o = t.bronze_orders(spark, d)
@@ -497,7 +581,10 @@ def resolution_log_attempts(spark, d):
         log = files.table_scan(spark, name)
         entries = quarantine.reprocess(q.withColumn("quarantined_at", came), log, F.lit(t.ORDERS_AS_OF).cast("date"), F.lit(day).cast("timestamp") + F.expr("INTERVAL 1 DAY"))[1]
         files.append_table(entries, name)
-    return files.table_scan(spark, name).select("order_id", F.array_join("violated_rules", ",").alias("violated_rules"), "resolution_status", "correction_note", "reprocess_count")
+    return (
+        files.table_scan(spark, name)
+        .select("order_id", F.array_join("violated_rules", ",").alias("violated_rules"), "resolution_status", "correction_note", "reprocess_count")
+    )
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' OR c_name = 'it''s'")
@@ -547,7 +634,11 @@ def graph_expectations(spark, d):
 # ---- streams -----------------------------------------------------------------------------------
 
 
-@query("SELECT (len(violated_rules) = 0) AS ok, count(*) AS n FROM (SELECT list_filter([CASE WHEN o_totalprice <= 1500 THEN 'a' END, CASE WHEN o_orderstatus = 'P' THEN 'b' END], lambda x: x IS NOT NULL) AS violated_rules FROM orders) GROUP BY 1")
+@query(
+    "SELECT (len(violated_rules) = 0) AS ok, count(*) AS n "
+    "FROM (SELECT list_filter([CASE WHEN o_totalprice <= 1500 THEN 'a' END, CASE WHEN o_orderstatus = 'P' THEN 'b' END], "
+    "lambda x: x IS NOT NULL) AS violated_rules FROM orders) GROUP BY 1",
+)
 def stream_orders_split(spark, d):
     root = workspace(spark, "split")
     o = spark.readStream.schema(t.table(spark, d, "orders").schema).option("pathGlobFilter", "orders.parquet").parquet(d)
@@ -559,8 +650,17 @@ def stream_orders_split(spark, d):
 @query("SELECT CAST(conv_id AS VARCHAR) AS doc_path, count(*) AS n FROM (SELECT conv_id, unnest(range(0, length(text), 600)) FROM conversations) GROUP BY 1")
 def stream_chunks(spark, d):
     root = workspace(spark, "chunks")
-    src = spark.readStream.schema(t.table(spark, d, "conversations").schema).option("pathGlobFilter", "conversations.parquet").option("recursiveFileLookup", False).parquet(d)
-    docs = src.select(F.col("conv_id").cast("string").alias("doc_path"), F.col("role").alias("department"), F.lit("internal").alias("classification"), F.lit("x").alias("file_name"), F.current_timestamp().alias("ingestion_time"), "text")
+    src = (
+        spark.readStream.schema(t.table(spark, d, "conversations").schema)
+        .option("pathGlobFilter", "conversations.parquet")
+        .option("recursiveFileLookup", False)
+        .parquet(d)
+    )
+    docs = src.select(
+        F.col("conv_id").cast("string").alias("doc_path"), F.col("role").alias("department"),
+        F.lit("internal").alias("classification"), F.lit("x").alias("file_name"), F.current_timestamp().alias("ingestion_time"),
+        "text",
+    )
     flows.append(documents.chunked(docs, documents.fixed_chunks("text"), "fixed_overlap"), f"{root}/chunks", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/chunks").groupBy("doc_path").agg(F.count(F.lit(1)).alias("n"))
 
@@ -572,7 +672,10 @@ def stream_chunk_union(spark, d):
     s = t.documents_silver(spark, d)
     s.write.parquet(f"{root}/silver")
     src = spark.readStream.schema(s.schema).parquet(f"{root}/silver")
-    parts = [documents.chunked(src, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(src, documents.paragraph_chunks("parsed_text"), "ai_prep_search")]
+    parts = [
+        documents.chunked(src, documents.fixed_chunks("parsed_text"), "fixed_overlap"),
+        documents.chunked(src, documents.paragraph_chunks("parsed_text"), "ai_prep_search"),
+    ]
     flows.append(documents.search_chunks(*parts), f"{root}/chunks", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/chunks").groupBy("chunk_method").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("chunk_length").alias("n_chars"))
 
@@ -596,17 +699,31 @@ def stamp(c: str, name: str) -> str:
     return f"strftime({c}, '{STAMP}') AS {name}"
 
 
-@query(f"SELECT count(*) AS failed_task_count, {stamp('max(period_start_time)', 'latest_failure_time')}, max(job_id) AS sample_job_id, max(task_key) AS sample_task_key FROM runs WHERE result_state = 'FAILED' AND period_start_time > {NOW} - INTERVAL 1 DAY", "runs")
+@query(
+    f"SELECT count(*) AS failed_task_count, {stamp('max(period_start_time)', 'latest_failure_time')}, max(job_id) AS sample_job_id, "
+    f"max(task_key) AS sample_task_key FROM runs WHERE result_state = 'FAILED' AND period_start_time > {NOW} - INTERVAL 1 DAY",
+    "runs",
+)
 def alert_failed_tasks(spark, d):
     return text(m.failed_tasks(t.job_runs(spark, d), t.now()))
 
 
-@query(f"SELECT count(*) AS failed_update_count, {stamp('max(period_start_time)', 'latest_failure_time')}, max(pipeline_id) AS sample_pipeline_id FROM updates WHERE result_state = 'FAILED' AND period_start_time > {NOW} - INTERVAL 10 MINUTE", "updates")
+@query(
+    f"SELECT count(*) AS failed_update_count, {stamp('max(period_start_time)', 'latest_failure_time')}, "
+    "max(pipeline_id) AS sample_pipeline_id FROM updates "
+    f"WHERE result_state = 'FAILED' AND period_start_time > {NOW} - INTERVAL 10 MINUTE",
+    "updates",
+)
 def alert_failed_updates(spark, d):
     return text(m.failed_updates(t.pipeline_updates(spark, d), t.now()))
 
 
-@query(f"SELECT count(*) AS stale_job_count, max(job_id) AS sample_job_id, {stamp('min(l)', 'oldest_last_success_time')} FROM (SELECT job_id, max(period_start_time) AS l FROM runs WHERE result_state = 'SUCCESS' GROUP BY 1) WHERE l < {NOW} - INTERVAL 24 HOUR", "runs")
+@query(
+    f"SELECT count(*) AS stale_job_count, max(job_id) AS sample_job_id, {stamp('min(l)', 'oldest_last_success_time')} "
+    "FROM (SELECT job_id, max(period_start_time) AS l FROM runs WHERE result_state = 'SUCCESS' GROUP BY 1) "
+    f"WHERE l < {NOW} - INTERVAL 24 HOUR",
+    "runs",
+)
 def alert_stale_jobs(spark, d):
     return text(m.stale_jobs(t.job_runs(spark, d), t.now()))
 
@@ -614,7 +731,11 @@ def alert_stale_jobs(spark, d):
 MIN = "date_sub('minute', period_start_time, period_end_time)"
 
 
-@query(f"SELECT count(*) AS long_running_count, max(job_id) AS sample_job_id, max(run_id) AS sample_run_id, max({MIN}) AS max_duration_minutes FROM runs WHERE period_start_time > {NOW} - INTERVAL 1 DAY AND {MIN} > 15", "runs")
+@query(
+    "SELECT count(*) AS long_running_count, max(job_id) AS sample_job_id, max(run_id) AS sample_run_id, "
+    f"max({MIN}) AS max_duration_minutes FROM runs WHERE period_start_time > {NOW} - INTERVAL 1 DAY AND {MIN} > 15",
+    "runs",
+)
 def alert_long_runs(spark, d):
     return m.long_runs(t.job_runs(spark, d), t.now())
 
@@ -637,17 +758,33 @@ def alert_cost_by_warehouse(spark, d):
     return m.cost_change_by_warehouse(t.billing(spark, d), t.warehouses(spark, d), t.today())
 
 
-@query(f"SELECT count(*) AS breach_flag, max(n) AS total_runs, round(max(r), 2) AS success_rate_pct FROM (SELECT n, g * 100.0::DOUBLE / nullif(n, 0) AS r FROM (SELECT count(*) AS n, count(*) FILTER (result_state = 'SUCCESS') AS g FROM runs WHERE period_start_time >= {TODAY} - 7)) WHERE r < 99", "runs")
+@query(
+    "SELECT count(*) AS breach_flag, max(n) AS total_runs, round(max(r), 2) AS success_rate_pct "
+    "FROM (SELECT n, g * 100.0::DOUBLE / nullif(n, 0) AS r FROM (SELECT count(*) AS n, count(*) FILTER (result_state = 'SUCCESS') AS g "
+    f"FROM runs WHERE period_start_time >= {TODAY} - 7)) WHERE r < 99",
+    "runs",
+)
 def alert_success_rate(spark, d):
     return m.success_rate(t.job_runs(spark, d), t.today())
 
 
-@query(f"SELECT count(*) AS freshness_breach_flag, {stamp('max(l)', 'last_update_time')}, round(max(date_sub('minute', l, {NOW}) / 60), 2) AS freshness_delay_hours FROM (SELECT max(event_time) AS l FROM lineage WHERE target_table_full_name = 'main.sales.p7') WHERE date_sub('minute', l, {NOW}) > 15", "lineage")
+@query(
+    f"SELECT count(*) AS freshness_breach_flag, {stamp('max(l)', 'last_update_time')}, round(max(date_sub('minute', l, {NOW}) / 60), "
+    "2) AS freshness_delay_hours FROM (SELECT max(event_time) AS l FROM lineage WHERE target_table_full_name = 'main.sales.p7') "
+    f"WHERE date_sub('minute', l, {NOW}) > 15",
+    "lineage",
+)
 def alert_freshness(spark, d):
     return text(m.freshness(t.lineage(spark, d), "main.sales.p7", t.now()))
 
 
-@query(f"SELECT count(*) AS breach_flag, max(quarantine_count) AS quarantine_count, max(total_count) AS total_count, round(max(quarantine_count * 100.0::DOUBLE / nullif(total_count, 0)), 2) AS failure_rate_pct FROM (SELECT DISTINCT quarantine_count, total_count FROM ({SUMMARY})) WHERE quarantine_count * 100.0 / nullif(total_count, 0) > 1", "good", "bad")
+@query(
+    "SELECT count(*) AS breach_flag, max(quarantine_count) AS quarantine_count, max(total_count) AS total_count, "
+    "round(max(quarantine_count * 100.0::DOUBLE / nullif(total_count, 0)), 2) AS failure_rate_pct "
+    f"FROM (SELECT DISTINCT quarantine_count, total_count FROM ({SUMMARY})) WHERE quarantine_count * 100.0 / nullif(total_count, 0) > 1",
+    "good",
+    "bad",
+)
 def alert_quarantine_rate(spark, d):
     return m.quarantine_rate(quality_summary(spark, d))
 
@@ -661,7 +798,13 @@ def alert_flapping(spark, d):
 # ---- dashboards --------------------------------------------------------------------------------
 
 
-@query(f"SELECT executed_by, {half_up('avg(total_duration_ms) / 1000', 2)} AS avg_sec, {half_up('quantile_cont(total_duration_ms, 0.5) / 1000', 2)} AS median_sec, round(sum(read_bytes) / power(1024, 3), 3) AS gb_scanned, count(*) FILTER (execution_status = 'FAILED') AS failed_count, count(*) AS query_count FROM history WHERE start_time >= {NOW} - INTERVAL 1 DAY GROUP BY 1", "history")
+@query(
+    f"SELECT executed_by, {half_up('avg(total_duration_ms) / 1000', 2)} AS avg_sec, "
+    f"{half_up('quantile_cont(total_duration_ms, 0.5) / 1000', 2)} AS median_sec, round(sum(read_bytes) / power(1024, 3), "
+    "3) AS gb_scanned, count(*) FILTER (execution_status = 'FAILED') AS failed_count, count(*) AS query_count FROM history "
+    f"WHERE start_time >= {NOW} - INTERVAL 1 DAY GROUP BY 1",
+    "history",
+)
 def dash_query_health(spark, d):
     return m.query_health(t.query_history(spark, d), t.now())
 
@@ -676,12 +819,21 @@ def dash_time_by_user(spark, d):
     return m.time_by_user(t.query_history(spark, d), t.today())
 
 
-@query(f"SELECT warehouse_name, auto_stop_minutes, round(sum(usage_quantity), 2) AS total_usage_7d FROM billing LEFT JOIN warehouses USING (warehouse_id) WHERE usage_date >= {TODAY} - 7 GROUP BY 1, 2", "billing", "warehouses")
+@query(
+    "SELECT warehouse_name, auto_stop_minutes, round(sum(usage_quantity), 2) AS total_usage_7d FROM billing LEFT "
+    f"JOIN warehouses USING (warehouse_id) WHERE usage_date >= {TODAY} - 7 GROUP BY 1, 2",
+    "billing",
+    "warehouses",
+)
 def dash_cost_by_warehouse(spark, d):
     return m.cost_by_warehouse(t.billing(spark, d), t.warehouses(spark, d), t.today())
 
 
-@query(f"SELECT CAST(hour(usage_start_time) AS INTEGER) AS hour, CAST(dayofweek(usage_date) + 1 AS INTEGER) AS dow, round(sum(usage_quantity), 2) AS total_usage FROM billing WHERE usage_date >= {TODAY} - 28 GROUP BY 1, 2", "billing")
+@query(
+    "SELECT CAST(hour(usage_start_time) AS INTEGER) AS hour, CAST(dayofweek(usage_date) + 1 AS INTEGER) AS dow, "
+    f"round(sum(usage_quantity), 2) AS total_usage FROM billing WHERE usage_date >= {TODAY} - 28 GROUP BY 1, 2",
+    "billing",
+)
 def dash_cost_by_hour(spark, d):
     return m.cost_by_hour(t.billing(spark, d), t.today())
 
@@ -689,23 +841,43 @@ def dash_cost_by_hour(spark, d):
 DAY = "date_trunc('day', period_start_time)"
 
 
-@query(f"SELECT {stamp(DAY, 'run_date')}, count(*) AS total_runs, CAST(count(*) FILTER ({MIN} <= 15) AS BIGINT) AS sla_met, round(count(*) FILTER ({MIN} <= 15) * 100.0::DOUBLE / count(*), 2) AS sla_met_pct FROM runs GROUP BY 1", "runs")
+@query(
+    f"SELECT {stamp(DAY, 'run_date')}, count(*) AS total_runs, CAST(count(*) FILTER ({MIN} <= 15) AS BIGINT) AS sla_met, "
+    f"round(count(*) FILTER ({MIN} <= 15) * 100.0::DOUBLE / count(*), 2) AS sla_met_pct FROM runs GROUP BY 1",
+    "runs",
+)
 def dash_sla(spark, d):
     return text(m.sla(t.job_runs(spark, d)))
 
 
-@query("SELECT pipeline_name, CASE WHEN message LIKE '%RESOURCE_EXHAUSTED%' THEN 'capacity' WHEN message LIKE '%permission%' THEN 'governance' WHEN message LIKE '%Schema%' THEN 'data' ELSE 'other' END AS error_category, count(*) AS occurrences FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE pipeline_name = 'pipe-1') WHERE level = 'ERROR' GROUP BY 1, 2", "log")
+@query(
+    "SELECT pipeline_name, CASE WHEN message LIKE '%RESOURCE_EXHAUSTED%' THEN 'capacity' "
+    "WHEN message LIKE '%permission%' THEN 'governance' WHEN message LIKE '%Schema%' THEN 'data' ELSE 'other' END AS error_category, "
+    "count(*) AS occurrences FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE pipeline_name = 'pipe-1') WHERE level = 'ERROR' "
+    "GROUP BY 1, 2",
+    "log",
+)
 def dash_error_categories(spark, d):
     log = t.event_log(spark, d)
     return m.error_categories(log, log.filter("origin.pipeline_name = 'pipe-1'"))
 
 
-@query("SELECT job_id, CAST(round(CAST(avg(date_sub('minute', period_end_time, s)) AS DECIMAL(30, 8)), 2) AS DOUBLE) AS avg_mttr_minutes FROM (SELECT *, lead(result_state) OVER w AS r, lead(period_start_time) OVER w AS s FROM runs WINDOW w AS (PARTITION BY job_id ORDER BY period_start_time, run_id)) WHERE result_state = 'FAILED' AND r = 'SUCCESS' GROUP BY 1", "runs")
+@query(
+    "SELECT job_id, CAST(round(CAST(avg(date_sub('minute', period_end_time, s)) AS DECIMAL(30, 8)), 2) AS DOUBLE) AS avg_mttr_minutes "
+    "FROM (SELECT *, lead(result_state) OVER w AS r, lead(period_start_time) OVER w AS s FROM runs WINDOW w AS (PARTITION BY job_id "
+    "ORDER BY period_start_time, run_id)) WHERE result_state = 'FAILED' AND r = 'SUCCESS' GROUP BY 1",
+    "runs",
+)
 def dash_recovery(spark, d):
     return m.recovery(t.job_runs(spark, d))
 
 
-@query(f"SELECT executed_by, event_id FROM history WHERE statement_type = 'SELECT' AND lower(statement_text) LIKE '%customer%' AND executed_by NOT IN (SELECT executed_by FROM history WHERE start_time BETWEEN DATE '2024-01-02' - 90 AND DATE '2024-01-02' - 1 + INTERVAL 1 DAY)", "history")
+@query(
+    "SELECT executed_by, event_id FROM history "
+    "WHERE statement_type = 'SELECT' AND lower(statement_text) LIKE '%customer%' AND executed_by NOT IN (SELECT executed_by "
+    "FROM history WHERE start_time BETWEEN DATE '2024-01-02' - 90 AND DATE '2024-01-02' - 1 + INTERVAL 1 DAY)",
+    "history",
+)
 def dash_new_readers(spark, d):
     return m.new_readers(t.query_history(spark, d), F.lit("2024-01-03").cast("date")).select("executed_by", "event_id")
 
@@ -715,12 +887,24 @@ def dash_mutations(spark, d):
     return m.mutations(t.query_history(spark, d)).select("executed_by", "statement_type", "event_id")
 
 
-@query("SELECT round(count(comment) * 100.0::DOUBLE / count(*), 2) AS comment_rate_pct, round(count(table_owner) * 100.0::DOUBLE / count(*), 2) AS owner_rate_pct, count(*) AS total_tables FROM metadata WHERE table_schema <> 'information_schema'", "metadata")
+@query(
+    "SELECT round(count(comment) * 100.0::DOUBLE / count(*), 2) AS comment_rate_pct, "
+    "round(count(table_owner) * 100.0::DOUBLE / count(*), 2) AS owner_rate_pct, count(*) AS total_tables FROM metadata "
+    "WHERE table_schema <> 'information_schema'",
+    "metadata",
+)
 def dash_coverage(spark, d):
     return m.coverage(t.tables(spark, d))
 
 
-@query(f"SELECT table_schema, table_name, {stamp('last_access', 'last_access')} FROM metadata LEFT JOIN (SELECT target_table_full_name AS f, max(event_time) AS last_access FROM lineage GROUP BY 1) ON f = table_catalog || '.' || table_schema || '.' || table_name WHERE last_access < DATE '2001-06-01' - 90 OR last_access IS NULL", "metadata", "lineage")
+@query(
+    f"SELECT table_schema, table_name, {stamp('last_access', 'last_access')} FROM metadata LEFT "
+    "JOIN (SELECT target_table_full_name AS f, max(event_time) AS last_access FROM lineage "
+    "GROUP BY 1) ON f = table_catalog || '.' || table_schema || '.' || table_name "
+    "WHERE last_access < DATE '2001-06-01' - 90 OR last_access IS NULL",
+    "metadata",
+    "lineage",
+)
 def dash_unused_tables(spark, d):
     return text(m.unused_tables(t.tables(spark, d), t.lineage(spark, d), F.lit("2001-06-01").cast("date")))
 
@@ -743,7 +927,11 @@ def inv_update_events(spark, d):
     return m.update_events(t.event_log(spark, d), "000000007")
 
 
-@query(f"SELECT flow_name, {half_up('avg(duration_ms) / 1000', 2)} AS avg_sec, {half_up('avg(output_rows)', 4)} AS avg_output_rows FROM log WHERE event_type = 'flow_progress' GROUP BY 1", "log")
+@query(
+    f"SELECT flow_name, {half_up('avg(duration_ms) / 1000', 2)} AS avg_sec, {half_up('avg(output_rows)', 4)} AS avg_output_rows "
+    "FROM log WHERE event_type = 'flow_progress' GROUP BY 1",
+    "log",
+)
 def inv_slow_flows(spark, d):
     return m.slow_flows(t.event_log(spark, d))
 

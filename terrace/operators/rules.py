@@ -46,7 +46,10 @@ def valid(df: DataFrame, rules: RuleSet) -> DataFrame:
 def quarantined(df: DataFrame, rules: RuleSet, at: Column | None = None) -> DataFrame:
     """Violating rows with their rules, when they were quarantined, and the status PENDING."""
     out = classify(df, rules).filter(F.size("violated_rules") > 0)
-    return out.withColumn("quarantined_at", at if at is not None else F.current_timestamp()).withColumn("resolution_status_at_quarantine_time", F.lit("PENDING"))
+    return (
+        out.withColumn("quarantined_at", at if at is not None else F.current_timestamp())
+        .withColumn("resolution_status_at_quarantine_time", F.lit("PENDING"))
+    )
 
 
 def warn(df: DataFrame, rules: RuleSet, observation: Observation) -> DataFrame:

@@ -34,4 +34,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     q = queries.select(F.col(key).alias("query_id"), F.col(embedding).alias("_q")).distinct()
     scored = vectors.crossJoin(q).withColumn("score", F.round(cosine(embedding, "_q"), 6))
     best = Window.partitionBy("query_id", "_q").orderBy(F.col("score").desc(), F.col(key))
-    return scored.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= k).orderBy("query_id", F.col("score").desc(), F.col(key)).drop("_q", "_rank")
+    return (
+        scored.withColumn("_rank", F.row_number().over(best))
+        .filter(F.col("_rank") <= k)
+        .orderBy("query_id", F.col("score").desc(), F.col(key))
+        .drop("_q", "_rank")
+    )

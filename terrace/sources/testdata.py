@@ -42,7 +42,11 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     op = F.when(F.col("event_type") == "signup", "INSERT").when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE")
-    return e.select(F.col("user_id").cast("string").alias("customer_id"), F.col("event_type").alias("status"), F.round("value", 2).alias("score"), op.alias("operation"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"))
+    return e.select(
+        F.col("user_id").cast("string").alias("customer_id"), F.col("event_type").alias("status"),
+        F.round("value", 2).alias("score"), op.alias("operation"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"),
+    )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +54,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     mail = F.when(k % 13 == 0, F.lit(None)).when(k % 11 == 0, F.concat(F.lit("user"), k)).otherwise(F.concat(F.lit("user"), k, F.lit("@mail.example")))
     phone = F.when(k % 7 == 0, F.concat(F.lit("090"), k)).otherwise(F.concat(F.lit("090-"), k, F.lit("-"), F.lpad(k.cast("string"), 4, "0")))
-    return c.select(k.cast("string").alias("customer_id"), F.col("c_name").alias("name"), mail.alias("email"), phone.alias("phone"), F.concat((1950 + k % 50).cast("string"), F.lit("-04-12")).alias("birth_date"), F.col("c_mktsegment").alias("region"))
+    return c.select(
+        k.cast("string").alias("customer_id"), F.col("c_name").alias("name"), mail.alias("email"), phone.alias("phone"),
+        F.concat((1950 + k % 50).cast("string"), F.lit("-04-12")).alias("birth_date"), F.col("c_mktsegment").alias("region"),
+    )
 
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,49 +71,102 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = job_runs(spark, sf_dir)
-    return r.select(F.concat(F.lit("pipe-"), F.substring("job_id", 5, 1)).alias("pipeline_id"), F.col("run_id").alias("update_id"), F.when(F.col("result_state") == "SUCCESS", "COMPLETED").otherwise("FAILED").alias("result_state"), "period_start_time", "period_end_time")
+    return r.select(
+        F.concat(F.lit("pipe-"), F.substring("job_id", 5, 1)).alias("pipeline_id"), F.col("run_id").alias("update_id"),
+        F.when(F.col("result_state") == "SUCCESS", "COMPLETED").otherwise("FAILED").alias("result_state"), "period_start_time",
+        "period_end_time",
+    )
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     bad = F.col("event_type") == "error"
-    message = F.when(~bad, "ok").when(F.col("event_id") % 4 == 0, "RESOURCE_EXHAUSTED: no capacity").when(F.col("event_id") % 4 == 1, "no permission").when(F.col("event_id") % 4 == 2, "Schema mismatch").otherwise("other")
-    origin = F.struct(F.lpad(F.col("event_id").cast("string"), 9, "0").alias("update_id"), F.concat(F.lit("pipe-"), F.col("user_id") % 10).alias("pipeline_name"), F.concat(F.lit("flow-"), F.col("user_id") % 7).alias("flow_name"))
+    message = (
+        F.when(~bad, "ok")
+        .when(F.col("event_id") % 4 == 0, "RESOURCE_EXHAUSTED: no capacity")
+        .when(F.col("event_id") % 4 == 1, "no permission")
+        .when(F.col("event_id") % 4 == 2, "Schema mismatch")
+        .otherwise("other")
+    )
+    origin = F.struct(
+        F.lpad(F.col("event_id").cast("string"), 9, "0").alias("update_id"),
+        F.concat(F.lit("pipe-"), F.col("user_id") % 10).alias("pipeline_name"),
+        F.concat(F.lit("flow-"), F.col("user_id") % 7).alias("flow_name"),
+    )
     details = F.concat(F.lit('{"flow_progress": {"metrics": {"num_output_rows": '), (F.col("event_id") % 1000).cast("string"), F.lit("}}}"))
-    return e.select(F.col("ts").cast("timestamp").alias("timestamp"), F.when(F.col("event_type") == "view", "user_action").otherwise("flow_progress").alias("event_type"), F.when(bad, "ERROR").otherwise("INFO").alias("level"), message.alias("message"), F.floor(F.abs("value") * 1000).cast("bigint").alias("duration_ms"), origin.alias("origin"), details.alias("details"))
+    return e.select(
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.when(F.col("event_type") == "view", "user_action").otherwise("flow_progress").alias("event_type"),
+        F.when(bad, "ERROR").otherwise("INFO").alias("level"), message.alias("message"),
+        F.floor(F.abs("value") * 1000).cast("bigint").alias("duration_ms"), origin.alias("origin"), details.alias("details"),
+    )
 
 
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     tags = F.when(F.col("event_type") != "view", F.create_map(F.lit("project"), F.col("event_type"))).otherwise(F.create_map(F.lit("team"), F.lit("x")))
-    return e.select(F.to_date("ts").alias("usage_date"), F.col("ts").cast("timestamp").alias("usage_start_time"), F.round("value", 2).alias("usage_quantity"), tags.alias("custom_tags"), F.struct(F.concat(F.lit("wh-"), F.col("user_id") % 5).alias("warehouse_id")).alias("usage_metadata"))
+    return e.select(
+        F.to_date("ts").alias("usage_date"), F.col("ts").cast("timestamp").alias("usage_start_time"),
+        F.round("value", 2).alias("usage_quantity"), tags.alias("custom_tags"),
+        F.struct(F.concat(F.lit("wh-"), F.col("user_id") % 5).alias("warehouse_id")).alias("usage_metadata"),
+    )
 
 
 def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(4).select(F.concat(F.lit("wh-"), F.col("id")).alias("warehouse_id"), F.concat(F.lit("Warehouse "), F.col("id")).alias("warehouse_name"), (F.col("id") * 10).cast("int").alias("auto_stop_minutes"))
+    return (
+        spark.range(4)
+        .select(
+            F.concat(F.lit("wh-"), F.col("id")).alias("warehouse_id"),
+            F.concat(F.lit("Warehouse "), F.col("id")).alias("warehouse_name"),
+            (F.col("id") * 10).cast("int").alias("auto_stop_minutes"),
+        )
+    )
 
 
 def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    kind = F.when(F.col("event_type") == "click", "SELECT").when(F.col("event_type") == "error", "DELETE").when(F.col("event_type") == "purchase", "UPDATE").otherwise("SELECT")
+    kind = (
+        F.when(F.col("event_type") == "click", "SELECT")
+        .when(F.col("event_type") == "error", "DELETE")
+        .when(F.col("event_type") == "purchase", "UPDATE")
+        .otherwise("SELECT")
+    )
     text = F.when(F.col("event_id") % 3 == 0, F.lit("select * from CUSTOMERS")).otherwise(F.lit("select 1"))
-    return e.select(F.concat(F.lit("user"), F.col("user_id")).alias("executed_by"), F.floor(F.abs("value") * 1000).cast("bigint").alias("total_duration_ms"), (F.col("event_id") * 1048576).alias("read_bytes"), F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("execution_status"), F.col("ts").cast("timestamp").alias("start_time"), kind.alias("statement_type"), text.alias("statement_text"), "event_id")
+    return e.select(
+        F.concat(F.lit("user"), F.col("user_id")).alias("executed_by"),
+        F.floor(F.abs("value") * 1000).cast("bigint").alias("total_duration_ms"),
+        (F.col("event_id") * 1048576).alias("read_bytes"),
+        F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("execution_status"),
+        F.col("ts").cast("timestamp").alias("start_time"), kind.alias("statement_type"), text.alias("statement_text"), "event_id",
+    )
 
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.select(F.concat(F.lit("main.sales.s"), F.col("l_suppkey")).alias("source_table_full_name"), F.concat(F.lit("main.sales.p"), F.col("l_partkey")).alias("target_table_full_name"), F.col("l_shipdate").cast("timestamp").alias("event_time"))
+    return li.select(
+        F.concat(F.lit("main.sales.s"), F.col("l_suppkey")).alias("source_table_full_name"),
+        F.concat(F.lit("main.sales.p"), F.col("l_partkey")).alias("target_table_full_name"),
+        F.col("l_shipdate").cast("timestamp").alias("event_time"),
+    )
 
 
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    return p.select(F.lit("main").alias("table_catalog"), F.when(k % 50 == 0, "information_schema").otherwise("sales").alias("table_schema"), F.concat(F.when(k % 10 == 0, "x").otherwise("p"), k).alias("table_name"), F.when(k % 3 != 0, F.col("p_name")).alias("comment"), F.when(k % 7 != 0, F.lit("owner")).alias("table_owner"))
+    return p.select(
+        F.lit("main").alias("table_catalog"), F.when(k % 50 == 0, "information_schema").otherwise("sales").alias("table_schema"),
+        F.concat(F.when(k % 10 == 0, "x").otherwise("p"), k).alias("table_name"),
+        F.when(k % 3 != 0, F.col("p_name")).alias("comment"), F.when(k % 7 != 0, F.lit("owner")).alias("table_owner"),
+    )
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.select(F.col("ts").cast("timestamp").alias("event_time"), F.lit("jobs").alias("service_name"), F.col("event_type").alias("action_name"), F.struct(F.concat(F.lit("user"), F.col("user_id"), F.lit("@mail.example")).alias("email")).alias("user_identity"))
+    return e.select(
+        F.col("ts").cast("timestamp").alias("event_time"), F.lit("jobs").alias("service_name"),
+        F.col("event_type").alias("action_name"),
+        F.struct(F.concat(F.lit("user"), F.col("user_id"), F.lit("@mail.example")).alias("email")).alias("user_identity"),
+    )
 
 
 def documents_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +209,10 @@ CTES = {
     "fixed": "SELECT doc_path, department, classification, file_name, ingestion_time, s // 600 AS chunk_index, substring(parsed_text, s + 1, 800) AS chunk_text, 'fixed_overlap' AS chunk_method FROM (SELECT *, unnest(range(0, length(parsed_text), 600)) AS s FROM silver)",
     "chunks": "SELECT sha256(doc_path || '-' || chunk_method || '-' || chunk_index) AS chunk_id, *, length(chunk_text) AS chunk_length FROM fixed",
 }
-NEEDS = {"classified": ["bronze_orders"], "good": ["classified"], "bad": ["classified"], "scd2": ["cdc"], "updates": ["runs"], "fixed": ["silver"], "chunks": ["fixed"]}
+NEEDS = {
+    "classified": ["bronze_orders"], "good": ["classified"], "bad": ["classified"], "scd2": ["cdc"], "updates": ["runs"],
+    "fixed": ["silver"], "chunks": ["fixed"],
+}
 
 
 def sql(select: str, *names: str) -> str:

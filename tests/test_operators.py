@@ -84,7 +84,11 @@ def test_quality_summary_and_gate(orders):
     assert gold.order_gate(good.union(good)).filter("dup_count = 2").count() == 4
 
 
-EVENTS = [("a", 1, "INSERT", "x"), ("a", 5, "UPDATE", "y"), ("a", 3, "UPDATE", "z"), ("b", 1, "INSERT", "x"), ("b", 2, "DELETE", "x"), ("b", 4, "INSERT", "w"), ("c", 1, "INSERT", "p"), ("c", 1, "DELETE", "p"), (None, 1, "INSERT", "n"), ("d", None, "INSERT", "n")]
+EVENTS = [
+    ("a", 1, "INSERT", "x"), ("a", 5, "UPDATE", "y"), ("a", 3, "UPDATE", "z"), ("b", 1, "INSERT", "x"), ("b", 2, "DELETE", "x"),
+    ("b", 4, "INSERT", "w"), ("c", 1, "INSERT", "p"), ("c", 1, "DELETE", "p"), (None, 1, "INSERT", "n"),
+    ("d", None, "INSERT", "n"),
+]
 
 
 def versions(df):
@@ -137,7 +141,10 @@ def test_document_flow(spark, tmp_path):
     assert {r["file_name"]: r["department"] for r in parsed.collect()} == {"a.txt": "hr", "b.MD": "hr"}
     with_pdf = documents.parsed_documents(bronze, lambda c: F.array(F.lit("page 1"), F.lit("page 2")))
     assert with_pdf.filter("file_name = 'c.pdf'").first()["parsed_text"] == "page 1\n\npage 2"
-    chunks = documents.search_chunks(documents.chunked(parsed, documents.fixed_chunks("parsed_text"), "fixed_overlap"), documents.chunked(parsed, documents.paragraph_chunks("parsed_text"), "ai_prep_search"))
+    chunks = documents.search_chunks(
+        documents.chunked(parsed, documents.fixed_chunks("parsed_text"), "fixed_overlap"),
+        documents.chunked(parsed, documents.paragraph_chunks("parsed_text"), "ai_prep_search"),
+    )
     assert chunks.count() == 5 and chunks.select("chunk_id").distinct().count() == 5
     assert documents.metrics_by_method(chunks).count() == 2 and documents.newest_chunks(chunks, 3).count() == 3
     index = vector.index_rows(chunks, lambda t: F.array(F.length(t).cast("float"), F.lit(1.0).cast("float")))
@@ -151,7 +158,10 @@ def test_document_flow(spark, tmp_path):
 
 
 def test_governance_matrix(spark):
-    rows = spark.createDataFrame([(r, s, 0.5) for r, s in itertools.product(("tokyo", "osaka", None), ("DONE", "DRAFT", None))], "region string, status string, discount_rate double")
+    rows = spark.createDataFrame(
+        [(r, s, 0.5) for r, s in itertools.product(("tokyo", "osaka", None), ("DONE", "DRAFT", None))],
+        "region string, status string, discount_rate double",
+    )
     g = Governance()
     g.set_row_filter("t", regional_and_status, "region", "status")
     g.set_mask("t", "discount_rate", discount_rate)
@@ -180,13 +190,18 @@ def test_alert_evaluation(spark):
 
 def test_new_readers_is_null_aware(spark):
     rows = [("a", "SELECT", "customer", "2024-01-02"), ("b", "SELECT", "customer", "2024-02-01")]
-    h = spark.createDataFrame(rows, "executed_by string, statement_type string, statement_text string, start_time string").withColumn("start_time", F.to_timestamp("start_time"))
+    h = (
+        spark.createDataFrame(rows, "executed_by string, statement_type string, statement_text string, start_time string")
+        .withColumn("start_time", F.to_timestamp("start_time"))
+    )
     day = F.lit("2024-02-01").cast("date")
     assert [r["executed_by"] for r in monitoring.new_readers(h, day).collect()] == ["b"]
     lost = spark.createDataFrame([(None, "SELECT", "customer", "2024-02-01")], "a string, b string, c string, d string").withColumn("d", F.to_timestamp("d"))
     assert [r["executed_by"] for r in monitoring.new_readers(h.union(lost), day).collect()] == ["b"]
     assert monitoring.new_readers(h.filter("executed_by = 'b'").union(lost), day).count() == 2
-    hidden = h.union(spark.createDataFrame([(None, "SELECT", "x", "2024-01-03")], "a string, b string, c string, d string").withColumn("d", F.to_timestamp("d")))
+    hidden = h.union(
+        spark.createDataFrame([(None, "SELECT", "x", "2024-01-03")], "a string, b string, c string, d string").withColumn("d", F.to_timestamp("d"))
+    )
     assert monitoring.new_readers(hidden, day).count() == 0
 
 
@@ -272,7 +287,10 @@ def test_chunk_union_packs_documents_of_many_paragraphs(spark, monkeypatch):
 
     texts = ["one paragraph", "\n\n".join(f"{i} " + "x" * (90 * i % 500) for i in range(20)), "a\n \n\nb\n\n" + "y" * 900 + "\n\nc"]
     rows = [(f"/v/raw_documents/hr/public/{i}.txt", "hr", "public", f"{i}.txt", "2024-01-01", x) for i, x in enumerate(texts)]
-    silver = spark.createDataFrame(rows, "doc_path string, department string, classification string, file_name string, ingestion_time string, parsed_text string")
+    silver = spark.createDataFrame(
+        rows,
+        "doc_path string, department string, classification string, file_name string, ingestion_time string, parsed_text string",
+    )
     monkeypatch.setattr(catalogue.t, "documents_silver", lambda *_: silver)
     want = []
     for x in texts:
@@ -298,7 +316,10 @@ def test_top_k_answers_every_query_row(spark):
 
 def test_stream_history_touches_only_buckets_of_a_batch(spark, tmp_path):
     schema = "k string, s int, op string, v string"
-    batches = [[("a", 1, "INSERT", "x"), ("b", 1, "INSERT", "x"), ("c", 1, "INSERT", "p")], [("a", 5, "UPDATE", "y")], [("a", 3, "UPDATE", "z"), ("c", 0, "DELETE", "p")], [("b", 2, "DELETE", "x")]]
+    batches = [
+        [("a", 1, "INSERT", "x"), ("b", 1, "INSERT", "x"), ("c", 1, "INSERT", "p")], [("a", 5, "UPDATE", "y")],
+        [("a", 3, "UPDATE", "z"), ("c", 0, "DELETE", "p")], [("b", 2, "DELETE", "x")],
+    ]
     root, seen = f"file://{tmp_path}/history", []
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
