@@ -41,7 +41,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr del".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
-SELF_CLOSING = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
+SELF_CLOSING = {
+    "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",),
+    "th": ("tr",), "option": ("select",),
+}
 #: Elements that are never main text, and words of class, id or role that say the same.
 SKIP = frozenset("head nav header footer aside form script style noscript template iframe object embed svg canvas audio video button select option textarea input dialog menu title noembed noframes".split())
 SKIP_WORDS = frozenset(
@@ -191,7 +194,10 @@ def merged(a: list, b: list, same_page: bool = False) -> list:
     """The node that both match. Within a page two siblings are one node seen once."""
     pages = max(a[3], b[3]) if same_page else a[3] + b[3]
     digests = sorted({*a[9], *b[9]})[:TEMPLATE_PAGES]
-    return [a[0], a[1] or b[1], a[2] or b[2] or same_page, pages, join_slot(a[4], b[4]), a[5] + b[5], a[6] + b[6], aligned(a[7], b[7], same_page), a[8], digests]
+    return [
+        a[0], a[1] or b[1], a[2] or b[2] or same_page, pages, join_slot(a[4], b[4]), a[5] + b[5], a[6] + b[6],
+        aligned(a[7], b[7], same_page), a[8], digests,
+    ]
 
 
 def shape(n: list) -> list:

@@ -69,8 +69,15 @@ def split(ranks: DataFrame, root: Node, nodes: list[Node], dims: list[str]) -> N
         place = F.coalesce(*[F.when(F.col("node").isin([k for k, s in state.items() if s["dim"] == d]), F.col(d)) for d in dims])
         width = {k: -(-s["span"] // BINS) for k, s in state.items()}
         binned = rows.filter(F.col("node").isin(list(state))).withColumn("off", place - table(lambda s: s["lo"]).cast("long"))
-        binned = binned.filter((F.col("off") >= 0) & (F.col("off") < table(lambda s: s["span"]).cast("long"))).withColumn("bin", F.floor(F.col("off") / F.element_at(F.create_map(*[F.lit(x) for p in width.items() for x in p]), F.col("node"))))
-        run = binned.groupBy("node", "bin").agg(F.sum("size").alias("b")).withColumn("upto", F.sum("b").over(Window.partitionBy("node").orderBy("bin")) + table(lambda s: s["before"]).cast("long"))
+        binned = (
+            binned.filter((F.col("off") >= 0) & (F.col("off") < table(lambda s: s["span"]).cast("long")))
+            .withColumn("bin", F.floor(F.col("off") / F.element_at(F.create_map(*[F.lit(x) for p in width.items() for x in p]), F.col("node"))))
+        )
+        run = (
+            binned.groupBy("node", "bin")
+            .agg(F.sum("size").alias("b"))
+            .withColumn("upto", F.sum("b").over(Window.partitionBy("node").orderBy("bin")) + table(lambda s: s["before"]).cast("long"))
+        )
         hit = run.filter(F.col("upto") >= table(lambda s: float(s["goal"]))).groupBy("node").agg(F.min(F.struct("bin", "b", "upto")).alias("h")).collect()  # a row a node
         for r in hit:
             s, h, w = state[r["node"]], r["h"], width[r["node"]]
@@ -95,7 +102,10 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions
     scratch, dims = c.Scratch(spark, "kd"), [f"rank_{d}" for d in dimensions]
     text = F.coalesce("text", F.lit(""))
     more = [F.col(key).alias("_key")] if key else []
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), c.utf8_crc32(text).alias("text_crc32"), *[F.col(d).alias(f"_d{i}") for i, d in enumerate(dimensions)], *more)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
+        c.utf8_crc32(text).alias("text_crc32"), *[F.col(d).alias(f"_d{i}") for i, d in enumerate(dimensions)], *more,
+    )
     more = ["_key"] if key else []
     rows = scratch.put(rows, "narrow")  # the sorts sample their input first; texts are read once
     for i, name in enumerate(dims):
@@ -107,9 +117,22 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions
         split(rows, root, wide, dims)
     # slots count rows by chunks of the first rank, so no task numbers a whole shard
     placed = rows.withColumn("shard", root.expr(lambda n: n.first).cast("int")).withColumn("_c", F.floor(F.col(dims[0]) / CHUNK))
-    before = placed.groupBy("shard", "_c").agg(F.count("*").alias("n")).select("shard", "_c", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    before = (
+        placed.groupBy("shard", "_c")
+        .agg(F.count("*").alias("n"))
+        .select(
+            "shard", "_c",
+            F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"),
+        )
+    )
     slot = F.col("_b") + F.row_number().over(Window.partitionBy("shard", "_c").orderBy(dims[0])) - 1
-    return placed.join(before, ["shard", "_c"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *dims, *more)
+    return (
+        placed.join(before, ["shard", "_c"])
+        .select(
+            "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.cast("long").alias("slot"),
+            F.lit(None).cast("int").alias("grown_shard"), *dims, *more,
+        )
+    )
 
 
 def sharded(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, dimensions=DIMENSIONS) -> DataFrame:

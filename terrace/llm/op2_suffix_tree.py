@@ -358,7 +358,10 @@ def decide_states(key, t: pa.Table, level: int, gain: float) -> pa.Table:
     number[won - mass * np.log(seen) + back * np.log(back / seen) < gain] = 0
     cut = np.cumsum([0, *(len(x) for _, x, _ in asks)])
     rest = seen - times
-    return arrow([(f"state{level}", blk, bucket, None, packed(number[at[x:y]], rest[at[x:y]]), buckets, None) for (blk, _, _), x, y in zip(asks, cut[:-1], cut[1:], strict=True)], ANSWER)
+    return arrow(
+        [(f"state{level}", blk, bucket, None, packed(number[at[x:y]], rest[at[x:y]]), buckets, None) for (blk, _, _), x, y in zip(asks, cut[:-1], cut[1:], strict=True)],
+        ANSWER,
+    )
 
 
 def finish(s: Scorer, n: int) -> pa.Table:
@@ -402,7 +405,13 @@ def score(spark: SparkSession, docs: DataFrame, held_out, order: int = ORDER, le
             blocks = scratch.put(sent.filter("kind = 'frozen'").select("blk", F.col("keys").alias("state")), "frozen")
         pairs = sent.filter(F.col("kind") == f"n{level}").groupBy("bucket").applyInArrow(total, ANSWER)
         pairs = scratch.put(pairs, f"pairs{level}")
-        asks = sent.filter(F.col("kind") == f"ask{level}").select("kind", "blk", "bucket", "keys", F.col("counts").alias("answer"), F.lit(buckets).cast("long").alias("n"), F.lit(None).cast("long").alias("v"))
+        asks = (
+            sent.filter(F.col("kind") == f"ask{level}")
+            .select(
+                "kind", "blk", "bucket", "keys", F.col("counts").alias("answer"), F.lit(buckets).cast("long").alias("n"),
+                F.lit(None).cast("long").alias("v"),
+            )
+        )
         states = asks.unionByName(pairs.filter("blk < 0")).groupBy("bucket").applyInArrow(decide, ANSWER)
         new = pairs.filter("blk >= 0").unionByName(scratch.put(states, f"states{level}"))
         got = new if level == order - 1 else got.unionByName(new)

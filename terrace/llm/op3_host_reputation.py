@@ -49,14 +49,20 @@ def domains(hosts: DataFrame, suffixes=SUFFIXES) -> DataFrame:
     parts = F.split("host", r"\.")
     size = F.when(F.substring_index("host", ".", -2).isin(*suffixes), 2).otherwise(1)
     named = hosts.withColumn("suffix", F.when(size == 2, F.substring_index("host", ".", -2)).otherwise(F.substring_index("host", ".", -1)))
-    return named.withColumn("domain", F.when(F.size(parts) <= size, F.col("host")).when(size == 2, F.substring_index("host", ".", -3)).otherwise(F.substring_index("host", ".", -2)))
+    return named.withColumn(
+        "domain",
+        F.when(F.size(parts) <= size, F.col("host")).when(size == 2, F.substring_index("host", ".", -3)).otherwise(F.substring_index("host", ".", -2)),
+    )
 
 
 def fitted(groups: DataFrame) -> DataFrame:
     """Adds strength, k of Beta(k m, k (1 - m)), to groups of n pages, x bad, prior mean m: by moments over all groups."""
     spread, noise = (F.col("x") - F.col("n") * F.col("m")) ** 2, F.col("n") * F.col("m") * (1 - F.col("m"))
     rho = (F.sum(spread) - F.sum(noise)) / F.nullif(F.sum((F.col("n") - 1) * noise), F.lit(0.0))
-    k = groups.agg(F.least(F.lit(0.9), F.greatest(F.lit(1e-4), F.round(F.coalesce(rho, F.lit(1e-4)), 9))).alias("rho")).select(F.round((1 - F.col("rho")) / F.col("rho"), 6).alias("k"))
+    k = (
+        groups.agg(F.least(F.lit(0.9), F.greatest(F.lit(1e-4), F.round(F.coalesce(rho, F.lit(1e-4)), 9))).alias("rho"))
+        .select(F.round((1 - F.col("rho")) / F.col("rho"), 6).alias("k"))
+    )
     return groups.crossJoin(F.broadcast(k))  # k is one row
 
 
@@ -72,7 +78,10 @@ def reputation(spark: SparkSession, hosts: DataFrame, scratch: c.Scratch, suffix
     host = fitted(base.join(domain, "domain"))
     a, b = F.col("x") + F.col("k") * F.col("m"), F.col("n") - F.col("x") + F.col("k") * (1 - F.col("m"))
     rate, deviation = a / (a + b), F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return host.select("host", F.col("n").alias("n_labelled"), F.col("x").alias("n_bad"), F.round(rate, 9).alias("rate"), F.round(rate - Z * deviation, 9).alias("bound"))
+    return host.select(
+        "host", F.col("n").alias("n_labelled"), F.col("x").alias("n_bad"), F.round(rate, 9).alias("rate"),
+        F.round(rate - Z * deviation, 9).alias("bound"),
+    )
 
 
 def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: dict[str, str] = RULES, block_at: float = BLOCK_AT, suffixes=SUFFIXES) -> DataFrame:
@@ -82,13 +91,24 @@ def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: dict[
     # an id's label is one row, so a page is counted once however often it is labelled
     known = labels.filter("page_id is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
     hosts = urls.join(known, "page_id", "left").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("x"))
-    scores = scratch.put(reputation(spark, hosts, scratch, suffixes).withColumn("method", F.when(F.col("bound") >= block_at, "block").otherwise("allow")), "reputation")
+    scores = scratch.put(
+        reputation(spark, hosts, scratch, suffixes).withColumn("method", F.when(F.col("bound") >= block_at, "block").otherwise("allow")),
+        "reputation",
+    )
     verdict = F.element_at(F.create_map(*[F.lit(x) for r in rules.items() for x in r]), F.col("rule")) if rules else F.lit(None)
-    return urls.join(scores, "host").withColumn("rule", listed(rules)).withColumn("verdict", F.coalesce(F.when(F.col("rule").isNotNull(), verdict), "method")).select("page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad", "rate", "bound")
+    return (
+        urls.join(scores, "host")
+        .withColumn("rule", listed(rules))
+        .withColumn("verdict", F.coalesce(F.when(F.col("rule").isNotNull(), verdict), "method"))
+        .select("page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad", "rate", "bound")
+    )
 
 
 def outcomes(labels: DataFrame) -> DataFrame:
-    return labels.select(F.col("doc_id").cast("long").alias("page_id"), ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int").alias("bad"))
+    return labels.select(
+        F.col("doc_id").cast("long").alias("page_id"),
+        ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int").alias("bad"),
+    )
 
 
 def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,7 +173,10 @@ def emit_windows(key, t: pa.Table, got: pa.Table, own: bool, buckets: int) -> pa
     block = Block(t)
     hit, a, b = block.candidates(received(got, "shared", bool))
     a, b, least, _ = distinct(block.ids[block.doc[hit]], a, b)
-    return arrow([(key[0].as_py(), own, i, c.pack_sorted(a[x:y]), c.pack(b[x:y]), c.pack(least[x:y])) for i, x, y in c.cuts(c.bucket_of(a, buckets), buckets)], WINDOWS)
+    return arrow(
+        [(key[0].as_py(), own, i, c.pack_sorted(a[x:y]), c.pack(b[x:y]), c.pack(least[x:y])) for i, x, y in c.cuts(c.bucket_of(a, buckets), buckets)],
+        WINDOWS,
+    )
 
 
 def verify(key, t: pa.Table) -> pa.Table:
@@ -275,22 +278,37 @@ class Index:
         run = scratch.put(entries.groupBy("bucket").applyInArrow(lambda k, t: merge_runs(k, t), RUN), "run")
 
         # one bucket's entries, its run and the older runs meet in one task
-        both = run.select(F.lit(None).cast("string").alias("blk"), "*").withColumn("old", F.lit(False)).unionByName(old_runs.select(F.lit(None).cast("string").alias("blk"), "*").withColumn("old", F.lit(True)))
+        both = (
+            run.select(F.lit(None).cast("string").alias("blk"), "*")
+            .withColumn("old", F.lit(False))
+            .unionByName(old_runs.select(F.lit(None).cast("string").alias("blk"), "*").withColumn("old", F.lit(True)))
+        )
 
         def probe(key, x, y):
             if not x.num_rows:
                 return arrow([], ANSWER)
             return probe_runs(key, x, y.filter(pc.invert(y.column("old"))), y.filter(y.column("old")))
 
-        shared = scratch.put(entries.select("blk", "bucket", "keys").groupBy("bucket").cogroup(both.select("bucket", "keys", "several", "old").groupBy("bucket")).applyInArrow(lambda k, x, y: probe(k, x, y), ANSWER), "shared")
+        shared = scratch.put(
+            entries.select("blk", "bucket", "keys").groupBy("bucket").cogroup(both.select("bucket", "keys", "several", "old").groupBy("bucket")).applyInArrow(lambda k, x, y: probe(k, x, y), ANSWER),
+            "shared",
+        )
         own = shared.filter("kind = 'shared'")
         blocks = lambda df: df.drop("entries").groupBy("blk")
         windows = blocks(stored).cogroup(own.groupBy("blk")).applyInArrow(lambda k, t, g: emit_windows(k, t, g, True, buckets), WINDOWS)
         if before:
             hits = shared.filter("kind = 'hit'")
-            again = history.select("blk", F.inline("entries")).select("blk", "bucket", "keys").groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(lambda k, x, y: probe_old(k, x, y), ANSWER)
+            again = (
+                history.select("blk", F.inline("entries"))
+                .select("blk", "bucket", "keys")
+                .groupBy("bucket")
+                .cogroup(hits.groupBy("bucket"))
+                .applyInArrow(lambda k, x, y: probe_old(k, x, y), ANSWER)
+            )
             again = scratch.put(again, "again")
-            windows = windows.unionByName(blocks(history).cogroup(again.groupBy("blk")).applyInArrow(lambda k, t, g: emit_windows(k, t, g, False, buckets), WINDOWS))
+            windows = windows.unionByName(
+                blocks(history).cogroup(again.groupBy("blk")).applyInArrow(lambda k, t, g: emit_windows(k, t, g, False, buckets), WINDOWS)
+            )
         below = scratch.put(windows.groupBy("bucket").applyInArrow(lambda k, t: verify(k, t), ANSWER), "below")
         self._write(run, "runs", number)  # last, so a batch that failed before is as if it hadn't come
         scratch.drop("run", "again")

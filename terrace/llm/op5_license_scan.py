@@ -50,7 +50,10 @@ def known(spark: SparkSession, licences: dict[str, str] | DataFrame = LICENCES)
 def scan(spark: SparkSession, docs: DataFrame, licences: dict[str, str] | DataFrame = LICENCES) -> DataFrame:
     """doc_id, canonical_chars, digest, license of each row."""
     form = canonical(F.col("text"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), form.alias("_form")).select("doc_id", F.length("_form").cast("long").alias("canonical_chars"), F.sha2("_form", 256).alias("digest"))
+    texts = (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), form.alias("_form"))
+        .select("doc_id", F.length("_form").cast("long").alias("canonical_chars"), F.sha2("_form", 256).alias("digest"))
+    )
     digests, n = known(spark, licences)
     if n <= BROADCAST_ROWS:
         digests = F.broadcast(digests)
@@ -63,7 +66,10 @@ def planted(spark: SparkSession, licences: dict[str, str] = LICENCES) -> DataFra
     known_ = spark.createDataFrame([(-10 * i, t) for i, t in enumerate(licences.values(), 1)], "n long, t string")
     t = F.col("t")
     lines = F.array_join(F.transform(F.split(t, "\n"), lambda x: F.concat(F.lit(" * "), x)), "\n")
-    forms = [F.upper(t), lines, F.concat(F.lit("Copyright (c) 2020 Some Body\nAll rights reserved\n\n"), t), F.regexp_replace(t, "[,;]", " - "), F.concat(t, F.lit(" and more"))]
+    forms = [
+        F.upper(t), lines, F.concat(F.lit("Copyright (c) 2020 Some Body\nAll rights reserved\n\n"), t),
+        F.regexp_replace(t, "[,;]", " - "), F.concat(t, F.lit(" and more")),
+    ]
     return known_.select(F.posexplode(F.array(*forms)).alias("i", "text"), "n").select((F.col("n") + F.col("i")).alias("doc_id"), "text")
 
 

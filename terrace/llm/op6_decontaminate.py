@@ -33,7 +33,10 @@ KEY = ["id", "hash"]
 
 def keyed(docs: DataFrame) -> DataFrame:
     """id and hash name a row's content; null ids are set apart from others by a value that no hash join drops."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), F.xxhash64("doc_id", "text").alias("hash"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), F.xxhash64("doc_id", "text").alias("hash"),
+        F.col("doc_id").cast("long").alias("doc_id"), "text",
+    )
 
 
 def places(docs: DataFrame) -> DataFrame:
@@ -104,13 +107,20 @@ class Search:
     def _anchors(self, counts: DataFrame) -> DataFrame:
         """The two rarest words of each window and their places in the item; a word that the corpus lacks drops the window."""
         size = F.least(F.size("iw"), F.lit(self.window))
-        spans = self.items.select("key", size.alias("len"), "iw").select("key", "len", "iw", F.explode(F.sequence(F.lit(0), F.size("iw") - F.col("len"))).alias("w"))
+        spans = (
+            self.items.select("key", size.alias("len"), "iw")
+            .select("key", "len", "iw", F.explode(F.sequence(F.lit(0), F.size("iw") - F.col("len"))).alias("w"))
+        )
         at = spans.select("key", "w", "len", F.posexplode(F.slice("iw", F.col("w") + 1, F.col("len"))).alias("o", "word"))
         known = at.select("key", "w", "len", (F.col("w") + F.col("o")).alias("q"), F.lower("word").alias("term")).join(counts, "term")
         by = Window.partitionBy("key", "w")
         ranked = known.withColumn("r", F.row_number().over(by.orderBy("n", "term", "q"))).withColumn("found", F.count("*").over(by))
         pick = lambda r, x: F.max(F.when(F.col("r") == r, F.col(x)))
-        two = ranked.filter("found = len and r <= 2").groupBy("key", "w").agg(pick(1, "term").alias("t1"), pick(1, "q").alias("q1"), pick(2, "term").alias("t2"), pick(2, "q").alias("q2"))
+        two = (
+            ranked.filter("found = len and r <= 2")
+            .groupBy("key", "w")
+            .agg(pick(1, "term").alias("t1"), pick(1, "q").alias("q1"), pick(2, "term").alias("t2"), pick(2, "q").alias("q2"))
+        )
         return two.select("key", "t1", "q1", "t2", "q2").distinct()
 
     def phrases(self) -> DataFrame:
@@ -129,7 +139,10 @@ class Search:
         part = found.join(self.items, "key").join(texts, KEY).select(*KEY, "key", "shift", n.alias("n"), size.alias("len"), same.alias("same"))
         starts = F.filter(F.sequence(F.lit(0), F.col("n") - F.col("len")), lambda i: F.forall(F.slice("same", i + 1, F.col("len")), lambda x: x))
         start = F.col("shift") + F.col("w")
-        return part.select(*KEY, "key", "shift", "len", F.explode(starts).alias("w")).select(*KEY, "key", start.alias("start"), (start + F.col("len")).alias("end"))
+        return (
+            part.select(*KEY, "key", "shift", "len", F.explode(starts).alias("w"))
+            .select(*KEY, "key", start.alias("start"), (start + F.col("len")).alias("end"))
+        )
 
     def neighbours(self) -> DataFrame:
         """(id, hash, key): documents where the two rarest words of one of the item's windows stand within the window's length."""
@@ -148,7 +161,13 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     by = Window.partitionBy(*KEY).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = spans.select(*KEY, "start", "end").distinct().withColumn("reach", F.coalesce(F.max("end").over(by), F.lit(0)))
     hit = fresh.groupBy(*KEY).agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "reach"))).cast("long").alias("n_hit"))
-    items = spans.select(*KEY, "key").distinct().join(search.items.select("key", F.col("item").cast("string").alias("item")), "key").select(*KEY, "item").distinct()
+    items = (
+        spans.select(*KEY, "key")
+        .distinct()
+        .join(search.items.select("key", F.col("item").cast("string").alias("item")), "key")
+        .select(*KEY, "item")
+        .distinct()
+    )
     items = items.groupBy(*KEY).agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("list"))
     out = docs.select("doc_id", *KEY, word_count(F.col("text")).alias("n_words")).join(hit.join(items, KEY), KEY, "left")
     zero = lambda x: F.coalesce(x, F.lit(0)).cast("long").alias(x)
@@ -161,7 +180,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     is known when Spark chooses between broadcasting it and shuffling texts."""
     bad = contamination(spark, docs, benchmark).filter("contaminated").select(F.col("id").alias("_id"), F.col("hash").alias("_hash")).distinct()
     bad = c.Scratch(spark, "contaminated").put(bad, "bad")
-    return docs.join(bad, (F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))) == bad["_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == bad["_hash"]), "left_anti")
+    return docs.join(
+        bad,
+        (F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))) == bad["_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == bad["_hash"]),
+        "left_anti",
+    )
 
 
 def near_items(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

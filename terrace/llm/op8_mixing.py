@@ -80,7 +80,13 @@ def targets(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
     # the first source that the level doesn't fill sets the level for it and all after
     s = s.withColumn("place", F.row_number().over(by))
     rest = F.min(F.when(F.col("open") <= F.col("level"), F.struct("place", "open"))).over(everyone)["open"]
-    return s.withColumn("target", F.when(F.col("level") < F.coalesce(rest, F.col("level") + 1), F.col("bound").cast("double")).otherwise(rest * F.col("weight"))).drop("weight", "bound", "level", "full", "spent", "open", "place")
+    return (
+        s.withColumn(
+            "target",
+            F.when(F.col("level") < F.coalesce(rest, F.col("level") + 1), F.col("bound").cast("double")).otherwise(rest * F.col("weight")),
+        )
+        .drop("weight", "bound", "level", "full", "spent", "open", "place")
+    )
 
 
 def shares(rows: DataFrame, scratch: c.Scratch, weights=WEIGHTS) -> DataFrame:
@@ -88,17 +94,28 @@ def shares(rows: DataFrame, scratch: c.Scratch, weights=WEIGHTS) -> DataFrame:
     ends (lo, last), and how many rows tie there (tied) and are taken (ties)."""
     sums = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     whole = F.least(F.floor(F.col("target") / F.greatest(F.lit(1), "source_size")), F.lit(MOST)).cast("long")
-    per = targets(sums, weights).withColumn("certain", whole).withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size")).withColumnRenamed("source", "source_")
+    per = (
+        targets(sums, weights)
+        .withColumn("certain", whole)
+        .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
+        .withColumnRenamed("source", "source_")
+    )
     per = scratch.put(per, "shares")
     wide = F.sum(F.col("_imp").cast("decimal(38,0)") * F.col("_size"))
     sizes = rows.filter("_size > 0").groupBy("_source", "_imp").agg(F.sum("_size").alias("words"), wide.alias("wide"))
     sizes = sizes.join(per.select("source_", "rest"), sizes["_source"].eqNullSafe(per["source_"])).filter("rest > 0")
     scale = fitted(sizes)
     per = scratch.put(per.join(scale, per["source_"].eqNullSafe(scale["s"]), "left").drop("s"), "sources")
-    sampled = scratch.put(ranked(rows.select("_source", "_size", "_imp", "_u", "_tie"), per).filter("_size > 0 and rest > 0").select("_source", "_size", "_tie", "rest", "_q"), "ranked")
+    sampled = scratch.put(
+        ranked(rows.select("_source", "_size", "_imp", "_u", "_tie"), per).filter("_size > 0 and rest > 0").select("_source", "_size", "_tie", "rest", "_q"),
+        "ranked",
+    )
 
     # per source the range [lo, lo + width) of _q that holds the cut, the words before it, and the rows in it
-    cut = scratch.put(sampled.groupBy("_source").agg(F.max("rest").alias("goal"), F.count("*").alias("rows")).select("*", F.lit(0.0).alias("lo"), F.lit(1.0).alias("width"), F.lit(0).cast("long").alias("before")), "cut0")
+    cut = scratch.put(
+        sampled.groupBy("_source").agg(F.max("rest").alias("goal"), F.count("*").alias("rows")).select("*", F.lit(0.0).alias("lo"), F.lit(1.0).alias("width"), F.lit(0).cast("long").alias("before")),
+        "cut0",
+    )
 
     def within(cut: DataFrame) -> DataFrame:
         edges = cut.withColumnRenamed("_source", "source_")
@@ -112,7 +129,10 @@ def shares(rows: DataFrame, scratch: c.Scratch, weights=WEIGHTS) -> DataFrame:
         run = counts.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("_source").orderBy("bin")))
         all_ = F.struct("bin", "lo", "width", "words", "upto", "n", "goal")
         at = run.groupBy("_source").agg(F.coalesce(F.min(F.when(F.col("upto") >= F.col("goal"), all_)), F.max(all_)).alias("c"))
-        cut = scratch.put(at.select("_source", "c.goal", F.col("c.n").alias("rows"), (F.col("c.lo") + F.col("c.bin") * F.col("c.width") / BINS).alias("lo"), (F.col("c.width") / BINS).alias("width"), (F.col("c.upto") - F.col("c.words")).alias("before")), f"cut{step}")
+        cut = scratch.put(
+            at.select("_source", "c.goal", F.col("c.n").alias("rows"), (F.col("c.lo") + F.col("c.bin") * F.col("c.width") / BINS).alias("lo"), (F.col("c.width") / BINS).alias("width"), (F.col("c.upto") - F.col("c.words")).alias("before")),
+            f"cut{step}",
+        )
     near = within(cut).filter((F.col("_q") >= F.col("lo")) & (F.col("_q") < F.col("lo") + F.col("width")))
     alike = near.groupBy("_source", "goal", "before", "_q", "_tie").agg(F.max("_size").alias("size"), F.count("*").alias("n"))
     order = Window.partitionBy("_source").orderBy("_q", "_tie").rowsBetween(Window.unboundedPreceding, -1)
@@ -152,7 +172,10 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of each row."""
     scratch = c.Scratch(spark, "mixing")
     rows = scratch.put(measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")).drop("text"), "measured")
-    return copies(rows, shares(rows, scratch, weights), scratch).select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
+    return (
+        copies(rows, shares(rows, scratch, weights), scratch)
+        .select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
+    )
 
 
 def mixed(spark: SparkSession, docs: DataFrame, weights=WEIGHTS) -> DataFrame:

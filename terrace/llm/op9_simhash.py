@@ -93,7 +93,10 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 fp = majority(*shingle_hashes(flat, counts, size))
                 yield pa.RecordBatch.from_arrays([c.column(part, "doc_id"), c.column(part, "row"), pa.array(fp.view(np.int64))], names=["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text").mapInArrow(run, "doc_id long, row long, fp long")
+    return (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+        .mapInArrow(run, "doc_id long, row long, fp long")
+    )
 
 
 # ---- vantage-point tree ------------------------------------------------------------------------
@@ -255,7 +258,10 @@ def components(scratch: c.Scratch, edges: DataFrame) -> DataFrame:
         step += 1
         # pointer jumping: a node takes its label's label, so chains halve
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        labels2 = scratch.put(labels.join(up, "label").select("node", F.col("top").alias("label"), (F.col("top") != F.col("label")).alias("moved")), f"jumped{step}")
+        labels2 = scratch.put(
+            labels.join(up, "label").select("node", F.col("top").alias("label"), (F.col("top") != F.col("label")).alias("moved")),
+            f"jumped{step}",
+        )
         if labels2.filter("moved").limit(1).count():
             scratch.drop(f"labels{step - 1}")
             labels = labels2.select("node", "label")
@@ -263,7 +269,10 @@ def components(scratch: c.Scratch, edges: DataFrame) -> DataFrame:
         else:
             labels, scratch_name = labels2.select("node", "label"), f"jumped{step}"
             la, lb = labels.select(F.col("node").alias("a"), F.col("label").alias("x")), labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
-            left = scratch.put(left.join(la, "a").join(lb, "b").filter("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), f"left{step}")
+            left = scratch.put(
+                left.join(la, "a").join(lb, "b").filter("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(),
+                f"left{step}",
+            )
             if not left.limit(1).count():
                 return labels
             # roots take the least root that an edge ties them to; nodes follow by jumping
@@ -331,7 +340,10 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 keys = band_keys(h, per, bands, rows)
                 offsets = np.concatenate([[0], np.cumsum((per > 0) * bands)]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))
-                cols = [c.column(part, "doc_id"), c.column(part, "row"), pa.array(named.view(np.int64)), pa.array([len(x) for x in sets], pa.int32()), pa.array(majority(h, per).view(np.int64)), listed]
+                cols = [
+                    c.column(part, "doc_id"), c.column(part, "row"), pa.array(named.view(np.int64)),
+                    pa.array([len(x) for x in sets], pa.int32()), pa.array(majority(h, per).view(np.int64)), listed,
+                ]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "set", "n", "fp", "keys"])
 
     rows_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
@@ -460,7 +472,10 @@ def verified_cluster(spark: SparkSession, docs: DataFrame, words: int, similarit
     tree = links(spark, one_of.select("fp"), limit).distinct()
     for x in ("a", "b"):
         tree = tree.join(one_of.withColumnsRenamed({"fp": x, "s": f"s{x}"}), x)
-    first = of_size(members.select(F.col("least").alias("a"), F.col("set").alias("b")).unionByName(tree.select(F.col("sa").alias("a"), F.col("sb").alias("b"))), "first")
+    first = of_size(
+        members.select(F.col("least").alias("a"), F.col("set").alias("b")).unionByName(tree.select(F.col("sa").alias("a"), F.col("sb").alias("b"))),
+        "first",
+    )
     asked = members.select("set").unionByName(first.select(F.explode(F.array("a", "b")).alias("set"))).distinct()
     one = scratch.put(nodes.join(asked, "set", "left_semi").select("row", "set"), "one")
     texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").join(one.select("row").hint("merge"), "row", "left_semi")
@@ -501,7 +516,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, limit:
     keyed = lambda df: df.select(F.col("row").alias(key[0]), F.coalesce("doc_id", F.lit(lost)).alias(key[1]))
     gone = keyed(rows.filter(~least)).unionByName(keyed(named.join(tied, "component").filter("row > low")))
     gone = scratch.put(gone, "gone")
-    kept = docs.withColumns({key[0]: F.xxhash64("doc_id", "text"), key[1]: F.coalesce(docs["doc_id"].cast("long"), F.lit(lost))}).join(gone.hint("merge"), key, "left_anti")
+    kept = (
+        docs.withColumns({key[0]: F.xxhash64("doc_id", "text"), key[1]: F.coalesce(docs["doc_id"].cast("long"), F.lit(lost))})
+        .join(gone.hint("merge"), key, "left_anti")
+    )
     again = scratch.put(keyed(named.filter("n > 1")), "again")
     if again.limit(1).count():
         kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))

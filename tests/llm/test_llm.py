@@ -219,7 +219,10 @@ def test_licences_from_a_table(spark):
     long = " ".join(f"clause{i} applies" for i in range(20_000))
     rows = [(f"L{i}", f"licence number {i} grants all rights") for i in range(3000)] + [("long", long), ("B", "same text"), ("A", "SAME  text!"), ("none", None)]
     table = spark.createDataFrame(rows, "license string, text string")
-    docs = spark.createDataFrame([(1, "Licence number 77 grants all rights."), (2, long.upper()), (3, "same text"), (4, "licence number 77"), (5, None)], "doc_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "Licence number 77 grants all rights."), (2, long.upper()), (3, "same text"), (4, "licence number 77"), (5, None)],
+        "doc_id long, text string",
+    )
     for limit in (op5.BROADCAST_ROWS, 0):
         with pytest.MonkeyPatch.context() as m:
             m.setattr(op5, "BROADCAST_ROWS", limit)
@@ -282,7 +285,10 @@ def test_substring_index_is_incremental(spark, tmp_path, monkeypatch):
 
 def test_license_scan(spark, docs, empty, monkeypatch):
     mit = op5.LICENCES["MIT"]
-    texts = [("Copyright (c) 2020 Someone\n\n" + mit.upper(),), (mit.replace(",", " ;").replace("\n", "  \n\t"),), (mit + " extra",), (None,), ("",), (op5.LICENCES["Zlib"].replace("acknowledgment", "acknowledgement"),)]
+    texts = [
+        ("Copyright (c) 2020 Someone\n\n" + mit.upper(),), (mit.replace(",", " ;").replace("\n", "  \n\t"),), (mit + " extra",),
+        (None,), ("",), (op5.LICENCES["Zlib"].replace("acknowledgment", "acknowledgement"),),
+    ]
     got = [r["license"] for r in op5.scan(spark, spark.createDataFrame(texts, "text string").withColumn("doc_id", op5.F.monotonically_increasing_id())).orderBy("doc_id").collect()]
     assert got == ["MIT", "MIT", None, None, None, "Zlib"]
     monkeypatch.setattr(op5, "BROADCAST_ROWS", 0)
@@ -295,7 +301,10 @@ def benchmark_words(text):
 
 
 def test_decontaminate_edges(spark, docs, empty):
-    items = [(1, PASSAGE.upper()), (2, "eight nine TEN"), (3, ""), (4, None), (10, "words"), (1, PASSAGE.upper()), (6, "absent term"), (1, "twelve thirteen"), (None, "tail words here"), (None, "short"), (7, "One Two"), (7, "four five")]
+    items = [
+        (1, PASSAGE.upper()), (2, "eight nine TEN"), (3, ""), (4, None), (10, "words"), (1, PASSAGE.upper()), (6, "absent term"),
+        (1, "twelve thirteen"), (None, "tail words here"), (None, "short"), (7, "One Two"), (7, "four five"),
+    ]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want, by_item = [], collections.defaultdict(int)
     for r in ROWS:
@@ -427,7 +436,10 @@ def test_mixing_takes_as_many_repeated_rows_as_the_target_needs(spark):
 def test_mixing_inclusion_frequencies(spark):
     """Many sources with the same sizes are as many draws."""
     sizes, draws = [5, 10, 10, 20, 40, 80, 160, 400], 400
-    df = spark.createDataFrame([(s * 10 + k, "w " * n, f"{s:04}") for s in range(draws) for k, n in enumerate(sizes)], "doc_id long, text string, source string")
+    df = spark.createDataFrame(
+        [(s * 10 + k, "w " * n, f"{s:04}") for s in range(draws) for k, n in enumerate(sizes)],
+        "doc_id long, text string, source string",
+    )
     seen = collections.Counter(r["doc_id"] % 10 for r in op8.mix(spark, df, (1,)).collect() if r["taken"] > r["size"])
     imp, sure, rest = [math.floor(1024 * math.sqrt(n)) for n in sizes], set(), sum(sizes) / 2
     while True:
@@ -470,7 +482,10 @@ def test_simhash(spark, docs, empty):
     assert op9.cluster(spark, empty).count() == 0 and op9.near_dedup(spark, empty).count() == 0
     clash = docs.select("*", op9.F.lit(7).alias("_row"), op9.F.lit(1).alias("component"))
     assert op9.near_dedup(spark, clash).filter("_row = 7 and component = 1").count() == len(want)
-    ties = spark.createDataFrame([(1, "alpha beta gamma delta"), (1, "alpha beta gamma delta "), (1, "alpha beta gamma delta"), (2, "alpha beta gamma delta"), (3, "other words stand here now")], "doc_id long, text string")
+    ties = spark.createDataFrame(
+        [(1, "alpha beta gamma delta"), (1, "alpha beta gamma delta "), (1, "alpha beta gamma delta"), (2, "alpha beta gamma delta"), (3, "other words stand here now")],
+        "doc_id long, text string",
+    )
     assert sorted(r["doc_id"] for r in op9.near_dedup(spark, ties).collect()) == [1, 3]
 
 
@@ -685,7 +700,10 @@ def test_pipeline_drops_planted_near_copies(spark, docs, empty, sf_dir):
 
     w = [f"v{i * i % 1009}x{i}" for i in range(200)]
     edit = lambda *at: " ".join("new" if i in at else x for i, x in enumerate(w))
-    rows = [(1, edit()), (2, edit(100)), (3, edit(30, 150)), (4, edit(*range(0, 200, 20))), (5, edit(199) + " "), (6, edit(199)), (7, "too few"), (8, "too many"), (None, edit())]
+    rows = [
+        (1, edit()), (2, edit(100)), (3, edit(30, 150)), (4, edit(*range(0, 200, 20))), (5, edit(199) + " "), (6, edit(199)),
+        (7, "too few"), (8, "too many"), (None, edit()),
+    ]
 
     def jaccard(x, y):
         s, t = ({tuple(v[i : i + 5]) for i in range(max(1, len(v) - 4))} for v in (tokens(x, True), tokens(y, True)))
