@@ -216,3 +216,18 @@ o AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit,
   FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN i ON d.doc_id = i.doc_id)
 SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM o
 """
+
+PROXIMITY_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '{SEPARATOR}'), lambda x: x <> '') AS ws FROM documents),
+b AS (SELECT DISTINCT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{c.UPPER}', '{c.UPPER.lower()}'), '{SEPARATOR}'), lambda x: x <> '') AS iw FROM benchmark),
+k AS (SELECT row_number() OVER () AS key, item_id, iw, least(len(iw), {WINDOW}) AS n FROM b WHERE len(iw) > 0),
+w AS (SELECT key, iw, n, unnest(range(len(iw) - n + 1)) AS w FROM k),
+o AS (SELECT key, w, n, iw, unnest(range(w, w + n)) AS q FROM w),
+t AS (SELECT key, w, n, q, lower(iw[q + 1]) AS term FROM o),
+p AS (SELECT r, lower(x) AS term, p FROM (SELECT r, unnest(ws) AS x, unnest(range(len(ws))) AS p FROM d) WHERE lower(x) IN (SELECT term FROM t)),
+c AS (SELECT term, count(*) AS c FROM p GROUP BY term),
+rk AS (SELECT t.*, row_number() OVER (PARTITION BY key, w ORDER BY c, term, q) AS rn, count(*) OVER (PARTITION BY key, w) AS found FROM t JOIN c USING (term)),
+a AS (SELECT DISTINCT key, t1, t2 FROM (SELECT key, w, max(term) FILTER (rn = 1) AS t1, max(term) FILTER (rn = 2) AS t2 FROM rk WHERE found = n GROUP BY key, w)),
+m AS (SELECT DISTINCT x.r, key FROM a JOIN p x ON x.term = t1 JOIN p y ON y.term = t2 AND y.r = x.r AND abs(x.p - y.p) <= {WINDOW} AND x.p <> y.p)
+SELECT DISTINCT doc_id, item_id FROM m JOIN d USING (r) JOIN k USING (key)
+"""

@@ -31,5 +31,6 @@ ORACLES = {
     "op5_license_scan": op5_license_scan.SQL,
     "op5b_planted_licences": op5_license_scan.PLANTED_SQL,
     "op6_decontaminate": op6_decontaminate.SQL,
+    "op6b_proximity": op6_decontaminate.PROXIMITY_SQL,
     "op7_quality_rules": op7_quality_rules.SQL,
 }
