@@ -8,6 +8,7 @@ from .op2_suffix_tree import op2_suffix_tree_score
 from .op8_mixing import op8_mixing
 from .op9_simhash import op9_simhash_near_dedup
 from .op10_wrappers import op10_main_text
+from .op12_periodic_runs import op12_periodic_runs
 
 QUERIES = {
     "op1_kd_shards": op1_kd_shards,
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_main_text": op10_main_text,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 #: The others aren't expressible in SQL; their tests hold them against brute force.
