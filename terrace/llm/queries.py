@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op3_host_reputation, op4_substring_dedup, op5_license_scan, op6_decontaminate, op7_quality_rules
+from . import op3_host_reputation, op4_substring_dedup, op5_license_scan, op6_decontaminate, op7_quality_rules, op13_rolling_windows
 from .op1_kd_shards import op1_kd_shards
 from .op2_suffix_tree import op2_suffix_tree_score
 from .op8_mixing import op8_mixing
@@ -24,6 +24,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_main_text": op10_main_text,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_rolling_windows": op13_rolling_windows.op13_rolling_windows,
 }
 
 #: The others aren't expressible in SQL; their tests hold them against brute force.
@@ -35,4 +36,5 @@ ORACLES = {
     "op6_decontaminate": op6_decontaminate.SQL,
     "op6b_proximity": op6_decontaminate.PROXIMITY_SQL,
     "op7_quality_rules": op7_quality_rules.SQL,
+    "op13_rolling_windows": op13_rolling_windows.SQL,
 }
