@@ -8,6 +8,7 @@ from .op2_suffix_tree import op2_suffix_tree_score
 from .op8_mixing import op8_mixing
 from .op9_simhash import op9_simhash_near_dedup
 from .op10_wrappers import op10_main_text
+from .op11_lsh_forest import op11_lsh_forest
 from .op12_periodic_runs import op12_periodic_runs
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_main_text": op10_main_text,
+    "op11_lsh_forest": op11_lsh_forest,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_rolling_windows": op13_rolling_windows.op13_rolling_windows,
 }
