@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import pii
-from terrace.functions.columns import document_attributes
+from terrace.functions.columns import col_or_null, document_attributes
 from terrace.operators import cdc, documents, gold, governance, quarantine, rules, vector
 from terrace.plans import monitoring as m
 from terrace.plans.graph import Pipeline
@@ -513,13 +513,14 @@ def secured_chunks_dept(spark, d):
 # ---- ingestion and catalogued tables -----------------------------------------------------------
 
 
-def ingested(spark, d, kind: str, batches, read, bronze):
-    """Files that come in two batches, each taken by a triggered run into one table."""
+def ingested(spark, d, kind: str, runs, bronze):
+    """Files that come before each run, each run taking the new ones into one table. A run's files: frames, each with its own columns."""
     root = workspace(spark, kind)
     store = files.SchemaStore(spark, f"{root}/schema.json")
-    for i, batch in enumerate(batches):
-        getattr(batch.write.mode("append").option("header", True), kind)(f"{root}/in/b{i}" if kind == "json" else f"{root}/in")
-        files.append_available(bronze(read(spark, f"{root}/in", store)), f"{root}/bronze", f"{root}/checkpoint")
+    for i, batch in enumerate(runs):
+        for k, part in enumerate(batch):
+            getattr(part.write.option("header", True), kind)(f"{root}/in/b{i}/{k}")
+        files.ingest(spark, f"{root}/in", kind, store, bronze, f"{root}/bronze", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/bronze")
 
 
@@ -532,18 +533,49 @@ def ingest_json_orders(spark, d):
     """Orders as JSON lines; the second batch brings a column that the first lacks, so only that one has regions."""
     o = t.bronze_orders(spark, d)
     half = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
-    got = ingested(spark, d, "json", [o.filter(half), o.filter(~half)], files.json_stream, lambda raw: files.bronze_orders(raw, t.SALT))
+    got = ingested(spark, d, "json", [[o.filter(half)], [o.filter(~half)]], lambda raw: files.bronze_orders(raw, t.SALT))
     return text(got.select("order_id", "customer_id", "order_date", "amount", "region", "payment_card_last4", "reprocessed_from_quarantine"))
 
 
+@query(
+    """SELECT order_id, CASE WHEN k <> 1 THEN amount END AS amount, CASE WHEN k = 2 THEN region END AS note,
+    CASE WHEN k = 1 AND amount IS NOT NULL THEN '{"amount":"about ' || CAST(CAST(floor(amount) AS BIGINT) AS VARCHAR) || '"}' END AS rescued FROM (SELECT *, CAST(order_id AS BIGINT) % 3 AS k FROM bronze_orders WHERE order_id IS NOT NULL)""",
+    "bronze_orders",
+)
+def ingest_json_rescued(spark, d):
+    """Amounts that come as text in the second run are rescued under their name; a column that the third run brings is added."""
+    o = t.bronze_orders(spark, d).filter("order_id IS NOT NULL").withColumn("k", F.col("order_id").cast("long") % 3)
+    first, third = o.filter("k = 0").select("order_id", "amount"), o.filter("k = 2").select("order_id", F.col("region").alias("note"), "amount")
+    second = o.filter("k = 1").select("order_id", F.concat(F.lit("about "), F.floor("amount").cast("string")).alias("amount"))
+    got = ingested(spark, d, "json", [[first], [second], [third]], lambda raw: raw.withColumn("note", col_or_null(raw, "note", "string")))
+    return got.select("order_id", "amount", "note", F.col(files.RESCUED).alias("rescued"))
+
+
 @query("SELECT customer_id, name, email, phone, birth_date, region, CAST(NULL AS VARCHAR) AS operation FROM people", "people")
 def ingest_csv_customers(spark, d):
     c = t.customers(spark, d)
     half = F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0
-    got = ingested(spark, d, "csv", [c.filter(half), c.filter(~half)], files.csv_stream, files.bronze_customers)
+    got = ingested(spark, d, "csv", [[c.filter(half)], [c.filter(~half)]], files.bronze_customers)
     return got.select("customer_id", "name", "email", "phone", "birth_date", "region", "operation")
 
 
+@query(
+    """SELECT customer_id, name, CASE WHEN k <> 2 THEN email END AS email, CASE WHEN k IN (1, 3) THEN phone END AS phone, CASE WHEN k >= 2 THEN region END AS region, CASE WHEN k = 3 THEN 'L' || customer_id END AS loyalty,
+    CAST(NULL AS VARCHAR) AS rescued FROM (SELECT *, CAST(regexp_extract(customer_id, '[0-9]+') AS BIGINT) % 4 AS k FROM people)""",
+    "people",
+)
+def ingest_csv_by_name(spark, d):
+    """Files of four headers in two runs: other orders, fewer and more columns, another case. Values go by their column's name."""
+    c = t.customers(spark, d).withColumn("k", F.regexp_extract("customer_id", "[0-9]+", 0).cast("long") % 4).withColumn("loyalty", F.concat(F.lit("L"), "customer_id"))
+    part = lambda k, *names: c.filter(F.col("k") == k).select(*names)
+    runs = [
+        [part(0, "customer_id", "name", "email"), part(1, "customer_id", "email", "name", "phone")],
+        [part(2, "region", F.col("name").alias("NAME"), "customer_id"), part(3, "loyalty", "phone", "region", "email", "name", "customer_id")],
+    ]
+    got = ingested(spark, d, "csv", runs, lambda raw: raw.select(*(col_or_null(raw, n, "string") for n in ("customer_id", "name", "email", "phone", "region", "loyalty")), files.RESCUED))
+    return got.select("customer_id", "name", "email", "phone", "region", "loyalty", F.col(files.RESCUED).alias("rescued"))
+
+
 @query("SELECT source AS department, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY 1")
 def ingest_binary_documents(spark, d):
     """Whole files with their content, read as a stream and as a batch; both see the same bytes."""
@@ -565,8 +597,8 @@ def requeue_roundtrip(spark, d):
     root = workspace(spark, "requeue")
     fixed_rows = quarantine.corrected(quarantine.decided(bad(spark, d)), F.lit(t.ORDERS_AS_OF).cast("date"))
     files.requeue_json(fixed_rows, f"{root}/in/reprocessed")
-    raw = files.json_stream(spark, f"{root}/in", files.SchemaStore(spark, f"{root}/schema.json"))
-    files.append_available(files.bronze_orders(raw, t.SALT), f"{root}/bronze", f"{root}/checkpoint")
+    store = files.SchemaStore(spark, f"{root}/schema.json")
+    files.ingest(spark, f"{root}/in", "json", store, lambda raw: files.bronze_orders(raw, t.SALT), f"{root}/bronze", f"{root}/checkpoint")
     return text(spark.read.parquet(f"{root}/bronze").select("order_id", "order_date", "amount", "reprocessed_from_quarantine"))
 
 
@@ -592,7 +624,7 @@ def dynamic_sql(spark, d):
     """A statement put together as text, with quoted values, over a table whose name is a parameter."""
     name = f"customers_{uuid.uuid4().hex}"
     t.table(spark, d, "customer").createOrReplaceTempView(name)
-    where = f"c_mktsegment = {files.literal('BUILDING')} OR c_name = {files.literal(chr(105) + 't' + chr(39) + 's')}"
+    where = f"c_mktsegment = {files.literal('BUILDING')} OR c_name = {files.literal("it's")}"
     return spark.sql(f"SELECT c_custkey, c_name FROM IDENTIFIER(:name) WHERE {where}", args={"name": name})
 
 

@@ -11,8 +11,8 @@ DOCUMENT_PATH = r".*/raw_documents/([^/]+)/([^/]+)/[^/]+$"
 
 def col_or_null(df: DataFrame, name: str, kind: str) -> Column:
     """The column cast to `kind` where df has it, a typed null where it hasn't. Unparsable values become null."""
-    return F.col(name).try_cast(kind).alias(name) if name in df.columns else F.lit(None).cast(kind).alias(name)
-
+    has = name.lower() in {c.lower() for c in df.columns}
+    return F.col(name).try_cast(kind).alias(name) if has else F.lit(None).cast(kind).alias(name)
 
 
 def document_attributes(path: Column | str) -> dict[str, Column]:

@@ -21,11 +21,21 @@ def hashed(value: Column | str, salt: str) -> Column:
     return F.sha2(F.concat(F.col(value) if isinstance(value, str) else value, F.lit(salt)), 256)
 
 
+#: Runs of digits as long as a card number.
+CARD = r"\d(?:[ -]?\d){11,18}"
+
+
 def tokenized_card(df: DataFrame, salt: str, number: str = "payment_card_number") -> DataFrame:
     """Replace a raw card number by its last four digits and a salted hash; rows without one keep tokens they bring."""
     have = lambda n: F.col(n) if n in df.columns else F.lit(None).cast("string")
     raw = F.col(number).cast("string") if number in df.columns else F.lit(None).cast("string")
-    out = df.withColumn("payment_card_last4", F.coalesce(F.substring(raw, -4, 4), have("payment_card_last4"))).withColumn("payment_card_hash", F.coalesce(hashed(raw, salt), have("payment_card_hash")))
+    rest = F.from_json("_rescued_data", "map<string,string>") if "_rescued_data" in df.columns else None
+    if rest is not None:  # a number of another type than the column's was rescued
+        raw = F.coalesce(raw, rest[number])
+    out = df.withColumns({"payment_card_last4": F.coalesce(F.substring(raw, -4, 4), have("payment_card_last4")), "payment_card_hash": F.coalesce(hashed(raw, salt), have("payment_card_hash"))})
+    if rest is not None:
+        kept = F.transform_values(F.map_filter(rest, lambda k, v: k != number), lambda k, v: F.regexp_replace(v, CARD, "****"))
+        out = out.withColumn("_rescued_data", F.when(F.size(kept) > 0, F.to_json(kept)))
     return out.drop(number)
 
 

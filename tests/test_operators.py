@@ -211,7 +211,7 @@ def test_ingestion_evolves_and_is_incremental(spark, tmp_path):
     (src / "a.json").write_text(json.dumps({"order_id": "1", "amount": 5, "order_date": "2025-01-01", "payment_card_number": "4111"}))
 
     def load():
-        files.append_available(files.bronze_orders(files.json_stream(spark, str(src), store), "s"), f"{tmp_path}/bronze", f"{tmp_path}/checkpoint")
+        files.ingest(spark, str(src), "json", store, lambda raw: files.bronze_orders(raw, "s"), f"{tmp_path}/bronze", f"{tmp_path}/checkpoint")
         return spark.read.parquet(f"{tmp_path}/bronze")
 
     assert load().count() == 1 and load().count() == 1
@@ -224,8 +224,7 @@ def test_ingestion_evolves_and_is_incremental(spark, tmp_path):
     csv = tmp_path / "customers"
     csv.mkdir()
     (csv / "c.csv").write_text('customer_id,name,address,updated_at\nC1,n,"a, b",2025-01-05T09:00:00\n')
-    s = files.bronze_customers(files.csv_stream(spark, str(csv), files.SchemaStore(spark, f"file://{tmp_path}/c.json")))
-    files.append_available(s, f"{tmp_path}/customers_bronze", f"{tmp_path}/cc")
+    files.ingest(spark, str(csv), "csv", files.SchemaStore(spark, f"file://{tmp_path}/c.json"), files.bronze_customers, f"{tmp_path}/customers_bronze", f"{tmp_path}/cc")
     assert spark.read.parquet(f"{tmp_path}/customers_bronze").first()["address"] == "a, b"
     files.requeue_json(spark.sql("SELECT '3' AS order_id, DATE '2025-01-02' AS order_date"), str(src / "reprocessed"))
     assert load().count() == 3
