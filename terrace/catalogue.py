@@ -619,6 +619,42 @@ def resolution_log_attempts(spark, d):
     )
 
 
+#: Day of coming to quarantine and of the run that decides; the last rows wait for a run yet.
+ATTEMPTS = "(VALUES (1, 1, 2), (2, 1, 2), (3, 3, 4), (4, 5, NULL)) v(n, came, ran)"
+
+
+def attempted(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(quarantine, log): all rows come twice on day 1, every other one on day 3, every third on day 5; runs are on days 2 and 4."""
+    q, day = bad(spark, d), lambda n: F.lit(f"2024-01-0{n}").cast("timestamp")
+    k = F.col("order_id").cast("long")
+    came = lambda df, n: df.withColumn("quarantined_at", day(n))
+    first, second, third = came(q.unionByName(q), 1), came(q.filter(k % 2 == 0), 3), came(q.filter(k % 3 == 0), 5)
+    name = f"log_{uuid.uuid4().hex}"
+    files.create_log_table(spark, name, workspace(spark, "attempts"))
+    for rows, ran in ((first, 2), (first.unionByName(second), 4)):
+        files.append_table(quarantine.reprocess(rows, files.table_scan(spark, name), F.lit(t.ORDERS_AS_OF).cast("date"), day(ran))[1], name)
+    return first.unionByName(second).unionByName(third), files.table_scan(spark, name)
+
+
+@query(
+    f"""SELECT order_id, {RULES_TEXT}, '2024-01-0' || came || ' 00:00:00' AS quarantined_at, CASE WHEN ran IS NOT NULL THEN resolution_status END AS resolution_status,
+    CASE WHEN ran IS NOT NULL THEN correction_note END AS correction_note, '2024-01-0' || ran || ' 00:00:00' AS resolved_at FROM ({DECIDED}), {ATTEMPTS}
+    WHERE n < 3 OR (n = 3 AND CAST(order_id AS BIGINT) % 2 = 0) OR (n = 4 AND CAST(order_id AS BIGINT) % 3 = 0)""",
+    "bad",
+)
+def resolution_report_attempts(spark, d):
+    """Several quarantined rows and attempts of one id: each row once, with the first decision after it came."""
+    q, log = attempted(spark, d)
+    out = quarantine.resolution_report(q, log).withColumn("violated_rules", F.array_join("violated_rules", ","))
+    return text(out.select("order_id", "violated_rules", "quarantined_at", "resolution_status", "correction_note", "resolved_at"))
+
+
+@query(f"SELECT order_id, CAST(n AS INTEGER) AS reprocess_count, count(*) AS n_rows FROM ({DECIDED}), {ATTEMPTS} WHERE n < 3 OR (n = 3 AND CAST(order_id AS BIGINT) % 2 = 0) GROUP BY 1, 2", "bad")
+def resolution_log_repeated(spark, d):
+    """An id's rows in one run get a number each, and the next run goes on from there."""
+    return attempted(spark, d)[1].groupBy("order_id", "reprocess_count").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' OR c_name = 'it''s'")
 def dynamic_sql(spark, d):
     """A statement put together as text, with quoted values, over a table whose name is a parameter."""

@@ -1,3 +1,4 @@
+import datetime
 import itertools
 import json
 import math
@@ -74,6 +75,31 @@ def test_corrections(orders):
     assert ids(quarantine.open_rows(q, log)) == sorted([None, "ORD3", "ORD6", "ORD7", "ORD8"], key=str)
 
 
+def test_decisions_by_attempt(spark):
+    """Repeated ids in one run, very many rows without an id, a status set by hand, rows that no run has seen."""
+    schema = "order_id string, customer_id string, order_date date, amount double, violated_rules array<string>, quarantined_at timestamp"
+    stamp = lambda day: datetime.datetime(2024, 1, day)
+    rows = [("a", "c", None, -1.0, ["positive_amount"], stamp(1)), ("a", "c", None, -1.0, ["positive_amount"], stamp(1)), ("a", "c", None, None, ["positive_amount"], stamp(1))]
+    rows += [(None, "c", None, float(i), ["order_id_not_null"], stamp(1)) for i in range(300)]
+    q, none = spark.createDataFrame(rows, schema), spark.createDataFrame([], files.LOG_SCHEMA)
+    at = lambda day: F.lit(stamp(day))
+    log = quarantine.reprocess(q, none, F.current_date(), at(2))[1]
+    keys = [(r["order_id"], r["reprocess_count"]) for r in log.collect()]
+    assert sorted(keys, key=repr) == sorted([("a", n) for n in (1, 2, 3)] + [(None, n) for n in range(1, 301)], key=repr)
+    later = spark.createDataFrame([("a", "c", None, -1.0, ["positive_amount"], stamp(3)), ("b", "c", None, -1.0, ["positive_amount"], stamp(3))], schema)
+    log = spark.createDataFrame(log.collect(), files.LOG_SCHEMA)
+    more = quarantine.reprocess(q.union(later), log, F.current_date(), at(4))[1]
+    assert sorted((r["order_id"], r["reprocess_count"]) for r in more.collect()) == [("a", 4), ("b", 1)]
+    by_hand = spark.createDataFrame([("b", ["positive_amount"], "IGNORED", "by hand", stamp(5), 1)], files.LOG_SCHEMA)
+    waiting = spark.createDataFrame([("a", "c", None, -1.0, ["positive_amount"], stamp(6))], schema)
+    report = quarantine.resolution_report(q.union(later).union(waiting), log.union(more.filter("order_id = 'a'")).union(by_hand)).collect()
+    assert len(report) == 306
+    got = sorted(((r["order_id"], r["amount"], r["resolution_status"], r["resolved_at"] and r["resolved_at"].day) for r in report if r["order_id"]), key=repr)
+    want = [("a", -1.0, "CORRECTED", 2), ("a", -1.0, "CORRECTED", 2), ("a", None, "UNCORRECTABLE", 2), ("a", -1.0, "CORRECTED", 4), ("a", -1.0, None, None), ("b", -1.0, "IGNORED", 5)]
+    assert got == sorted(want, key=repr)
+    assert {r["resolution_status"] for r in report if r["order_id"] is None} == {"UNCORRECTABLE"}
+
+
 def test_quality_summary_and_gate(orders):
     good, marked = rules.valid(orders, R), rules.classify(orders, R)
     s = {r["violated_rule"]: r for r in gold.quality_summary(marked, R.names()).collect()}
