@@ -25,6 +25,11 @@ def scd2(events: DataFrame, keys: list[str], sequence: str, deletes: str) -> Dat
     return out.select(*events.columns, F.col(sequence).alias("__START_AT"), F.col("_next").alias("__END_AT"))
 
 
+def winners(events: DataFrame, keys: list[str], sequence: str, deletes: str) -> DataFrame:
+    """scd2 with the deletes kept, marked by __DELETED: what later events of the same keys need to be placed among."""
+    return _ordered(events, keys, sequence, deletes).select(*events.columns, F.col(sequence).alias("__START_AT"), F.col("_next").alias("__END_AT"), F.col("_delete").alias("__DELETED"))
+
+
 def scd1(events: DataFrame, keys: list[str], sequence: str, deletes: str) -> DataFrame:
     """The latest event of each key, unless it is a delete."""
     return _ordered(events, keys, sequence, deletes).filter("_next IS NULL AND NOT _delete").select(*events.columns)

@@ -337,22 +337,3 @@ def test_top_k_answers_every_query_row(spark):
     score = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / 1.25, 6)
     want = [(i, j) for i, a in rows if i % 20 == 0 for j, _ in sorted(rows, key=lambda r: (-score(a, r[1]), r[0]))[:3]]
     assert [tuple(r) for r in got] == want
-
-
-def test_stream_history_touches_only_buckets_of_a_batch(spark, tmp_path):
-    schema = "k string, s int, op string, v string"
-    batches = [
-        [("a", 1, "INSERT", "x"), ("b", 1, "INSERT", "x"), ("c", 1, "INSERT", "p")], [("a", 5, "UPDATE", "y")],
-        [("a", 3, "UPDATE", "z"), ("c", 0, "DELETE", "p")], [("b", 2, "DELETE", "x")],
-    ]
-    root, seen = f"file://{tmp_path}/history", []
-    for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        flows.apply_changes(spark, stream, root, ["k"], "s", "op = 'DELETE'", buckets=8)
-        seen += rows
-        want = cdc.scd2(spark.createDataFrame(seen, schema), ["k"], "s", "op = 'DELETE'")
-        assert versions(flows.latest(spark, root)) == versions(want)
-        assert len(list((tmp_path / "history" / "versions" / str(i)).glob("_bucket=*"))) == len({r[0] for r in rows})
-    (tmp_path / "history" / "versions" / "3" / "_WHOLE").unlink()  # a version that isn't whole doesn't count
-    assert "3" not in map(str, flows._versions(spark, root))
