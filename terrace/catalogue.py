@@ -482,12 +482,45 @@ def policy_covers_later_tables(spark, d):
     return g.secure_read(fixed(spark, d), "chunks_copy", governance.Principal("x", frozenset({"dept-src1"}))).select("doc_path", "chunk_index")
 
 
-@query("SELECT * FROM (VALUES ('bronze', 'quality', 'bronze'), ('bronze', 'source', '/in/orders')) v(table_name, property, value)")
+@query(
+    "SELECT v.property, v.value, n.n_rows FROM (VALUES ('quality', 'bronze'), ('retention', 'interval 7 days'), ('source', '/in/orders')) v(property, value), (SELECT count(*) AS n_rows FROM bronze_orders) n",
+    "bronze_orders",
+)
 def pipeline_properties(spark, d):
-    """Properties of tables, one from a parameter of the pipeline."""
+    """A published table in the catalogue: its declared properties as table properties, and its rows by SQL."""
     p = Pipeline(spark, "orders", workspace(spark, "properties"), {"raw_path": "/in/orders"})
-    p.materialized_view(name="bronze", properties={"quality": "bronze", "source": p.parameter("raw_path")})(lambda p: orders(spark, d))
-    return p.properties()
+    p.materialized_view(name="bronze", properties={"quality": "bronze", "source": p.parameter("raw_path"), "retention": "interval 7 days"})(lambda p: orders(spark, d))
+    p.run()
+    name = f"bronze_{uuid.uuid4().hex}"
+    p.register("bronze", name)
+    declared = spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:t)", args={"t": name}).filter("key IN ('quality', 'retention', 'source')")
+    return declared.select(F.col("key").alias("property"), "value").crossJoin(files.table_scan(spark, name).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+#: Two versions of orders: some go, some come, some change.
+FEED = """WITH old AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 7 <> 0),
+new AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 11 <> 0),
+met AS (SELECT o.o_orderkey AS ok, n.o_orderkey AS nk, o.o_orderstatus AS os, n.o_orderstatus AS ns, o.o_totalprice AS op, n.o_totalprice AS np FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey)
+SELECT ok AS o_orderkey, os AS o_orderstatus, op AS o_totalprice, CASE WHEN nk IS NULL THEN 'delete' ELSE 'update_preimage' END AS _change_type, CAST(1 AS BIGINT) AS _commit_version FROM met WHERE ok IS NOT NULL AND (nk IS NULL OR os <> ns)
+UNION ALL SELECT nk, ns, np, CASE WHEN ok IS NULL THEN 'insert' ELSE 'update_postimage' END, 1 FROM met WHERE nk IS NOT NULL AND (ok IS NULL OR os <> ns)"""
+
+
+@query(FEED)
+def change_feed_orders(spark, d):
+    """The change feed between two published versions of a table."""
+    p = Pipeline(spark, "orders", workspace(spark, "feed"), {"run": "0"})
+
+    @p.materialized_view(properties={"change_feed": "o_orderkey"})
+    def kept(p):
+        o, k = t.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), F.col("o_orderkey")
+        if p.parameter("run") == "0":
+            return o.filter(k % 7 != 0)
+        return o.filter(k % 11 != 0).withColumn("o_orderstatus", F.when(k % 5 == 0, "X").otherwise(F.col("o_orderstatus")))
+
+    p.run()
+    p.parameters["run"] = "1"
+    p.run()
+    return p.changes("kept", 0).drop("_commit_timestamp")
 
 
 @query(SECURED.format("discount_rate"), "scd2", "good")
@@ -699,6 +732,36 @@ def graph_expectations(spark, d):
     return p.expectations().drop("update_id")
 
 
+@query(
+    """SELECT 'by_day' AS flow_name, 'checked' AS dataset, 'positive' AS name, count(*) FILTER (coalesce(amount > 0, false)) AS passed_records, count(*) FILTER (NOT coalesce(amount > 0, false)) AS failed_records FROM bronze_orders
+    UNION ALL SELECT 'emptied', 'checked', 'positive', NULL, NULL UNION ALL SELECT 'unread', 'checked', 'positive', NULL, NULL""",
+    "bronze_orders",
+)
+def graph_expectation_states(spark, d):
+    """A view that one dataset reads twice counts once; one whose rows reach no plan that runs has no counts, and nothing waits for them."""
+    p = Pipeline(spark, "orders", workspace(spark, "states"))
+
+    @p.view(drop={"positive": "amount > 0"})
+    def checked(p):
+        return orders(spark, d)
+
+    @p.materialized_view("checked")
+    def by_day(p):
+        total = p.read("checked").groupBy("order_date").agg(F.count(F.lit(1)).alias("n"))
+        return p.read("checked").groupBy("order_date").agg(F.max("amount").alias("most")).join(total, "order_date")
+
+    @p.materialized_view("checked")
+    def emptied(p):
+        return p.read("checked").filter("false")
+
+    @p.materialized_view("checked")
+    def unread(p):
+        return spark.range(3).select(F.lit(len(p.read("checked").columns)).alias("n"))
+
+    p.run()
+    return p.expectations().drop("update_id")
+
+
 # ---- streams -----------------------------------------------------------------------------------
 
 

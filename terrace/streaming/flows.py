@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from terrace.operators import cdc
@@ -15,8 +16,11 @@ from terrace.operators.rules import RuleSet, classify
 BUCKET = "_bucket"
 
 
-def run_available(df: DataFrame, each, checkpoint: str) -> None:
-    df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run_available(df: DataFrame, each, checkpoint: str) -> StreamingQuery:
+    """Run over what is there now; the query, which has ended."""
+    query = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def split_orders(stream: DataFrame, rules: RuleSet, valid_path: str, quarantine_path: str, checkpoint: str) -> None:
@@ -166,11 +170,11 @@ class History:
         self._publish(number, state)
 
 
-def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: list[str], sequence: str, deletes: str, buckets: int = 32) -> None:
+def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: list[str], sequence: str, deletes: str, buckets: int = 32) -> StreamingQuery:
     """Take the stream's new change events into the History at `root`. `buckets` counts when the history is made; the stored
     number holds from then on."""
     history = History(spark, root)
-    run_available(stream, lambda batch, number: history.apply(batch, number, keys, sequence, deletes, buckets), f"{root}/checkpoint")
+    return run_available(stream, lambda batch, number: history.apply(batch, number, keys, sequence, deletes, buckets), f"{root}/checkpoint")
 
 
 def latest(spark: SparkSession, root: str) -> DataFrame:
