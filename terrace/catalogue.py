@@ -401,6 +401,28 @@ def vector_topk_all(spark, d):
     return vector.top_k(e, e.filter("vec_id % 100 = 0")).select("query_id", "vec_id", "score")
 
 
+@query("SELECT count(*) AS n_queries, true AS found_most FROM embeddings WHERE vec_id % 100 = 0")
+def vector_index_recall(spark, d):
+    """The index's answers to every query row against the exact ones: is nine tenths of the five best rows found?"""
+    e = t.table(spark, d, "embeddings").select("vec_id", "embedding")
+    asked = e.filter("vec_id % 100 = 0")
+    got = vector.Index.build(e, workspace(spark, "vectors")).search(asked).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    met = vector.top_k(e, asked).select("query_id", "vec_id").join(got, ["query_id", "vec_id"], "left")
+    return met.agg(F.countDistinct("query_id").alias("n_queries"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("found_most"))
+
+
+@query("SELECT vec_id, vec_id % 5 = 0 AS moved FROM embeddings WHERE vec_id % 7 <> 0 UNION ALL SELECT vec_id + 1000000, true FROM embeddings WHERE vec_id % 9 = 0")
+def vector_index_sync(spark, d):
+    """After a sync, changed vectors are found as themselves, rows that went are gone, and new ones are there."""
+    e = t.table(spark, d, "embeddings").select("vec_id", "embedding", F.lit(False).alias("moved"))
+    index = vector.Index.build(e, workspace(spark, "vectors"))
+    turned = F.transform("embedding", lambda x: -x)
+    changed = e.filter("vec_id % 5 = 0 AND vec_id % 7 <> 0").withColumn("embedding", turned)
+    came = e.filter("vec_id % 9 = 0").withColumn("vec_id", F.col("vec_id") + 1000000)
+    index.sync(changed.unionByName(came).withColumn("moved", F.lit(True)), e.filter("vec_id % 7 = 0"))
+    return index.rows().select("vec_id", "moved")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_metric_path(spark, d):
     return t.table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))

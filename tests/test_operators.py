@@ -4,6 +4,7 @@ import json
 import math
 import random
 import re
+import shutil
 
 import pytest
 from pyspark.sql import Observation
@@ -337,3 +338,35 @@ def test_top_k_answers_every_query_row(spark):
     score = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / 1.25, 6)
     want = [(i, j) for i, a in rows if i % 20 == 0 for j, _ in sorted(rows, key=lambda r: (-score(a, r[1]), r[0]))[:3]]
     assert [tuple(r) for r in got] == want
+
+
+def test_vector_index(spark, tmp_path):
+    """Clustered vectors: few cells are looked into, and only their files are read; null, zero and repeated vectors; a sync moves rows."""
+    rng = random.Random(4)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.15) for c in centres[i % 12]]) for i in range(600)]
+    rows += [(1000 + i, centres[0]) for i in range(300)] + [(2000, None), (2001, [0.0] * 8)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = vector.Index.build(e, f"file://{tmp_path}/v", cells=12)
+    assert index.probes < 6
+    assert index.rows().count() == len(rows)
+    asked = e.filter("vec_id % 50 = 0 AND vec_id < 600")
+    pairs = lambda df: {tuple(r) for r in df.select("query_id", "vec_id").collect()}
+    got, want = index.search(asked), pairs(vector.top_k(e, asked))
+    assert len(pairs(got) & want) >= 0.9 * len(want)
+    (own,) = [r["cell"] for r in index.rows().filter("vec_id = 0").collect()]
+    one = pairs(index.search(e.filter("vec_id = 0"), probes=1))
+    shutil.copytree(tmp_path / "v", tmp_path / "cut")
+    for folder in (tmp_path / "cut" / "rows").glob("cell=*"):
+        if folder.name != f"cell={own}":
+            for f in folder.glob("*.parquet"):
+                f.write_bytes(b"unreadable")
+    assert pairs(vector.Index(spark, f"file://{tmp_path}/cut").search(e.filter("vec_id = 0"), probes=1)) == one
+    again = vector.Index(spark, f"file://{tmp_path}/v")
+    again.sync(e.filter("vec_id = 1").withColumn("embedding", F.lit(centres[0])), e.filter("vec_id = 2"))
+    assert again.rows().count() == len(rows) - 1
+    assert pairs(again.search(e.filter("vec_id = 1000"), k=1000)) >= {(1000, 1)}
+    assert vector.Index(spark, f"file://{tmp_path}/v").rows().filter("vec_id = 2").count() == 0
+    same = [r["vec_id"] for r in vector.top_k(e, e.filter("vec_id = 1000")).collect()]
+    assert same == [1000, 1001, 1002, 1003, 1004]
+    assert [r["score"] for r in vector.top_k(e.filter("vec_id >= 2000"), e.filter("vec_id = 0")).collect()] == [None, None]
