@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from terrace.functions import pii
 from terrace.functions.columns import col_or_null, document_attributes
 from terrace.operators import cdc, documents, gold, governance, quarantine, rules, vector
+from terrace.operators.quantiles import exact_quantile
 from terrace.plans import monitoring as m
 from terrace.plans.graph import Pipeline
 from terrace.sources import files
 from terrace.sources import testdata as t
+from terrace.sources.scratch import workspace
 from terrace.streaming import flows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,12 +48,6 @@ def text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c, k in kinds.items() if k.startswith("timestamp")} | {c: F.col(c).cast("string") for c, k in kinds.items() if k == "date"})
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 def orders(spark: SparkSession, d: str) -> DataFrame:
     return t.bronze_orders(spark, d).drop("payment_card_number")
 
@@ -962,6 +958,12 @@ def dash_query_health(spark, d):
     return m.query_health(t.query_history(spark, d), t.now())
 
 
+@query("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 4) AS high FROM lineitem GROUP BY 1")
+def exact_high_price(spark, d):
+    """A quantile of groups with nearly as many distinct values as rows."""
+    return exact_quantile(t.table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", 0.9, "high").withColumn("high", F.round("high", 4))
+
+
 @query(f"SELECT project AS project_name, round(sum(usage_quantity), 2) AS total_usage FROM billing WHERE usage_date >= {TODAY} - 30 GROUP BY 1", "billing")
 def dash_cost_by_project(spark, d):
     return m.cost_by_project(t.billing(spark, d), t.today())

@@ -11,6 +11,8 @@ import operator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.operators.quantiles import exact_quantile
+
 OPERATORS = {
     "GREATER_THAN": operator.gt, "GREATER_THAN_OR_EQUAL": operator.ge, "LESS_THAN": operator.lt, "LESS_THAN_OR_EQUAL": operator.le,
     "EQUAL": operator.eq, "NOT_EQUAL": operator.ne,
@@ -187,10 +189,14 @@ def flapping(tasks: DataFrame, now: Column, attempts: int = 3, seconds: int = 60
 
 
 def query_health(history: DataFrame, now: Column) -> DataFrame:
-    out = history.filter(F.col("start_time") >= now - F.expr("INTERVAL 1 DAY")).groupBy("executed_by").agg(
-        F.round(F.avg("total_duration_ms") / 1000, 2).alias("avg_sec"), F.round(F.percentile("total_duration_ms", F.lit(0.5)) / 1000, 2).alias("median_sec"), F.round(F.sum("read_bytes") / F.pow(F.lit(1024.0), F.lit(3.0)), 3).alias("gb_scanned"),
+    recent = history.filter(F.col("start_time") >= now - F.expr("INTERVAL 1 DAY"))
+    middle = exact_quantile(recent, ["executed_by"], "total_duration_ms", 0.5, "median").withColumnRenamed("executed_by", "_by")
+    out = recent.groupBy("executed_by").agg(
+        F.round(F.avg("total_duration_ms") / 1000, 2).alias("avg_sec"), F.round(F.sum("read_bytes") / F.pow(F.lit(1024.0), F.lit(3.0)), 3).alias("gb_scanned"),
         F.count_if(F.col("execution_status") == "FAILED").alias("failed_count"), n_rows().alias("query_count"),
     )
+    out = out.join(middle, F.col("executed_by").eqNullSafe(F.col("_by")), "left")
+    out = out.select("executed_by", "avg_sec", F.round(F.col("median") / 1000, 2).alias("median_sec"), "gb_scanned", "failed_count", "query_count")
     return out.orderBy(F.col("avg_sec").desc(), "executed_by")
 
 

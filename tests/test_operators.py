@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import pii
 from terrace.functions.columns import col_or_null, document_attributes, utf8_text
-from terrace.operators import cdc, documents, gold, quarantine, rules, vector
+from terrace.operators import cdc, documents, gold, quantiles, quarantine, rules, vector
 from terrace.operators.governance import ADMINS, APPROVERS, PRICING, Governance, Principal, classification_department, discount_rate, regional_and_status, search_as
 from terrace.plans import monitoring
 from terrace.plans.graph import Pipeline
@@ -372,3 +372,18 @@ def test_vector_index(spark, tmp_path):
     same = [r["vec_id"] for r in vector.top_k(e, e.filter("vec_id = 1000")).collect()]
     assert same == [1000, 1001, 1002, 1003, 1004]
     assert [r["score"] for r in vector.top_k(e.filter("vec_id >= 2000"), e.filter("vec_id = 0")).collect()] == [None, None]
+
+
+def test_exact_quantiles(spark):
+    """Distinct, repeated and very uneven values, null keys and values; also where brackets must be narrowed many times."""
+    rng = random.Random(6)
+    groups = {"u": [rng.random() for _ in range(3000)], "r": [float(rng.randint(0, 3)) for _ in range(2000)], "e": [2.0**rng.randint(-300, 300) for _ in range(1500)], "one": [5.0], None: [-1.0, 4.0], "two": [1.0, 1.0, 2.0, 9.0]}
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [("u", None), ("nothing", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4).cache()
+    for share, more in ((0.5, {}), (0.9, {"limit": 20, "bins": 4, "accuracy": 100}), (0.0, {"limit": 5, "bins": 3, "accuracy": 10}), (1.0, {})):
+        got = {r["k"]: r["q"] for r in quantiles.exact_quantile(df, ["k"], "v", share, "q", **more).collect()}
+        assert set(got) == set(groups)
+        for k, vs in groups.items():
+            vs, place = sorted(vs), share * (len(vs) - 1)
+            low = vs[int(place)]
+            assert got[k] == pytest.approx(low + (place - int(place)) * (vs[min(int(place) + 1, len(vs) - 1)] - low), rel=1e-12), (k, share)
