@@ -50,7 +50,9 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, share: float, nam
     place = F.lit(share) * (F.col("_n") - 1)
     facts = facts.withColumns({
         "_rank": F.floor(place) + 1, "_part": place - F.floor(place),
-        "_low": F.col("_s")[0] if near[0] > 0 else F.col("_min"), "_high": F.col("_s")[1] if near[1] < 1 else F.col("_max"),
+        # a small group is its own bracket
+        "_low": F.when((F.col("_n") >= accuracy) & F.lit(near[0] > 0), F.col("_s")[0]).otherwise(F.col("_min")),
+        "_high": F.when((F.col("_n") >= accuracy) & F.lit(near[1] < 1), F.col("_s")[1]).otherwise(F.col("_max")),
     }).drop("_s")
     facts = staged(facts, "quantile-facts")
     cells, bracket = _bracketed(rows, facts, keys), facts
