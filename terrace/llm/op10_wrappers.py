@@ -16,17 +16,23 @@ such parts of a page are taken, in page order. Left out of them are elements tha
 footers, sidebars, notices, adverts, forms, scripts, styles or comments; and outside article and main elements also
 the template text and the menus of links that the wrapper found. A page without the wrapper's parts is its own wrapper.
 
+Of several article parts, those that stand once a page and hold the most differing text are the content; cards that repeat are it
+only where no article stands alone. Within article and main elements a name must be wholly one of a menu, an advert and
+so on for its element to be left out, as words like header or reply are said of parts of an article too.
+
 Nulls: a null html is empty, its text is empty; a null url has the host ''. A host with one page has a wrapper of that
-page. Repeated pages each get their text, and count as one when template text is told from content. Very long pages and
-any nesting are read whole; wrappers, not pages, are flattened below DEPTH levels. Other columns are ignored; an empty
-table gives an empty result.
+page. Repeated pages each get their text, and count as one when template text is told from content. Ties: of parts with
+equal text the deepest, then the least path. Very long pages and any nesting are read whole, pages and wrappers alike, and
+pages are parsed in linear time, however broken. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import html as _html
 import json
 import re
+import sys
 from bisect import bisect_left
 
 import pyarrow as pa
@@ -55,31 +61,54 @@ SKIP_WORDS = frozenset(
 INLINE_WORDS = frozenset("ad ads advert advertisement sponsored hidden".split())
 WEAK_WORDS = frozenset("alert share sharing social related recommended login search widget toc".split())
 MAIN_WORDS = frozenset("article main content post entry story".split())
-#: Template text stands, equal, on so many different pages and on such a share of the host's; wrappers are flattened at
-#: this depth, and folded where fewer pages than this share have a node; groups in which structures are merged.
-TEMPLATE_PAGES, TEMPLATE_SHARE, DEPTH, RARE, SALTS = 3, 0.2, 120, 0.005, (1024, 32)
+#: Words that parts of an article have in their names too; words that add nothing to a name; and whole names of articles that aren't content.
+UNSURE_WORDS = frozenset("header masthead reply replies respond promotion banner notice overlay complementary hidden".split())
+FILL_WORDS = frozenset("box block wrapper wrap container list section area unit slot inner outer form link links item items left right top bottom bar".split())
+OTHER_ARTICLES = frozenset("comment comments commentlist ad ads advert advertisement sponsored promo".split())
+#: Template text stands, equal, on so many different pages and on such a share of the host's; wrappers are folded where
+#: fewer pages than this share have a node; groups in which structures are merged.
+TEMPLATE_PAGES, TEMPLATE_SHARE, RARE, SALTS = 3, 0.2, 0.005, (1024, 32)
+#: Of article parts, those with less than this share of the largest one's differing text aren't content.
+LESSER = 0.3
 #: Elements that are lines of a part, never the part.
 LINES = INLINE | frozenset("p pre li dt dd h1 h2 h3 h4 h5 h6 blockquote figcaption caption td th tr".split())
 #: The least share of the differing text that makes parts of a kind the content.
 KINDS = (("article", 0.1), ("main", 0.2), ("named", 0.5))
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S)
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+#: The rest of a tag: up to the first > that isn't in quotes; nothing is tried twice.
+REST = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
+def told(names: list[str], sure: bool) -> bool:
+    """Do names say that an element is no main text? Where they must be sure, a whole name has to."""
+    if not sure:
+        return any(w in SKIP_WORDS for n in names for w in map(str.lower, PARTS.findall(n)))
+    for n in names:
+        words = [w.lower() for w in PARTS.findall(n)]
+        if any(w in SKIP_WORDS for w in words) and all(w in SKIP_WORDS or w in FILL_WORDS or w.isdigit() for w in words) and any(w in SKIP_WORDS and w not in UNSURE_WORDS for w in words):
+            return True
+    return False
+
+
 class Element:
-    __slots__ = ("tag", "names", "kids", "skip", "weak")
+    __slots__ = ("tag", "names", "kids", "skip", "weak", "inside")
 
-    def __init__(self, tag: str, attrs: str = ""):
+    def __init__(self, tag: str, attrs: str = "", parent: Element | None = None):
         self.tag, self.kids, self.names = tag, [], ()
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))  # of an article or main element
         self.skip, self.weak = tag in SKIP, False
         if attrs and "=" in attrs or "hidden" in attrs:
-            found = NAMES.findall(attrs)
-            self.names = tuple(sorted({w.lower() for f in found for w in PARTS.findall(f[1] or f[2] or f[3])}))
-            if tag not in ("html", "body", "article", "main"):
-                self.skip |= not (INLINE_WORDS if tag in INLINE else SKIP_WORDS).isdisjoint(self.names) or bool(HIDDEN.search(attrs))
+            whole = [w for f in NAMES.findall(attrs) for w in (f[1] or f[2] or f[3]).split()]
+            self.names = tuple(sorted({w.lower() for n in whole for w in PARTS.findall(n)}))
+            if tag == "article":
+                self.skip = not OTHER_ARTICLES.isdisjoint(n.lower() for n in whole)
+            elif tag not in ("html", "body", "main"):
+                skipped = not INLINE_WORDS.isdisjoint(self.names) if tag in INLINE else told(whole, self.inside)
+                self.skip |= skipped or bool(HIDDEN.search(attrs))
                 self.weak = tag not in INLINE and not WEAK_WORDS.isdisjoint(self.names)
 
     @property
@@ -97,53 +126,90 @@ class Element:
         return self.tag if self.tag in ("html", "body", "article", "main") else self.tag + "".join(f".{n}" for n in self.names if not n.isdigit())
 
 
+class Open:
+    """The open elements, with the places of each tag and of all blocks, so that none is looked for along the nesting."""
+
+    def __init__(self, root: Element):
+        self.stack, self.at, self.blocks = [root], {"#root": [0]}, [0]
+
+    def push(self, e: Element) -> None:
+        self.at.setdefault(e.tag, []).append(len(self.stack))
+        if e.tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(e)
+
+    def last(self, *tags: str) -> int:
+        """Where the innermost of these tags is open; 0: nowhere."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close(self, i: int) -> None:
+        """Close the element at i and all within."""
+        while len(self.stack) > i:
+            e = self.stack.pop()
+            self.at[e.tag].pop()
+            if e.tag not in INLINE:
+                self.blocks.pop()
+
+
 def parse(source: str) -> Element:
-    """A tree of elements and texts. Missing and stray end tags are resolved as browsers do for paragraphs, lists and tables."""
+    """A tree of elements and texts. Missing and stray end tags are resolved as browsers do for paragraphs, lists and tables.
+    What begins like a tag but never ends is text."""
     root = Element("#root")
-    stack, at = [root], 0
-    while at < len(source):
-        m = TAG.search(source, at)
-        text = source[at : m.start()] if m else source[at:]
-        if text:
-            stack[-1].kids.append(text)
-        if not m:
+    open_, at, text = Open(root), 0, 0
+    end, raw_ends = source.rfind(">"), {}
+
+    def put(upto: int) -> None:
+        if text < upto:
+            open_.stack[-1].kids.append(source[text:upto])
+
+    while True:
+        lt = source.find("<", at)
+        if lt < 0 or lt > end and not source.startswith("<!--", lt):
             break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+        at = lt + 1
+        if source.startswith(("<!", "<?"), lt):
+            if source.startswith("<!--", lt):
+                close = source.find("-->", lt + 4)
+                close = len(source) if close < 0 else close + 3
+            else:
+                close = source.index(">", lt) + 1
+            put(lt)
+            at = text = close
+            continue
+        m = NAME.match(source, lt)
+        if not m:
             continue
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag in INLINE and stack[i].tag not in INLINE:
-                    break  # a stray inline end tag doesn't close blocks
+        rest = REST.match(source, m.end())
+        close = rest.end() if rest else source.index(">", m.end()) + 1
+        put(lt)
+        at = text = close
+        tag, attrs = m[1].lower(), source[m.end() : close - 1]
+        if source[lt + 1] == "/":
+            i = open_.last(tag)
+            if i and not (tag in INLINE and open_.blocks[-1] > i):  # a stray inline end tag doesn't close blocks
+                open_.close(i)
             continue
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag not in INLINE:
-                    break
+            i = open_.last("p")
+            if i and open_.blocks[-1] == i:
+                open_.close(i)
         elif tag in SELF_CLOSING:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag or (tag in ("dt", "dd") and stack[i].tag in ("dt", "dd")) or (tag in ("td", "th") and stack[i].tag in ("td", "th")):
-                    del stack[i:]
-                    break
-                if stack[i].tag in SELF_CLOSING[tag]:
-                    break
-        attrs = m[3] or m[6] or ""
-        e = Element(tag, attrs)
-        stack[-1].kids.append(e)
+            alike = ("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)
+            i = open_.last(*alike)
+            if i > open_.last(*SELF_CLOSING[tag]):
+                open_.close(i)
+        e = Element(tag, attrs, open_.stack[-1])
+        open_.stack[-1].kids.append(e)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
+            if tag not in raw_ends or raw_ends[tag] and raw_ends[tag].start() < at:  # looked for once, not at each tag
+                raw_ends[tag] = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
+            found = raw_ends[tag]
             if not e.skip:
-                e.kids.append(source[at : end.start() if end else len(source)])
-            at = end.end() if end else len(source)
+                e.kids.append(source[at : found.start() if found else len(source)])
+            at = text = found.end() if found else len(source)
         elif tag not in VOID and not attrs.endswith("/"):
-            stack.append(e)
+            open_.push(e)
+    put(len(source))
     return root
 
 
@@ -177,13 +243,44 @@ def own_text(e: Element) -> str:
     return squeeze(" ".join(k for k in e.kids if isinstance(k, str)))
 
 
-def node_of(e: Element, page: int = 0, linked: bool = False, depth: int = 1) -> list:
-    linked = linked or e.tag == "a"
-    flat = depth == DEPTH
-    own = below(e, linked) if flat else [(k, linked) for k in e.kids if isinstance(k, str)]
-    text, in_links = squeeze(" ".join(k for k, _ in own)), squeeze(" ".join(k for k, x in own if x))
-    kids = [] if flat else [node_of(k, page, linked, depth + 1) for k in e.kids if isinstance(k, Element) and not k.skip and k.tag != "br"]
-    return [e.label, False, False, 1, digest(text) if text else None, len(text), len(in_links), repeats(kids), e.kind, [page]]
+def node_of(root: Element, page: int = 0) -> list:
+    """The node of an element and of all below it, whatever the nesting."""
+    made: dict[int, list] = {}
+    todo = [(root, root.tag == "a", False)]
+    while todo:
+        e, linked, ready = todo.pop()
+        kids = [k for k in e.kids if isinstance(k, Element) and not k.skip and k.tag != "br"]
+        if not ready:
+            todo.append((e, linked, True))
+            todo += [(k, linked or k.tag == "a", False) for k in kids]
+            continue
+        text = own_text(e)
+        made[id(e)] = [e.label, False, False, 1, digest(text) if text else None, len(text), len(text) if linked else 0, repeats([made.pop(id(k)) for k in kids]), e.kind, [page]]
+    return made[id(root)]
+
+
+def packed(root: list) -> str:
+    """A node and all below it as JSON without nesting: nodes in order, each with the number of its children for them."""
+    out, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        out.append([*n[:7], len(n[7]), *n[8:]])
+        todo += reversed(n[7])
+    return json.dumps(out)
+
+
+def unpacked(text: str) -> list:
+    root: list = []
+    todo = [(root, 1)]
+    for n in json.loads(text):
+        while not todo[-1][1]:
+            todo.pop()
+        kids, left = todo[-1]
+        todo[-1] = kids, left - 1
+        own: list = []
+        kids.append([*n[:7], own, *n[8:]])
+        todo.append((own, n[7]))
+    return root[0]
 
 
 def join_slot(a, b):
@@ -200,9 +297,14 @@ def merged(a: list, b: list, same_page: bool = False) -> list:
     ]
 
 
-def shape(n: list) -> list:
+def shape(root: list) -> str:
     """The structure alone."""
-    return [n[0], n[1], n[2], [shape(k) for k in n[7]]]
+    out, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        out.append((n[0], n[1], n[2], len(n[7])))
+        todo += reversed(n[7])
+    return digest(json.dumps(out))
 
 
 def repeats(kids: list) -> list:
@@ -289,94 +391,113 @@ def aligned(a: list, b: list, same_page: bool = False) -> list:
     return repeats(out)
 
 
-def pruned(n: list, least: float) -> list:
+def in_order(root: list) -> tuple[list, list[int]]:
+    """All nodes, parents first, and the place of each one's parent (-1 for the first)."""
+    nodes, above, todo = [], [], [(root, -1)]
+    while todo:
+        n, up = todo.pop()
+        nodes.append(n)
+        above.append(up)
+        todo += [(k, len(nodes) - 1) for k in reversed(n[7])]
+    return nodes, above
+
+
+def summed(values: list, above: list[int]) -> list:
+    """Each node's value with those of all nodes below it."""
+    out = list(values)
+    for i in range(len(out) - 1, 0, -1):
+        out[above[i]] += out[i]
+    return out
+
+
+def pruned(root: list, least: float) -> list:
     """Nodes on fewer pages than that are folded into their parents."""
-    kids = []
-    own, in_links = n[5], n[6]
-    for k in n[7]:
-        k = pruned(k, least)
-        if k[3] < least:
-            own, in_links = own + total(k, 5), in_links + total(k, 6)
+    nodes, above = in_order(root)
+    made = [[*n[:7], [], *n[8:]] for n in nodes]
+    for i in range(len(nodes) - 1, 0, -1):  # children before their parents
+        up, n = made[above[i]], made[i]
+        n[7].reverse()
+        if n[3] < least:
+            up[5], up[6] = up[5] + n[5], up[6] + n[6]
+            for k in n[7]:  # also what was on more pages by repeating below it
+                up[5], up[6] = up[5] + sum(x[5] for x in in_order(k)[0]), up[6] + sum(x[6] for x in in_order(k)[0])
         else:
-            kids.append(k)
-    return [*n[:5], own, in_links, kids, *n[8:]]
+            up[7].append(n)
+    made[0][7].reverse()
+    return made[0]
 
 
-def total(n: list, at: int) -> int:
-    return n[at] + sum(total(k, at) for k in n[7])
+def step(above: str, label: str) -> str:
+    """The digest of a path: of its parent's and its own label."""
+    return digest(f"{above}/{label}")
 
 
 def decisions(wrapper: list) -> dict:
-    """What extraction needs: main, the paths of the parts that are content, and whether they are known by their tags;
-    drop, the path and digest of each template text; menus, the paths of menus of links."""
+    """What extraction needs: main, the paths of the parts that are content, `way`, those of all above them, and whether they
+    are known by their tags; drop, the path and digest of each template text; menus, the paths of menus of links."""
+    nodes, above = in_order(wrapper)
     least = TEMPLATE_SHARE * wrapper[3]
-
-    def constant(n: list) -> bool:
-        block = n[0].split(".")[0] not in INLINE  # words within a sentence are never template or menu by themselves
-        return block and isinstance(n[4], str) and len(n[9]) >= TEMPLATE_PAGES and n[3] >= least
-
-    def menu(n: list) -> bool:
-        chars = total(n, 5)
-        return n[0].split(".")[0] not in INLINE and (n[2] or any(k[2] for k in n[7])) and chars > 0 and total(n, 6) > 0.8 * chars
-
-    def fixed(n: list) -> int:
-        return (n[5] if constant(n) else 0) + sum(fixed(k) for k in n[7])
-
-    copies = fixed(wrapper) > 0.8 * total(wrapper, 5)  # pages of nearly the same text don't tell template from content
-    drop: list[tuple[str, str]] = []
-    menus: list[str] = []
+    block = [n[0].split(".")[0] not in INLINE for n in nodes]  # words within a sentence are never template or menu by themselves
+    constant = [x and isinstance(n[4], str) and len(n[9]) >= TEMPLATE_PAGES and n[3] >= least for x, n in zip(block, nodes, strict=True)]
+    chars, linked = summed([n[5] for n in nodes], above), summed([n[6] for n in nodes], above)
+    path, depth, inside = [], [], []
+    for n, up in zip(nodes, above, strict=True):
+        path.append(step(path[up] if up >= 0 else "", n[0]))
+        depth.append(depth[up] + 1 if up >= 0 else 0)
+        inside.append((inside[up] | {nodes[up][8]} if nodes[up][8] not in inside[up] else inside[up]) if up >= 0 else frozenset())
+    copies = sum(n[5] for n, x in zip(nodes, constant, strict=True) if x) > 0.8 * chars[0]  # pages of nearly the same text don't tell template from content
+    drop = {(path[i], n[4]) for i, n in enumerate(nodes) if constant[i] and not copies}
+    menus = {path[i] for i, n in enumerate(nodes) if block[i] and (n[2] or any(k[2] for k in n[7])) and chars[i] > 0 and linked[i] > 0.8 * chars[i]}
+    got = summed([0.0 if constant[i] and not copies else float(n[5] - n[6]) for i, n in enumerate(nodes)], above)
     mass: dict[str, float] = {}
-    kinds: dict[str, list] = {k: [] for k, _ in KINDS}
-    order: list[tuple[str, list, str]] = []
-
-    def walk(n: list, above: str, inside: frozenset) -> float:
-        path = f"{above}/{n[0]}"
-        own = float(n[5] - n[6])
-        if constant(n) and not copies:
-            drop.append((path, n[4]))
-            own = 0.0
-        if menu(n):
-            menus.append(path)
-        if n[8] and n[8] not in inside:
-            kinds[n[8]].append(path)
-            inside = inside | {n[8]}
-        order.append((path, n, above))
-        got = own + sum(walk(k, path, inside) for k in n[7])
-        mass[path] = mass.get(path, 0) + got
-        return got
-
-    whole = walk(wrapper, "", frozenset())
-    out = {"drop": sorted(set(drop)), "menus": sorted(set(menus)), "tagged": False}
+    for p, x in zip(path, got, strict=True):
+        mass[p] = mass.get(p, 0) + x
+    whole = got[0]
+
+    def answer(main: set[str], tagged: bool) -> dict:
+        way = set()
+        for i, p in enumerate(path):
+            up = above[i]
+            while p in main and up >= 0 and path[up] not in way:
+                way.add(path[up])
+                up = above[up]
+        return {"main": sorted(main), "way": sorted(way), "drop": sorted(drop), "menus": sorted(menus), "tagged": tagged}
+
     for kind, share in KINDS:
-        if kinds[kind] and sum(mass[p] for p in set(kinds[kind])) >= share * whole:
-            return out | {"main": sorted(set(kinds[kind])), "tagged": kind != "named"}
+        of = [i for i, n in enumerate(nodes) if n[8] == kind and kind not in inside[i]]
+        if of and sum(mass[p] for p in {path[i] for i in of}) >= share * whole:
+            if kind == "article":  # what stands once a page before cards that repeat, and of those the ones with most text
+                repeated = lambda i: nodes[i][2]
+                alone = [i for i in of if not repeated(i) and mass[path[i]] >= share * whole]
+                of = alone or of
+                most = max(mass[path[i]] for i in of)
+                of = [i for i in of if mass[path[i]] >= LESSER * most]
+            return answer({path[i] for i in of}, kind != "named")
     # the smallest part that holds most; a repeated group's members, or what is within a paragraph, aren't a part. A heading
     # beside it belongs to it.
-    part = lambda n: not n[2] and n[0].split(".")[0] not in LINES
-    parts = [(p, n, up) for p, n, up in order if part(n) and mass[p] >= 0.7 * whole] if whole else []
+    parts = [i for i, n in enumerate(nodes) if not n[2] and n[0].split(".")[0] not in LINES and mass[path[i]] >= 0.7 * whole] if whole else []
     if not parts:
-        return out | {"main": ["/#root"]}
-    path, _, up = min(parts, key=lambda x: (-x[0].count("/"), x[0]))
-    by_path = {p: (n, a) for p, n, a in order}
-    while up in by_path and any(re.match(r"h[1-6](\.|$)", k[0]) for k in by_path[up][0][7]):
-        path, up = up, by_path[up][1]
-    return out | {"main": [path]}
+        return answer({path[0]}, False)
+    i = min(parts, key=lambda i: (-depth[i], path[i]))
+    while above[i] >= 0 and any(re.match(r"h[1-6](\.|$)", k[0]) for k in nodes[above[i]][7]):
+        i = above[i]
+    return answer({path[i]}, False)
 
 
 # ---- extraction --------------------------------------------------------------------------------
 
 
-def regions(root: Element, main: frozenset) -> list[tuple[Element, str]]:
+def regions(root: Element, main: frozenset, way: frozenset) -> list[tuple[Element, str]]:
     """The outermost elements whose path is one of the wrapper's content parts, in page order."""
     out, todo = [], [(root, "")]
     while todo:
         e, above = todo.pop()
-        path = f"{above}/{e.label}"
+        path = step(above, e.label)
         if e.skip:
             continue
         if path in main:
             out.append((e, above))
-        elif any(p.startswith(path) for p in main):
+        elif path in way:
             todo += [(k, path) for k in reversed(e.kids) if isinstance(k, Element)]
     return out
 
@@ -410,7 +531,7 @@ def blocks(e: Element, above: str, drop: frozenset, menus: frozenset) -> list[st
                 continue
             if k is not e and k.weak and mostly_links(k):
                 continue
-            here = f"{path}/{k.label}" if drop or menus else ""
+            here = step(path, k.label) if drop or menus else ""
             if here in menus and mostly_links(k):
                 continue
             kids = k.kids
@@ -426,10 +547,10 @@ def blocks(e: Element, above: str, drop: frozenset, menus: frozenset) -> list[st
 
 def extract(source: str | None, wrapper: dict) -> str:
     root = parse(source or "")
-    found = regions(root, frozenset(wrapper["main"]))
+    found = regions(root, frozenset(wrapper["main"]), frozenset(wrapper["way"]))
     if not found:  # the page has none of the wrapper's parts
         wrapper = decisions(node_of(root))
-        found = regions(root, frozenset(wrapper["main"])) or [(root, "")]
+        found = regions(root, frozenset(wrapper["main"]), frozenset(wrapper["way"])) or [(root, "")]
     some = not wrapper["tagged"]
     drop = frozenset(map(tuple, wrapper["drop"])) if some else frozenset()
     menus = frozenset(wrapper["menus"]) if some else frozenset()
@@ -441,14 +562,20 @@ def extract(source: str | None, wrapper: dict) -> str:
 
 def _added(parts: list[str]) -> list:
     """One wrapper of pages that have the same structure."""
-    out = json.loads(parts[0])
+    out = unpacked(parts[0])
     for p in parts[1:]:
-        out = merged(out, json.loads(p))
+        out = merged(out, unpacked(p))
     return out
 
 
+def deep() -> None:
+    """Nodes are merged by calls as deep as their nesting; Python's frames for these aren't on the C stack."""
+    sys.setrecursionlimit(1 << 24)
+
+
 def _merge(t: pa.Table) -> list:
     """One wrapper of all rows: those of one structure first, then structures in the order of their digests."""
+    deep()
     by: dict[int, list[str]] = {}
     for key, w in zip(t.column("key").to_pylist(), t.column("wrapper").to_pylist(), strict=True):
         by.setdefault(key, []).append(w)
@@ -463,19 +590,20 @@ def wrappers(pages: DataFrame) -> DataFrame:
     """host, wrapper: the host's decisions as JSON. `pages` has host, html."""
 
     def structures(batches):
+        deep()
         for batch in batches:
             found: dict[tuple, list] = {}
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 page = node_of(parse(source or ""), xxhash.xxh32_intdigest((source or "").encode("utf-8", "surrogatepass")))
-                at = host, xxhash.xxh3_64_intdigest(json.dumps(shape(page)).encode()) >> 1
+                at = host, int(shape(page), 16) >> 1
                 found[at] = merged(found[at], page) if at in found else page
             yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.int64()), pa.array([json.dumps(w) for w in found.values()], pa.string())],
+                [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.int64()), pa.array([packed(w) for w in found.values()], pa.string())],
                 names=["host", "key", "wrapper"],
             )
 
     def merge(salt: int):
-        return lambda key, t: pa.table({"host": [key[0].as_py()], "key": pa.array([key[1].as_py() % salt], pa.int64()), "wrapper": [json.dumps(_merge(t))]})
+        return lambda key, t: pa.table({"host": [key[0].as_py()], "key": pa.array([key[1].as_py() % salt], pa.int64()), "wrapper": [packed(_merge(t))]})
 
     def last(key, t):
         return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(decisions(_merge(t)))]})
@@ -495,9 +623,11 @@ def main_texts(spark: SparkSession, pages: DataFrame) -> DataFrame:
     known = scratch.put(wrappers(rows.select("host", "html")), "hosts")
 
     def run(batches):
+        deep()
+        read = functools.lru_cache(64)(json.loads)  # a host's pages come together
         for batch in batches:
             for part in c.slices(batch, "html", 16 << 20):
-                texts = [extract(h, json.loads(w)) for h, w in zip(part.column("html").to_pylist(), part.column("wrapper").to_pylist(), strict=True)]
+                texts = [extract(h, read(w)) for h, w in zip(part.column("html").to_pylist(), part.column("wrapper").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([c.column(part, "page_id"), c.column(part, "url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.join(known, "host").select("page_id", "url", "html", "wrapper").mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -582,7 +582,8 @@ def test_wrapper_finds_optional_and_repeated_groups():
     w = op10.merged(op10.merged(page(2), page(3, "<em>new</em>")), page(1))
     kids = {k[0]: k for k in w[7][0][7]}
     assert kids["h1"][4] is False and kids["em"][1] and kids["p"][2] and kids["p"][4] == op10.digest("x") and kids["h1"][9] == [1, 2, 3]
-    assert all(m.startswith("/#root") for m in op10.decisions(json.loads(json.dumps(w)))["main"])
+    main = op10.decisions(op10.unpacked(op10.packed(w)))["main"]
+    assert set(main) <= {op10.step("", "#root"), op10.step(op10.step("", "#root"), "div")}
 
 
 def test_long_alignments_take_linear_time():
@@ -599,7 +600,7 @@ def test_deep_pages_keep_their_nesting():
     deep = lambda n: f"<body><div><article><p>first</p>{'<div>' * n}deep<form>no</form><nav>menu</nav>{'</div>' * n}<p>last</p></article></div><p>outside</p></body>"
     for n in (5, 130, 5000):
         root = op10.parse(deep(n))
-        wrapper = op10.decisions(json.loads(json.dumps(op10.node_of(root))))
+        wrapper = op10.decisions(op10.unpacked(op10.packed(op10.node_of(root))))
         assert op10.extract(deep(n), wrapper) == "first\ndeep\nlast"
     plain = deep(130).replace("article", "section")
     assert "no" not in op10.extract(plain, op10.decisions(op10.node_of(op10.parse(plain)))).split("\n") and op10.node_of(op10.parse(plain))[0] == "#root"
