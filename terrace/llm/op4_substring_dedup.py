@@ -10,7 +10,7 @@ run is never changed, only replaced by the one that holds it.
 
 An `Index` lives in a folder and outlives the call: adding a batch reads the fingerprints and word numbers of earlier
 ones, never their texts, and gives the result of that batch, the same as if all had come at once. Earlier results
-stand, which is why batches come in the order of ids.
+stand, which is why batches come in the order of ids; one that doesn't is refused.
 
 A block sends each bucket its distinct sorted keys and gets back values in the same order, so a passage that very many
 documents share costs one entry a block, and no group of copies meets in one task.
@@ -263,6 +263,19 @@ class Index:
     def _all_runs(self) -> DataFrame:
         return self._read("compacted", self._whole("compacted")[-1:], RUN).unionByName(self._read("runs", self.runs(), RUN))
 
+    def _in_order(self, stored: DataFrame, number: int) -> None:
+        """Note the batch's greatest id, a folder's name; raise if its least one is smaller than that of a batch before."""
+        ids = stored.select(F.explode("ids").alias("i")).select(F.coalesce("i", F.lit(NO_ID)).alias("i")).agg(F.min("i").alias("low"), F.max("i").alias("high")).first()
+        known = [int(self._listed(f"{self.path}/ids/{n}")[-1]) for n in self._listed(f"{self.path}/ids") if int(n) < number]
+        if ids["low"] is None:
+            return
+        if known and ids["low"] < max(known):
+            c.delete(self.spark, f"{self.path}/blocks/{number}")
+            raise ValueError(f"doc_id {ids['low']} comes after {max(known)}: results so far would be stale; add it to a new index")
+        c.delete(self.spark, f"{self.path}/ids/{number}")
+        p, fs = c.file_system(self.spark, f"{self.path}/ids/{number}/{ids['high']}")
+        fs.mkdirs(p)
+
     def add(self, docs: DataFrame, texts: bool = False) -> DataFrame:
         """The batch's documents without the words that windows of smaller doc_ids cover, in this batch or in those before;
         `texts` adds the kept text. Run again after a failure, it overwrites what it had begun."""
@@ -274,6 +287,7 @@ class Index:
         self._write(docs.mapInArrow(lambda batches: store_blocks(batches, buckets, name), BLOCKS), "blocks", number)
         old_runs, history = self._all_runs(), self._read("blocks", [n for n in self._whole("blocks") if n < number], BLOCKS)
         stored = self._read("blocks", [number], BLOCKS)
+        self._in_order(stored, number)
         entries = stored.select("blk", F.inline("entries"))
         run = scratch.put(entries.groupBy("bucket").applyInArrow(lambda k, t: merge_runs(k, t), RUN), "run")
 
