@@ -481,14 +481,45 @@ def _customers(spark, d, *groups):
 
 
 @query(
-    "SELECT * "
+    "SELECT v.*, CASE v.table_name WHEN 'chunks' THEN (SELECT count(*) FROM chunks) ELSE (SELECT count(*) FROM (SELECT DISTINCT order_date, region, status FROM good)) END AS n_rows "
     "FROM (VALUES ('chunks', 'classification', 'role', 'classification'), ('chunks', 'department', 'role', 'department'), "
     "('daily_sales', CAST(NULL AS VARCHAR), 'classification', 'internal')) v(table_name, column_name, tag, value)",
+    "chunks",
+    "good",
 )
 def governance_tags(spark, d):
+    """The tags of the registered tables, with how many rows an administrator's SQL finds in each."""
     g = governed()
+    g.register("chunks", lambda s: fixed(s, d))
+    g.register("daily_sales", lambda s: gold.daily_sales(good(s, d)))
     g.tag_table("daily_sales", classification="internal")
-    return g.tags(spark)
+    own = g.session(spark, governance.Principal("x", frozenset({governance.ADMINS})))
+    g.tags(own).createOrReplaceTempView("tags")
+    return own.sql(
+        "SELECT t.*, n.n_rows FROM tags t JOIN (SELECT 'chunks' AS table_name, count(*) AS n_rows FROM chunks UNION ALL SELECT 'daily_sales', count(*) FROM daily_sales) n USING (table_name)"
+    )
+
+
+SQL_SALES = "SELECT status, sum(order_count) AS n_orders, count(DISTINCT region) AS n_regions FROM daily_sales GROUP BY status"
+
+
+@query(SQL_SALES.replace("daily_sales", "(" + SALES.format("WHERE region = 'ASIA' AND status <> 'DRAFT'") + ")"), "good")
+def secured_sql_regional(spark, d):
+    """A principal's own SQL over a registered table sees what the row filter lets through."""
+    g = governed()
+    g.register("daily_sales", lambda s: gold.daily_sales(good(s, d)))
+    return g.session(spark, governance.Principal("x", frozenset({"region-ASIA"}))).sql(SQL_SALES)
+
+
+@query("SELECT department, count(*) AS n_chunks, count(DISTINCT doc_path) AS n_docs FROM chunks WHERE department = 'src1' AND classification <> 'restricted' GROUP BY 1", "chunks")
+def secured_sql_tagged_later(spark, d):
+    """A table that is tagged while a principal's session is open: its next SQL is filtered, without a new view or policy."""
+    g = governed()
+    g.register("chunks_copy", lambda s: fixed(s, d))
+    own = g.session(spark, governance.Principal("x", frozenset({"dept-src1"})))
+    for column in ("classification", "department"):
+        g.tag_column("chunks_copy", column, role=column)
+    return own.sql("SELECT department, count(*) AS n_chunks, count(DISTINCT doc_path) AS n_docs FROM chunks_copy GROUP BY department")
 
 
 @query("SELECT doc_path, CAST(chunk_index AS INTEGER) AS chunk_index FROM chunks WHERE department = 'src1' AND classification <> 'restricted'", "chunks")

@@ -55,6 +55,31 @@ class Governance:
     filters: dict[str, tuple[Callable, tuple[str, ...]]] = field(default_factory=dict)
     masks: dict[tuple[str, str], Callable] = field(default_factory=dict)
     policies: list[tuple[str, Callable, tuple[tuple[str, str | None], ...]]] = field(default_factory=list)
+    tables: dict[str, Callable[[SparkSession], DataFrame]] = field(default_factory=dict)
+    sessions: list[tuple[SparkSession, Principal]] = field(default_factory=list)
+
+    def register(self, table: str, load: Callable[[SparkSession], DataFrame]) -> None:
+        """A table that SQL may read; `load` makes it in a given session."""
+        self.tables[table] = load
+        self._refresh(table)
+
+    def session(self, spark: SparkSession, principal: Principal) -> SparkSession:
+        """A session in which each registered table's name is a view of what the principal may see. Views follow filters,
+        masks, tags and policies that are set later. Tables aren't named otherwise there; registering one under a name of the
+        catalogue hides that, so base tables should be paths, or views of another session."""
+        own = spark.newSession()
+        self.sessions.append((own, principal))
+        for table in self.tables:
+            self._refresh(table, own, principal)
+        return own
+
+    def _refresh(self, table: str, *one) -> None:
+        """Make the views of a table anew. Where its rules contradict each other there is none, so nothing is read unfiltered."""
+        asked = ([one] if one else self.sessions) if table in self.tables else []
+        for session, _ in asked:
+            session.catalog.dropTempView(table)
+        for session, principal in asked:
+            self.secure_read(self.tables[table](session), table, principal).createOrReplaceTempView(table)
 
     def define_tag(self, key: str, values: set[str] | None = None) -> None:
         """A governed tag; with `values`, only those may be set."""
@@ -70,9 +95,11 @@ class Governance:
 
     def tag_table(self, table: str, **tags: str) -> None:
         self.table_tags.setdefault(table, {}).update(self._checked(tags))
+        self._refresh(table)
 
     def tag_column(self, table: str, column: str, **tags: str) -> None:
         self.column_tags.setdefault((table, column), {}).update(self._checked(tags))
+        self._refresh(table)
 
     def set_owner(self, name: str, owner: str) -> None:
         if owner not in self.principals:
@@ -83,13 +110,17 @@ class Governance:
         if table in self.filters:
             raise ValueError(f"{table} has a row filter")
         self.filters[table] = (predicate, columns)
+        self._refresh(table)
 
     def set_mask(self, table: str, column: str, mask: Callable) -> None:
         self.masks[table, column] = mask
+        self._refresh(table)
 
     def create_policy(self, name: str, predicate: Callable, *tags: tuple[str, str | None]) -> None:
         """A filter for all tables, present and future, that have a column for each (tag, value); no value: any."""
         self.policies.append((name, predicate, tags))
+        for table in self.tables:
+            self._refresh(table)
 
     def _bound(self, table: str, tags: tuple) -> list[str] | None:
         out = []

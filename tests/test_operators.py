@@ -387,3 +387,28 @@ def test_exact_quantiles(spark):
             vs, place = sorted(vs), share * (len(vs) - 1)
             low = vs[int(place)]
             assert got[k] == pytest.approx(low + (place - int(place)) * (vs[min(int(place) + 1, len(vs) - 1)] - low), rel=1e-12), (k, share)
+
+
+def test_sql_sees_what_a_principal_may(spark):
+    sales = [("2025-01-01", "ASIA", "PAID", 1.0), ("2025-01-01", "ASIA", "DRAFT", 2.0), ("2025-01-01", "EUROPE", "PAID", 3.0), ("2025-01-01", None, "PAID", 4.0)]
+    g = Governance()
+    g.register("sales", lambda s: s.createDataFrame(sales, "day string, region string, status string, discount double"))
+    asia, admin, nobody = (g.session(spark, Principal("x", frozenset(x))) for x in ({"region-ASIA"}, {ADMINS}, ()))
+    count = lambda s: s.sql("SELECT count(*) FROM sales").first()[0]
+    assert [count(s) for s in (asia, admin, nobody)] == [4, 4, 4]  # nothing is set yet
+    g.set_row_filter("sales", regional_and_status, "region", "status")
+    assert [count(s) for s in (asia, admin, nobody)] == [1, 4, 0]  # a null region is an administrator's alone
+    g.set_mask("sales", "discount", discount_rate)
+    assert asia.sql("SELECT discount FROM sales").first()[0] is None
+    assert admin.sql("SELECT max(discount) FROM sales").first()[0] == 4.0
+    g.define_tag("role")
+    g.create_policy("by department", classification_department, ("role", "classification"), ("role", "department"))
+    g.register("chunks", lambda s: s.createDataFrame([("open", "d1"), ("open", "d2"), ("restricted", "d1")], "classification string, department string"))
+    member = g.session(spark, Principal("y", frozenset({"dept-d1"})))
+    for c in ("classification", "department"):
+        g.tag_column("chunks", c, role=c)
+    assert member.sql("SELECT * FROM chunks").collect() == [("open", "d1")]
+    assert not spark.catalog.tableExists("chunks")  # views are a session's own
+    with pytest.raises(ValueError, match="more than one"):
+        g.set_row_filter("chunks", lambda p, c: c == "open", "classification")
+    assert not member.catalog.tableExists("chunks")  # rather than unfiltered
