@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions import pdf
 from terrace.functions.columns import document_attributes, utf8_text
 from terrace.operators import rules
 
@@ -29,7 +30,7 @@ def is_plain(extension: Column | str = "file_extension") -> Column:
 
 def parsed_documents(bronze: DataFrame, extractor: Callable[[Column], Column] | None = None) -> DataFrame:
     """Text of plain files is decoded, that of others comes from `extractor`, an expression over the content that gives
-    an array of pages. Documents without text are dropped."""
+    an array of pages, such as pdf_pages. Documents without text are dropped; unread_documents tells why."""
     pages = extractor(F.col("raw_content")) if extractor else F.lit(None).cast("array<string>")
     text = F.when(is_plain(), utf8_text("raw_content")).otherwise(F.array_join(pages, "\n\n"))
     method = F.when(is_plain(), F.lit("utf8_decode")).otherwise(F.lit("ai_parse_document"))
@@ -40,6 +41,17 @@ def parsed_documents(bronze: DataFrame, extractor: Callable[[Column], Column] |
     return out.filter("parsed_text IS NOT NULL AND length(parsed_text) > 0")
 
 
+def pdf_pages(content: Column) -> Column:
+    """The pages of PDF files, for parsed_documents."""
+    return pdf.pages(content)["pages"]
+
+
+def unread_documents(bronze: DataFrame) -> DataFrame:
+    """doc_path and reason of the files that are neither plain nor readable as PDF."""
+    other = bronze.filter(~F.coalesce(is_plain(), F.lit(False)))
+    return other.select("doc_path", pdf.pages("raw_content").alias("_p")).filter("_p.reason IS NOT NULL").select("doc_path", "_p.reason")
+
+
 def fixed_chunks(text: Column | str, size: int = SIZE, overlap: int = OVERLAP) -> Column:
     """Pieces of `size` characters, each starting size - overlap after the last; none of an empty text."""
     if overlap >= size:

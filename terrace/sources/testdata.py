@@ -5,6 +5,10 @@ Each has a twin in SQL (CTES), which the oracles are built from.
 
 from __future__ import annotations
 
+import re
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,3 +232,51 @@ def sql(select: str, *names: str) -> str:
     for n in names:
         add(n)
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + select
+
+
+#: Lines of a page in planted PDF files.
+PAGE_LINES = 40
+
+
+def pdf_of(text: str, deflated: bool, mapped: bool, broken: bool = False) -> bytes:
+    """A PDF file that shows the lines of a text, PAGE_LINES a page: plain or deflated, in Latin-1 or by a ToUnicode map."""
+    lines = text.split("\n")
+    parts = [lines[i : i + PAGE_LINES] for i in range(0, len(lines), PAGE_LINES)]
+
+    def shown(line: str) -> bytes:
+        if mapped:
+            return b"<" + line.encode("utf-16-be", "surrogatepass").hex().encode() + b"> Tj"
+        return b"(" + re.sub(rb"([\\()\r])", lambda m: b"\\r" if m[1] == b"\r" else b"\\" + m[1], line.encode("latin-1", "replace")) + b") Tj"
+
+    def stream(data: bytes) -> bytes:
+        data = zlib.compress(data) if deflated else data
+        return b"<< /Length %d%s >>\nstream\n" % (len(data), b" /Filter /FlateDecode" * deflated) + data + b"\nendstream"
+
+    kids = b" ".join(b"%d 0 R" % (10 + 2 * i) for i in range(len(parts)))
+    cmap = b"begincodespacerange <0000> <FFFF> endcodespacerange beginbfrange <0000> <FFFF> <0000> endbfrange"
+    font = b"<< /Type /Font /Subtype /Type0" + b" /ToUnicode 5 0 R" * mapped + b" >>"
+    objects = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [" + kids + b"] /Resources << /Font << /F1 4 0 R >> >> >>", 4: font, 5: stream(cmap)}
+    for i, part in enumerate(parts):
+        objects[10 + 2 * i] = b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R >>" % (11 + 2 * i)
+        objects[11 + 2 * i] = stream(b"BT /F1 12 Tf 0 700 Tm " + b" T* ".join(shown(x) for x in part) + b" ET")
+    out = b"%PDF-1.7\n" + b"".join(b"%d 0 obj\n" % n + body + b"\nendobj\n" for n, body in objects.items()) + b"%%EOF"
+    return out[:60] if broken else out
+
+
+def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as files: a third each plain text, PDF in Latin-1 and deflated PDF with a map; some are cut off or of no known format."""
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            made = []
+            for i, text in zip(ids, texts, strict=True):
+                plain = (text or "").encode() if i % 11 != 4 else b"\x00\x01"
+                made.append(plain if i % 3 == 0 or i % 11 == 4 else pdf_of(text or "", i % 3 == 2, i % 3 == 2 or not (text or "").isascii(), i % 7 == 5))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], names=["doc_id", "content"])
+
+    files = table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(run, "doc_id long, content binary")
+    kind = F.when(F.col("doc_id") % 3 == 0, "txt").otherwise("pdf")
+    return files.select(
+        F.concat(F.lit("raw_documents/general/public/"), F.col("doc_id"), F.lit("."), kind).alias("path"), "content", F.octet_length("content").cast("long").alias("length"), F.lit(NOW).cast("timestamp").alias("modificationTime"),
+    )
