@@ -94,22 +94,29 @@ def told(names: list[str], sure: bool) -> bool:
     return False
 
 
+@functools.lru_cache(1 << 14)  # a site's pages say the same of most elements
+def described(tag: str, attrs: str, inside: bool) -> tuple[tuple[str, ...], bool, bool]:
+    """The words of an element's names, whether it is never main text, and whether it isn't if it is mostly links."""
+    names, skip, weak = (), tag in SKIP, False
+    if attrs and ("=" in attrs or "hidden" in attrs):
+        whole = [w for f in NAMES.findall(attrs) for w in (f[1] or f[2] or f[3]).split()]
+        names = tuple(sorted({w.lower() for n in whole for w in PARTS.findall(n)}))
+        if tag == "article":
+            skip = not OTHER_ARTICLES.isdisjoint(n.lower() for n in whole)
+        elif tag not in ("html", "body", "main"):
+            skipped = not INLINE_WORDS.isdisjoint(names) if tag in INLINE else told(whole, inside)
+            skip |= skipped or bool(HIDDEN.search(attrs))
+            weak = tag not in INLINE and not WEAK_WORDS.isdisjoint(names)
+    return names, skip, weak
+
+
 class Element:
     __slots__ = ("tag", "names", "kids", "skip", "weak", "inside")
 
     def __init__(self, tag: str, attrs: str = "", parent: Element | None = None):
-        self.tag, self.kids, self.names = tag, [], ()
+        self.tag, self.kids = tag, []
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))  # of an article or main element
-        self.skip, self.weak = tag in SKIP, False
-        if attrs and "=" in attrs or "hidden" in attrs:
-            whole = [w for f in NAMES.findall(attrs) for w in (f[1] or f[2] or f[3]).split()]
-            self.names = tuple(sorted({w.lower() for n in whole for w in PARTS.findall(n)}))
-            if tag == "article":
-                self.skip = not OTHER_ARTICLES.isdisjoint(n.lower() for n in whole)
-            elif tag not in ("html", "body", "main"):
-                skipped = not INLINE_WORDS.isdisjoint(self.names) if tag in INLINE else told(whole, self.inside)
-                self.skip |= skipped or bool(HIDDEN.search(attrs))
-                self.weak = tag not in INLINE and not WEAK_WORDS.isdisjoint(self.names)
+        self.names, self.skip, self.weak = described(tag, attrs, self.inside)
 
     @property
     def kind(self) -> str | None:
