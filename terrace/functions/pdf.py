@@ -8,6 +8,7 @@ without a page. A damaged table of contents doesn't matter, as objects are found
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 
@@ -100,6 +101,7 @@ def _pages(objects: dict[int, bytes]) -> list[tuple[bytes, list[bytes]]]:
     return out
 
 
+@functools.lru_cache(64)  # files of one maker have the same
 def _unicode(cmap: bytes) -> tuple[dict[int, str], int]:
     """What a font's codes mean, and how many bytes a code has."""
     text = lambda h: bytes.fromhex(h.decode()).decode("utf-16-be", "replace")
