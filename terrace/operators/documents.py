@@ -61,18 +61,29 @@ def fixed_chunks(text: Column | str, size: int = SIZE, overlap: int = OVERLAP) -
     return F.transform(starts, lambda s: F.substring(text, s + 1, F.lit(size)))
 
 
+#: Paragraphs that are packed in one go, so that finished chunks are copied once a go and not once a chunk.
+SLICE = 128
+
+
 def paragraph_chunks(text: Column | str, size: int = SIZE) -> Column:
     """Paragraphs packed up to `size` characters; one that is longer stays whole. At least one chunk of a text with a word."""
     parts = F.filter(F.split(text, r"\n\s*\n"), lambda p: F.length(F.trim(p)) > 0)
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
+    none = F.array().cast("array<string>")
+    state = lambda done, open_: F.struct(done.alias("done"), open_.alias("open"))
 
     def add(acc: Column, p: Column) -> Column:
-        """The open chunk grows while it may; finished ones are copied only when another one is."""
+        """The open chunk grows while it may."""
         fits = F.length(acc["open"]) + F.length(p) + 2 <= size
         done = F.when(fits | acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
-        return F.struct(done.alias("done"), F.when(fits, F.concat(acc["open"], F.lit("\n\n"), p)).otherwise(p).alias("open"))
+        return state(done, F.when(fits, F.concat(acc["open"], F.lit("\n\n"), p)).otherwise(p))
+
+    def add_slice(acc: Column, part: Column) -> Column:
+        own = F.aggregate(part, state(none, acc["open"]), add)
+        return F.aggregate(F.array(own), acc, lambda a, o: state(F.concat(a["done"], o["done"]), o["open"]))  # o is made once
 
-    return F.aggregate(parts, start, add, lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
+    whole = F.transform(F.array(parts), lambda ps: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ps), F.lit(1)), F.lit(SLICE)), lambda i: F.slice(ps, i, F.lit(SLICE))))
+    last = lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
+    return F.when(F.col(text).isNotNull() if isinstance(text, str) else text.isNotNull(), F.aggregate(F.get(whole, F.lit(0)), state(none, F.lit(None).cast("string")), add_slice, last))
 
 
 def variant_chunks(document: Column) -> Column:

@@ -412,3 +412,19 @@ def test_sql_sees_what_a_principal_may(spark):
     with pytest.raises(ValueError, match="more than one"):
         g.set_row_filter("chunks", lambda p, c: c == "open", "classification")
     assert not member.catalog.tableExists("chunks")  # rather than unfiltered
+
+
+def test_packing_many_paragraphs(spark):
+    """More paragraphs than are packed in one go, long ones among them, equal a plain loop."""
+    rng = random.Random(8)
+    texts = ["\n\n".join("p" * rng.choice([1, 30, 200, 900]) + str(i) for i in range(n)) for n in (1, 127, 128, 129, 700)] + ["", None, " \n\n "]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", documents.paragraph_chunks("x").alias("c")).collect()
+    for r in got:
+        packed = []
+        for p in (p for p in re.split(r"\n\s*\n", texts[r["i"]] or "") if p.strip()):
+            if packed and len(packed[-1]) + len(p) + 2 <= 800:
+                packed[-1] += "\n\n" + p
+            else:
+                packed.append(p)
+        assert (r["c"] or []) == packed
+        assert (r["c"] is None) == (texts[r["i"]] is None)
