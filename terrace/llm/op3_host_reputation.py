@@ -16,6 +16,8 @@ each time. Very long urls are taken whole. Other columns are ignored; empty tabl
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,15 +46,20 @@ def listed(rules: dict[str, str]):
     return out
 
 
+#: The suffix of numeric addresses.
+ADDRESS = "(address)"
+
+
 def domains(hosts: DataFrame, suffixes=SUFFIXES) -> DataFrame:
-    """Adds suffix and registered domain; a host that is itself a suffix is its own domain."""
-    parts = F.split("host", r"\.")
-    size = F.when(F.substring_index("host", ".", -2).isin(*suffixes), 2).otherwise(1)
-    named = hosts.withColumn("suffix", F.when(size == 2, F.substring_index("host", ".", -2)).otherwise(F.substring_index("host", ".", -1)))
-    return named.withColumn(
-        "domain",
-        F.when(F.size(parts) <= size, F.col("host")).when(size == 2, F.substring_index("host", ".", -3)).otherwise(F.substring_index("host", ".", -2)),
-    )
+    """Adds suffix and registered domain; a host that is itself a suffix is its own domain. A port is no part of either. A
+    numeric address is its own domain, and all of them have one suffix."""
+    name = F.regexp_replace("host", r":[0-9]*$", "")
+    address = name.rlike(r"^[0-9.]+$|^\[")
+    parts = F.split(name, r"\.")
+    size = F.when(F.substring_index(name, ".", -2).isin(*suffixes), 2).otherwise(1)
+    suffix = F.when(address, ADDRESS).when(size == 2, F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
+    domain = F.when(address | (F.size(parts) <= size), name).when(size == 2, F.substring_index(name, ".", -3)).otherwise(F.substring_index(name, ".", -2))
+    return hosts.withColumns({"suffix": suffix, "domain": domain})
 
 
 def fitted(groups: DataFrame) -> DataFrame:
@@ -115,6 +122,18 @@ def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark, c.table(spark, sf_dir, "pages"), outcomes(c.table(spark, sf_dir, "labels")))
 
 
+def planted(pages: DataFrame) -> DataFrame:
+    """Labels of every other page that do tell of hosts: those with a name of a certain length are bad, and all of one domain."""
+    u = parsed(pages).filter("page_id % 2 = 0")
+    return u.select("page_id", ((F.length("host") % 5 == 0) | F.col("host").endswith(".example.com")).cast("int").alias("bad"))
+
+
+def op3b_planted_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same estimate where it has something to say: hosts are blocked by their own pages, and by their domain's."""
+    pages = c.table(spark, sf_dir, "pages")
+    return judge(spark, pages, planted(pages))
+
+
 def _level(name: str, source: str, key: str) -> str:
     """SQL of one level: its fitted strength and posterior means."""
     return f"""{name}_k AS (SELECT round((1 - rho) / rho, 6) AS k FROM (SELECT least(0.9, greatest(1e-4, round(coalesce((sum((x - n * m) ** 2) - sum(n * m * (1 - m))) / nullif(sum((n - 1) * (n * m * (1 - m))), 0.0), 1e-4), 9))) AS rho FROM {source})),
@@ -143,3 +162,7 @@ o AS (SELECT page_id, host, path, CASE
   WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule, n_labelled, n_bad, rate, bound FROM u JOIN r USING (host))
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN bound >= {BLOCK_AT} THEN 'block' ELSE 'allow' END AS verdict, n_labelled, n_bad, rate, bound FROM o
 """
+
+PLANTED_SQL = re.sub(
+    r"\nl AS \(SELECT doc_id.*\n", "\nl AS (SELECT page_id, CASE WHEN length(host) % 5 = 0 OR ends_with(host, '.example.com') THEN 1 ELSE 0 END AS bad FROM u WHERE page_id % 2 = 0),\n", SQL
+)

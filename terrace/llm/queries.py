@@ -15,6 +15,7 @@ QUERIES = {
     "op1_kd_shards": op1_kd_shards,
     "op2_suffix_tree_score": op2_suffix_tree_score,
     "op3_host_reputation": op3_host_reputation.op3_host_reputation,
+    "op3b_planted_reputation": op3_host_reputation.op3b_planted_reputation,
     "op4_substring_dedup": op4_substring_dedup.op4_substring_dedup,
     "op5_license_scan": op5_license_scan.op5_license_scan,
     "op5b_planted_licences": op5_license_scan.op5b_planted_licences,
@@ -32,6 +33,7 @@ QUERIES = {
 #: The others aren't expressible in SQL; their tests hold them against brute force.
 ORACLES = {
     "op3_host_reputation": op3_host_reputation.SQL,
+    "op3b_planted_reputation": op3_host_reputation.PLANTED_SQL,
     "op4_substring_dedup": op4_substring_dedup.SQL,
     "op5_license_scan": op5_license_scan.SQL,
     "op5b_planted_licences": op5_license_scan.PLANTED_SQL,
