@@ -645,6 +645,29 @@ def ingest_json_rescued(spark, d):
     return got.select("order_id", "amount", "note", F.col(files.RESCUED).alias("rescued"))
 
 
+@query(
+    f"SELECT order_id, substring(payment_card_number, -4, 4) AS payment_card_last4, sha256(payment_card_number || '{t.SALT}') AS payment_card_hash, 'half' || CAST(CAST(order_id AS BIGINT) % 2 AS VARCHAR) AS folder, true AS timed FROM bronze_orders",
+    "bronze_orders",
+)
+def pipeline_parameters(spark, d):
+    """A pipeline whose folder comes from its parameters and whose salt from the session, with each row's file and time of ingestion."""
+    root, own = workspace(spark, "parameters"), spark.newSession()
+    own.conf.set(pii.SALT_CONF, t.SALT)
+    o = t.bronze_orders(spark, d)
+    for k in (0, 1):
+        o.filter(F.col("order_id").cast("long") % 2 == k).write.json(f"{root}/raw/half{k}")
+    p = Pipeline(own, "orders", f"{root}/tables", {"raw_orders_path": f"{root}/raw"})
+
+    @p.materialized_view(warn=rules.BRONZE_ORDER_WARN_RULES)
+    def bronze(p):
+        store = files.SchemaStore(own, f"{p.root}/orders.json")
+        files.ingest(own, p.parameter("raw_orders_path"), "json", store, lambda raw: files.bronze_orders(raw, pii.salt(own)), f"{p.root}/ingested", f"{p.root}/ingested-checkpoint")
+        return own.read.parquet(f"{p.root}/ingested").drop("batch")
+
+    p.run()
+    return p.read("bronze").select("order_id", "payment_card_last4", "payment_card_hash", F.regexp_extract("source_file", "/raw/([^/]+)/", 1).alias("folder"), F.col("ingestion_time").isNotNull().alias("timed"))
+
+
 @query("SELECT customer_id, name, email, phone, birth_date, region, CAST(NULL AS VARCHAR) AS operation FROM people", "people")
 def ingest_csv_customers(spark, d):
     c = t.customers(spark, d)
