@@ -91,6 +91,20 @@ class Scratch:
             delete(self.spark, self.root)
 
 
+#: Keys with more than this share of all rows, and so no more than its inverse, are joined where their rows are.
+HOT = 1 / 1000
+
+
+def met(rows: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """rows joined with `few`, which has one row a key. Rows of hot keys aren't dealt by key: what `few` has for those is
+    broadcast, at most 1 / HOT rows, whatever the size of either side. `rows` is read three times, so it should be a staged table."""
+    total = rows.count()
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT * total).select(key)
+    known = F.broadcast(few.join(F.broadcast(hot), key, "left_semi"))
+    others = rows.join(F.broadcast(hot), key, "left_anti").join(few, key)
+    return rows.join(known, key).unionByName(others)
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column)).alias("b")).first()["b"] or 0
 

@@ -81,8 +81,8 @@ def reputation(spark: SparkSession, hosts: DataFrame, scratch: c.Scratch, suffix
     mean = F.round((F.col("x") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")), 12)
     by_domain = scratch.put(sums(base, "suffix", "domain"), "domains")
     suffix = scratch.put(fitted(sums(by_domain, "suffix").crossJoin(F.broadcast(total))).select("suffix", mean.alias("m")), "suffixes")
-    domain = scratch.put(fitted(by_domain.join(suffix, "suffix")).select("domain", mean.alias("m")), "means")
-    host = fitted(base.join(domain, "domain"))
+    domain = scratch.put(fitted(scratch.put(c.met(by_domain, suffix, "suffix"), "domain-priors")).select("domain", mean.alias("m")), "means")
+    host = fitted(scratch.put(c.met(base, domain, "domain"), "priors"))
     a, b = F.col("x") + F.col("k") * F.col("m"), F.col("n") - F.col("x") + F.col("k") * (1 - F.col("m"))
     rate, deviation = a / (a + b), F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return host.select(
@@ -104,7 +104,7 @@ def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: dict[
     )
     verdict = F.element_at(F.create_map(*[F.lit(x) for r in rules.items() for x in r]), F.col("rule")) if rules else F.lit(None)
     return (
-        urls.join(scores, "host")
+        c.met(urls, scores, "host")
         .withColumn("rule", listed(rules))
         .withColumn("verdict", F.coalesce(F.when(F.col("rule").isNotNull(), verdict), "method"))
         .select("page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad", "rate", "bound")
