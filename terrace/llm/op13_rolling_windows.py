@@ -4,7 +4,7 @@ A row has a source, a time, a length and a language. For each row and each windo
 its source with a time from W seconds before its own up to, but without, its own. Rows of one source and time have one
 window, so features are made for each source and time and joined back.
 
-Time is cut into slots as long as the longest window. A row goes to its own slot and to those whose rows may still look
+Time is cut into slots, SLOTS to the longest window. A row goes to its own slot and to those whose rows may still look
 back at it, so a task has whole slots, each of one source, and never a whole source. Before that, rows are summed up by
 time, language and coarse bucket of their length (STEPS buckets for each doubling), so however many rows a source has, a slot
 has no more than a row for each time, language and bucket.
@@ -39,6 +39,8 @@ WINDOWS = (600, 43200)
 RANKS = {"median_chars": (1, 2), "high_chars": (90, 100)}
 #: Coarse buckets for each doubling of the length; shorter lengths than twice that have buckets of their own.
 STEPS = 16
+#: More slots to a window are dealt out more evenly, but a row goes to one more slot than that.
+SLOTS = 2
 #: Rows that are gathered for one go, numbers that its histograms hold at once, and symbols of a histogram of languages.
 GATHER, CELLS, SYMBOLS = 1 << 16, 1 << 22, 1 << 10
 
@@ -57,6 +59,7 @@ def coarse(length: Column) -> Column:
 def whole_groups(batches, keys: list[str], limit: int):
     """Tables of about so many rows with whole groups of rows, which come sorted by their keys; and each row's group."""
     held: list[pa.RecordBatch] = []
+    wanted = limit
 
     def numbered(t: pa.Table) -> np.ndarray:
         new = np.zeros(t.num_rows, bool)
@@ -69,11 +72,12 @@ def whole_groups(batches, keys: list[str], limit: int):
         if not batch.num_rows:
             continue
         held.append(batch)
-        if sum(b.num_rows for b in held) >= limit:
+        if sum(b.num_rows for b in held) >= wanted:
             t = pa.Table.from_batches(held)
             group = numbered(t)
             last = int(np.searchsorted(group, group[-1]))
             held = t.slice(last).to_batches()
+            wanted = max(limit, 2 * (t.num_rows - last))  # a large group isn't looked at again for each batch
             if last:
                 yield t.slice(0, last), group[:last]
     if held:
@@ -193,10 +197,10 @@ def features(spark: SparkSession, events: DataFrame, windows: tuple[int, ...] =
     event_s, length, lang)."""
     scratch, long = c.Scratch(spark, "rolling"), max(windows)
     known = events.filter("event_s IS NOT NULL").withColumn("bucket", coarse(F.col("length")))
-    slot = lambda at: F.floor(at / F.lit(float(long)))
+    slot = lambda at: F.floor(at / F.lit(long / SLOTS))
 
     def dealt(cells: DataFrame) -> DataFrame:
-        """Each row in its own slot and in the next one, if that may look back at it."""
+        """Each row in its own slot and in the next ones that may look back at it."""
         return cells.withColumn("slot", F.explode(F.sequence(slot(F.col("event_s")), slot(F.col("event_s") + long))))
 
     cells = known.groupBy("source", "event_s", "lang", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("chars"))
