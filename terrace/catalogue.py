@@ -512,7 +512,7 @@ def governance_tags(spark, d):
     )
 
 
-SQL_SALES = "SELECT status, sum(order_count) AS n_orders, count(DISTINCT region) AS n_regions FROM daily_sales GROUP BY status"
+SQL_SALES = "SELECT status, CAST(sum(order_count) AS BIGINT) AS n_orders, count(DISTINCT region) AS n_regions FROM daily_sales GROUP BY status"
 
 
 @query(SQL_SALES.replace("daily_sales", "(" + SALES.format("WHERE region = 'ASIA' AND status <> 'DRAFT'") + ")"), "good")
