@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,26 +65,39 @@ def new_files(spark: SparkSession, path: str, at_once: int = 1000) -> DataFrame:
     return source.option("maxFilesPerTrigger", at_once).load(path).select("path")
 
 
+#: Settings under which each file is read by a task of its own.
+ALONE = {"spark.sql.files.openCostInBytes": str(1 << 40)}
+
+
 def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """The files of each header line. Each task stops after its file's first line."""
-
-    def first(batches):
-        seen = None
-        for batch in batches:
-            at = pc.index(batch.column("start"), 0).as_py()
-            if at >= 0 and batch.num_rows:
-                seen = batch.slice(at, 1)
-            break  # lines that don't begin a file come in tasks of their own
-        if seen is not None:
-            yield seen.select(["file", "value"])
-
-    keep = {"spark.sql.files.openCostInBytes": str(1 << 40), "spark.sql.files.minPartitionNum": str(len(paths))}  # a task a file
-    before = {k: spark.conf.get(k, None) for k in keep}
+    """The files of each header, which is a file's first line that isn't blank. Each task stops after it, if its file is
+    alone there; where the session doesn't take that setting, tasks read their files to the end."""
+    before = {k: spark.conf.get(k, None) for k in ALONE}
+
+    def first(alone: bool):
+        def run(batches):
+            last = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                file, start = batch.column("file"), batch.column("start")
+                ends = pc.run_end_encode(file).run_ends.to_pylist()
+                begins = [x for x in [0, *ends[:-1]] if not (x == 0 and file[0].as_py() == last)]
+                at = [x for x in begins if start[x].as_py() == 0]  # not where a later part of a file begins
+                last = file[batch.num_rows - 1].as_py()
+                if at:
+                    yield batch.take(pa.array(at)).select(["file", "value"])
+                if alone:
+                    return
+
+        return run
+
     try:
-        for k, v in keep.items():
+        for k, v in ALONE.items():
             spark.conf.set(k, v)
+        alone = bool(ALONE) and all(spark.conf.get(k) == v for k, v in ALONE.items())
         lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("start"))
-        found = lines.mapInArrow(first, "file string, value string").collect()  # a row a file of this trigger
+        found = lines.filter(F.trim("value") != "").mapInArrow(first(alone), "file string, value string").collect()  # a row a file of this trigger
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

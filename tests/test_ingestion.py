@@ -99,9 +99,13 @@ def test_no_card_number_is_rescued(place):
     assert sorted(got, key=repr) == sorted([("1", "1111", None), ("2", "9876", None), (None, None, '{"_record":"not json ****"}')], key=repr)
 
 
-def test_many_files_in_one_run(place):
+@pytest.mark.parametrize("alone", [True, False])
+def test_many_files_in_one_run(place, monkeypatch, alone):
+    """Also where the session puts several files into one task; blank lines come before some headers."""
+    if not alone:
+        monkeypatch.setattr(files, "ALONE", {})
     for i in range(30):
-        place.put(f"{i}.csv", ("a,b\n" if i % 2 else "b,a\n") + "".join(f"{i},{k}\n" for k in range(40)))
+        place.put(f"{i}.csv", "\n" * (i % 3 == 0) + ("a,b\n" if i % 2 else "b,a\n") + "".join(f"{i},{k}\n" for k in range(40)))
     place.run("csv")
     got = place.rows("a", "b")
     assert len(got) == 1200
