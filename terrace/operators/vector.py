@@ -147,6 +147,7 @@ class Index:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._finish()
         rows = spark.read.text(f"{self.path}/index.json", wholetext=True).collect()  # one file, bounded by CELLS
         meta = json.loads(rows[0]["value"])
         self.centres, self.probes, self.key = np.array(meta["centres"]), meta["probes"], meta["key"]
@@ -164,10 +165,7 @@ class Index:
         made.spark, made.path, made.centres, made.key, made.probes = spark, path.rstrip("/"), centres, key, len(centres)
         made._place(vectors).write.mode("overwrite").partitionBy("cell").parquet(f"{made.path}/rows")
         made.probes = made._measured(k)
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{made.path}/index.json")
-        out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
-        out.write(bytearray(json.dumps({"centres": centres.tolist(), "probes": made.probes, "key": key}).encode()))
-        out.close()
+        made._put("index.json", json.dumps({"centres": centres.tolist(), "probes": made.probes, "key": key}))
         return made
 
     def _place(self, vectors: DataFrame) -> DataFrame:
@@ -228,13 +226,39 @@ class Index:
         if not cells:
             return
         kept = rows.filter(F.col("cell").isin(cells)).join(out, self.key, "left_anti")
-        staged = f"{self.path}/staged"
-        kept.unionByName(new).select(*rows.columns).write.mode("overwrite").partitionBy("cell").parquet(staged)
-        fs = self.spark._jvm.org.apache.hadoop.fs.Path(staged).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        path = lambda x: self.spark._jvm.org.apache.hadoop.fs.Path(x)
-        for c in cells:
-            fs.delete(path(f"{self.path}/rows/cell={c}"), True)
-            if fs.exists(path(f"{staged}/cell={c}")):
-                fs.rename(path(f"{staged}/cell={c}"), path(f"{self.path}/rows/cell={c}"))
-        fs.delete(path(staged), True)
+        kept.unionByName(new).select(*rows.columns).write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/staged")
+        self._put("staged/cells.json", json.dumps({c: self._there(f"staged/cell={c}") for c in cells}))
+        self._finish()
+
+    def _at(self, name: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _there(self, name: str) -> bool:
+        p, fs = self._at(name)
+        return fs.exists(p)
+
+    def _put(self, name: str, text: str) -> None:
+        p, fs = self._at(name)
+        out = fs.create(p, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def _finish(self) -> None:
+        """Put the cells of a sync in place. One that broke off on the way is finished by whoever opens the index next."""
+        if not self._there("staged/cells.json"):
+            return
+        listed = self.spark.read.text(f"{self.path}/staged/cells.json", wholetext=True).collect()
+        try:
+            cells = json.loads(listed[0]["value"])
+        except (ValueError, IndexError):  # broken off before it was whole: nothing is in place yet
+            cells = {}
+        for c, has_rows in cells.items():
+            (new, fs), (old, _) = self._at(f"staged/cell={c}"), self._at(f"rows/cell={c}")
+            if not has_rows or fs.exists(new):  # else it is in place already
+                fs.delete(old, True)
+            if has_rows and fs.exists(new):
+                fs.rename(new, old)
+        p, fs = self._at("staged")
+        fs.delete(p, True)
         self.spark.catalog.refreshByPath(f"{self.path}/rows")
