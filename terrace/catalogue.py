@@ -856,8 +856,7 @@ def graph_expectation_states(spark, d):
 )
 def stream_orders_split(spark, d):
     root = workspace(spark, "split")
-    o = spark.readStream.schema(t.table(spark, d, "orders").schema).option("pathGlobFilter", "orders.parquet").parquet(d)
-    flows.split_orders(o, rules.RuleSet({"a": "o_totalprice > 1500", "b": "o_orderstatus <> 'P'"}), f"{root}/valid", f"{root}/quarantine", f"{root}/checkpoint")
+    flows.split_orders(t.stream(spark, d, "orders"), rules.RuleSet({"a": "o_totalprice > 1500", "b": "o_orderstatus <> 'P'"}), f"{root}/valid", f"{root}/quarantine", f"{root}/checkpoint")
     side = lambda name, ok: spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(ok).alias("ok"), "n")
     return side("valid", True).unionByName(side("quarantine", False))
 
@@ -865,19 +864,14 @@ def stream_orders_split(spark, d):
 @query("SELECT CAST(conv_id AS VARCHAR) AS doc_path, count(*) AS n FROM (SELECT conv_id, unnest(range(0, length(text), 600)) FROM conversations) GROUP BY 1")
 def stream_chunks(spark, d):
     root = workspace(spark, "chunks")
-    src = (
-        spark.readStream.schema(t.table(spark, d, "conversations").schema)
-        .option("pathGlobFilter", "conversations.parquet")
-        .option("recursiveFileLookup", False)
-        .parquet(d)
-    )
-    docs = src.select(
+    docs = t.stream(spark, d, "conversations").select(
         F.col("conv_id").cast("string").alias("doc_path"), F.col("role").alias("department"),
         F.lit("internal").alias("classification"), F.lit("x").alias("file_name"), F.current_timestamp().alias("ingestion_time"),
         "text",
     )
-    flows.append(documents.chunked(docs, documents.fixed_chunks("text"), "fixed_overlap"), f"{root}/chunks", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/chunks").groupBy("doc_path").agg(F.count(F.lit(1)).alias("n"))
+    chunks = documents.chunked(docs, documents.fixed_chunks("text"), "fixed_overlap")
+    flows.append(chunks, f"{root}/chunks", f"{root}/checkpoint")
+    return spark.read.schema(chunks.schema).parquet(f"{root}/chunks").groupBy("doc_path").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(UNION, "fixed")
