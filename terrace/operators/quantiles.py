@@ -23,19 +23,21 @@ def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> Da
 
 
 def _bracketed(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, _v, _c): how often each value of the bracket is there; what lies below it counts under null."""
-    met = _join(rows, facts.select(*keys, "_low", "_high"), keys).filter(F.col("_v") <= F.col("_high"))
-    value = F.when(F.col("_v") >= F.col("_low"), F.col("_v"))
-    return met.groupBy(*keys, value.alias("_x")).agg(F.sum("_c").alias("_c")).withColumnRenamed("_x", "_v")
+    """(keys, _side, _v, _c): how often each value of the bracket is there, with side 0; what lies below (-1) and above (1) counts
+    under the least of its values, one row each."""
+    met = _join(rows, facts.select(*keys, "_low", "_high"), keys)
+    side = F.when(F.col("_v") < F.col("_low"), -1).when(F.col("_v") > F.col("_high"), 1).otherwise(0)
+    met = met.select(*keys, side.alias("_side"), "_v", "_c")
+    return met.groupBy(*keys, "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_x")).agg(F.min("_v").alias("_v"), F.sum("_c").alias("_c")).drop("_x")
 
 
 def _narrowed(cells: DataFrame, facts: DataFrame, keys: list[str], bins: int) -> DataFrame:
     """The bracket of each group cut to the bin of a histogram that holds its rank."""
-    ends = cells.filter("_v IS NOT NULL").groupBy(*keys).agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+    ends = cells.filter("_side = 0").groupBy(*keys).agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
     at = F.when(F.col("_b") > F.col("_a"), F.least(F.floor((F.col("_v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * bins), F.lit(bins - 1))).otherwise(F.lit(0))
-    binned = _join(cells, ends, keys).withColumn("_bin", F.when(F.col("_v").isNull(), -1).otherwise(at))
+    binned = _join(cells, ends, keys).withColumn("_bin", F.when(F.col("_side") == 0, at).otherwise(F.when(F.col("_side") < 0, -1).otherwise(bins)))
     hist = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin"))  # bins + 1 rows a group
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin"))  # bins + 2 rows a group
     return _join(hist.withColumn("_upto", upto), facts.select(*keys, "_rank"), keys).filter("_upto >= _rank AND _upto - _n < _rank").select(*keys, "_rank", "_low", "_high")
 
 
@@ -58,15 +60,14 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, share: float, nam
     cells, bracket = _bracketed(rows, facts, keys), facts
     while True:
         cells = staged(cells, "quantile-cells")  # a round's values, which the next one reads again
-        most = cells.groupBy(*keys).agg(F.count("_v").alias("n")).agg(F.max("n")).first()[0]
+        most = cells.filter("_side = 0").groupBy(*keys).agg(F.count("_v").alias("n")).agg(F.max("n")).first()[0]
         if not most or most <= limit:
             break
         bracket = staged(_narrowed(cells, bracket, keys, bins), "quantile-bracket")
-        inside = _bracketed(cells.filter("_v IS NOT NULL"), bracket, keys).unionByName(cells.filter("_v IS NULL"))
-        cells = inside.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_v"))
-    ranked = _join(cells.withColumn("_upto", upto), facts.select(*keys, "_rank", "_part"), keys).filter("_upto >= _rank AND _v IS NOT NULL")
-    found = ranked.groupBy(*keys).agg(F.min(F.struct("_v", "_upto", "_rank", "_part")).alias("_f")).select(*keys, F.col("_f._v").alias("_at"), "_f._upto", "_f._rank", "_f._part")
-    above = _join(raw, found, keys).filter("_v > _at AND _part > 0 AND _upto = _rank").groupBy(*keys).agg(F.min("_v").alias("_next"))
-    quantile = F.col("_at") + F.coalesce(F.col("_part") * (F.col("_next") - F.col("_at")), F.lit(0.0))
-    return _join(found, above, keys, "left").select(*keys, quantile.alias(name))
+        cells = _bracketed(cells, bracket, keys)
+    order = Window.partitionBy(*keys).orderBy("_v")
+    placed = cells.withColumns({"_upto": F.sum("_c").over(order), "_next": F.lead("_v").over(order)})
+    ranked = _join(placed, facts.select(*keys, "_rank", "_part"), keys).filter("_upto >= _rank")
+    found = ranked.groupBy(*keys).agg(F.min(F.struct("_v", "_next", "_upto", "_rank", "_part")).alias("_f")).select(*keys, "_f.*")
+    part = F.when((F.col("_part") > 0) & (F.col("_upto") == F.col("_rank")), F.col("_part") * (F.col("_next") - F.col("_v")))
+    return found.select(*keys, (F.col("_v") + F.coalesce(part, F.lit(0.0))).alias(name))
