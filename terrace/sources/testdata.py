@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 import zlib
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -271,16 +270,12 @@ def pdf_of(text: str, deflated: bool, mapped: bool, broken: bool = False) -> byt
 def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as files: a third each plain text, PDF in Latin-1 and deflated PDF with a map; some are cut off or of no known format."""
 
-    def run(batches):
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            made = []
-            for i, text in zip(ids, texts, strict=True):
-                plain = (text or "").encode() if i % 11 != 4 else b"\x00\x01"
-                made.append(plain if i % 3 == 0 or i % 11 == 4 else pdf_of(text or "", i % 3 == 2, i % 3 == 2 or not (text or "").isascii(), i % 7 == 5))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], names=["doc_id", "content"])
+    def made(i, text):
+        plain = (text or "").encode() if i % 11 != 4 else b"\x00\x01"
+        return plain if i % 3 == 0 or i % 11 == 4 else pdf_of(text or "", i % 3 == 2, i % 3 == 2 or not (text or "").isascii(), i % 7 == 5)
 
-    files = table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(run, "doc_id long, content binary")
+    content = F.udf(made, "binary", useArrow=False)("doc_id", "text")  # by the hundred rows, as Arrow batches of files are large
+    files = table(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
     kind = F.when(F.col("doc_id") % 3 == 0, "txt").otherwise("pdf")
     return files.select(
         F.concat(F.lit("raw_documents/general/public/"), F.col("doc_id"), F.lit("."), kind).alias("path"), "content", F.octet_length("content").cast("long").alias("length"), F.lit(NOW).cast("timestamp").alias("modificationTime"),

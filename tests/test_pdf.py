@@ -1,8 +1,11 @@
+import io
 import time
 import zlib
+from contextlib import redirect_stdout
 
 import pytest
 
+from terrace import catalogue
 from terrace.functions import pdf
 from terrace.operators import documents
 from terrace.sources.testdata import PAGE_LINES, pdf_of
@@ -89,3 +92,16 @@ def test_unread_documents(spark):
     assert got == {"x.pdf": "one\ntwo", "z.txt": "plain"}
     why = {r["doc_path"][-5:]: r["reason"] for r in documents.unread_documents(bronze).collect()}
     assert why == {"y.pdf": "no page", "n.pdf": "unknown format"}
+
+
+def test_files_are_read_once_and_some_at_a_time(spark, sf_dir):
+    """Each file goes to Python once, whatever is asked of its pages, and no Arrow batch gathers thousands of files."""
+    spark.conf.set("spark.sql.execution.pythonUDF.arrow.enabled", "true")
+    try:
+        shown = io.StringIO()
+        with redirect_stdout(shown):
+            catalogue.QUERIES["pdf_extraction"](spark, sf_dir).explain()
+    finally:
+        spark.conf.unset("spark.sql.execution.pythonUDF.arrow.enabled")
+    assert "Arrow" not in shown.getvalue()
+    assert shown.getvalue().count("BatchEvalPython") == 2  # pages, and reasons
